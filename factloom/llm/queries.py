@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import crosspoly, simhash, tokens
 from .common import table
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspoly.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -17,5 +21,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op8_byte_bpe)}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2)
+
+
+QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_token_counts, op8_byte_bpe, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
