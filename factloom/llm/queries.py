@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crosspoly, simhash, tokens
+from . import crosspoly, linecrf, simhash, tokens, toxicity
 from .common import table
 
 
@@ -17,6 +17,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return linecrf.judge(docs, linecrf.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~toxicity.held_out())
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "n_clauses")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), digest=True)
 
@@ -25,5 +37,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_token_counts, op8_byte_bpe, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_token_counts, op4_line_crf_quality, op7_toxicity, op8_byte_bpe, op10_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
