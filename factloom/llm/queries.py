@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crosspoly, linecrf, simhash, tokens, toxicity
+from . import cotrain, crosspoly, licences, linecrf, mixing, simhash, tokens, toolcalls, toxicity
 from .common import table
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspoly.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -22,6 +26,17 @@ def op4_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linecrf.judge(docs, linecrf.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixture = mixing.solve(docs, table(spark, sf_dir, "labels"))
+    return mixing.assign(docs, mixture).select("doc_id", "n_tokens", "domain", "rate", "copies")
+
+
+def op6_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.classify(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~toxicity.held_out())
@@ -33,9 +48,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), digest=True)
 
 
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.format_messages(table(spark, sf_dir, "conversations"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_near_dedup, op3_token_counts, op4_line_crf_quality, op7_toxicity, op8_byte_bpe, op10_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_licence_scan, op2_embedding_near_dedup, op3_token_counts, op4_line_crf_quality, op5_mixing,
+        op6_quality_cotraining, op7_toxicity, op8_byte_bpe, op9_tool_calls, op10_simhash_near_dedup,
+    )
+}
+ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle()}

@@ -13,7 +13,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -119,3 +119,17 @@ def near_duplicates(docs: DataFrame, radius: int = 2, key: str = "doc_id", text:
     lowest = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = roots.select("fp", "root").join(lowest, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, radius: int = 2, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """docs with one row of each group of near duplicates: that of the group's smallest key, of repeated rows one.
+
+    Rows with a null key stay: no key tells them apart, so none is taken for another.
+    """
+    found = near_duplicates(docs, radius, key, text, words)
+    chosen = common.stored(found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("_n")))
+    kept = docs.join(chosen, key)
+    # Only keys that stand in more than one row need a sort.
+    place = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+    once = kept.where("_n > 1").withColumn("_place", F.row_number().over(place)).where("_place = 1")
+    return kept.where("_n = 1").select(docs.columns).unionByName(once.select(docs.columns)).unionByName(docs.where(F.col(key).isNull()))

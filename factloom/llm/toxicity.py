@@ -13,6 +13,7 @@ import collections
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -209,6 +210,19 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], key: str
     return docs.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, score double, predicted int, n_clauses int").withColumnRenamed("key", key)
 
 
+def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFrame:
+    """The rows of docs that score() does not predict toxic, with all their columns and without a shuffle."""
+    common.ship(docs.sparkSession)
+    lexicon, curve = model
+
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        scorer = Scorer(lexicon)
+        return pd.Series(learn.predict(np.array([scorer.features(t or "") for t in text]).reshape(-1, 3), curve) < 0.5)
+
+    return docs.where(clean("text"))
+
+
 def held_out(key: str = "doc_id"):
     """Whether a row is kept out of learning: crc32 of its key as text, mod 5, is 0."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
