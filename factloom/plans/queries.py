@@ -283,12 +283,12 @@ _LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_exte
 
 
 @query(f"""
-    SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, CAST(row_number() OVER w AS INTEGER) AS assertion_version, lead(l_orderkey) OVER w AS superseded_by, lead(l_orderkey) OVER w IS NULL AS is_current
+    SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, CAST(row_number() OVER w AS INTEGER) AS assertion_version, CAST(lead(l_orderkey) OVER w AS VARCHAR) AS superseded_by, lead(l_orderkey) OVER w IS NULL AS is_current
     FROM lineitem WINDOW w AS (PARTITION BY l_partkey, l_suppkey ORDER BY {', '.join(_LINE_ORDER)})
 """)
 def assertion_versions(spark, sf_dir):
     a = versioning.order_assertions(_t(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"], _LINE_ORDER, accession="l_orderkey")
-    return a.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "assertion_version", F.col("superseded_by_accession").alias("superseded_by"), F.col("is_current_assertion").alias("is_current"))
+    return a.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "assertion_version", F.col("superseded_by_accession").cast("string").alias("superseded_by"), F.col("is_current_assertion").alias("is_current"))
 
 
 # Facts and tolerances

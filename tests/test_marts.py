@@ -1,0 +1,101 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+
+from factloom.functions.tolerance import Tolerance
+from factloom.operators import marts
+
+DDL = "cik string, taxonomy string, concept_tag string, concept_canonical string, unit string, period_start date, period_end date, period_type string, accession_number string, value decimal(38,6), decimals int, form_type string, filed_date date, fiscal_year int, fiscal_period string"
+START, END = date(2023, 1, 1), date(2023, 12, 31)
+
+
+def fact(value, n=1, decimals=None, tag="Revenues", canonical="revenue_total", unit="USD", start=START, end=END, kind="duration", form="10-K"):
+    filed = date(2024, 2, 1) if n == 1 else date(2024, 5, 3) if n == 2 else date(2024, 8, n)
+    return ("0000000001", "us-gaap", tag, canonical, unit, start, end, kind, f"0000000001-24-{n:06d}", Decimal(str(value)), decimals, form, filed, 2023, "FY")
+
+
+def events(spark, *facts, **options):
+    return marts.change_events(spark.createDataFrame(list(facts), DDL), **options).collect()
+
+
+@pytest.mark.parametrize(
+    ("before", "after", "d1", "d2", "n"),
+    [
+        (1000000, 1100000, None, None, 1), (1234567, 1235000, 0, -3, 0), (79093455, 79093000, None, None, 0), (44694524, 44694000, None, None, 0), (2890854000, 2889972000, None, None, 1),
+        (2000000, 2010000, None, None, 1), (2000000, 2001000, None, None, 0), (2000000, 2001000, 0, 0, 1), (5, 5, None, None, 0), (0, 500000, None, None, 1),
+    ],
+)
+def test_golden_pairs(spark, before, after, d1, d2, n):
+    assert len(events(spark, fact(before, 1, d1), fact(after, 2, d2))) == n
+
+
+def test_event_of_a_real_change(spark):
+    (e,) = events(spark, fact(1000000, 1), fact(1100000, 2))
+    assert (e.delta_abs, e.delta_pct, e.days_to_restatement, e.materiality_band) == (Decimal("100000.000000"), pytest.approx(0.1), 92, "material")
+    assert e.original_accession_number.endswith("1") and e.restated_accession_number.endswith("2")
+
+
+def test_zero_base_has_no_share_and_is_material(spark):
+    (e,) = events(spark, fact(0, 1), fact(500000, 2))
+    assert e.delta_pct is None and e.materiality_band == "material"
+
+
+def test_literal_rule_flags_rounding(spark):
+    assert len(events(spark, fact(79093455, 1), fact(79093000, 2), config=Tolerance(decimals_aware=False))) == 1
+
+
+@pytest.mark.parametrize(("after", "band"), [(1002000, "immaterial"), (1020000, "notable"), (1500000, "material")])
+def test_bands(spark, after, band):
+    assert [e.materiality_band for e in events(spark, fact(1000000, 1), fact(after, 2))] == [band]
+
+
+def test_different_grains_do_not_meet(spark):
+    assert not events(spark, fact(1000000, 1), fact(2000000, 2, unit="EUR"))
+    assert not events(spark, fact(1000000, 1), fact(2000000, 2, start=date(2023, 10, 1)))
+    assert not events(spark, fact(1000000, 1))
+    assert not events(spark, fact(1, 1, canonical=None), fact(9, 2, canonical=None))
+
+
+def test_three_assertions_are_two_events(spark):
+    assert len(events(spark, fact(1000000, 1), fact(1200000, 2), fact(1500000, 3))) == 2
+
+
+def test_preferred_tag_speaks_for_a_filing(spark):
+    rows = [fact(100, 1, tag="Revenues"), fact(999, 1, tag="SalesRevenueNet"), fact(100, 2, tag="SalesRevenueNet")]
+    assert not events(spark, *rows)
+
+
+def test_ids_are_stable_and_names_join(spark):
+    names = spark.createDataFrame([("0000000001", "Acme")], "cik string, company_name string")
+    for limit in (10, 0):
+        a = events(spark, fact(1000000, 1), fact(1100000, 2), names=names, name_limit=limit)
+        assert a[0].company_name == "Acme" and a[0].restatement_id == events(spark, fact(1000000, 1), fact(1100000, 2))[0].restatement_id
+
+
+def test_current_assertion_sees_restated_instants(spark):
+    facts = spark.createDataFrame([fact(1000000, 1, start=None, kind="instant"), fact(1100000, 2, start=None, kind="instant"), fact(5, 1, unit="EUR")], DDL)
+    got = {r.unit: r for r in marts.current_assertion(facts, marts.change_events(facts)).collect()}
+    assert got["USD"].value == 1100000 and got["USD"].assertion_count == 2 and got["USD"].was_restated
+    assert got["EUR"].assertion_count == 1 and not got["EUR"].was_restated
+
+
+def test_current_assertion_breaks_ties(spark):
+    rows = [fact(1, 1, tag="SalesRevenueNet"), fact(2, 1, tag="Revenues")]
+    for order in (rows, rows[::-1]):
+        facts = spark.createDataFrame(order, DDL)
+        (r,) = marts.current_assertion(facts, marts.change_events(facts)).collect()
+        assert r.value == 2 and r.assertion_count == 1
+
+
+def test_activity_and_profile(spark):
+    filed = spark.createDataFrame([("a", date(2024, 1, 1), "10-K", False), ("a", date(2024, 1, 1), "10-K", True), ("b", date(2024, 1, 2), "8-K", False)], "cik string, filed_date date, base_form_type string, is_amendment boolean")
+    got = {(str(r.filed_date), r.base_form_type): (r.filing_count, r.amendment_count, r.distinct_cik_count) for r in marts.daily_activity(filed).collect()}
+    assert got == {("2024-01-01", "10-K"): (2, 1, 1), ("2024-01-02", "8-K"): (1, 0, 1)}
+    companies = spark.createDataFrame([("a",), ("c",)], "cik string")
+    got = {r.cik: (r.filing_count, r.restatement_count, r.first_filed_date) for r in marts.entity_profile(companies, filed, companies.limit(0)).collect()}
+    assert got == {"a": (2, 0, date(2024, 1, 1)), "c": (0, 0, None)}
+
+
+def test_empty_facts(spark):
+    assert marts.change_events(spark.createDataFrame([], DDL)).count() == 0
