@@ -62,6 +62,8 @@ def offsets(radius: int) -> list[tuple[int, ...]]:
 
 def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, fingerprint) rows that span all links between a and b, or within a."""
+    # Unsigned: numpy counts the bits of a signed number's absolute value.
+    a, b = a.view(np.uint64), None if b is None else b.view(np.uint64)
     other = a if b is None else b
     found = []
     for k in range(0, len(a), 512):
@@ -73,6 +75,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nda
     nodes = a if b is None else np.concatenate([a, b])
     root = forest(i, j, len(nodes))
     moved = np.flatnonzero(root != np.arange(len(nodes)))
+    nodes = nodes.view(np.int64)
     return nodes[moved], nodes[root[moved]]
 
 
