@@ -87,10 +87,12 @@ def build_facts(bronze: DataFrame) -> DataFrame:
     fact_sk names the fact and not the assertion: concept (its tag where it is not mapped), unit and whole period.
     """
     d = bronze.withColumn("d", F.from_json("payload_json", CONCEPT))
-    d = d.select("*", F.explode_outer("d.units").alias("unit", "facts")).select("*", F.explode_outer("facts").alias("x"))
-    taxonomy, tag = F.coalesce("d.taxonomy", "taxonomy"), F.coalesce("d.tag", "tag")
+    keep = ["resource_id", "logical_date", "_ingest_batch_id", "_source_file"]
+    d = d.select(*keep, F.coalesce(normalise.cik(F.col("d.cik")), normalise.cik(F.col("cik"))).alias("cik"), F.coalesce("d.taxonomy", "taxonomy").alias("taxonomy"), F.coalesce("d.tag", "tag").alias("concept_tag"), F.col("d.units").alias("units"))
+    named = [*keep, "cik", "taxonomy", "concept_tag"]
+    d = d.select(*named, F.explode_outer("units").alias("unit", "facts")).select(*named, "unit", F.explode_outer("facts").alias("x"))
     rows = d.select(
-        F.coalesce(normalise.cik(F.col("d.cik")), normalise.cik(F.col("cik"))).alias("cik"), taxonomy.alias("taxonomy"), tag.alias("concept_tag"), concepts.canonical_concept(taxonomy, tag).alias("concept_canonical"), "unit",
+        "cik", "taxonomy", "concept_tag", concepts.canonical_concept(F.col("taxonomy"), F.col("concept_tag")).alias("concept_canonical"), "unit",
         F.try_to_date("x.start", "yyyy-MM-dd").alias("period_start"), F.try_to_date("x.end", "yyyy-MM-dd").alias("period_end"), F.when(F.col("x.start").isNull(), "instant").otherwise("duration").alias("period_type"),
         normalise.accession(F.col("x.accn")).alias("accession_number"), F.col("x.val").alias("value"), F.col("x.decimals").alias("decimals"), F.col("x.fy").alias("fiscal_year"), F.col("x.fp").alias("fiscal_period"), F.col("x.form").alias("form_type"),
         F.try_to_date("x.filed", "yyyy-MM-dd").alias("filed_date"), F.col("x.frame").alias("frame"), "logical_date", "_ingest_batch_id", "_source_file", F.struct("resource_id", "unit", F.to_json("x").alias("fact")).alias("_raw"),

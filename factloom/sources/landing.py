@@ -176,7 +176,8 @@ def parse_index(lines: DataFrame, value: str = "value") -> DataFrame:
 def select_filings(index: DataFrame, limit: int, forced: list[str] = (), ranks: dict[str, int] | None = None) -> DataFrame:
     """At most `limit` rows, the same ones each time: forced ids first, then by form rank, then by accession."""
     rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in (ranks or {"": 0}).items() for x in kv]), F.col("form_type")), F.lit(999))
-    return index.orderBy((~F.col("cik").isin(*forced)).cast("int") if forced else F.lit(0), rank, "accession_number").limit(limit)
+    first = [(~F.col("cik").isin(*forced)).cast("int")] if forced else []
+    return index.orderBy(*first, rank, "accession_number").limit(limit)
 
 
 def trim_recent(payload: Column, n: int) -> Column:
