@@ -52,6 +52,7 @@ class Mixture:
     targets: np.ndarray
     steps: list[np.ndarray] = field(default_factory=list)
     max_rate: float | None = None
+    #: Largest miss of a domain's target, as a share of all tokens, when last measured.
     residual: float = 0.0
 
     def posterior(self, texts: list[str]) -> np.ndarray:
@@ -147,11 +148,12 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     while len(vectors) < STEPS:
         off = sums(lambda n, p: p.T @ (n * mixture.rates(p)), k) - goal
         loss = float(off @ metric @ off) / size
+        mixture.residual = float(np.abs(off).max() / size)
         if loss > best * (1 - TOLERANCE) or loss < 1e-14:
             break
         best = loss
         vectors.append(metric @ off)
-        mixture = Mixture(domains, mixture.weights, mixture.targets, list(vectors), max_rate, float(np.abs(off).max() / size))
+        mixture = Mixture(domains, mixture.weights, mixture.targets, list(vectors), max_rate)
     return mixture
 
 

@@ -164,7 +164,7 @@ def test_cotraining_views_share_labels():
     content, page = np.stack([y + 0.3 * g.normal(size=400), g.normal(size=400)], 1), np.stack([y + 0.5 * g.normal(size=400)], 1)
     seen = np.where(np.arange(400) < 40, y, -1)
     score, a, b = cotrain.apply_views(cotrain.fit_views(content, page, seen), content, page)
-    assert ((score >= 0.5) == y).mean() > 0.95 and ((a >= 0.5) == y).mean() > 0.85 and ((b >= 0.5) == y).mean() > 0.75
+    assert ((score >= 0.5) == y).mean() > 0.93 and ((a >= 0.5) == y).mean() > 0.85 and ((b >= 0.5) == y).mean() > 0.75
 
 
 def test_mixing_meets_targets(spark):
