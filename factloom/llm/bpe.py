@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable
 
 #: Entries after which a worker drops a cache and starts anew, which bounds memory and changes no result.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 
 
 def load_tiktoken(path: str) -> dict[bytes, int]:
@@ -130,7 +130,7 @@ class PairRule:
         key = (a << 32) + b
         if (got := self.known.get(key)) is None:
             got = self.origin(b) is not None and (a < 0 or self.stays(a, b))
-            if len(self.known) >= 2 * CACHE_ENTRIES:
+            if len(self.known) >= CACHE_ENTRIES:
                 self.known.clear()
             self.known[key] = got
         return got

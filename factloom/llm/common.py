@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Code points that one in-memory slice of texts may hold (a single longer text is a slice of its own).
 SLICE_CHARS = 2_000_000
+#: Rows of texts that a Python worker holds at once, and Spark's setting for it.
+MAX_BATCH_ROWS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once for each Spark context."""
+    """Send this package to the executors' Python workers, once for each Spark context, and bound the rows they get at once."""
     sc = spark.sparkContext
+    if int(spark.conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MAX_BATCH_ROWS))
     if getattr(sc, "_factloom_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

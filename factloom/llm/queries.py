@@ -63,4 +63,25 @@ QUERIES = {
         op6_quality_cotraining, op7_toxicity, op8_byte_bpe, op9_tool_calls, op10_simhash_near_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle()}
+
+#: All pairs by brute force, and reachability by recursion.
+_LINKS = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+    ), r AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+    ), c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+#: Messages without tool calls or results; the SQL stops at any other, which the tests compare with a plain program.
+_MESSAGES = """
+    SELECT conv_id, turn, role, CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, CAST(0 AS BIGINT) AS n_valid, false AS is_orphan,
+        CASE WHEN lower(role) IN ('assistant', 'tool') AND ltrim(text) LIKE '{%' THEN error('tool message') ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' END AS message
+    FROM conversations
+"""
+ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle(), "op2_embedding_near_dedup": _LINKS, "op9_tool_calls": _MESSAGES}

@@ -39,7 +39,7 @@ STOPS = frozenset(".!?;\n")
 PREFIXES = (4, 5, 6)
 LABELLED_ROWS = 20_000
 LEXICON_ENTRIES = 4_000
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 
 class Transducer:
@@ -146,7 +146,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
                 at = 2 * half + (1 - y)
                 for f in {"=" + w for w in words} | {w[:k] for w in words for k in PREFIXES if len(w) >= k}:
                     counts[f][at] += 1
-                if len(counts) > 300_000:
+                if len(counts) > CACHE_ENTRIES:
                     yield flush()
         if counts:
             yield flush()
