@@ -111,7 +111,10 @@ def apply_checks(df: DataFrame, checks: list[Check], run_id: str, source_table:
             samples = [r.asDict(recursive=True) for r in flagged.where(_flag(c)).select(df.columns).limit(3).collect()]
             raise BatchRejected(c, counted[c.name], samples)
     metrics |= {"dq.rows_in": counted["_n"], "dq.rows_passed": counted["_n"] - counted["_rejected"], "dq.rows_quarantined": counted["_rejected"]}
-    passed = flagged.where(~any_reject).select(df.columns)
+    # The checks themselves, not their flags: a scan can take these as pushed filters, and a NULL fails here as well.
+    passed = df
+    for c in rejects:
+        passed = passed.where(c.expression)
     return Checked(passed, quarantine(flagged.where(any_reject), rejects, run_id, source_table, raw), metrics)
 
 
