@@ -22,9 +22,9 @@ def uses_python(df: DataFrame) -> bool:
 
 
 def read_columns(df: DataFrame) -> list[str]:
-    """Read schemas of the plan's scans."""
-    return re.findall(r"ReadSchema: struct<([^>]*)>", physical(df))
+    """Read schemas of the plan's scans, as far as the plan prints them."""
+    return re.findall(r"ReadSchema: struct<([^>\n]*)", physical(df))
 
 
 def pushed_filters(df: DataFrame) -> list[str]:
-    return re.findall(r"PushedFilters: \[([^\]]*)\]", physical(df))
+    return re.findall(r"PushedFilters: \[(.*?)(?:\]|\.\.\.)", physical(df))
