@@ -35,32 +35,31 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(d)
 
 
-def signatures(vectors: np.ndarray, tables: int = TABLES, probes: int = PROBES, seed: int = 7) -> np.ndarray:
-    """(vectors, tables, probes) bucket codes of unit vectors, best first."""
+def signatures(vectors: np.ndarray, tables: int = TABLES, probes: int = PROBES, axes: int = AXES, seed: int = 7) -> np.ndarray:
+    """(vectors, tables, probes) bucket codes of unit vectors, those that lose least height on their axes first."""
     n, d = vectors.shape
     size = 1 << max(1, (d - 1).bit_length())
     padded = np.zeros((n, size))
     padded[:, :d] = vectors
-    out = np.empty((n, tables, probes), np.int32)
+    out = np.empty((n, tables, probes), np.int64)
     rng = np.random.default_rng([seed, size])
     reach = min(probes, 2 * size)
     for t in range(tables):
-        codes, losses = [], []
-        for _ in range(AXES):
+        code, loss = np.zeros((n, 1), np.int64), np.zeros((n, 1))
+        for _ in range(axes):
             x = padded
             for _ in range(ROUNDS):
                 x = hadamard(x * rng.choice((-1.0, 1.0), size))
             signed = np.concatenate([x, -x], axis=1)
             near = np.argpartition(-signed, reach - 1, axis=1)[:, :reach]
             height = np.take_along_axis(signed, near, axis=1)
-            order = np.argsort(-height, axis=1, kind="stable")
-            near, height = np.take_along_axis(near, order, axis=1), np.take_along_axis(height, order, axis=1)
-            codes.append(near)
-            losses.append(height[:, :1] - height)
-        loss = (losses[0][:, :, None] + losses[1][:, None, :]).reshape(n, -1)
-        code = (codes[0][:, :, None] * (2 * size) + codes[1][:, None, :]).reshape(n, -1)
-        best = np.argsort(loss, axis=1, kind="stable")[:, :probes]
-        out[:, t] = np.take_along_axis(code, best, axis=1)
+            more = height.max(axis=1, keepdims=True) - height
+            # The best few sums need only the best few of either side.
+            both = (loss[:, :, None] + more[:, None, :]).reshape(n, -1)
+            named = (code[:, :, None] * (2 * size) + near[:, None, :]).reshape(n, -1)
+            best = np.lexsort((named, both), axis=1)[:, :probes]
+            code, loss = np.take_along_axis(named, best, axis=1), np.take_along_axis(both, best, axis=1)
+        out[:, t] = code
     return out
 
 
@@ -93,7 +92,7 @@ def block_links(table: int, code: int, one: dict, two: dict | None, threshold: f
         for t in range(table):
             ok &= ~(s[:, t, :, None] == r[:, t, None, :]).any(axis=(1, 2))
         same = s[:, table, :, None] == r[:, table, None, :]
-        lowest = np.where(same, s[:, table, :, None], np.iinfo(np.int32).max).min(axis=(1, 2))
+        lowest = np.where(same, s[:, table, :, None], np.iinfo(np.int64).max).min(axis=(1, 2))
         kept.append(ok & (lowest == code))
     keep = np.concatenate(kept) if kept else np.zeros(0, bool)
     i, j = i[keep], j[keep]
@@ -111,14 +110,16 @@ def block_links(table: int, code: int, one: dict, two: dict | None, threshold: f
     return ids[used], links[used], ids[root[used]]
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id", column: str = "embedding", tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id", column: str = "embedding", tables: int = TABLES, probes: int = PROBES, axes: int = AXES, block: int = BLOCK) -> DataFrame:
     """(key, n_links, component_id, kept) for each row of vectors.
 
     n_links counts the other rows whose cosine with this one is at least `threshold`, equal vectors included;
     component_id is the smallest key that links lead to; kept = key is component_id.  A vector that is null, empty, zero or
     holds a null or non-finite component links with nothing, as does a row with a null key (its component_id and kept are
     null).  Vectors of different lengths do not link.  Further columns are left out; an empty table gives no row.  No
-    link below the threshold is ever counted; the share of links found is that of pairs that share a bucket.
+    link below the threshold is ever counted; the share of links found is that of pairs that share a bucket.  A bucket
+    holds about probes / (2d)^axes of the vectors that are no copies; for many millions of them raise `axes`, and `probes` with
+    it to keep the share.
     """
     common.ship(vectors.sparkSession)
     # Vectors of float travel as such, which loses nothing; all arithmetic is in double precision.
@@ -142,14 +143,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
             sizes = np.array([len(b) for b in blobs])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                sig = signatures(normal(np.frombuffer(b"".join(blobs[k] for k in at), stored_as).reshape(len(at), -1)), tables, probes)
+                sig = signatures(normal(np.frombuffer(b"".join(blobs[k] for k in at), stored_as).reshape(len(at), -1)), tables, probes, axes)
                 flat = np.repeat(at, tables * probes)
                 take = batch.take(pa.array(flat))
-                sigs = pa.array([s.tobytes() for s in sig], pa.binary()).take(pa.array(np.repeat(np.arange(len(at)), tables * probes)))
+                sig_bytes = sig.astype(np.int32) if sig.max(initial=0) < 2**31 else sig
+                # A bucket of table t asks for the codes of the tables up to t alone.
+                sigs = pa.array([s[: t + 1].tobytes() for s in sig_bytes for t in range(tables) for _ in range(probes)], pa.binary())
                 t = np.tile(np.repeat(np.arange(tables, dtype=np.int32), probes), len(at))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), size, np.int32)), pa.array(t), pa.array(sig.reshape(-1)), take.column(0), take.column(1), take.column(2), sigs], names=["size", "t", "code", "id", "w", "x", "sig"])
 
-    entries = groups.select("id", "w", "x").mapInArrow(place, "size int, t int, code int, id long, w long, x binary, sig binary")
+    entries = groups.select("id", "w", "x").mapInArrow(place, "size int, t int, code long, id long, w long, x binary, sig binary")
     bucket = ["size", "t", "code"]
     hot = entries.groupBy(*bucket).count().where(F.col("count") > block).select(*bucket, F.ceil(F.col("count") / block).alias("n"))
     part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("n")), F.lit(0))
@@ -159,17 +162,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
     across = blocks.where("hot").select(*bucket, "part", "one").join(blocks.where("hot").select(*bucket, F.col("part").alias("other"), F.col("one").alias("two")), bucket)
     pairs = within.unionByName(across.where("part < other").select("t", "code", "one", "two"))
 
-    def unpack(items) -> dict:
+    def unpack(items, t: int) -> dict:
         values = items.values
         x = values.field("x").to_pylist()
         return {
             "id": values.field("id").to_numpy(), "w": values.field("w").to_numpy(), "x": normal(np.frombuffer(b"".join(x), stored_as).reshape(len(x), -1)),
-            "sig": np.frombuffer(b"".join(values.field("sig").to_pylist()), np.int32).reshape(len(x), tables, probes),
+            "sig": np.stack([np.frombuffer(b, np.int32 if len(b) == 4 * (t + 1) * probes else np.int64) for b in values.field("sig").to_pylist()]).reshape(len(x), t + 1, probes),
         }
 
     def compare(batches):
         for batch in batches:
-            out = [block_links(t, code, unpack(one), unpack(two) if two.is_valid else None, threshold) for t, code, one, two in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))]
+            out = [block_links(t, code, unpack(one, t), unpack(two, t) if two.is_valid else None, threshold) for t, code, one, two in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["id", "links", "root"])
 
