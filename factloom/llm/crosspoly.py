@@ -167,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
         x = values.field("x").to_pylist()
         return {
             "id": values.field("id").to_numpy(), "w": values.field("w").to_numpy(), "x": normal(np.frombuffer(b"".join(x), stored_as).reshape(len(x), -1)),
-            "sig": np.stack([np.frombuffer(b, np.int32 if len(b) == 4 * (t + 1) * probes else np.int64) for b in values.field("sig").to_pylist()]).reshape(len(x), t + 1, probes),
+            "sig": np.stack([np.frombuffer(b, np.int32 if len(b) == 4 * (t + 1) * probes else np.int64) for b in values.field("sig").to_pylist()]).astype(np.int64).reshape(len(x), t + 1, probes),
         }
 
     def compare(batches):
