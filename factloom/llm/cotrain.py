@@ -67,7 +67,7 @@ def page_view(lang, source, n_chars, text: str) -> np.ndarray:
     out = np.zeros(N_META, np.float32)
     out[zlib.crc32(str(lang).encode()) % 8] = 1
     out[8 + zlib.crc32(str(source).encode()) % 32] = 1
-    size = len(text) if n_chars is None else max(int(n_chars), 0)
+    size = max(int(n_chars), 0) if isinstance(n_chars, (int, float)) and np.isfinite(n_chars) else len(text)
     out[40 + min(11, int(np.log2(1 + size) * 0.7))] = 1
     out[52 + min(11, int(np.log2(1 + text.count("\n")) * 1.5))] = 1
     return out

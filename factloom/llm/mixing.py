@@ -157,7 +157,7 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     return mixture
 
 
-def assign(docs: DataFrame, mixture: Mixture, key: str = "doc_id", seed: int = 0) -> DataFrame:
+def assign(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
     """docs with n_tokens, domain (the likeliest), rate and copies added.
 
     copies rounds the rate to a whole number without bias, by a hash of the key, so that a rerun decides alike; a null key
@@ -173,11 +173,13 @@ def assign(docs: DataFrame, mixture: Mixture, key: str = "doc_id", seed: int = 0
         return pd.DataFrame({"n_tokens": [n_tokens(t) for t in texts], "domain": [mixture.domains[k] for k in p.argmax(axis=1)], "rate": mixture.rates(p)})
 
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    out = docs.withColumn("_member", member(F.col("text")))
+    out = docs.withColumn("_member", member(F.col(text)))
     out = out.withColumns({c: F.col(f"_member.{c}") for c in ("n_tokens", "domain", "rate")}).drop("_member")
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
-def mixed(assigned: DataFrame, columns: list[str]) -> DataFrame:
-    """The chosen columns of each row, as many times as copies says."""
-    return assigned.where("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+def draw(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each row of docs as many times as its copies say, with its own columns, whatever their names."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    assigned = assign(packed, mixture, f"_row.{key}", f"_row.{text}").where("copies > 0")
+    return assigned.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")

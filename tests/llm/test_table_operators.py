@@ -179,8 +179,9 @@ def test_mixing_meets_targets(spark):
     assert (capped.rate <= 1).all() and (capped.copies <= 1).all() and capped.rate.max() > 0.98
     share = capped.assign(w=capped.rate * capped.n_tokens).groupby("lang").w.sum()
     assert all(abs(share[d] / share.sum() - t) < 0.03 for d, t in targets.items())
-    rows = mixing.mixed(mixing.assign(docs, m), docs.columns)
-    assert rows.count() == a.copies.sum() and rows.columns == docs.columns
+    clash = docs.withColumns({"rate": F.lit("mine"), "copies": F.lit("too")})
+    rows = mixing.draw(clash, m)
+    assert rows.count() == a.copies.sum() and rows.columns == clash.columns and rows.first().rate == "mine"
     again = mixing.assign(docs, mixing.solve(docs, labels, targets=targets)).toPandas()
     assert dict(zip(a.doc_id, a.copies)) == dict(zip(again.doc_id, again.copies))
 
