@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at their rates, none more than once."""
     mixture = mixing.solve(docs, table(spark, sf_dir, "labels"), max_rate=1.0)
-    return mixing.mixed(mixing.assign(docs, mixture), docs.columns)
+    return mixing.draw(docs, mixture)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
