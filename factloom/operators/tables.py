@@ -80,10 +80,10 @@ class SnapshotTable:
         got = seen.get
         return {"path": part, "tag": tag, "rows": got["rows"]}, {k: v for k, v in got.items() if k != "rows"}
 
-    def commit(self, new: dict[str, DataFrame], keep_tags: tuple[str, ...], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None) -> dict:
+    def commit(self, new: dict[str, DataFrame], keep_tags: tuple[str, ...], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None, note: dict | None = None) -> dict:
         """Publish a version of the kept tags' parts and new parts by tag.  validate gets the staged rows and may raise.
 
-        Counters, a name and an aggregate each, are taken in the same pass as the write.
+        Counters, a name and an aggregate each, are taken in the same pass as the write.  The note goes into the manifest.
         """
         m = self.manifest()
         parts, metrics = [p for p in m["parts"] if p["tag"] in keep_tags], {}
@@ -102,11 +102,11 @@ class SnapshotTable:
                     self.store.delete(f"{self.path}/{p['path']}")
                 raise
         metrics["rows"] = sum(p["rows"] for p in staged)
-        return self._publish(m | {"version": m["version"] + 1, "operation": operation, "parts": parts + staged, "metrics": metrics})
+        return self._publish(m | {"version": m["version"] + 1, "operation": operation, "parts": parts + staged, "metrics": metrics, "note": note})
 
-    def append(self, df: DataFrame, counters: dict | None = None) -> dict:
+    def append(self, df: DataFrame, counters: dict | None = None, note: dict | None = None) -> dict:
         tags = tuple({p["tag"] for p in self.manifest()["parts"]})
-        return self.commit({"rows": df}, tags, "append", counters)
+        return self.commit({"rows": df}, tags, "append", counters, note=note)
 
     def overwrite(self, df: DataFrame, operation: str = "overwrite", counters: dict | None = None, validate=None) -> dict:
         """Replace all rows; the schema stays."""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.frame import align
 from ..operators.tables import SnapshotTable
+from ..runtime.files import Store
 from ..sources import landing
 
 
@@ -27,22 +30,23 @@ def first_arrivals(envelopes: DataFrame, ts: str = "fetched_ts", delay: str = "1
 def ingest_stream(spark: SparkSession, root: str, name: str, table: SnapshotTable, checkpoint_root: str, batch_id: str = "unknown", ingest_ts: str | None = None, supported=landing.SUPPORTED_VERSIONS) -> dict[str, int]:
     """Append all new files to a bronze table in one or more micro-batches, then stop; returns row and rescue counts.
 
-    Files are remembered by the query's checkpoint.  A micro-batch is appended once: its number is in the manifest, and a
-    batch that is run again after a crash finds itself there.  An unsupported envelope version fails the query before
+    Files are remembered by the query's checkpoint.  A micro-batch is appended once: the manifest notes the checkpoint's own id
+    and the batch's number, and a batch that is run again after a crash finds itself there.  An unsupported envelope version fails the query before
     anything of its batch is written.
     """
-    totals = {"rows": 0, "rescued": 0}
+    totals, checkpoint, store = {"rows": 0, "rescued": 0}, landing.checkpoint_path(checkpoint_root, name), Store(spark)
 
     def write(batch: DataFrame, number: int) -> None:
         landing.require_versions(batch, supported)
-        if any(m["metrics"].get("micro_batch") == number + 1 for m in table.history()):
+        note = {"query": json.loads(store.read(f"{checkpoint}/metadata"))["id"], "batch": number}
+        if any(m.get("note") == note for m in table.history()):
             return
         rows = landing.PROJECTIONS[name](landing.with_metadata(batch, batch_id=batch_id, ingest_ts=ingest_ts))
-        m = table.append(rows, {"rescued": landing.rescued_rows(rows), "micro_batch": F.lit(number + 1).cast("long") * F.max(F.lit(1))})
+        m = table.append(rows, {"rescued": landing.rescued_rows(rows)}, note)
         for k in totals:
             totals[k] += m["metrics"][k]
 
-    query = read_stream(spark, root, name).writeStream.option("checkpointLocation", landing.checkpoint_path(checkpoint_root, name)).trigger(availableNow=True).foreachBatch(write).start()
+    query = read_stream(spark, root, name).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
     return totals
 

@@ -65,6 +65,22 @@ def test_second_run_reads_nothing_and_new_files_are_found(spark, tmp_path, inges
     assert [r.resource_id for r in rows] == ["a", "b", "c"] and rows[0].form_type == "10-K" and str(rows[0].logical_date) == DAY and rows[0]._source_file.endswith(".json")
 
 
+def test_a_batch_that_runs_again_is_not_written_twice(spark, tmp_path):
+    import os
+
+    root, t, ck = f"{tmp_path}/landing", bronze(spark, tmp_path, "filing_index"), f"{tmp_path}/ck"
+    land(root, "filing_index", [envelope("filing_index", "a", FILING)])
+    ingest_stream(spark, root, "filing_index", t, ck)
+    # As after a crash between the append and the query's own commit.
+    for f in os.listdir(folder := f"{landing.checkpoint_path(ck, 'filing_index')}/commits"):
+        os.remove(f"{folder}/{f}")
+    ingest_stream(spark, root, "filing_index", t, ck)
+    assert t.read().count() == 1
+    # A new checkpoint is a new query: its first batch is not taken for the old one's.
+    ingest_stream(spark, root, "filing_index", t, f"{tmp_path}/other")
+    assert t.read().count() == 2
+
+
 @pytest.mark.parametrize("ingest", [ingest_batch, ingest_stream])
 def test_unknown_version_fails_the_batch(spark, tmp_path, ingest):
     root, t = f"{tmp_path}/landing", bronze(spark, tmp_path, "filing_index")
