@@ -131,8 +131,10 @@ def keep_first(docs: DataFrame, radius: int = 2, key: str = "doc_id", text: str
     """
     found = near_duplicates(docs, radius, key, text, words)
     chosen = common.stored(found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("_n")))
-    kept = docs.join(chosen, key)
-    # Only keys that stand in more than one row need a sort.
-    place = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
-    once = kept.where("_n > 1").withColumn("_place", F.row_number().over(place)).where("_place = 1")
-    return kept.where("_n = 1").select(docs.columns).unionByName(once.select(docs.columns)).unionByName(docs.where(F.col(key).isNull()))
+    # One shuffle of docs whatever their number: the list of kept keys grows with them and is never broadcast.
+    kept = docs.join(chosen.hint("merge"), key)
+    # Only where a key stands in more than one row do rows need a sort; without one the join is all.
+    if not chosen.where("_n > 1").isEmpty():
+        place = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+        kept = kept.withColumn("_place", F.row_number().over(place)).where("_place = 1")
+    return kept.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
