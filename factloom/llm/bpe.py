@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable
 
 #: Entries after which a worker drops a cache and starts anew, which bounds memory and changes no result.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 300_000
 
 
 def load_tiktoken(path: str) -> dict[bytes, int]:
@@ -231,6 +231,11 @@ class Encoder:
         self.table.reset(b"")
         return self.kept
 
+    def forget(self) -> None:
+        """Drop what was kept, so that an idle worker holds little."""
+        self.kept = {}
+        self.rule.known = {}
+
     def encode_joined(self, texts: list[str]) -> list[bytes]:
         """Decimal ids of each text, joined by single spaces."""
         pieces = self.split(texts)
@@ -290,7 +295,7 @@ class CountTransducer:
 
     def count(self, data: bytes) -> int:
         """Tokens in the encoding of one piece."""
-        if len(self.states) > CACHE_ENTRIES // 2:
+        if len(self.states) > CACHE_ENTRIES:
             self.clear()
         moves, s, n = self.moves, 0, 0
         for byte in data:
@@ -322,6 +327,12 @@ class TokenCounter:
             out.append(text[at : found[0]])
             at, n = found[0] + len(found[2]), n + 1
 
+    def forget(self) -> None:
+        """Drop what was kept, so that an idle worker holds little."""
+        self.kept = {}
+        self.machine.clear()
+        self.machine.rule.known = {}
+
     def counts(self, texts: list[str]) -> list[int]:
         cut = [self.parts(t) for t in texts]
         pieces = self.split([p for parts, _ in cut for p in parts])

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Code points that one in-memory slice of texts may hold (a single longer text is a slice of its own).
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 #: Rows of texts that a Python worker holds at once, and Spark's setting for it.
 MAX_BATCH_ROWS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -45,6 +45,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, key: str =
                     [keys.slice(a, b - a), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                     names=[key, "n_bytes", "n_tokens", "over_limit"],
                 )
+        counter.forget()
 
     return rows.mapInArrow(run, f"`{key}` {kind.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
 
@@ -73,6 +74,7 @@ def encode(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
                 else:
                     out = [pa.array([[int(i) for i in j.split()] for j in joined], pa.list_(pa.int32())), pa.array([encoder.decode_joined(j) for j in joined], pa.binary())]
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), counts, *out], names=[key, "n_tokens", *names])
+        encoder.forget()
 
     names, kinds = (("ids_sha256", "decoded_sha256"), ("string", "string")) if digest else (("ids", "decoded"), ("array<int>", "binary"))
     return rows.mapInArrow(run, f"`{key}` {kind.simpleString()}, n_tokens long, {names[0]} {kinds[0]}, {names[1]} {kinds[1]}")

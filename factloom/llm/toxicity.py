@@ -39,7 +39,7 @@ STOPS = frozenset(".!?;\n")
 PREFIXES = (4, 5, 6)
 LABELLED_ROWS = 20_000
 LEXICON_ENTRIES = 4_000
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 
 
 class Transducer:
