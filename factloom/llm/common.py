@@ -16,6 +16,10 @@ SLICE_CHARS = 500_000
 MAX_BATCH_ROWS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+#: Tables that stored() has written.
+_stored: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,10 +62,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """As checkpointed(), as a compressed Parquet table in the shared folder."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/factloom-{uuid.uuid4().hex}"
+    _stored.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession) -> int:
+    """Delete the tables that stored() has written in this process, once their readers are done; returns how many."""
+    n = len(_stored)
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_CHARS):
     """Yield (from row, to row, texts) so that each slice holds few code points; a null text is empty."""
     texts, first, size = [], 0, 0

@@ -216,6 +216,16 @@ def test_pipeline(spark):
     assert sorted(map(tuple, whole.to_numpy())) == sorted(map(tuple, out.to_numpy()))
 
 
+def test_stored_tables_can_be_dropped(spark):
+    import os
+
+    from factloom.llm import common
+
+    common.drop_stored(spark)
+    (path,) = {os.path.dirname(f.removeprefix("file://")) for f in common.stored(spark.range(3)).inputFiles()}
+    assert os.path.isdir(path) and common.drop_stored(spark) == 1 and not os.path.isdir(path)
+
+
 def test_pipeline_of_nothing(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     now = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
