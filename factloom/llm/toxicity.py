@@ -27,7 +27,8 @@ REPORTS = "said says say saying told wrote writes claimed claims quoted reported
 THREATS = "kill murder hurt destroy stab shoot beat strangle".split()
 #: Weight of a threat that names a target.
 THREAT_WEIGHT = 4.0
-#: Factors of a negated, a reported and a targeted insult; a threat without a target weighs nothing.
+#: Factors of a negated, a reported and a targeted insult, the report or target before or after it in its clause; a threat
+#: without a target before it weighs nothing.
 NEGATED, REPORTED, TARGETED = 0.3, 0.5, 1.5
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -43,13 +44,13 @@ CACHE_ENTRIES = 100_000
 
 
 class Transducer:
-    """Deterministic: (state, symbol) to (state, symbol, factor); an arc not given keeps state and symbol, factor one."""
+    """Deterministic: (state, symbol) to (state, symbol, factor, factor of what came before); an arc not given keeps state and symbol, factors one."""
 
     def __init__(self, arcs: dict):
         self.arcs = arcs
 
     def step(self, state, symbol):
-        return self.arcs.get((state, symbol), (state, symbol, 1.0))
+        return self.arcs.get((state, symbol), (state, symbol, 1.0, 1.0))
 
 
 def compose(first: Transducer, second: Transducer, symbols, start=(0, 0)) -> tuple[Transducer, tuple]:
@@ -58,9 +59,9 @@ def compose(first: Transducer, second: Transducer, symbols, start=(0, 0)) -> tup
     while todo:
         state = todo.pop()
         for symbol in symbols:
-            a, out, f = first.step(state[0], symbol)
-            b, out, g = second.step(state[1], out)
-            arcs[state, symbol] = ((a, b), out, f * g)
+            a, out, f, before = first.step(state[0], symbol)
+            b, out, g, more = second.step(state[1], out)
+            arcs[state, symbol] = ((a, b), out, f * g, before * more)
             if (a, b) not in seen:
                 seen.add((a, b))
                 todo.append((a, b))
@@ -70,14 +71,15 @@ def compose(first: Transducer, second: Transducer, symbols, start=(0, 0)) -> tup
 def grammar() -> tuple[dict, tuple]:
     """Composed machine over one clause: (state, symbol) to (state, factor for a hit, factor for the clause so far)."""
     symbols = range(6)
-    negation = Transducer({(k, s): (SCOPE if s == NEGATION else max(k - 1, 0), s, NEGATED if s in (INSULT, THREAT) and k else 1.0) for k in range(SCOPE + 1) for s in symbols})
-    report = Transducer({(k, s): (1 if s == REPORT else k, s, REPORTED if s in (INSULT, THREAT) and k else 1.0) for k in (0, 1) for s in symbols})
-    target = Transducer({(k, s): (1 if s == TARGET else k, s, (TARGETED if s == INSULT else 1.0) if k else (0.0 if s == THREAT else 1.0)) for k in (0, 1) for s in symbols})
-    score = Transducer({(0, s): (0, s if s in (INSULT, THREAT) else OTHER, 1.0 if s in (INSULT, THREAT) else 0.0) for s in symbols})
+    negation = Transducer({(k, s): (SCOPE if s == NEGATION else max(k - 1, 0), s, NEGATED if s in (INSULT, THREAT) and k else 1.0, 1.0) for k in range(SCOPE + 1) for s in symbols})
+    # The first report or target of a clause also weighs the insults before it.
+    report = Transducer({(k, s): (1 if s == REPORT else k, s, REPORTED if s in (INSULT, THREAT) and k else 1.0, REPORTED if s == REPORT and not k else 1.0) for k in (0, 1) for s in symbols})
+    target = Transducer({(k, s): (1 if s == TARGET else k, s, (TARGETED if s == INSULT else 1.0) if k else (0.0 if s == THREAT else 1.0), TARGETED if s == TARGET and not k else 1.0) for k in (0, 1) for s in symbols})
+    score = Transducer({(0, s): (0, s if s in (INSULT, THREAT) else OTHER, 1.0 if s in (INSULT, THREAT) else 0.0, 1.0) for s in symbols})
     machine, start = compose(negation, report, symbols)
     for other in (target, score):
         machine, start = compose(machine, other, symbols, (start, 0))
-    return {k: (to, factor) for k, (to, _, factor) in machine.arcs.items()}, start
+    return {k: (to, factor, before) for k, (to, _, factor, before) in machine.arcs.items()}, start
 
 
 class Lexicon(dict):
@@ -115,8 +117,8 @@ class Scorer:
             state, total, k = self.start, 0.0, a
             while k < len(tokens) and tokens[k] not in STOPS:
                 symbol, weight = marks[k] or (OTHER, 0.0)
-                state, factor = self.arcs[state, symbol]
-                total += factor * weight
+                state, factor, before = self.arcs[state, symbol]
+                total = total * before + factor * weight
                 k += 1
             done = k
             if total > 0:

@@ -159,6 +159,17 @@ def test_grammar_weighs_context():
     assert len(s.clauses("clod clod. clod! x\nclod")) == 3 and s.clauses("") == []
 
 
+def test_grammar_weighs_insults_by_what_comes_after():
+    s = toxicity.Scorer({"=clod": 2.0})
+    assert s.clauses("a clod, she said") == [pytest.approx(2.0 * toxicity.TARGETED * toxicity.REPORTED)]
+    assert s.clauses("clod that you are") == [pytest.approx(2.0 * toxicity.TARGETED)]
+    assert s.clauses("a clod, it was said and said again") == [pytest.approx(2.0 * toxicity.REPORTED)]
+    assert s.clauses("not a clod, you clod") == [pytest.approx(2.0 * toxicity.TARGETED * (1 + toxicity.NEGATED))]
+    # A threat before the first target weighs nothing, whatever insult stands by it; another clause's words do not count.
+    assert s.clauses("kill a clod, you") == [pytest.approx(2.0 * toxicity.TARGETED)]
+    assert s.clauses("a clod. she said") == [pytest.approx(2.0)]
+
+
 def test_toxicity_learns_and_handles_edges(spark, docs):
     rng = random.Random(8)
     words = ["".join(rng.choices("aeioustrn", k=5)) for _ in range(200)]
