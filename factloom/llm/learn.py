@@ -32,8 +32,8 @@ def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return sigmoid(x @ w[:-1] + w[-1])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int, keep=None, key: str = "doc_id") -> DataFrame:
-    """(key, text, y) of at most `limit` labelled rows, chosen by a hash of their key.  y is the label (0 or 1).
+def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int, keep=None, key: str = "doc_id", *more) -> DataFrame:
+    """(key, text, y), and further columns of docs, of at most `limit` labelled rows, chosen by a hash of their key.  y is the label (0 or 1).
 
     Only the bounded list of keys is broadcast.  Rows with a null key or label are not used; of contradicting labels
     for one key the larger holds.
@@ -42,4 +42,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int, keep=No
     if keep is not None:
         rows = rows.where(keep)
     few = rows.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("key"), "key").limit(limit)
-    return docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "key")
+    return docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), *more).join(F.broadcast(few), "key")

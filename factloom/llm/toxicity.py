@@ -20,11 +20,33 @@ from pyspark.sql import functions as F
 
 from . import common, learn
 
-# The words of the grammar that are not learned.
-TARGETS = "you your yours yourself he she they them him her people folks".split()
-NEGATIONS = "not no never neither nor without isn't aren't don't doesn't wasn't won't cannot can't".split()
-REPORTS = "said says say saying told wrote writes claimed claims quoted reported called alleged stated".split()
-THREATS = "kill murder hurt destroy stab shoot beat strangle".split()
+# The words of the grammar that are not learned, by language.  Pronouns that are articles in the same
+# language (die, le, la) are left out.  A word's part before or after an apostrophe counts where the whole is not listed.
+TARGETS = {
+    "en": "you your yours yourself yourselves he she they them him her his hers their theirs people folks",
+    "de": "du dich dir dein deine deiner deinem deinen deines euch euer eure eurer eurem euren er sie ihn ihm ihr ihnen ihre ihrer ihrem ihren leute menschen",
+    "fr": "tu te t' toi ton ta tes tien tienne vous votre vos vôtre il ils elle elles lui leur leurs eux gens",
+    "es": "tú tu tus te ti contigo tuyo tuya tuyos tuyas usted ustedes vosotros vosotras vuestro vuestra vuestros vuestras él ella ellos ellas su sus suyo suya gente",
+}
+NEGATIONS = {
+    "en": "not no never neither nor without isn't aren't don't doesn't didn't wasn't weren't won't wouldn't cannot can't couldn't shouldn't hasn't haven't hadn't ain't",
+    "de": "nicht nie niemals kein keine keiner keinem keinen keines ohne weder nein",
+    "fr": "ne n' pas jamais ni non sans aucun aucune nullement",
+    "es": "no nunca jamás ni sin tampoco ningún ninguno ninguna",
+}
+REPORTS = {
+    "en": "said says say saying told tells wrote writes written claimed claims quoted quotes reported reports called calls alleged alleges stated states",
+    "de": "sagte sagten sagt sagen gesagt schrieb schrieben schreibt geschrieben erzählte erzählt behauptete behauptet berichtete berichtet nannte nennt genannt zitierte zitiert erklärte erklärt meinte",
+    "fr": "dit dite dits disait disaient dire disent écrit écrivit écrivait raconté raconte raconta affirmé affirme affirma déclaré déclare déclara rapporté rapporte rapporta prétendu prétend cité cite appelé appelle",
+    "es": "dijo dijeron dice dicen decía decían dicho decir escribió escribe escribieron escrito contó cuenta afirmó afirma afirmado declaró declara declarado informó informa alegó alega citó cita citado llamó llama llamado",
+}
+THREATS = {
+    "en": "kill kills killed killing murder murders murdered murdering hurt hurts hurting destroy destroys destroyed destroying stab stabs stabbed stabbing shoot shoots shot shooting beat beats beaten beating strangle strangles strangled strangling",
+    "de": "töten töte tötet tötest tötete getötet umbringen umbringe umbringt umgebracht umzubringen ermorden ermorde ermordet ermordete verletzen verletze verletzt verletzte zerstören zerstöre zerstört zerstörte vernichten vernichte vernichtet erstechen ersteche ersticht erstach erstochen erschießen erschieße erschießt erschoss erschossen schlagen schlage schlägt schlug geschlagen verprügeln verprügle verprügelt erwürgen erwürge erwürgt erwürgte",
+    "fr": "tuer tue tues tuent tuerai tuera tuerons tueront tuais tuait tué tuée tués tuées assassiner assassine assassinerai assassinera assassiné blesser blesse blesserai blessera blessé détruire détruis détruit détruirai détruira poignarder poignarde poignarderai poignardera poignardé abattre abats abat abattrai abattra abattu frapper frappe frapperai frappera frappé étrangler étrangle étranglerai étranglera étranglé",
+    "es": "matar mato mata matas matan maté mató mataré matará mataremos matarán matado matando asesinar asesino asesina asesinaré asesinará asesinó asesinado herir hiero hiere heriré herirá hirió herido destruir destruyo destruye destruiré destruirá destruyó destruido apuñalar apuñalo apuñala apuñalaré apuñalará apuñaló apuñalado disparar disparo dispara dispararé disparará disparó disparado golpear golpeo golpea golpearé golpeará golpeó golpeado estrangular estrangulo estrangula estrangularé estrangulará estranguló estrangulado",
+}
+LANGUAGES = tuple(TARGETS)
 #: Weight of a threat that names a target.
 THREAT_WEIGHT = 4.0
 #: Factors of a negated, a reported and a targeted insult, the report or target before or after it in its clause; a threat
@@ -83,29 +105,50 @@ def grammar() -> tuple[dict, tuple]:
 
 
 class Lexicon(dict):
-    """Word to (symbol, weight); words not seen before are looked up once by themselves and their beginnings."""
+    """Word to (symbol, weight); words not seen before are looked up once by themselves and their beginnings.
 
-    def __init__(self, learned: dict[str, float]):
+    The grammar's words are those of one language, or of all where it is none of LANGUAGES.
+    """
+
+    def __init__(self, learned: dict[str, float], language: str | None = None):
         super().__init__()
         self.learned = learned
-        self.fixed = {w: (s, THREAT_WEIGHT) for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in ws}
+        names = (language,) if language in LANGUAGES else LANGUAGES
+        self.fixed = {w: (s, THREAT_WEIGHT) for s, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for n in names for w in words[n].split()}
+
+    def listed(self, word: str):
+        word = word.replace("’", "'")
+        got = self.fixed.get(word)
+        if got is None and "'" in word:
+            head, tail = word.split("'", 1)
+            got = self.fixed.get(head + "'") or self.fixed.get(tail) or self.fixed.get(head)
+        return got
 
     def __missing__(self, word: str):
         if len(self) > CACHE_ENTRIES:
             self.clear()
         weight = max([self.learned.get("=" + word, 0.0), *(self.learned.get(word[:k], 0.0) for k in PREFIXES if len(word) >= k)])
-        got = self[word] = (INSULT, weight) if weight > 0 else self.fixed.get(word)
+        got = self[word] = (INSULT, weight) if weight > 0 else self.listed(word)
         return got
 
 
 class Scorer:
     def __init__(self, learned: dict[str, float]):
-        self.lexicon, (self.arcs, self.start) = Lexicon(learned), grammar()
-
-    def clauses(self, text: str) -> list[float]:
+        self.learned, (self.arcs, self.start) = learned, grammar()
+        self.lexicons: dict[str | None, Lexicon] = {}
+
+    def lexicon(self, lang: str | None) -> Lexicon:
+        """That of a language tag's first part; None and other languages share one."""
+        name = re.split("[-_]", lang.lower())[0] if isinstance(lang, str) else None
+        name = name if name in LANGUAGES else None
+        if name not in self.lexicons:
+            self.lexicons[name] = Lexicon(self.learned, name)
+        return self.lexicons[name]
+
+    def clauses(self, text: str, lang: str | None = None) -> list[float]:
         """Scores of the text's clauses that match."""
         tokens = TOKEN.findall(text.lower())
-        marks = list(map(self.lexicon.__getitem__, tokens))
+        marks = list(map(self.lexicon(lang).__getitem__, tokens))
         hits = [k for k, m in enumerate(marks) if m is not None and m[0] in (INSULT, THREAT)]
         out, done = [], 0
         for hit in hits:
@@ -125,11 +168,15 @@ class Scorer:
                 out.append(total)
         return out
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        c = self.clauses(text)
+    def features(self, text: str, lang: str | None = None) -> tuple[float, float, float]:
+        c = self.clauses(text, lang)
         return (float(np.log1p(sum(c))), float(np.log1p(max(c, default=0.0))), float(np.log1p(len(c))))
 
 
+def _lang(docs: DataFrame):
+    return (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang")
+
+
 def word_counts(sample: DataFrame) -> DataFrame:
     """(feature, t0, n0, t1, n1): documents of either half, toxic and not, that hold the word (=word) or word beginning."""
 
@@ -168,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, entries:
     """Learned lexicon and curve.  At most `rows` labelled rows are used and at most `entries` lexicon entries are kept."""
     common.ship(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(2)).cast("int")
-    sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key).withColumn("half", half))
+    sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key, _lang(docs)).withColumn("half", half))
     sizes = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count("*").alias("n")).collect()}
     n = lambda h, y: sizes.get((h, y), 0)
     toxic, other = n(0, 1) + n(1, 1), n(0, 0) + n(1, 0)
@@ -183,10 +230,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, entries:
     def run(batches):
         scorers = [Scorer(w) for w in unseen]
         for batch in batches:
-            x = [scorers[h].features(t) for t, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            x = [scorers[h].features(t, g) for t, h, g in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)))]
             yield pa.RecordBatch.from_arrays([batch.column(2), *(pa.array([r[k] for r in x], pa.float64()) for k in range(3))], names=["y", "a", "b", "c"])
 
-    x = sample.select("text", "half", "y").mapInArrow(run, "y int, a double, b double, c double").toPandas()
+    x = sample.select("text", "half", "y", "lang").mapInArrow(run, "y int, a double, b double, c double").toPandas()
     curve = learn.logistic(x[["a", "b", "c"]].to_numpy(), x["y"].to_numpy(np.float64), l2=0.1)
     return table(surely_higher(c["t0"] + c["t1"], c["n0"] + c["n1"], toxic, other)), curve
 
@@ -205,11 +252,11 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], key: str
         scorer = Scorer(lexicon)
         for batch in batches:
             for a, b, texts in common.text_slices(batch):
-                x = np.array([scorer.features(t) for t in texts])
+                x = np.array([scorer.features(t, g) for t, g in zip(texts, batch.column(2).slice(a, b - a).to_pylist())])
                 p = learn.predict(x, curve)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(np.rint(np.expm1(x[:, 2])).astype(np.int32))], names=["key", "score", "predicted", "n_clauses"])
 
-    return docs.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, score double, predicted int, n_clauses int").withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), "text", _lang(docs)).mapInArrow(run, f"key {kind}, score double, predicted int, n_clauses int").withColumnRenamed("key", key)
 
 
 def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFrame:
@@ -218,11 +265,11 @@ def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFra
     lexicon, curve = model
 
     @F.pandas_udf("boolean")
-    def clean(text: pd.Series) -> pd.Series:
+    def clean(text: pd.Series, lang: pd.Series) -> pd.Series:
         scorer = Scorer(lexicon)
-        return pd.Series(learn.predict(np.array([scorer.features(t or "") for t in text]).reshape(-1, 3), curve) < 0.5)
+        return pd.Series(learn.predict(np.array([scorer.features(t or "", g) for t, g in zip(text, lang)]).reshape(-1, 3), curve) < 0.5)
 
-    return docs.where(clean("text"))
+    return docs.where(clean("text", _lang(docs)))
 
 
 def held_out(key: str = "doc_id"):

@@ -170,6 +170,34 @@ def test_grammar_weighs_insults_by_what_comes_after():
     assert s.clauses("a clod. she said") == [pytest.approx(2.0)]
 
 
+@pytest.mark.parametrize(
+    "lang, aimed, denied, quoted, threat, elsewhere",
+    [
+        ("en", "you're a clod", "it didn’t clod", "so it was written a clod", "he was killed", "du clod"),
+        ("de", "du clod", "das ist kein clod", "so wurde berichtet clod", "ich werde dich töten", "you clod"),
+        ("fr", "qu'il est clod", "n'est clod", "on raconte clod", "je t'assure je te tuerai", "they clod"),
+        ("es", "eres tú clod", "nunca clod", "lo dijeron clod", "te mataré", "they clod"),
+    ],
+)
+def test_grammar_in_each_language(lang, aimed, denied, quoted, threat, elsewhere):
+    s = toxicity.Scorer({"=clod": 2.0})
+    for tag in (lang, lang.upper() + "-XX", None):
+        assert s.clauses(aimed, tag) == [pytest.approx(2.0 * toxicity.TARGETED)]
+        assert s.clauses(denied, tag) == [pytest.approx(2.0 * toxicity.NEGATED)]
+        assert s.clauses(quoted, tag) == [pytest.approx(2.0 * toxicity.REPORTED)]
+        assert s.clauses(threat, tag) == [pytest.approx(toxicity.THREAT_WEIGHT)]
+    # Another language's words do not act, so 'du' is no target in French.
+    assert s.clauses(elsewhere, lang) == [pytest.approx(2.0)] and s.clauses("du clod", "fr") == [pytest.approx(2.0)]
+
+
+def test_toxicity_takes_the_language_of_each_row(spark):
+    rows = [(1, "te mataré. te mataré", "es"), (2, "te mataré. te mataré", "en"), (3, "te mataré. te mataré", None)]
+    docs, model = spark.createDataFrame(rows, "doc_id long, text string, lang string"), ({}, np.array([9.0, 9.0, 9.0, -3.0]))
+    assert {r.doc_id: (r.predicted, r.n_clauses) for r in toxicity.score(docs, model).collect()} == {1: (1, 2), 2: (0, 0), 3: (1, 2)}
+    assert [r.doc_id for r in toxicity.keep(docs, model).collect()] == [2]
+    assert toxicity.keep(docs.drop("lang"), model).count() == 0 and toxicity.score(docs.drop("lang"), model).count() == 3
+
+
 def test_toxicity_learns_and_handles_edges(spark, docs):
     rng = random.Random(8)
     words = ["".join(rng.choices("aeioustrn", k=5)) for _ in range(200)]
