@@ -2,7 +2,8 @@
 
 One view is what the text is made of, the other what surrounds it: language, source and size of the page.  Each view has a
 logistic classifier.  In every round each names the unlabelled documents that it is surest of, in the classes' own
-proportion, as labels for the other.  At the end each view is calibrated on documents kept out of its training, and a
+proportion, as labels for the other.  All unlabelled documents take part: which of them have got a label follows from the
+rounds' models and cuts, so no state is kept for a document, and tasks send sums of gradients and Hessians.  At the end each view is calibrated on documents kept out of its training, and a
 logistic blend of the two calibrated views scores all documents.
 """
 
@@ -18,9 +19,13 @@ from pyspark.sql import functions as F
 
 from . import common, learn
 
-#: Labelled documents, and unlabelled ones that may get pseudo-labels, used for the fit.
-LABELLED_ROWS, POOL_ROWS = 4_000, 4_000
+#: Labelled documents used for the fit; unlabelled ones all are.
+LABELLED_ROWS = 4_000
 ROUNDS, CONFIDENT = 4, 0.95
+#: A pseudo-label weighs a quarter of a label.
+PSEUDO_WEIGHT = 0.25
+#: Bins of a log odds unit, in which confident documents are ranked; parts in which sums travel.
+BINS, PARTS = 1_024, 16
 METADATA = ("lang", "source", "n_chars")
 #: Byte classes: blank, line end, lower, upper, digit, then each mark that junk is made of, other marks, other bytes.
 MARKS = b"!#$%&*|<>="
@@ -73,34 +78,168 @@ def page_view(lang, source, n_chars, text: str) -> np.ndarray:
     return out
 
 
-def fit_views(content: np.ndarray, page: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict:
-    """Both classifiers, their calibrations and the blend.  y is 1, 0, or -1 where there is no label."""
+def _odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.clip(x.astype(np.float64) @ w[:-1] + w[-1], -40, 40)
+
+
+def _bins(z: np.ndarray) -> np.ndarray:
+    return np.floor(z * BINS).astype(np.int64)
+
+
+def pseudo_labels(views: dict, chance: np.ndarray, history: list) -> dict:
+    """Label of each row for either view, -1 where there is none, after the rounds of the history.
+
+    A round gives for the view that learns: the other one, its model, and for labels 1 and 0 the bin from which on rows
+    are taken, with the share of that bin's own rows.
+    """
+    labels = {v: np.full(len(chance), -1) for v in views}
+    for turn in history:
+        for learner, (v, w, cuts) in turn.items():
+            z, free = _odds(views[v], w), labels[learner] < 0
+            for label, sign in ((1, 1), (0, -1)):
+                q, (at, part) = _bins(sign * z), cuts[label]
+                labels[learner][free & ((q > at) | ((q == at) & (chance < part)))] = label
+    return labels
+
+
+def confident_counts(views: dict, chance: np.ndarray, history: list, models: dict, confident: float) -> dict:
+    """(learning view, label, bin): number of rows without a label for that view of which the other one is sure."""
+    least = int(np.ceil(_logit(np.float64(confident)) * BINS))
+    labels, out = pseudo_labels(views, chance, history), {}
+    for v, learner in (("content", "page"), ("page", "content")):
+        z = _odds(views[v], models[v])[labels[learner] < 0]
+        for label, sign in ((1, 1), (0, -1)):
+            q, n = np.unique(_bins(sign * z), return_counts=True)
+            out |= {(learner, label, int(a)): int(b) for a, b in zip(q, n) if a >= least}
+    return out
+
+
+def newton_sums(views: dict, chance: np.ndarray, history: list, models: dict) -> np.ndarray:
+    """Gradient and Hessian of the pseudo-labelled rows' loss for each view in models, one after the other."""
+    labels, out = pseudo_labels(views, chance, history), []
+    for v, w in models.items():
+        on = labels[v] >= 0
+        x = np.hstack([views[v][on].astype(np.float32), np.ones((int(on.sum()), 1), np.float32)])
+        p = learn.sigmoid(x.astype(np.float64) @ w)
+        half = x * np.sqrt(p * (1 - p)).astype(np.float32)[:, None]
+        out += [x.T.astype(np.float64) @ (p - labels[v][on]), (half.T @ half).astype(np.float64).ravel()]
+    return np.concatenate(out)
+
+
+class Rows:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, views: dict, chance: np.ndarray):
+        self.views, self.chance, self.size = views, chance, len(chance)
+
+    def counts(self, *args) -> dict:
+        return confident_counts(self.views, self.chance, *args)
+
+    def sums(self, *args) -> np.ndarray:
+        return newton_sums(self.views, self.chance, *args)
+
+
+class Table:
+    """Unlabelled rows (chance, x) of a table: the same figures, of which the driver gets the totals."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.size = table, table.count()
+
+    def counts(self, *args) -> dict:
+        def run(batches):
+            total: dict = {}
+            for batch in batches:
+                for k, n in confident_counts(*_unpacked(batch), *args).items():
+                    total[k] = total.get(k, 0) + n
+            columns = list(zip(*((*k, n) for k, n in total.items()))) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))], names=["learner", "label", "bin", "n"])
+
+        got = self.table.mapInArrow(run, "learner string, label int, bin long, n long").groupBy("learner", "label", "bin").agg(F.sum("n").alias("n")).collect()
+        return {(r["learner"], r["label"], r["bin"]): r["n"] for r in got}
+
+    def sums(self, *args) -> np.ndarray:
+        def run(batches):
+            total = None
+            for batch in batches:
+                if batch.num_rows:
+                    s = newton_sums(*_unpacked(batch), *args)
+                    total = s if total is None else total + s
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([s.tobytes() for s in np.array_split(total, PARTS)], pa.binary())], names=["part", "s"])
+
+        def add(rows: pa.Table) -> pa.Table:
+            s = sum(np.frombuffer(b, np.float64) for b in rows["s"].to_pylist())
+            return pa.table({"part": rows["part"][:1], "s": pa.array([s.tobytes()], pa.binary())})
+
+        got = self.table.mapInArrow(run, "part int, s binary").groupBy("part").applyInArrow(add, "part int, s binary").collect()
+        return np.concatenate([np.frombuffer(r["s"], np.float64) for r in sorted(got, key=lambda r: r["part"])])
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[dict, np.ndarray]:
+    x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float16).reshape(batch.num_rows, N_CONTENT + N_META).astype(np.float32)
+    return {"content": x[:, :N_CONTENT], "page": x[:, N_CONTENT:]}, batch.column(0).to_numpy()
+
+
+def _cuts(counts: dict, learner: str, quota: dict) -> dict:
+    """For labels 1 and 0: the bin that the surest `quota` rows reach down to, and the share of its rows that they take."""
+    out = {}
+    for label, left in quota.items():
+        found = sorted(((at, n) for (v, k, at), n in counts.items() if (v, k) == (learner, label)), reverse=True)
+        out[label] = (1 << 40, 0.0)
+        for at, n in found:
+            out[label] = (at, min(1.0, left / n))
+            left -= n
+            if left <= 0:
+                break
+    return out
+
+
+def _fit_models(views: dict, y: np.ndarray, pool, history: list, start: dict, l2: float = 1.0, steps: int = 25) -> dict:
+    """Both ridge logistic classifiers over labelled rows and the pool's pseudo-labelled ones, by Newton's method."""
+    models, active = {v: w.copy() for v, w in start.items()}, list(views)
+    x = {v: np.hstack([a, np.ones((len(a), 1))]) for v, a in views.items()}
+    for _ in range(steps):
+        now = {v: models[v] for v in active}
+        more, at = pool.sums(history, now), 0
+        for v, w in now.items():
+            k = len(w)
+            g, h = more[at : at + k], more[at + k : at + k + k * k].reshape(k, k)
+            at += k + k * k
+            ridge = np.full(k, l2)
+            ridge[-1] = 1e-3
+            p = learn.sigmoid(x[v] @ w)
+            g = PSEUDO_WEIGHT * g + x[v].T @ (p - y) + ridge * w
+            h = PSEUDO_WEIGHT * h + (x[v] * (p * (1 - p))[:, None]).T @ x[v] + np.diag(ridge + 1e-9)
+            move = np.linalg.solve(h, g)
+            models[v] = w - move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
+            if np.abs(move).max() < 1e-3:
+                active.remove(v)
+        if not active:
+            break
+    return models
+
+
+def fit_views(content: np.ndarray, page: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, confident: float = CONFIDENT, pool=None) -> dict:
+    """Both classifiers, their calibrations and the blend.  y is 1, 0, or -1 where there is no label; `pool` has further rows without one."""
     views = {"content": content.astype(np.float64), "page": page.astype(np.float64)}
     known = np.flatnonzero(y >= 0)
     if len(known) == 0 or len(np.unique(y[known])) < 2:
         # One class or none: nothing is rejected.
         return {"content": np.zeros(content.shape[1] + 1), "page": np.zeros(page.shape[1] + 1), "curve": {"content": np.array([0.0, 5.0]), "page": np.array([0.0, 5.0])}, "blend": np.array([1.0, 0.0, 0.0])}
+    if pool is None:
+        free = np.flatnonzero(y < 0)
+        pool = Rows({v: x[free] for v, x in views.items()}, (np.arange(len(free)) + 0.5) / max(len(free), 1))
     # Every fourth labelled row is for calibration.
     kept_out = known[::4]
     train = np.setdiff1d(known, kept_out) if len(np.unique(y[np.setdiff1d(known, kept_out)])) == 2 else known
-    labels = {v: np.where(np.isin(np.arange(len(y)), train), y, -1) for v in views}
-    pool = np.flatnonzero(y < 0)
-    share = y[train].mean()
-    models = {}
-    for step in range(rounds + 1):
-        for v, x in views.items():
-            on = labels[v] >= 0
-            # A pseudo-label weighs a quarter of a label.
-            models[v] = learn.logistic(x[on], labels[v][on].astype(np.float64), l2=1.0, weight=np.where(y[on] >= 0, 1.0, 0.25))
-        if step == rounds:
-            break
-        for v, other in (("content", "page"), ("page", "content")):
-            free = pool[labels[other][pool] < 0]
-            p = learn.predict(views[v][free], models[v])
-            quota = len(pool) / rounds
-            for label, sure, part in ((1, p, share), (0, 1 - p, 1 - share)):
-                best = np.argsort(-sure, kind="stable")[: int(quota * part) + 1]
-                labels[other][free[best[sure[best] >= confident]]] = label
+    seen, truth = {v: x[train] for v, x in views.items()}, y[train].astype(np.float64)
+    share = truth.mean()
+    quota = {label: int(pool.size / rounds * part) + 1 for label, part in ((1, share), (0, 1 - share))}
+    models, history = {v: learn.logistic(x, truth) for v, x in seen.items()}, []
+    for _ in range(rounds if pool.size else 0):
+        counts = pool.counts(history, models, confident)
+        history.append({learner: (v, models[v], _cuts(counts, learner, quota)) for v, learner in (("content", "page"), ("page", "content"))})
+        models = _fit_models(seen, truth, pool, history, models)
     z = {v: _logit(learn.predict(x[kept_out], models[v])) for v, x in views.items()}
     truth = y[kept_out].astype(np.float64)
     curve = {v: learn.logistic(s[:, None], truth, l2=0.01) for v, s in z.items()}
@@ -129,24 +268,29 @@ def _views(batch: pa.RecordBatch, a: int, b: int, texts: list[str]) -> tuple[np.
     return np.array([content_view(t) for t in texts]), np.array([page_view(*m) for m in meta])
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, pool: int = POOL_ROWS, key: str = "doc_id") -> dict:
-    """Model from at most `rows` labelled and `pool` unlabelled documents, both chosen by a hash of their key."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, key: str = "doc_id") -> dict:
+    """Model from at most `rows` labelled documents, chosen by a hash of their key, and all rows whose key has no label."""
     common.ship(docs.sparkSession)
     quality = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max("quality").cast("int").alias("y"))
-    few = quality.orderBy(F.xxhash64("key"), "key").limit(rows)
-    keys = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct().join(labels.select(F.col(key).alias("key")), "key", "left_anti")
-    unlabelled = keys.orderBy(F.xxhash64("key"), "key").limit(pool).select("key", F.lit(-1).alias("y"))
-    chosen = common.checkpointed(few.unionByName(unlabelled))
+    few = common.checkpointed(quality.orderBy(F.xxhash64("key"), "key").limit(rows))
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
+            rest = [batch.column(k) for k in range(batch.num_columns) if batch.schema.names[k] in ("key", "y")]
             for a, b, texts in common.text_slices(batch):
-                content, page = _views(batch, a, b, texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.string()), batch.column(batch.schema.get_field_index("y")).slice(a, b - a), pa.array([np.concatenate(r).astype(np.float16).tobytes() for r in zip(content, page)], pa.binary())], names=["key", "y", "x"])
+                x = [np.concatenate(r).astype(np.float16).tobytes() for r in zip(*_views(batch, a, b, texts))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in rest), pa.array(x, pa.binary())], names=[*("key", "y")[: len(rest)], "x"])
 
-    found = _rows(docs, key).join(F.broadcast(chosen), "key").mapInArrow(run, "key string, y int, x binary").toPandas().sort_values(["key", "x"])
+    found = _rows(docs, key).join(F.broadcast(few), "key").mapInArrow(run, f"key {kind}, y int, x binary").withColumn("key", F.col("key").cast("string")).toPandas().sort_values(["key", "x"])
     x = np.frombuffer(b"".join(found["x"]), np.float16).reshape(len(found), N_CONTENT + N_META).astype(np.float32)
-    return fit_views(x[:, :N_CONTENT], x[:, N_CONTENT:], found["y"].to_numpy())
+    y = found["y"].to_numpy()
+    if len(np.unique(y)) < 2:
+        return fit_views(x[:, :N_CONTENT], x[:, N_CONTENT:], y)
+    chance = F.pmod(F.xxhash64(F.lit(6), "key", "x"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    free = _rows(docs, key).mapInArrow(run, f"key {kind}, x binary").join(labels.select(F.col(key).alias("key")), "key", "left_anti")
+    pool = Table(common.stored(free.select(chance.alias("chance"), "x")))
+    return fit_views(x[:, :N_CONTENT], x[:, N_CONTENT:], y, pool=pool)
 
 
 def classify(docs: DataFrame, model: dict, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:

@@ -167,6 +167,39 @@ def test_cotraining_views_share_labels():
     assert ((score >= 0.5) == y).mean() > 0.93 and ((a >= 0.5) == y).mean() > 0.85 and ((b >= 0.5) == y).mean() > 0.75
 
 
+def test_cotraining_uses_all_unlabelled_rows(spark, monkeypatch):
+    docs, labels = corpus(spark, 4_600)
+    few = labels.where("doc_id < 400")
+    seen = []
+    table = cotrain.Table
+    monkeypatch.setattr(cotrain, "Table", lambda t: seen.append(table(t)) or seen[-1])
+    model = cotrain.fit(docs.unionByName(docs.where("doc_id = 3")).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))), few)
+    # Every row without a label: also the repeated one and the one without a key.
+    assert seen[0].size == 4_600 - few.count() + 2
+    assert np.mean([r.kept == (r.doc_id % 6 != 0) for r in cotrain.classify(docs, model).collect()]) > 0.98
+
+
+def test_cotraining_sums_over_a_table_equal_those_in_memory(spark):
+    g = np.random.default_rng(12)
+    x = g.normal(size=(300, cotrain.N_CONTENT + cotrain.N_META)).astype(np.float16)
+    chance = g.random(300)
+    views = {"content": x[:, : cotrain.N_CONTENT].astype(np.float32), "page": x[:, cotrain.N_CONTENT :].astype(np.float32)}
+    table = cotrain.Table(spark.createDataFrame([(float(c), r.tobytes()) for c, r in zip(chance, x)], "chance double, x binary").repartition(3))
+    rows, models = cotrain.Rows(views, chance), {v: 0.5 * g.normal(size=a.shape[1] + 1) for v, a in views.items()}
+    counts = rows.counts([], models, 0.95)
+    assert counts and table.counts([], models, 0.95) == counts and table.size == 300
+    quota = {1: 20, 0: 10}
+    history = [{o: (v, models[v], cotrain._cuts(counts, o, quota)) for v, o in (("content", "page"), ("page", "content"))}]
+    np.testing.assert_allclose(table.sums(history, models), rows.sums(history, models), rtol=1e-3, atol=1e-3)
+    got = cotrain.pseudo_labels(views, chance, history)
+    for v, other in (("content", "page"), ("page", "content")):
+        z = views[v] @ models[v][:-1] + models[v][-1]
+        for label, sign in ((1, 1), (0, -1)):
+            sure = np.sort(np.flatnonzero(sign * z >= np.log(19))[np.argsort(-(sign * z)[sign * z >= np.log(19)])][: quota[label]])
+            assert abs(len(set(sure) ^ set(np.flatnonzero(got[other] == label)))) <= 2
+    assert cotrain._cuts({("page", 1, 5000): 4, ("page", 1, 4000): 10}, "page", {1: 9, 0: 1}) == {1: (4000, 0.5), 0: (1 << 40, 0.0)}
+
+
 def test_mixing_meets_targets(spark):
     docs, labels = corpus(spark)
     targets = {"en": 0.4, "fr": 0.3, "de": 0.3}
