@@ -1,6 +1,7 @@
 """Mixing sources to target weights (operator 5) with soft membership.
 
-A softmax classifier fitted on a bounded part of the labelled table gives each document a posterior over domains.  Nonnegative
+A softmax classifier fitted on a bounded part of the labelled table, drawn by domain, gives each document a posterior over the
+domains of the whole table.  Tokens are words between blanks, not those of a tokenizer.  Nonnegative
 rates are then found by projected-gradient least squares so that the expected tokens of each domain, the sum over
 documents of rate * tokens * posterior, meet their targets.  The gradient of a document's rate is its posterior times one
 vector with an entry for each domain, so a step sends these few sums to the driver, and a document's rate follows from its
@@ -14,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -22,7 +23,7 @@ from . import common
 #: Labelled documents used for the fit; buckets of byte triples.
 LABELLED_ROWS, BUCKETS = 4_000, 1_024
 STEPS, TOLERANCE = 30, 1e-3
-#: Targets that are not given are the labelled shares to this power, made to sum to one.
+#: Targets that are not given are the domains' shares of all tokens to this power, made to sum to one.
 FLATTEN = 0.7
 
 
@@ -37,6 +38,7 @@ def features(text: str) -> np.ndarray:
 
 
 def n_tokens(text: str) -> int:
+    """Words between blanks: a text without blanks weighs one, whatever its length."""
     return len(text.encode().split())
 
 
@@ -67,14 +69,24 @@ class Mixture:
         return r
 
 
-def fit_classifier(x: np.ndarray, y: np.ndarray, k: int, steps: int = 300, rate: float = 0.05, l2: float = 1e-5) -> np.ndarray:
-    """Softmax regression by Adam; the last row is the intercept."""
+def quotas(sizes: dict[str, int], rows: int) -> dict[str, int]:
+    """`rows` dealt evenly to the domains, what small ones leave to larger ones; each domain gets one at least."""
+    out, left = {}, rows
+    for k, (d, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[d] = min(n, max(1, left // (len(sizes) - k)))
+        left -= out[d]
+    return out
+
+
+def fit_classifier(x: np.ndarray, y: np.ndarray, k: int, steps: int = 300, rate: float = 0.05, l2: float = 1e-5, weight: np.ndarray | None = None) -> np.ndarray:
+    """Softmax regression by Adam; the last row is the intercept.  Row weights have a mean of one."""
     x = np.hstack([x.astype(np.float32), np.ones((len(x), 1), np.float32)])
     truth = np.eye(k, dtype=np.float32)[y]
+    c = np.ones((len(x), 1), np.float32) if weight is None else weight.astype(np.float32)[:, None]
     w = np.zeros((x.shape[1], k), np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        g = x.T @ (softmax(x @ w) - truth) / len(x) + l2 * w
+        g = x.T @ (c * (softmax(x @ w) - truth)) / len(x) + l2 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
@@ -84,38 +96,61 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     """Classifier, targets and rate steps for docs.
 
     `targets` are weights by domain; the token total aimed at is `total` times that of docs, by default the same or, with
-    a `max_rate`, the largest that no domain needs a higher rate for.  Domains are the values of
-    column `domain` among at most `rows` documents of the labelled table; a target for another domain is an error.
+    a `max_rate`, the largest that no domain needs a higher rate for.  Domains are all values of
+    column `domain` in docs; a target for another one is an error.  The classifier is fitted on about `rows` documents, an
+    even part of each domain, weighted by the domains' sizes: labelled ones, or any where a domain has none.  Without
+    a labelled document every rate is one, and targets are an error.
     """
     common.ship(docs.sparkSession)
-    few = labels.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct().orderBy(F.xxhash64("key"), "key").limit(rows)
-    sample = docs.where(F.col(domain).isNotNull()).select(F.col(key).alias("key"), F.col(domain).cast("string").alias("domain"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "key")
+    named = docs.where(F.col(domain).isNotNull()).withColumns({"key": F.col(key), "domain": F.col(domain).cast("string"), "text": F.coalesce("text", F.lit(""))}).select("key", "domain", "text")
+    sizes = {r["domain"]: r["n"] for r in named.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    known = labels.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
+    labelled = named.where(F.col("key").isNotNull()).select("key", "domain").join(known, "key")
+    found = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    domains = sorted(sizes)
+    if missing := [d for d in targets or {} if d not in sizes or not found]:
+        raise ValueError(f"no document is of {', '.join(missing)}, or none is labelled")
+    if not found:
+        return Mixture([""], np.zeros((BUCKETS + 1, 1), np.float32), np.ones(1), max_rate=max_rate)
+    # A hash keeps somewhat more than each domain's quota, and the first rows by that hash are ranked to it.
+    spare = {d: n for d, n in sizes.items() if d not in found}
+    quota = quotas(found | spare, rows)
+    chance = F.pmod(F.xxhash64("key"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    plan = docs.sparkSession.createDataFrame([(d, q, min(1.0, (q + 6 * q**0.5 + 20) / (found | spare)[d]), d in found) for d, q in quota.items()], "domain string, quota long, part double, marked boolean")
+    near = lambda df, marked: df.join(F.broadcast(plan.where(F.col("marked") == marked)), "domain").where(F.coalesce(chance, F.lit(0.0)) <= F.col("part"))
+    first = Window.partitionBy("domain").orderBy(F.xxhash64("key"), "key")
+    pick = lambda df: df.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= F.col("quota"))
+    few = pick(near(labelled, True)).select("key", "domain").distinct()
+    sample = named.join(F.broadcast(few), ["key", "domain"]).select("key", "domain", "text")
+    if spare:
+        sample = sample.unionByName(pick(near(named, False)).select("key", "domain", "text"))
 
     def read(batches):
         for batch in batches:
             for a, b, texts in common.text_slices(batch):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.string()), batch.column(1).slice(a, b - a), pa.array([features(t).astype(np.float16).tobytes() for t in texts], pa.binary())], names=["key", "domain", "x"])
-
-    found = sample.mapInArrow(read, "key string, domain string, x binary").toPandas().sort_values(["key", "x"])
-    domains = sorted(set(found["domain"]) | set(targets or {}))
-    if missing := [d for d in targets or {} if d not in set(found["domain"])]:
-        raise ValueError(f"no labelled document is of {', '.join(missing)}")
-    if not domains:
-        return Mixture([""], np.zeros((BUCKETS + 1, 1), np.float32), np.ones(1), max_rate=max_rate)
-    x = np.frombuffer(b"".join(found["x"]), np.float16).reshape(len(found), BUCKETS)
-    y = np.searchsorted(domains, found["domain"].to_numpy())
-    share = np.bincount(y, minlength=len(domains)) / len(y)
-    aim = np.array([targets.get(d, 0.0) for d in domains]) if targets else share**FLATTEN
-    mixture = Mixture(domains, fit_classifier(x, y, len(domains)), aim / aim.sum(), max_rate=max_rate)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([features(t).astype(np.float16).tobytes() for t in texts], pa.binary())], names=["key", "domain", "x"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    drawn = sample.mapInArrow(read, f"key {kind}, domain string, x binary").withColumn("key", F.col("key").cast("string")).toPandas().sort_values(["key", "x"])
+    x = np.frombuffer(b"".join(drawn["x"]), np.float16).reshape(len(drawn), BUCKETS)
+    y = np.searchsorted(domains, drawn["domain"].to_numpy())
+    weight = np.array([sizes[d] for d in domains]) / np.maximum(np.bincount(y, minlength=len(domains)), 1)
+    weights = fit_classifier(x, y, len(domains), weight=weight[y] / weight[y].mean())
     k = len(domains)
 
+    mixture = Mixture(domains, weights, np.ones(k) / k, max_rate=max_rate)
+
     def members(batches):
         for batch in batches:
-            for _, _, texts in common.text_slices(batch):
+            for a, b, texts in common.text_slices(batch):
                 p = mixture.posterior(texts)
-                yield pa.RecordBatch.from_arrays([pa.array([n_tokens(t) for t in texts], pa.int64()), pa.array([r.tobytes() for r in p.astype(np.float32)], pa.binary())], names=["n", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array([n_tokens(t) for t in texts], pa.int64()), pa.array([r.tobytes() for r in p.astype(np.float32)], pa.binary()), batch.column(1).slice(a, b - a)], names=["n", "p", "d"])
 
-    table = common.stored(docs.select("text").mapInArrow(members, "n long, p binary"))
+    table = common.stored(docs.select("text", F.col(domain).cast("string").alias("d")).mapInArrow(members, "n long, p binary, d string"))
+    totals = {r["d"]: r["n"] for r in table.groupBy("d").agg(F.sum("n").alias("n")).collect()}
+    share = np.array([totals.get(d) or 0 for d in domains], np.float64)
+    aim = np.array([targets.get(d, 0.0) for d in domains]) if targets else (share / max(share.sum(), 1.0)) ** FLATTEN
+    mixture.targets = aim / aim.sum() if aim.sum() > 0 else mixture.targets
 
     def sums(function, width: int) -> np.ndarray:
         """Sum over documents of a few numbers, one row from each task."""
@@ -128,7 +163,7 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
                     out += function(batch.column(0).to_numpy().astype(np.float64), p)
             yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(out)], names=["k", "s"])
 
-        got = table.mapInArrow(run, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+        got = table.select("n", "p").mapInArrow(run, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
         out = np.zeros(width)
         for r in got:
             out[r["k"]] = r["s"]

@@ -219,6 +219,21 @@ def test_mixing_meets_targets(spark):
     assert dict(zip(a.doc_id, a.copies)) == dict(zip(again.doc_id, again.copies))
 
 
+def test_mixing_covers_all_domains_by_tokens(spark):
+    docs, labels = corpus(spark, 300)
+    # English documents are longer, French ones are all unlabelled, one German one is among few labels.
+    docs = docs.withColumn("text", F.when(F.col("lang") == "en", F.repeat(F.concat("text", F.lit(" ")), 3)).otherwise(F.col("text")))
+    fr = [r.doc_id for r in docs.where("lang = 'fr'").collect()]
+    some = labels.where(~F.col("doc_id").isin(fr))
+    m = mixing.solve(docs, some, rows=9)
+    assert m.domains == ["de", "en", "fr"]
+    n = docs.select("lang", F.size(F.split(F.trim("text"), " ")).alias("n")).groupBy("lang").sum("n").collect()
+    share = np.array([dict(n)[d] for d in m.domains]) ** mixing.FLATTEN
+    np.testing.assert_allclose(m.targets, share / share.sum(), rtol=1e-6)
+    assert (mixing.assign(docs, m).where("lang = 'fr' and domain = 'fr'").count()) > 30
+    assert mixing.quotas({"a": 1, "b": 100, "c": 1000}, 41) == {"a": 1, "b": 20, "c": 20} and mixing.quotas({"a": 5, "b": 5}, 1) == {"a": 1, "b": 1}
+
+
 def test_mixing_edges(spark):
     docs, labels = corpus(spark, 60)
     m = mixing.solve(docs, labels)
