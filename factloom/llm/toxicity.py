@@ -10,6 +10,7 @@ fitted on rows that the lexicon it uses has not seen, gives the document's score
 from __future__ import annotations
 
 import collections
+import functools
 import re
 
 import numpy as np
@@ -61,7 +62,6 @@ STOPS = frozenset(".!?;\n")
 #: Beginnings of words that may be learned.
 PREFIXES = (4, 5, 6)
 LABELLED_ROWS = 20_000
-LEXICON_ENTRIES = 4_000
 CACHE_ENTRIES = 100_000
 
 
@@ -211,8 +211,14 @@ def surely_higher(t: np.ndarray, n: np.ndarray, toxic: int, other: int) -> np.nd
     return np.where((low >= 1.5) & (t >= 3), low, 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, entries: int = LEXICON_ENTRIES, keep=None, key: str = "doc_id") -> tuple[dict[str, float], np.ndarray]:
-    """Learned lexicon and curve.  At most `rows` labelled rows are used and at most `entries` lexicon entries are kept."""
+def passes(t, n, toxic: int, other: int):
+    """As a column, whether surely_higher() gives a weight; features within rounding of its limit pass too."""
+    ratio = F.log((t + 0.5) / (F.lit(toxic) - t + 0.5)) - F.log((n + 0.5) / (F.lit(other) - n + 0.5))
+    return (t >= 3) & (ratio - 1.64 * F.sqrt(1 / (t + 0.5) + 1 / (n + 0.5)) >= 1.5 - 1e-9)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None, key: str = "doc_id") -> tuple[dict[str, float], np.ndarray]:
+    """Learned lexicon and curve.  At most `rows` labelled rows are used; every feature that is surely higher is kept."""
     common.ship(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(2)).cast("int")
     sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key, _lang(docs)).withColumn("half", half))
@@ -221,8 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, entries:
     toxic, other = n(0, 1) + n(1, 1), n(0, 0) + n(1, 0)
     if not toxic or not other:
         return {}, np.array([1.0, 1.0, 0.0, -3.0])
-    t, m = F.col("t0") + F.col("t1"), F.col("n0") + F.col("n1")
-    ranked = word_counts(sample).where(t >= 3).orderBy((t / toxic - m / other).desc(), "feature").limit(entries).toPandas()
+    sides = [(F.col("t0") + F.col("t1"), F.col("n0") + F.col("n1"), toxic, other), *((F.col(f"t{h}"), F.col(f"n{h}"), n(h, 1), n(h, 0)) for h in (0, 1))]
+    sure = functools.reduce(lambda a, b: a | b, (passes(*side) for side in sides))
+    ranked = word_counts(sample).where(sure).toPandas().sort_values("feature")
     c = {k: ranked[k].to_numpy(np.float64) for k in ("t0", "n0", "t1", "n1")}
     table = lambda low: {f: float(w) for f, w in zip(ranked["feature"], low) if w > 0}
     unseen = [table(surely_higher(c["t1"], c["n1"], n(1, 1), n(1, 0))), table(surely_higher(c["t0"], c["n0"], n(0, 1), n(0, 0)))]

@@ -214,6 +214,29 @@ def test_toxicity_learns_and_handles_edges(spark, docs):
     assert all(r.predicted == 0 for r in toxicity.score(train.limit(5), none).collect())
 
 
+def test_rare_certain_insults_outlast_common_chance_words(spark):
+    rng = random.Random(13)
+    common = ["".join(p) + "xyz" for p in itertools.islice(itertools.product("bdfghklm", repeat=4), 1_400)]
+    rows = []
+    for k in range(480):
+        toxic = k % 8 == 0
+        # 5,600 features stand in more toxic documents than others by chance; five documents hold the insult.
+        rows.append((k, " ".join(rng.sample(common, 560 if toxic else 350)) + (" zwockel" if toxic and k < 40 else ""), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon, _ = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    toxic, other = 60, 420
+    assert lexicon["=zwockel"] == pytest.approx(float(toxicity.surely_higher(np.array([5.0]), np.array([0.0]), toxic, other)[0]))
+    assert set(lexicon) == {"=zwockel", "zwoc", "zwock", "zwocke"}
+
+
+def test_passes_agrees_with_surely_higher(spark):
+    rows = [(t, n) for t in range(0, 40) for n in range(0, 60, 3)]
+    df = spark.createDataFrame(rows, "t long, n long")
+    got = df.select("t", "n", toxicity.passes(F.col("t"), F.col("n"), 90, 400).alias("p")).collect()
+    low = toxicity.surely_higher(*np.array([(r.t, r.n) for r in got], np.float64).T, 90, 400)
+    assert [r.p for r in got] == list(low > 0) and 0 < (low > 0).sum() < len(rows)
+
+
 def test_held_out_is_crc32(spark):
     import zlib
 
