@@ -33,13 +33,19 @@ def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int, keep=None, key: str = "doc_id", *more) -> DataFrame:
-    """(key, text, y), and further columns of docs, of at most `limit` labelled rows, chosen by a hash of their key.  y is the label (0 or 1).
+    """(key, text, y), and further columns of docs, of at most `limit` labelled keys, chosen by a hash; one row for each.
 
-    Only the bounded list of keys is broadcast.  Rows with a null key or label are not used; of contradicting labels
-    for one key the larger holds.
+    y is the label (0 or 1).  Only the bounded list of keys is broadcast.  Rows with a null key or label are not used; of
+    contradicting labels for one key the larger holds; of rows of docs with one key that of the least text.
     """
     rows = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
     if keep is not None:
         rows = rows.where(keep)
     few = rows.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("key"), "key").limit(limit)
-    return docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), *more).join(F.broadcast(few), "key")
+    return one_each(docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), *more).join(F.broadcast(few), "key"))
+
+
+def one_each(sample: DataFrame) -> DataFrame:
+    """One row of a sample for each key; repeats are dropped before rows are shuffled."""
+    rest = [c for c in sample.columns if c != "key"]
+    return sample.groupBy("key").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("row")).select("key", *[F.col(f"row.{c}").alias(c) for c in rest])

@@ -1,8 +1,12 @@
 """Quality rules (operator 4): a linear-chain conditional random field labels lines as content or boilerplate.
 
-Labels exist for documents only, so the field is fitted on lines that inherit their document's quality label; its
-transitions and line features then tell which lines of a mixed text are boilerplate.  Viterbi decoding labels every line
-of a text that has a word, and the share of word characters in content lines decides whether the text is kept.
+Labels exist for documents only, so the labels of lines are latent.  Lines of good documents are nearly all content; those
+of bad ones are a mixture of both, whose parts are first told apart by how often a line's features occur in either class of
+documents.  The field is then fitted to the lines' expected labels by Newton's method, piecewise: over all pairs of
+neighbours, as chains of two lines.  (More rounds of expectation maximisation would make the labels of a document's lines
+ever more alike, as their class is known: every text then ends as all content or none.)  Executors read whole documents;
+the driver gets totals by pairs of feature patterns.  Viterbi decoding labels every line of a text that has a word, and
+the share of word characters in content lines decides whether the text is kept.
 """
 
 from __future__ import annotations
@@ -16,8 +20,12 @@ from . import common, learn
 
 SYMBOLS, BLANKS = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
 WINDOW = 8
-#: Labelled documents used for the fit, and lines of one document that form one training chain.
-LABELLED_ROWS, CHAIN = 3_000, 256
+#: Labelled documents used for the fit, with all their lines.
+LABELLED_ROWS = 3_000
+#: Share of boilerplate among lines of good documents, and at first among those of bad ones.
+GOOD_NOISE, BAD_NOISE = 0.02, 0.8
+#: Expected counts travel as whole numbers of this part, so that their sums do not depend on the order of tasks.
+UNIT = 1_000_000
 MIN_SHARE = 0.5
 N_FEATURES = 16
 UPPER = bytes(range(65, 91))
@@ -132,54 +140,100 @@ class Field:
         return (content / total if total else 0.0), sum(labels), len(lines)
 
 
-def fit_chains(chains: list[list[int]], labels: list[int], steps: int = 80, rate: float = 0.2, l2: float = 1e-3) -> Field:
-    """Maximum likelihood by Adam; each chain of feature bits has one label for all its lines."""
-    emit, move, start = np.zeros((2, N_FEATURES)), np.zeros((2, 2)), np.zeros(2)
-    if not chains or len(set(labels)) < 2:
-        # Nothing to learn from: every line is content.
-        start[1] = 1.0
-        move[:, 1] = 1.0
-        return Field(emit, move, start)
-    n, longest = len(chains), max(map(len, chains))
-    y = np.array(labels)
-    x, on = np.zeros((n, longest, N_FEATURES)), np.zeros((n, longest), bool)
-    for k, chain in enumerate(chains):
-        on[k, : len(chain)] = True
-        x[k, : len(chain)] = np.array(chain)[:, None] >> np.arange(N_FEATURES) & 1
-    lengths = on.sum(axis=1)
-    weight = np.where(y == 1, n / (2 * (y == 1).sum()), n / (2 * (y == 0).sum())) / lengths
-    theta = np.zeros(2 * N_FEATURES + 6)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    rows = np.arange(n)
-    for step in range(1, steps + 1):
-        emit, move, start = theta[: 2 * N_FEATURES].reshape(2, -1), theta[2 * N_FEATURES : -2].reshape(2, 2), theta[-2:]
-        e = x @ emit.T
-        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = start + e[:, 0]
-        for t in range(1, longest):
-            new = np.logaddexp.reduce(ahead[:, t - 1, :, None] + move, axis=1) + e[:, t]
-            ahead[:, t] = np.where(on[:, t, None], new, ahead[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            new = np.logaddexp.reduce(move + (e[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
-            behind[:, t] = np.where(on[:, t + 1, None], new, 0.0)
-        z = np.logaddexp.reduce(ahead[:, -1], axis=1)
-        node = np.exp(ahead + behind - z[:, None, None]) * on[:, :, None]
-        truth = np.zeros((n, longest, 2))
-        truth[rows, :, y] = on
-        d_emit = np.einsum("nt,nta,ntf->af", np.repeat(weight[:, None], longest, 1), truth - node, x)
-        pair = np.exp(ahead[:, :-1, :, None] + move + (e[:, 1:] + behind[:, 1:])[:, :, None, :] - z[:, None, None, None]) * on[:, 1:, None, None]
-        d_move = -np.einsum("n,ntab->ab", weight, pair)
-        for label in (0, 1):
-            d_move[label, label] += (weight * (lengths - 1))[y == label].sum()
-        d_start = np.array([weight[y == k].sum() for k in (0, 1)]) - np.einsum("n,na->a", weight, node[:, 0])
-        g = np.concatenate([d_emit.ravel(), d_move.ravel(), d_start]) / n - l2 * theta
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return Field(theta[: 2 * N_FEATURES].reshape(2, -1), theta[2 * N_FEATURES : -2].reshape(2, 2), theta[-2:])
+def all_content() -> Field:
+    """The field that finds no boilerplate."""
+    return Field(np.zeros((2, N_FEATURES)), np.array([[0.0, 1.0], [0.0, 1.0]]), np.array([0.0, 1.0]))
+
+
+def _bits(masks: np.ndarray) -> np.ndarray:
+    return (masks[:, None] >> np.arange(N_FEATURES) & 1).astype(np.float64)
+
+
+def evidence(good: np.ndarray, bad: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
+    """P(content) of a line by its feature pattern, in bad documents and in good ones.
+
+    `good` and `bad` are how often each pattern occurs in lines of either class.  Each class is a mixture of one content
+    and one boilerplate distribution over patterns with its own shares, fitted by expectation maximisation.
+    """
+    good, bad = good / good.sum(), bad / bad.sum()
+    # Patterns as common in good documents as in bad ones start as content; only their part in the mixture moves then.
+    junk = bad * (bad / (bad + good)) ** 2 + 1e-6
+    content, junk, noise = (good + 1e-6) / (good + 1e-6).sum(), junk / junk.sum(), BAD_NOISE
+    for _ in range(steps):
+        of_good, of_bad = (p * junk / (p * junk + (1 - p) * content) for p in (GOOD_NOISE, noise))
+        junk, content = good * of_good + bad * of_bad + 1e-6, good * (1 - of_good) + bad * (1 - of_bad) + 1e-6
+        junk, content, noise = junk / junk.sum(), content / content.sum(), min(max(float(bad @ of_bad), 0.05), 0.95)
+    return 1 - of_bad, 1 - of_good
+
+
+def expected(masks: list[int], known: dict[int, float]) -> dict[tuple[int, int], np.ndarray]:
+    """Expected labels of one document: by (-1, features) its first line's, by two neighbours' features theirs.
+
+    A document's lines weigh one in all.
+    """
+    out: dict[tuple[int, int], np.ndarray] = {}
+    p = [known[m] for m in masks]
+    first = [((-1, masks[0]), (1 - p[0], p[0], 0.0, 0.0))] if masks else []
+    for at, four in first + [((a, b), ((1 - f) * (1 - g), (1 - f) * g, f * (1 - g), f * g)) for a, b, f, g in zip(masks, masks[1:], p, p[1:])]:
+        out[at] = out.get(at, 0.0) + np.array(four) / len(masks)
+    return out
+
+
+def fit_counts(first: np.ndarray, second: np.ndarray, counts: np.ndarray, l2: float = 0.1, steps: int = 30) -> Field:
+    """The field that makes the counted labels likeliest, by Newton's method.
+
+    Each row has the features of two neighbours and the counts of their labels 00, 01, 10, 11, or, for a first line, -1, its
+    features and the counts of its labels 0, 1.
+    """
+    starts = first < 0
+    x = np.zeros((len(first), 4, N_FEATURES + 4))
+    a, b = np.where(starts[:, None], 0.0, _bits(np.maximum(first, 0))), _bits(second)
+    # Outcomes 00, 01, 10, 11; a first line has the outcomes 0 and 1 alone.
+    x[:, 1, :N_FEATURES], x[:, 2, :N_FEATURES], x[:, 3, :N_FEATURES] = b, a, a + b
+    for k in (1, 2, 3):
+        x[~starts, k, N_FEATURES + k - 1] = 1.0
+    x[starts, 1, N_FEATURES + 3] = 1.0
+    open_ = np.where(starts[:, None], [0.0, 0.0, -1e9, -1e9], 0.0)
+    total, theta = counts.sum(axis=1), np.zeros(N_FEATURES + 4)
+    for _ in range(steps):
+        z = x @ theta + open_
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        g = np.einsum("rk,rkf->f", p * total[:, None] - counts, x) + l2 * theta
+        mean = np.einsum("rk,rkf->rf", p, x)
+        h = np.einsum("rk,rkf,rkg->fg", p * total[:, None], x, x, optimize=True) - (mean * total[:, None]).T @ mean + l2 * np.eye(len(theta))
+        move = np.linalg.solve(h, g)
+        theta -= move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
+        if np.abs(move).max() < 1e-7:
+            break
+    w, t, s = theta[:N_FEATURES], theta[N_FEATURES:-1], theta[-1]
+    return Field(np.stack([np.zeros(N_FEATURES), w]), np.array([[0.0, t[0]], [t[1], t[2]]]), np.array([0.0, s]))
+
+
+def _totals(chains: DataFrame, known: tuple[dict, dict]) -> tuple[np.ndarray, ...]:
+    """(class, first features, second features, counts of labels) over all documents, in a fixed order."""
+
+    def run(batches):
+        total: dict = {}
+        for batch in batches:
+            for masks, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for (a, b), four in expected(masks, known[y]).items():
+                    total[y, a, b] = total.get((y, a, b), 0) + np.rint(four * UNIT).astype(np.int64)
+        keys = np.array(list(total) or np.zeros((0, 3)), np.int32).reshape(-1, 3)
+        values = np.array(list(total.values()) or np.zeros((0, 4)), np.int64).reshape(-1, 4)
+        yield pa.RecordBatch.from_arrays([*(pa.array(keys[:, k]) for k in range(3)), *(pa.array(values[:, k]) for k in range(4))], names=["y", "a", "b", "n0", "n1", "n2", "n3"])
+
+    rows = chains.select("masks", "y").mapInArrow(run, "y int, a int, b int, n0 long, n1 long, n2 long, n3 long")
+    got = rows.groupBy("y", "a", "b").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "n2", "n3"))).toPandas().sort_values(["y", "a", "b"])
+    return got["y"].to_numpy(), got["a"].to_numpy(np.int64), got["b"].to_numpy(np.int64), got[["n0", "n1", "n2", "n3"]].to_numpy(np.float64) / UNIT
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, key: str = "doc_id") -> Field:
-    """Field fitted on at most `rows` documents with a quality label."""
+    """Field fitted on all lines of at most `rows` documents with a quality label.
+
+    A null text has no lines; of rows with one key one is used, and contradicting labels count as good.  Without labels of
+    both classes, or a line of either, every line is content.  Further columns do not matter.
+    """
     common.ship(docs.sparkSession)
 
     def run(batches):
@@ -188,9 +242,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, key: str
             yield pa.RecordBatch.from_arrays([pa.array(masks, pa.list_(pa.int32())), batch.column(1)], names=["masks", "y"])
 
     found = learn.labelled(docs, labels, "quality", rows, key=key).select("text", "y").mapInArrow(run, "masks array<int>, y int")
-    # The fit takes at most CHAIN lines of a sampled document; decoding takes all lines.
-    few = found.select(F.slice("masks", 1, CHAIN).alias("masks"), "y").where(F.size("masks") > 0).collect()
-    return fit_chains([r["masks"] for r in few], [r["y"] for r in few])
+    chains = common.stored(found.where(F.size("masks") > 0))
+    lines = chains.select("y", F.explode("masks").alias("mask"), (F.lit(float(UNIT)) / F.size("masks")).cast("long").alias("n")).groupBy("y", "mask").agg(F.sum("n").alias("n")).toPandas()
+    if lines["y"].nunique() < 2:
+        return all_content()
+    table = lines.pivot(index="mask", columns="y", values="n").fillna(0.0).sort_index()
+    masks = table.index.tolist()
+    y, first, second, counts = _totals(chains, tuple(dict(zip(masks, p.tolist())) for p in evidence(table[1].to_numpy(np.float64), table[0].to_numpy(np.float64))))
+    # Both classes of documents weigh alike, and as many lines as there are documents in all.
+    weight = counts.sum() / 2 / np.array([counts[y == k].sum() for k in (0, 1)])
+    return fit_counts(first, second, counts * weight[y][:, None])
 
 
 def judge(docs: DataFrame, field: Field, min_share: float = MIN_SHARE, key: str = "doc_id") -> DataFrame:

@@ -287,3 +287,64 @@ def test_tool_arguments(spark):
     got = [r.v for r in df.select(toolcalls.valid_arguments(F.col("n"), F.col("a"), toolcalls.SCHEMAS).alias("v")).collect()]
     assert got == [v for *_, v in cases]
     assert df.limit(1).select(toolcalls.canonical(F.lit('{"b": 1, "a": {"d": 1, "c": [2, 1]}}')).alias("c")).first().c == '{"a":{"c":[2,1],"d":1},"b":1}'
+
+
+def test_lines_of_mixed_texts_are_told_apart(spark):
+    rng = random.Random(20)
+    word = lambda: "".join(rng.choices("aeioustrnlmd", k=rng.randint(3, 8)))
+    prose = lambda: " ".join(word() for _ in range(rng.randint(9, 14))).capitalize() + "."
+    junk = lambda: " ".join(word().upper() + "!!" for _ in range(rng.randint(9, 14)))
+    # Bad documents open with a line of prose; their label says nothing about single lines.
+    rows = [(k, "\n".join([prose(), *(junk() if k % 3 == 0 else prose() for _ in range(6))])) for k in range(300)]
+    rows.append((300, "\n".join([prose() for _ in range(5)] + [junk() for _ in range(3_000)])))
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k, _ in rows], "doc_id long, quality int")
+    field = linecrf.fit(train, labels)
+    planted = [prose(), prose(), junk(), junk(), junk(), prose(), prose()]
+    assert field.viterbi([m for m, _ in linecrf.lines_of("\n".join(planted))]) == [1, 1, 0, 0, 0, 1, 1]
+    got = linecrf.judge(train, field).collect()
+    assert all(0 < r.content_share < 1 and r.n_content_lines == 1 for r in got if r.doc_id % 3 == 0 and r.doc_id < 300)
+    assert all(r.n_content_lines == 5 and r.n_lines == 3_005 for r in got if r.doc_id == 300)
+    # Every line of the long document counts in the fit, and repeated rows do not.
+    again = linecrf.fit(train.unionByName(train), labels)
+    assert np.array_equal(again.emit, field.emit) and np.array_equal(again.move, field.move)
+
+
+def test_field_is_the_likeliest_by_brute_force():
+    g = np.random.default_rng(21)
+    first, second = np.r_[-1, -1, g.integers(0, 1 << 16, 30)], g.integers(0, 1 << 16, 32)
+    counts = g.random((32, 4)) * np.where(first[:, None] < 0, [1, 1, 0, 0], 1)
+    field = linecrf.fit_counts(first, second, counts)
+
+    def cost(emit, move, start):
+        f, out = linecrf.Field(np.stack([np.zeros(16), emit]), np.array([[0, move[0]], move[1:]]), np.array([0.0, start])), 0.0
+        for a, b, n in zip(first.tolist(), second.tolist(), counts):
+            if a < 0:
+                z = [f.start[y] + f.emission(b)[y] for y in (0, 1)]
+            else:
+                z = [f.emission(a)[x] + f.move[x, y] + f.emission(b)[y] for x in (0, 1) for y in (0, 1)]
+            out -= sum(k * (s - np.logaddexp.reduce(z)) for k, s in zip(n, z))
+        return out + 0.05 * (emit @ emit + move @ move + start * start)
+
+    emit, move, start = field.emit[1], np.array([field.move[0, 1], *field.move[1]]), field.start[1]
+    best = cost(emit, move, start)
+    for _ in range(40):
+        assert cost(emit + 1e-3 * g.normal(size=16), move + 1e-3 * g.normal(size=3), start + 1e-3 * g.normal()) > best
+
+
+def test_expected_labels_by_brute_force():
+    known = {1: 0.2, 2: 0.9, 3: 0.5}
+    masks = [1, 2, 2, 1, 2, 3]
+    want = {}
+    for labels in itertools.product((0, 1), repeat=6):
+        p = np.prod([known[m] if y else 1 - known[m] for m, y in zip(masks, labels)])
+        for a, b, k in [(-1, masks[0], labels[0]), *((m, n, 2 * x + y) for m, n, x, y in zip(masks, masks[1:], labels, labels[1:]))]:
+            want.setdefault((a, b), np.zeros(4))[k] += p / 6
+    got = linecrf.expected(masks, known)
+    assert set(got) == set(want) and all(np.allclose(got[k], want[k]) for k in want) and linecrf.expected([], known) == {}
+
+
+def test_evidence_recovers_a_mixture():
+    content, junk = np.array([0.6, 0.3, 0.1, 0.0]), np.array([0.0, 0.1, 0.3, 0.6])
+    bad, good = linecrf.evidence(0.99 * content + 0.01 * junk, 0.2 * content + 0.8 * junk)
+    assert good[0] > 0.95 and bad[0] > 0.8 and bad[3] < 0.05 and bad[2] < 0.2 and good[2] > bad[2]
