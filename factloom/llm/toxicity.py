@@ -2,7 +2,7 @@
 
 A lexicon maps words to symbols: insult, threat, target, negation, reporting or other.  Four transducers - negation scope,
 reported speech, targets and scoring - are composed into one deterministic machine, which reads each clause's symbols
-and weighs its insults and threats by what surrounds them.  The insults and their weights are learned: words and word
+and weighs its insults and threats by what stands before and after them.  The insults and their weights are learned: words and word
 beginnings whose odds among documents labelled toxic are surely higher.  A logistic curve over the clause scores,
 fitted on rows that the lexicon it uses has not seen, gives the document's score.
 """
@@ -50,11 +50,12 @@ THREATS = {
 LANGUAGES = tuple(TARGETS)
 #: Weight of a threat that names a target.
 THREAT_WEIGHT = 4.0
-#: Factors of a negated, a reported and a targeted insult, the report or target before or after it in its clause; a threat
-#: without a target before it weighs nothing.
-NEGATED, REPORTED, TARGETED = 0.3, 0.5, 1.5
+#: Factors of negated, reported and targeted insults, and of those without a target, the report or target before or after
+#: them in their clause.  A threat counts once its clause has a target, before or after it, and weighs nothing without one.
+NEGATED, REPORTED, TARGETED, BARE = 0.3, 0.5, 1.5, 0.5
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+#: A threat that waits for its target, and the first target of a clause, are symbols between the machines alone.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, WAITING, FIRST_TARGET = range(8)
 #: Tokens that a negation reaches over.
 SCOPE = 3
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[.!?;\n]")
@@ -91,17 +92,22 @@ def compose(first: Transducer, second: Transducer, symbols, start=(0, 0)) -> tup
 
 
 def grammar() -> tuple[dict, tuple]:
-    """Composed machine over one clause: (state, symbol) to (state, factor for a hit, factor for the clause so far)."""
+    """Composed machine over one clause: (state, symbol) to (state, symbol for the scorer, factor for a hit, factor for the clause so far)."""
     symbols = range(6)
-    negation = Transducer({(k, s): (SCOPE if s == NEGATION else max(k - 1, 0), s, NEGATED if s in (INSULT, THREAT) and k else 1.0, 1.0) for k in range(SCOPE + 1) for s in symbols})
-    # The first report or target of a clause also weighs the insults before it.
-    report = Transducer({(k, s): (1 if s == REPORT else k, s, REPORTED if s in (INSULT, THREAT) and k else 1.0, REPORTED if s == REPORT and not k else 1.0) for k in (0, 1) for s in symbols})
-    target = Transducer({(k, s): (1 if s == TARGET else k, s, (TARGETED if s == INSULT else 1.0) if k else (0.0 if s == THREAT else 1.0), TARGETED if s == TARGET and not k else 1.0) for k in (0, 1) for s in symbols})
-    score = Transducer({(0, s): (0, s if s in (INSULT, THREAT) else OTHER, 1.0 if s in (INSULT, THREAT) else 0.0, 1.0) for s in symbols})
+    hits = (INSULT, THREAT)
+    negation = Transducer({(k, s): (SCOPE if s == NEGATION else max(k - 1, 0), s, NEGATED if s in hits and k else 1.0, 1.0) for k in range(SCOPE + 1) for s in symbols})
+    # The first report or target of a clause also weighs the hits before it.
+    report = Transducer({(k, s): (1 if s == REPORT else k, s, REPORTED if s in hits and k else 1.0, REPORTED if s == REPORT and not k else 1.0) for k in (0, 1) for s in symbols})
+    target = Transducer(
+        {(1, s): (1, s, TARGETED if s == INSULT else 1.0, 1.0) for s in symbols}
+        | {(0, s): (0, s, BARE if s == INSULT else 1.0, 1.0) for s in symbols}
+        | {(0, THREAT): (0, WAITING, 1.0, 1.0), (0, TARGET): (1, FIRST_TARGET, 1.0, TARGETED / BARE)}
+    )
+    score = Transducer({(0, s): (0, s if s in (INSULT, THREAT, WAITING, FIRST_TARGET) else OTHER, 1.0, 1.0) for s in (*symbols, WAITING, FIRST_TARGET)})
     machine, start = compose(negation, report, symbols)
     for other in (target, score):
         machine, start = compose(machine, other, symbols, (start, 0))
-    return {k: (to, factor, before) for k, (to, _, factor, before) in machine.arcs.items()}, start
+    return machine.arcs, start
 
 
 class Lexicon(dict):
@@ -157,11 +163,19 @@ class Scorer:
             a = hit
             while a > done and tokens[a - 1] not in STOPS:
                 a -= 1
-            state, total, k = self.start, 0.0, a
+            state, total, waiting, k = self.start, 0.0, 0.0, a
             while k < len(tokens) and tokens[k] not in STOPS:
                 symbol, weight = marks[k] or (OTHER, 0.0)
-                state, factor, before = self.arcs[state, symbol]
-                total = total * before + factor * weight
+                state, out_symbol, factor, before = self.arcs[state, symbol]
+                total *= before
+                if out_symbol == FIRST_TARGET:
+                    total, waiting = total + waiting, 0.0
+                elif out_symbol == WAITING:
+                    waiting += factor * weight
+                else:
+                    waiting *= before
+                    if out_symbol != OTHER:
+                        total += factor * weight
                 k += 1
             done = k
             if total > 0:
@@ -217,8 +231,27 @@ def passes(t, n, toxic: int, other: int):
     return (t >= 3) & (ratio - 1.64 * F.sqrt(1 / (t + 0.5) + 1 / (n + 0.5)) >= 1.5 - 1e-9)
 
 
+def commonest_word(features: list[str], counts: np.ndarray) -> np.ndarray:
+    """For each word beginning the counts of the commonest word that has it, for a word none.
+
+    A beginning is worth learning only for what other words with it say.
+    """
+    at = {f: k for k, f in enumerate(features)}
+    out, most = np.zeros_like(counts), counts.sum(axis=1)
+    for k in sorted((k for f, k in at.items() if f[0] == "="), key=lambda k: (most[k], features[k])):
+        for size in PREFIXES:
+            if (head := features[k][1 : size + 1]) in at and len(head) == size:
+                out[at[head]] = counts[k]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None, key: str = "doc_id") -> tuple[dict[str, float], np.ndarray]:
-    """Learned lexicon and curve.  At most `rows` labelled rows are used; every feature that is surely higher is kept."""
+    """Learned lexicon and curve.  At most `rows` labelled rows are used; every feature that is surely higher is kept.
+
+    `keep` is a condition on the rows of labels.  Null keys and labels are not used, contradicting labels count as toxic, of
+    rows with one key one is used, a null text is empty and further columns do not matter.  Without labels of both classes,
+    empty tables included, the lexicon is empty and the curve finds nothing toxic but threats.
+    """
     common.ship(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(2)).cast("int")
     sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key, _lang(docs)).withColumn("half", half))
@@ -230,9 +263,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None
     sides = [(F.col("t0") + F.col("t1"), F.col("n0") + F.col("n1"), toxic, other), *((F.col(f"t{h}"), F.col(f"n{h}"), n(h, 1), n(h, 0)) for h in (0, 1))]
     sure = functools.reduce(lambda a, b: a | b, (passes(*side) for side in sides))
     ranked = word_counts(sample).where(sure).toPandas().sort_values("feature")
-    c = {k: ranked[k].to_numpy(np.float64) for k in ("t0", "n0", "t1", "n1")}
-    table = lambda low: {f: float(w) for f, w in zip(ranked["feature"], low) if w > 0}
-    unseen = [table(surely_higher(c["t1"], c["n1"], n(1, 1), n(1, 0))), table(surely_higher(c["t0"], c["n0"], n(0, 1), n(0, 0)))]
+    names = ranked["feature"].tolist()
+    c = ranked[["t0", "n0", "t1", "n1"]].to_numpy(np.float64).reshape(-1, 4)
+    rest = c - commonest_word(names, c)
+
+    def table(t: list[int], n: list[int], toxic: int, other: int) -> dict[str, float]:
+        low, alone = (surely_higher(x[:, t].sum(axis=1), x[:, n].sum(axis=1), toxic, other) for x in (c, rest))
+        return {f: float(w) for f, w, r in zip(names, low, alone) if w > 0 and r > 0}
+
+    unseen = [table([2], [3], n(1, 1), n(1, 0)), table([0], [1], n(0, 1), n(0, 0))]
 
     def run(batches):
         scorers = [Scorer(w) for w in unseen]
@@ -242,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None
 
     x = sample.select("text", "half", "y", "lang").mapInArrow(run, "y int, a double, b double, c double").toPandas()
     curve = learn.logistic(x[["a", "b", "c"]].to_numpy(), x["y"].to_numpy(np.float64), l2=0.1)
-    return table(surely_higher(c["t0"] + c["t1"], c["n0"] + c["n1"], toxic, other)), curve
+    return table([0, 2], [1, 3], toxic, other), curve
 
 
 def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], key: str = "doc_id") -> DataFrame:
@@ -267,7 +306,10 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], key: str
 
 
 def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFrame:
-    """The rows of docs that score() does not predict toxic, with all their columns and without a shuffle."""
+    """The rows of docs that score() does not predict toxic, with all their columns, whatever their names, and without a shuffle.
+
+    Rows with a null or empty text and repeated rows stay; an empty table stays empty.
+    """
     common.ship(docs.sparkSession)
     lexicon, curve = model
 

@@ -151,11 +151,13 @@ def test_line_rules_over_a_table(spark, docs):
 def test_grammar_weighs_context():
     s = toxicity.Scorer({"=clod": 2.0, "lowei": 1.0})
     assert s.clauses("he is a clod. fine day") == [pytest.approx(2.0 * toxicity.TARGETED)]
-    assert s.clauses("a clod") == [pytest.approx(2.0)] and s.clauses("loweiblah") == [1.0] and s.clauses("lowe") == []
-    assert s.clauses("not a clod") == [pytest.approx(2.0 * toxicity.NEGATED)]
+    assert s.clauses("a clod") == [pytest.approx(2.0 * toxicity.BARE)] and s.clauses("loweiblah") == [toxicity.BARE] and s.clauses("lowe") == []
+    assert s.clauses("not a clod") == [pytest.approx(2.0 * toxicity.NEGATED * toxicity.BARE)]
     assert s.clauses("she said a clod") == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.TARGETED)]
-    assert s.clauses("kill the lights") == [] and s.clauses("i will kill you") == []  # the target comes after
-    assert s.clauses("you i will kill") == [pytest.approx(toxicity.THREAT_WEIGHT)]
+    assert s.clauses("kill the lights") == [] and s.clauses("kill the lights. you") == []
+    assert s.clauses("i will kill you") == s.clauses("you i will kill") == [pytest.approx(toxicity.THREAT_WEIGHT)]
+    assert s.clauses("i will not kill you") == [pytest.approx(toxicity.THREAT_WEIGHT * toxicity.NEGATED)]
+    assert s.clauses("i will kill you, it was said") == [pytest.approx(toxicity.THREAT_WEIGHT * toxicity.REPORTED)]
     assert len(s.clauses("clod clod. clod! x\nclod")) == 3 and s.clauses("") == []
 
 
@@ -163,11 +165,25 @@ def test_grammar_weighs_insults_by_what_comes_after():
     s = toxicity.Scorer({"=clod": 2.0})
     assert s.clauses("a clod, she said") == [pytest.approx(2.0 * toxicity.TARGETED * toxicity.REPORTED)]
     assert s.clauses("clod that you are") == [pytest.approx(2.0 * toxicity.TARGETED)]
-    assert s.clauses("a clod, it was said and said again") == [pytest.approx(2.0 * toxicity.REPORTED)]
+    assert s.clauses("a clod, it was said and said again") == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.BARE)]
     assert s.clauses("not a clod, you clod") == [pytest.approx(2.0 * toxicity.TARGETED * (1 + toxicity.NEGATED))]
-    # A threat before the first target weighs nothing, whatever insult stands by it; another clause's words do not count.
-    assert s.clauses("kill a clod, you") == [pytest.approx(2.0 * toxicity.TARGETED)]
-    assert s.clauses("a clod. she said") == [pytest.approx(2.0)]
+    assert s.clauses("kill a clod, you") == [pytest.approx(toxicity.THREAT_WEIGHT + 2.0 * toxicity.TARGETED)]
+    # Another clause's words do not count.
+    assert s.clauses("a clod. she said") == [pytest.approx(2.0 * toxicity.BARE)]
+
+
+def test_composed_machine_equals_its_rules_on_all_short_clauses():
+    word = {toxicity.OTHER: "stone", toxicity.INSULT: "clod", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said"}
+    s = toxicity.Scorer({"=clod": 2.0})
+    for n in range(1, 6):
+        for clause in itertools.product(word, repeat=n):
+            aimed, want = toxicity.TARGET in clause, 0.0
+            for k, symbol in enumerate(clause):
+                weight = {toxicity.INSULT: 2.0 * (toxicity.TARGETED if aimed else toxicity.BARE), toxicity.THREAT: toxicity.THREAT_WEIGHT * aimed}.get(symbol, 0.0)
+                if toxicity.NEGATION in clause[max(0, k - toxicity.SCOPE) : k]:
+                    weight *= toxicity.NEGATED
+                want += weight * (toxicity.REPORTED if toxicity.REPORT in clause else 1.0)
+            assert s.clauses(" ".join(word[x] for x in clause), "en") == ([pytest.approx(want)] if want else [])
 
 
 @pytest.mark.parametrize(
@@ -183,11 +199,11 @@ def test_grammar_in_each_language(lang, aimed, denied, quoted, threat, elsewhere
     s = toxicity.Scorer({"=clod": 2.0})
     for tag in (lang, lang.upper() + "-XX", None):
         assert s.clauses(aimed, tag) == [pytest.approx(2.0 * toxicity.TARGETED)]
-        assert s.clauses(denied, tag) == [pytest.approx(2.0 * toxicity.NEGATED)]
-        assert s.clauses(quoted, tag) == [pytest.approx(2.0 * toxicity.REPORTED)]
+        assert s.clauses(denied, tag) == [pytest.approx(2.0 * toxicity.NEGATED * toxicity.BARE)]
+        assert s.clauses(quoted, tag) == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.BARE)]
         assert s.clauses(threat, tag) == [pytest.approx(toxicity.THREAT_WEIGHT)]
     # Another language's words do not act, so 'du' is no target in French.
-    assert s.clauses(elsewhere, lang) == [pytest.approx(2.0)] and s.clauses("du clod", "fr") == [pytest.approx(2.0)]
+    assert s.clauses(elsewhere, lang) == s.clauses("du clod", "fr") == [pytest.approx(2.0 * toxicity.BARE)]
 
 
 def test_toxicity_takes_the_language_of_each_row(spark):
@@ -226,7 +242,15 @@ def test_rare_certain_insults_outlast_common_chance_words(spark):
     lexicon, _ = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     toxic, other = 60, 420
     assert lexicon["=zwockel"] == pytest.approx(float(toxicity.surely_higher(np.array([5.0]), np.array([0.0]), toxic, other)[0]))
-    assert set(lexicon) == {"=zwockel", "zwoc", "zwock", "zwocke"}
+    # Its beginnings say nothing that it does not say itself.
+    assert set(lexicon) == {"=zwockel"}
+
+
+def test_beginnings_count_by_their_other_words():
+    names = ["=loser", "=losing", "lose", "losi", "=grobia", "=grobib", "grob"]
+    counts = np.array([[9.0, 0], [1, 8], [10, 3], [1, 8], [4, 0], [5, 0], [9, 0]])
+    got = counts - toxicity.commonest_word(names, counts)
+    assert got.tolist() == [[9, 0], [1, 8], [1, 3], [0, 0], [4, 0], [5, 0], [4, 0]]
 
 
 def test_passes_agrees_with_surely_higher(spark):
