@@ -1,10 +1,11 @@
 """Quality classifier (operator 6) by co-training.
 
-One view is what the text is made of, the other what surrounds it: language, source and size of the page.  Each view has a
-logistic classifier.  In every round each names the unlabelled documents that it is surest of, in the classes' own
+One view is what the text is made of, whatever its size; the other is the page's metadata alone: language, source and the
+stated number of characters.  Each view has a logistic classifier.  In every round each names the unlabelled documents that it is surest of, in the classes' own
 proportion, as labels for the other.  All unlabelled documents take part: which of them have got a label follows from the
-rounds' models and cuts, so no state is kept for a document, and tasks send sums of gradients and Hessians.  At the end each view is calibrated on documents kept out of its training, and a
-logistic blend of the two calibrated views scores all documents.
+rounds' models and cuts, so no state is kept for a document, and tasks send sums of gradients and Hessians.  Each view keeps the model of the round that did best on labelled documents kept
+out of its training, on which it is then calibrated; a logistic blend of the two calibrated views, neither with a negative
+weight, scores all documents.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ METADATA = ("lang", "source", "n_chars")
 #: Byte classes: blank, line end, lower, upper, digit, then each mark that junk is made of, other marks, other bytes.
 MARKS = b"!#$%&*|<>="
 N_CLASSES = 7 + len(MARKS)
-N_META = 8 + 32 + 12 + 12
+N_META = 8 + 32 + 13
 
 
 def _byte_classes() -> np.ndarray:
@@ -44,7 +45,7 @@ def _byte_classes() -> np.ndarray:
 
 
 BYTE_CLASS = _byte_classes()
-N_CONTENT = N_CLASSES * N_CLASSES + 6
+N_CONTENT = N_CLASSES * N_CLASSES + 5
 
 
 def content_view(text: str) -> np.ndarray:
@@ -54,27 +55,24 @@ def content_view(text: str) -> np.ndarray:
     kinds = BYTE_CLASS[np.frombuffer(data, np.uint8)]
     if len(kinds) > 1:
         pairs = np.bincount(kinds[:-1] * N_CLASSES + kinds[1:], minlength=N_CLASSES * N_CLASSES)
-        out[:-6] = np.sqrt(pairs / (len(kinds) - 1))
+        out[:-5] = np.sqrt(pairs / (len(kinds) - 1))
     words = data.split()
     n = len(words)
     if n:
         lines = [x for x in data.split(b"\n") if x.strip()]
         echo = sum(map(bytes.__eq__, words, words[1:])) / n
         size = len(b"".join(words)) / n
-        out[-6:] = (len(set(words)) / n, echo, float(echo > 0.25), size / 10, 1 - len(set(lines)) / max(len(lines), 1), min(1.0, np.log1p(n) / 10))
-    else:
-        out[-6:] = (0, 0, 0, 0, 0, 0)
+        out[-5:] = (len(set(words)) / n, echo, float(echo > 0.25), size / 10, 1 - len(set(lines)) / max(len(lines), 1))
     return out
 
 
-def page_view(lang, source, n_chars, text: str) -> np.ndarray:
-    """Language, source, length and lines of the page; a null is a value of its own."""
+def page_view(lang, source, n_chars) -> np.ndarray:
+    """Language, source and stated length; a null, a NaN or a negative length is a value of its own."""
     out = np.zeros(N_META, np.float32)
     out[zlib.crc32(str(lang).encode()) % 8] = 1
     out[8 + zlib.crc32(str(source).encode()) % 32] = 1
-    size = max(int(n_chars), 0) if isinstance(n_chars, (int, float)) and np.isfinite(n_chars) else len(text)
-    out[40 + min(11, int(np.log2(1 + size) * 0.7))] = 1
-    out[52 + min(11, int(np.log2(1 + text.count("\n")) * 1.5))] = 1
+    known = n_chars is not None and np.isfinite(n_chars) and n_chars >= 0
+    out[40 + (min(11, int(np.log2(1 + n_chars) * 0.7)) if known else 12)] = 1
     return out
 
 
@@ -220,12 +218,16 @@ def _fit_models(views: dict, y: np.ndarray, pool, history: list, start: dict, l2
 
 
 def fit_views(content: np.ndarray, page: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, confident: float = CONFIDENT, pool=None) -> dict:
-    """Both classifiers, their calibrations and the blend.  y is 1, 0, or -1 where there is no label; `pool` has further rows without one."""
+    """Both classifiers, their calibrations and the blend.  y is 1, 0, or -1 where there is no label; `pool` has further rows without one.
+
+    "rounds" tells each view's log loss and area under the curve on the kept-out labelled rows, before the first exchange and
+    after each.
+    """
     views = {"content": content.astype(np.float64), "page": page.astype(np.float64)}
     known = np.flatnonzero(y >= 0)
     if len(known) == 0 or len(np.unique(y[known])) < 2:
         # One class or none: nothing is rejected.
-        return {"content": np.zeros(content.shape[1] + 1), "page": np.zeros(page.shape[1] + 1), "curve": {"content": np.array([0.0, 5.0]), "page": np.array([0.0, 5.0])}, "blend": np.array([1.0, 0.0, 0.0])}
+        return {"content": np.zeros(content.shape[1] + 1), "page": np.zeros(page.shape[1] + 1), "curve": {"content": np.array([0.0, 5.0]), "page": np.array([0.0, 5.0])}, "blend": np.array([1.0, 0.0, 0.0]), "rounds": []}
     if pool is None:
         free = np.flatnonzero(y < 0)
         pool = Rows({v: x[free] for v, x in views.items()}, (np.arange(len(free)) + 0.5) / max(len(free), 1))
@@ -235,16 +237,43 @@ def fit_views(content: np.ndarray, page: np.ndarray, y: np.ndarray, rounds: int
     seen, truth = {v: x[train] for v, x in views.items()}, y[train].astype(np.float64)
     share = truth.mean()
     quota = {label: int(pool.size / rounds * part) + 1 for label, part in ((1, share), (0, 1 - share))}
+    held, target = {v: x[kept_out] for v, x in views.items()}, y[kept_out].astype(np.float64)
     models, history = {v: learn.logistic(x, truth) for v, x in seen.items()}, []
+    best, rounds_of = dict(models), [{v: measured(held[v], models[v], target) for v in views}]
     for _ in range(rounds if pool.size else 0):
         counts = pool.counts(history, models, confident)
         history.append({learner: (v, models[v], _cuts(counts, learner, quota)) for v, learner in (("content", "page"), ("page", "content"))})
         models = _fit_models(seen, truth, pool, history, models)
-    z = {v: _logit(learn.predict(x[kept_out], models[v])) for v, x in views.items()}
-    truth = y[kept_out].astype(np.float64)
-    curve = {v: learn.logistic(s[:, None], truth, l2=0.01) for v, s in z.items()}
-    blend = learn.logistic(np.stack([_logit(learn.predict(z[v][:, None], curve[v])) for v in views], axis=1), truth, l2=0.1)
-    return models | {"curve": curve, "blend": blend}
+        now = {v: measured(held[v], models[v], target) for v in views}
+        for v in views:
+            if now[v][0] < min(r[v][0] for r in rounds_of):
+                best[v] = models[v]
+        rounds_of.append(now)
+    z = {v: _logit(learn.predict(held[v], best[v])) for v in views}
+    curve = {v: learn.logistic(s[:, None], target, l2=0.01) for v, s in z.items()}
+    return best | {"curve": curve, "blend": nonnegative(np.stack([_logit(learn.predict(z[v][:, None], curve[v])) for v in views], axis=1), target), "rounds": rounds_of}
+
+
+def measured(x: np.ndarray, w: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(mean log loss, area under the curve) of a model on labelled rows; the area is NaN for one class alone."""
+    p = np.clip(learn.predict(x, w), 1e-9, 1 - 1e-9)
+    order, n1 = np.unique(p, return_inverse=True)[1], y.sum()
+    size = np.bincount(order)
+    rank = (np.cumsum(size) - (size - 1) / 2)[order]
+    area = (rank[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(y) - n1)) if 0 < n1 < len(y) else float("nan")
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()), float(area)
+
+
+def nonnegative(x: np.ndarray, y: np.ndarray, l2: float = 0.1) -> np.ndarray:
+    """Ridge logistic weights of which none but the intercept is negative: columns that would be are left out."""
+    on = list(range(x.shape[1]))
+    while True:
+        w = learn.logistic(x[:, on], y, l2=l2)
+        if (w[:-1] >= 0).all():
+            out = np.zeros(x.shape[1] + 1)
+            out[on], out[-1] = w[:-1], w[-1]
+            return out
+        on.pop(int(np.argmin(w[:-1])))
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -258,21 +287,35 @@ def apply_views(model: dict, content: np.ndarray, page: np.ndarray) -> tuple[np.
     return learn.predict(np.stack([_logit(q) for q in p], axis=1), model["blend"]), *p
 
 
+def _meta(docs: DataFrame) -> list:
+    """The metadata columns, each in one type whatever the table has; a missing one is null."""
+    kinds = {"n_chars": "double"}
+    return [(F.col(c) if c in docs.columns else F.lit(None)).try_cast(kinds.get(c, "string")).alias(c) for c in METADATA]
+
+
 def _rows(docs: DataFrame, key: str, *more) -> DataFrame:
-    meta = [F.col(c).alias(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in METADATA]
-    return docs.select(F.col(key).alias("key"), *meta, F.coalesce("text", F.lit("")).alias("text"), *more)
+    return docs.select(F.col(key).alias("key"), *_meta(docs), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
 def _views(batch: pa.RecordBatch, a: int, b: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    meta = zip(*(batch.column(batch.schema.get_field_index(c)).slice(a, b - a).to_pylist() for c in METADATA), texts)
+    meta = zip(*(batch.column(batch.schema.get_field_index(c)).slice(a, b - a).to_pylist() for c in METADATA))
     return np.array([content_view(t) for t in texts]), np.array([page_view(*m) for m in meta])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, key: str = "doc_id") -> dict:
-    """Model from at most `rows` labelled documents, chosen by a hash of their key, and all rows whose key has no label."""
+    """Model from at most `rows` labelled documents, chosen by a hash of their key, and all rows whose key has no label.
+
+    Null keys and labels are not labels, contradicting ones count as good, of rows with one labelled key one is used; a
+    null text is empty, null or missing metadata are values of their own, further columns do not matter.  Without labels of
+    both classes, empty tables included, the model rejects nothing.
+    """
     common.ship(docs.sparkSession)
     quality = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max("quality").cast("int").alias("y"))
-    few = common.checkpointed(quality.orderBy(F.xxhash64("key"), "key").limit(rows))
+    # A hash keeps somewhat more than are needed, so that not all keys are sorted.
+    n = quality.count()
+    chance = F.pmod(F.xxhash64("key"), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    near = quality.where(chance <= min(1.0, (rows + 6 * rows**0.5 + 20) / max(n, 1)))
+    few = common.checkpointed(near.orderBy(chance, "key").limit(rows))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -282,7 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, key: str
                 x = [np.concatenate(r).astype(np.float16).tobytes() for r in zip(*_views(batch, a, b, texts))]
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in rest), pa.array(x, pa.binary())], names=[*("key", "y")[: len(rest)], "x"])
 
-    found = _rows(docs, key).join(F.broadcast(few), "key").mapInArrow(run, f"key {kind}, y int, x binary").withColumn("key", F.col("key").cast("string")).toPandas().sort_values(["key", "x"])
+    found = learn.one_each(_rows(docs, key).join(F.broadcast(few), "key")).mapInArrow(run, f"key {kind}, y int, x binary").withColumn("key", F.col("key").cast("string")).toPandas().sort_values(["key", "x"])
     x = np.frombuffer(b"".join(found["x"]), np.float16).reshape(len(found), N_CONTENT + N_META).astype(np.float32)
     y = found["y"].to_numpy()
     if len(np.unique(y)) < 2:
@@ -312,7 +355,11 @@ def classify(docs: DataFrame, model: dict, threshold: float = 0.5, key: str = "d
 
 
 def keep(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that classify() keeps, with all their columns and without a shuffle."""
+    """The rows of docs that classify() keeps, with all their columns, whatever their names, and without a shuffle.
+
+    A null text is empty; null or missing metadata are values of their own.  Repeated rows are judged alike; an empty table
+    stays empty.
+    """
     common.ship(docs.sparkSession)
 
     @F.pandas_udf("boolean")
@@ -322,9 +369,8 @@ def keep(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
         out = [np.zeros(0, bool)]
         for a in range(0, len(texts), 1000):
             part = texts[a : a + 1000]
-            views = np.array([content_view(t) for t in part]), np.array([page_view(*m, t) for m, t in zip(meta[a : a + 1000], part)])
+            views = np.array([content_view(t) for t in part]), np.array([page_view(*m) for m in meta[a : a + 1000]])
             out.append(apply_views(model, *views)[0] >= threshold)
         return pd.Series(np.concatenate(out))
 
-    meta = [F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in METADATA]
-    return docs.where(good(*meta, F.col("text")))
+    return docs.where(good(*_meta(docs), F.col("text")))

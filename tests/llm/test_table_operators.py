@@ -158,6 +158,44 @@ def test_cotraining(spark):
     assert cotrain.keep(docs, nothing).count() == docs.count() and cotrain.classify(docs.limit(0), model).count() == 0
 
 
+def test_cotraining_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    unseen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0
+    model = cotrain.fit(docs, labels.where(~unseen))
+    got = cotrain.classify(docs, model).join(labels.where(unseen), "doc_id").toPandas()
+    assert len(got) > 60 and (got.kept == (got.quality == 1)).mean() > 0.97
+    # Each view is at least as good as before the exchange, and neither weighs against its own verdict.
+    first = model["rounds"][0]
+    assert len(model["rounds"]) == cotrain.ROUNDS + 1 and (model["blend"][:-1] >= 0).all()
+    assert all(min(r[v][0] for r in model["rounds"]) <= first[v][0] for v in first)
+
+
+def test_blend_weights_are_not_negative():
+    g = np.random.default_rng(14)
+    y = g.integers(0, 2, 300).astype(float)
+    x = np.stack([y + 0.4 * g.normal(size=300), -y + 0.9 * g.normal(size=300)], 1)
+    w = cotrain.nonnegative(x, y)
+    assert w[0] > 0 and w[1] == 0 and np.allclose(w[[0, 2]], cotrain.learn.logistic(x[:, :1], y, l2=0.1))
+    assert cotrain.nonnegative(-x[:, :1], y)[0] == 0
+    loss, area = cotrain.measured(x[:, :1], np.array([2.0, -1.0]), y)
+    pairs = [(a > b) + 0.5 * (a == b) for a in x[y == 1, 0] for b in x[y == 0, 0]]
+    p = 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))
+    assert area == pytest.approx(np.mean(pairs)) and loss == pytest.approx(-np.mean(np.log(np.where(y == 1, p, 1 - p))))
+
+
+def test_cotraining_takes_any_metadata_alike(spark):
+    docs, labels = corpus(spark)
+    model = cotrain.fit(docs, labels)
+    # Such weights that the page view decides.
+    model["page"], model["blend"] = np.random.default_rng(15).normal(size=cotrain.N_META + 1) * 3, np.array([0.0, 1.0, 0.0])
+    model["curve"]["page"] = np.array([1.0, 0.0])
+    rows = [(k, "x y", [None, 5, 7][k % 3], [None, 3, 10_000, -4][k % 4]) for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source int, n_chars int").withColumn("score", F.lit("clash"))
+    kept = {r.doc_id for r in cotrain.classify(df, model).where("kept").collect()}
+    assert {r.doc_id for r in cotrain.keep(df, model).collect()} == kept and 0 < len(kept) < 12
+
+
 def test_cotraining_views_share_labels():
     g = np.random.default_rng(11)
     y = g.integers(0, 2, 400)
