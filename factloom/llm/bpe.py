@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 #: Entries after which a worker drops a cache and starts anew, which bounds memory and changes no result.
 CACHE_ENTRIES = 300_000
+#: Bytes of a chunk of a long piece, bytes before it from which its lanes begin, and how many begin there.
+CHUNK, WARM, LANES = 256, 64, 3
 
 
 def load_tiktoken(path: str) -> dict[bytes, int]:
@@ -260,14 +262,15 @@ class CountTransducer:
     def __init__(self, merges: Merges):
         self.rule = PairRule(merges)
         self.continued = {t[:k] for t in merges.vocab for k in range(len(t))}
+        self.kept_node: dict[int, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        #: For each state: byte to (next state << 8) + (change + 128).
-        self.moves: list[dict[int, int]] = []
-        self.intern((b"", (-1,), (0,)))
+        #: For each state: byte to (next state, change).
+        self.moves: list[dict[int, tuple[int, int]]] = []
+        self.intern((0, (-1,), (0,)))
 
     def intern(self, state: tuple) -> int:
         if (i := self.ids.get(state)) is None:
@@ -276,39 +279,113 @@ class CountTransducer:
             self.moves.append({})
         return i
 
-    def compile(self, s: int, byte: int) -> int:
-        tail, lasts, counts = self.states[s]
-        seen, vocab = tail + bytes((byte,)), self.rule.merges.vocab
-        for k in range(len(seen)):
-            t = vocab.get(seen[k:])
-            if t is not None and self.rule.valid(lasts[k], t):
+    def window(self, node: int) -> int:
+        """The node of the longest suffix that a token may still continue."""
+        if (to := self.kept_node.get(node)) is None:
+            text = self.rule.texts[node]
+            while text not in self.continued:
+                text = text[1:]
+            to = self.kept_node[node] = self.rule.node(text)
+        return to
+
+    def compile(self, s: int, byte: int) -> tuple[int, int]:
+        rule, (node, lasts, counts) = self.rule, self.states[s]
+        full = rule.moves[node].get(byte)
+        if full is None:
+            full = rule.move(node, byte)
+        known = rule.known
+        for t, n in rule.ends[full]:
+            before = lasts[-n]
+            ok = known.get((before << 32) + t)
+            if ok or ok is None and rule.valid(before, t):
                 break
         else:
             raise ValueError(f"no token for byte {byte}")
-        now = counts[k] + 1
-        cut = 0
-        while seen[cut:] not in self.continued:
-            cut += 1
-        state = (seen[cut:], (*lasts, t)[cut:], tuple(c - now for c in (*counts, now)[cut:]))
-        move = self.moves[s][byte] = (self.intern(state) << 8) + now + 128
+        now = counts[-n] + 1
+        to = self.window(full)
+        size = len(rule.texts[to])
+        state = (to, (*lasts, t)[-size - 1 :], (*[c - now for c in counts[len(counts) - size :]], 0))
+        move = self.moves[s][byte] = (self.intern(state), now)
         return move
 
-    def count(self, data: bytes) -> int:
-        """Tokens in the encoding of one piece."""
-        if len(self.states) > CACHE_ENTRIES:
-            self.clear()
-        moves, s, n = self.moves, 0, 0
+    def run(self, s: int, data: bytes) -> tuple[int, int]:
+        """State after data, and the change in the number of tokens, from state s."""
+        moves, n = self.moves, 0
         for byte in data:
-            move = moves[s].get(byte)
-            if move is None:
-                move = self.compile(s, byte)
-            s = move >> 8
-            n += (move & 255) - 128
-        return n
+            move = moves[s].get(byte) or self.compile(s, byte)
+            s, n = move[0], n + move[1]
+        return s, n
+
+    def count_all(self, pieces: list[bytes]) -> list[int]:
+        """Tokens in the encoding of each piece; pieces in byte order share the work on common prefixes."""
+        out, before = [], b""
+        path = [(0, 0)]
+        for piece in pieces:
+            if len(self.states) > CACHE_ENTRIES:
+                self.clear()
+                before, path = b"", [(0, 0)]
+            if len(piece) > CHUNK:
+                out.append(self.count_long(piece))
+                continue
+            same, most = 0, min(len(before), len(piece))
+            while same < most and before[same] == piece[same]:
+                same += 1
+            del path[same + 1 :]
+            moves, (s, n) = self.moves, path[same]
+            for byte in piece[same:]:
+                move = moves[s].get(byte) or self.compile(s, byte)
+                s, n = move[0], n + move[1]
+                path.append((s, n))
+            out.append(n)
+            before = piece
+        return out
+
+    def chunk_map(self, chunk: bytes, entries: set[int]) -> dict[int, tuple[int, int]]:
+        """State before the chunk to state after it and change in the number of tokens, for some states before it."""
+        return {s: self.run(s, chunk) for s in entries}
+
+    def count_long(self, data: bytes, chunk: int = 0) -> int:
+        """Tokens of one long piece: chunks' state maps, built apart, are composed by a parallel prefix scan.
+
+        A chunk's map has a lane for each state that the machine is in when it begins a little earlier, at LANES places:
+        encodings fall into step soon.  Where the state that comes in has no lane after all, the chunk is run from it.
+        """
+        chunk = chunk or CHUNK
+        starts = range(0, len(data), chunk)
+        known: dict[tuple[bytes, bytes], dict] = {}
+        maps = []
+        for a in starts:
+            ahead, part = data[max(0, a - WARM) : a], data[a : a + chunk]
+            if (ahead, part) not in known:
+                entries = {self.run(0, ahead[k:])[0] for k in range(LANES)} if a else {0}
+                known[ahead, part] = self.chunk_map(part, entries)
+            maps.append(known[ahead, part])
+        prefixes = scan_maps(maps)
+        state = total = 0
+        for a, part, one in zip(starts, prefixes, maps):
+            if 0 in part:
+                state, total = part[0]
+            else:
+                to, n = one[state] if state in one else self.run(state, data[a : a + chunk])
+                state, total = to, total + n
+        return total
+
+
+def scan_maps(maps: list[dict]) -> list[dict]:
+    """Inclusive prefix composition of partial maps from state to (state, number), by doubling; numbers add up."""
+    maps, d = list(maps), 1
+    while d < len(maps):
+        maps[d:] = [{s: (g[to][0], n + g[to][1]) for s, (to, n) in f.items() if to in g} for f, g in zip(maps, maps[d:])]
+        d *= 2
+    return maps
 
 
 class TokenCounter:
-    """Token counts of whole texts: pieces by the pre-token transducer, tokens by the byte transducer."""
+    """Token counts of whole texts: pieces by the pre-token transducer, tokens by the byte transducer.
+
+    A piece begins in the start state whatever came before it, so as a chunk of the text its map is constant, and such maps
+    compose to the sum of their counts; they are kept by piece.
+    """
 
     def __init__(self, merges: Merges, specials: list[str], split: Callable[[list[str]], list[list[bytes]]]):
         self.machine, self.split = CountTransducer(merges), split
@@ -339,9 +416,8 @@ class TokenCounter:
         fresh = set().union(*pieces)
         if len(self.kept) > CACHE_ENTRIES:
             self.kept = {}
-        kept, count = self.kept, self.machine.count
-        for piece in fresh.difference(kept):
-            kept[piece] = count(piece)
+        kept, new = self.kept, sorted(fresh.difference(self.kept))
+        kept.update(zip(new, self.machine.count_all(new)))
         rest, out = iter(pieces), []
         for parts, n in cut:
             out.append(n + sum(sum(map(kept.__getitem__, next(rest))) for _ in parts))

@@ -372,3 +372,47 @@ def test_evidence_recovers_a_mixture():
     content, junk = np.array([0.6, 0.3, 0.1, 0.0]), np.array([0.0, 0.1, 0.3, 0.6])
     bad, good = linecrf.evidence(0.99 * content + 0.01 * junk, 0.2 * content + 0.8 * junk)
     assert good[0] > 0.95 and bad[0] > 0.8 and bad[3] < 0.05 and bad[2] < 0.2 and good[2] > bad[2]
+
+
+def test_chunk_maps_compose_to_the_count_of_the_whole():
+    merges, _ = bpe.Merges.from_json(P.path("byte_bpe_50k.json"))
+    machine, rng = bpe.CountTransducer(merges), random.Random(22)
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    long = ["".join(rng.choices(a, k=n)) for a, n in (("ab", 3_000), ("aeinrst", 2_000), ("é中x", 900), ("=", 5_000), ("-=", 700), ("abcdefghijklmnopqrstuvwxyz", 1_500))]
+    for text in long:
+        data = text.encode()
+        for chunk in (5, 64, 256):
+            n = machine.count_long(data, chunk)
+            assert n == machine.run(0, data)[1]
+        if text.isascii() and text.isalpha():
+            assert n == len(library.encode(text, add_special_tokens=False).ids)
+    # Two parts of a text, run from any state, compose.
+    data = long[1].encode()
+    middle, n = machine.run(0, data[:777])
+    assert machine.run(middle, data[777:])[1] + n == machine.run(0, data)[1]
+
+
+def test_scan_of_partial_maps():
+    g = np.random.default_rng(23)
+    maps = [{int(s): (int(g.integers(0, 6)), int(g.integers(-2, 5))) for s in g.permutation(6)[: g.integers(1, 7)]} for _ in range(23)]
+    for k, got in enumerate(bpe.scan_maps(maps)):
+        for start in range(6):
+            state, total = start, 0
+            for m in maps[: k + 1]:
+                if state not in m:
+                    state = None
+                    break
+                state, total = m[state][0], total + m[state][1]
+            assert got.get(start) == (None if state is None else (state, total))
+
+
+def test_changes_of_any_size_stay_apart_from_states():
+    # A token of 300 bytes takes the place of 300 others.
+    vocab = {bytes((k,)): k for k in range(256)}
+    pairs, word = {}, b"a"
+    for k in range(299):
+        pairs[word, b"b"] = k
+        word += b"b"
+        vocab[word] = 256 + k
+    machine = bpe.CountTransducer(bpe.Merges(vocab, pairs))
+    assert machine.run(0, word)[1] == 1 and machine.count_all([word, word + word]) == [1, 2]
