@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at their rates, none more than once."""
-    mixture = mixing.solve(docs, table(spark, sf_dir, "labels"), max_rate=1.0)
+    mixture = mixing.solve(docs, table(spark, sf_dir, "labels"), max_rate=1.0, ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return mixing.draw(docs, mixture)
 
 

@@ -76,6 +76,14 @@ def drop_stored(spark: SparkSession) -> int:
     return n
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_CHARS):
     """Yield (from row, to row, texts) so that each slice holds few code points; a null text is empty."""
     texts, first, size = [], 0, 0

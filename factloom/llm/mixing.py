@@ -1,28 +1,36 @@
 """Mixing sources to target weights (operator 5) with soft membership.
 
 A softmax classifier fitted on a bounded part of the labelled table, drawn by domain, gives each document a posterior over the
-domains of the whole table.  Tokens are words between blanks, not those of a tokenizer.  Nonnegative
+domains of the whole table.  Tokens are those of a byte-level BPE vocabulary.  Nonnegative
 rates are then found by projected-gradient least squares so that the expected tokens of each domain, the sum over
 documents of rate * tokens * posterior, meet their targets.  The gradient of a document's rate is its posterior times one
-vector with an entry for each domain, so a step sends these few sums to the driver, and a document's rate follows from its
-posterior and the steps' vectors: no state is kept or moved for documents.
+vector with an entry for each domain, so the sum of all steps is one such vector, and the projection of one less its
+product with the posterior is the rate: no state is kept or moved for documents, and a pass sends a few sums to the driver.
+Steps are scaled by the second moments of the documents whose rates are not at a bound, and halved until they climb the
+dual of the least-squares problem.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import functools
+import warnings
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import bpe, common
 
 #: Labelled documents used for the fit; buckets of byte triples.
 LABELLED_ROWS, BUCKETS = 4_000, 1_024
-STEPS, TOLERANCE = 30, 1e-3
+#: A solution misses no target by more than this share of all tokens; passes over the table in search of one.
+TOLERANCE, PASSES = 1e-5, 60
 #: Targets that are not given are the domains' shares of all tokens to this power, made to sum to one.
 FLATTEN = 0.7
 
@@ -37,9 +45,13 @@ def features(text: str) -> np.ndarray:
     return np.sqrt(counts / (len(b) - 2)).astype(np.float32)
 
 
-def n_tokens(text: str) -> int:
-    """Words between blanks: a text without blanks weighs one, whatever its length."""
-    return len(text.encode().split())
+@functools.lru_cache(maxsize=2)
+def counter(ranks: str | None) -> Callable[[str], int]:
+    """Tokens of a text by the library and a rank file (.tiktoken); words between blanks without one."""
+    if ranks is None:
+        return lambda text: len(text.encode().split())
+    encoding = tiktoken.Encoding("mixing", pat_str=PATTERN, mergeable_ranks=bpe.load_tiktoken(ranks), special_tokens={})
+    return lambda text: len(encoding.encode_ordinary(text))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -52,21 +64,28 @@ class Mixture:
     domains: list[str]
     weights: np.ndarray
     targets: np.ndarray
-    steps: list[np.ndarray] = field(default_factory=list)
-    max_rate: float | None = None
-    #: Largest miss of a domain's target, as a share of all tokens, when last measured.
+    #: Sum of the gradient steps, by domain; a bound on rates before they are scaled, and the scale.
+    moved: np.ndarray | None = None
+    bound: float | None = None
+    scale: float = 1.0
+    #: Largest miss of a domain's target by these steps, as a share of all tokens.
     residual: float = 0.0
+    #: Rank file that tells tokens.
+    ranks: str | None = None
+
+    @property
+    def converged(self) -> bool:
+        return self.residual <= TOLERANCE
 
     def posterior(self, texts: list[str]) -> np.ndarray:
         x = np.array([features(t) for t in texts], np.float32).reshape(len(texts), BUCKETS)
         return softmax(x @ self.weights[:-1] + self.weights[-1])
 
     def rates(self, posterior: np.ndarray) -> np.ndarray:
-        """Rate of each row: one, moved by each step's vector and projected."""
-        r = np.ones(len(posterior))
-        for v in self.steps:
-            r = np.clip(r - posterior @ v, 0.0, self.max_rate)
-        return r
+        """Rate of each row: one less its steps, projected."""
+        if self.moved is None:
+            return np.ones(len(posterior))
+        return self.scale * np.clip(1 - posterior @ self.moved, 0.0, self.bound)
 
 
 def quotas(sizes: dict[str, int], rows: int) -> dict[str, int]:
@@ -92,14 +111,20 @@ def fit_classifier(x: np.ndarray, y: np.ndarray, k: int, steps: int = 300, rate:
     return w
 
 
-def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dict[str, float] | None = None, total: float | None = None, max_rate: float | None = None, rows: int = LABELLED_ROWS, key: str = "doc_id") -> Mixture:
+def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dict[str, float] | None = None, total: float | None = None, max_rate: float | None = None, rows: int = LABELLED_ROWS, key: str = "doc_id", ranks: str | None = None) -> Mixture:
     """Classifier, targets and rate steps for docs.
 
     `targets` are weights by domain; the token total aimed at is `total` times that of docs, by default the same or, with
-    a `max_rate`, the largest that no domain needs a higher rate for.  Domains are all values of
+    a `max_rate`, as much as lets the highest rate be that.  Domains are all values of
     column `domain` in docs; a target for another one is an error.  The classifier is fitted on about `rows` documents, an
     even part of each domain, weighted by the domains' sizes: labelled ones, or any where a domain has none.  Without
     a labelled document every rate is one, and targets are an error.
+
+    Tokens are those of the rank file `ranks`, words between blanks without one.  Targets that cannot be met, as where a
+    `total` asks for more than `max_rate` allows, give the nearest rates that were found, a warning and the residual.
+
+    Null domains have no target; null keys are not labelled; of rows with one key and domain one is drawn; a null text is
+    empty; ties are broken by key; further columns do not matter; an empty table gives rates of one.
     """
     common.ship(docs.sparkSession)
     named = docs.where(F.col(domain).isNotNull()).withColumns({"key": F.col(key), "domain": F.col(domain).cast("string"), "text": F.coalesce("text", F.lit(""))}).select("key", "domain", "text")
@@ -111,7 +136,7 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     if missing := [d for d in targets or {} if d not in sizes or not found]:
         raise ValueError(f"no document is of {', '.join(missing)}, or none is labelled")
     if not found:
-        return Mixture([""], np.zeros((BUCKETS + 1, 1), np.float32), np.ones(1), max_rate=max_rate)
+        return Mixture([""], np.zeros((BUCKETS + 1, 1), np.float32), np.ones(1), ranks=ranks)
     # A hash keeps somewhat more than each domain's quota, and the first rows by that hash are ranked to it.
     spare = {d: n for d, n in sizes.items() if d not in found}
     quota = quotas(found | spare, rows)
@@ -121,7 +146,7 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     first = Window.partitionBy("domain").orderBy(F.xxhash64("key"), "key")
     pick = lambda df: df.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= F.col("quota"))
     few = pick(near(labelled, True)).select("key", "domain").distinct()
-    sample = named.join(F.broadcast(few), ["key", "domain"]).select("key", "domain", "text")
+    sample = named.join(F.broadcast(few), ["key", "domain"]).groupBy("key", "domain").agg(F.min("text").alias("text"))
     if spare:
         sample = sample.unionByName(pick(near(named, False)).select("key", "domain", "text"))
 
@@ -138,9 +163,10 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     weights = fit_classifier(x, y, len(domains), weight=weight[y] / weight[y].mean())
     k = len(domains)
 
-    mixture = Mixture(domains, weights, np.ones(k) / k, max_rate=max_rate)
+    mixture = Mixture(domains, weights, np.ones(k) / k, ranks=ranks)
 
     def members(batches):
+        n_tokens = counter(ranks)
         for batch in batches:
             for a, b, texts in common.text_slices(batch):
                 p = mixture.posterior(texts)
@@ -173,48 +199,74 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
     size = gram.sum()
     if size <= 0:
         return mixture
-    if total is None:
-        mass = gram.sum(axis=1) / size
-        wanted = mixture.targets > 0
-        total = 1.0 if max_rate is None else float((max_rate * mass[wanted] / mixture.targets[wanted]).min())
-    # Least squares in the metric of the Gram matrix, in which the gradient's Lipschitz constant is one.
-    metric = np.linalg.pinv(gram / size + 1e-9 * np.eye(k)) / size
-    goal, best, vectors = mixture.targets * size * total, np.inf, []
-    while len(vectors) < STEPS:
-        off = sums(lambda n, p: p.T @ (n * mixture.rates(p)), k) - goal
-        loss = float(off @ metric @ off) / size
-        mixture.residual = float(np.abs(off).max() / size)
-        if loss > best * (1 - TOLERANCE) or loss < 1e-14:
-            break
-        best = loss
-        vectors.append(metric @ off)
-        mixture = Mixture(domains, mixture.weights, mixture.targets, list(vectors), max_rate)
+    # Without a total the rates may be scaled as a whole, and so need no bound before that.
+    bound = max_rate if total is not None else None
+    goal = mixture.targets * (1.0 if total is None else total)
+
+    def state(moved: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Each domain's miss, second moments of the documents whose rates can move, and the dual's value."""
+
+        def parts(n, p):
+            z = 1 - p @ moved
+            r = np.clip(z, 0.0, bound)
+            free = n * ((z > 0) & (z < (np.inf if bound is None else bound)))
+            return np.concatenate([p.T @ (n * r), (p.T @ (p * free[:, None])).ravel(), [n @ ((r - 1) ** 2 / 2 + (1 - z) * r)]])
+
+        got = sums(parts, k + k * k + 1) / size
+        return got[:k] - goal, got[k:-1].reshape(k, k), float(got[-1] - moved @ goal)
+
+    moved, passes = np.zeros(k), 1
+    off, free, value = state(moved)
+    best = np.abs(off).max(), moved
+    while best[0] > TOLERANCE and passes < PASSES:
+        move = np.linalg.solve(free + 1e-4 * gram / size + 1e-9 * np.eye(k), off)
+        climb = move @ off
+        for _ in range(6):
+            off, free, new = state(moved + move)
+            passes += 1
+            if new >= value + 1e-4 * climb:
+                break
+            move, climb = move / 2, climb / 2
+        moved, value = moved + move, new
+        best = min(best, (np.abs(off).max(), moved), key=lambda x: x[0])
+    mixture.moved, mixture.residual, mixture.bound = best[1], float(best[0]), bound
+    if max_rate is not None and bound is None:
+        # No posterior has a higher rate than that of a document wholly in the domain moved up most.
+        mixture.scale = max_rate / max(1.0 - best[1].min(), 1e-12)
+    if not mixture.converged:
+        warnings.warn(f"mixing targets are missed by up to {mixture.residual:.2g} of all tokens", stacklevel=2)
     return mixture
 
 
-def assign(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """docs with n_tokens, domain (the likeliest), rate and copies added.
+def assign(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text", seed: int = 0, count: bool = False) -> DataFrame:
+    """docs with domain (the likeliest), rate and copies added, and with `count` n_tokens.
 
     copies rounds the rate to a whole number without bias, by a hash of the key, so that a rerun decides alike; a null key
     hashes like any value.  A null or empty text has no tokens and the rate of the classifier's prior.  Columns of docs with
-    these four names are replaced; rows, repeated ones included, all stay; an empty table stays empty.
+    these names are replaced; rows, repeated ones included, all stay; an empty table stays empty.
     """
     common.ship(docs.sparkSession)
+    names = ("domain", "rate", *(["n_tokens"] if count else []))
 
-    @F.pandas_udf("n_tokens long, domain string, rate double")
+    @F.pandas_udf("domain string, rate double" + ", n_tokens long" * count)
     def member(texts: pd.Series) -> pd.DataFrame:
         texts = [t or "" for t in texts]
         p = np.concatenate([mixture.posterior(texts[a : a + 500]) for a in range(0, len(texts), 500)]) if texts else np.zeros((0, len(mixture.domains)))
-        return pd.DataFrame({"n_tokens": [n_tokens(t) for t in texts], "domain": [mixture.domains[k] for k in p.argmax(axis=1)], "rate": mixture.rates(p)})
+        out = {"domain": [mixture.domains[k] for k in p.argmax(axis=1)], "rate": mixture.rates(p)}
+        return pd.DataFrame(out | ({"n_tokens": list(map(counter(mixture.ranks), texts))} if count else {}))
 
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    out = docs.withColumn("_member", member(F.col(text)))
-    out = out.withColumns({c: F.col(f"_member.{c}") for c in ("n_tokens", "domain", "rate")}).drop("_member")
+    added = common.unused(docs, "member")
+    out = docs.withColumn(added, member(F.col(text)))
+    out = out.withColumns({c: F.col(f"{added}.{c}") for c in names}).drop(added)
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
 def draw(docs: DataFrame, mixture: Mixture, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row of docs as many times as its copies say, with its own columns, whatever their names."""
+    """Each row of docs as many times as its copies say, with its own columns, whatever their names.
+
+    Null texts and keys are dealt with as in assign(); an empty table stays empty.
+    """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     assigned = assign(packed, mixture, f"_row.{key}", f"_row.{text}").where("copies > 0")
     return assigned.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")

@@ -28,8 +28,8 @@ def op4_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixture = mixing.solve(docs, table(spark, sf_dir, "labels"))
-    return mixing.assign(docs, mixture).select("doc_id", "n_tokens", "domain", "rate", "copies")
+    mixture = mixing.solve(docs, table(spark, sf_dir, "labels"), ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return mixing.assign(docs, mixture).select("doc_id", "domain", "rate", "copies")
 
 
 def op6_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
