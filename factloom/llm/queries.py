@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import cotrain, crosspoly, licences, linecrf, mixing, simhash, tokens, toolcalls, toxicity
 from .common import table
@@ -48,8 +49,28 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), digest=True)
 
 
+def tool_turns(turns: DataFrame) -> DataFrame:
+    """Every message of a conversation as one of tool use, as the tables have none.
+
+    What a user says becomes an assistant's search for it and a calculation; what the assistant says becomes the result of
+    the search one turn before, or of a call that there is not.  Searches wait for calculations of their turn, these for the search two turns before
+    and, in some conversations, for that of their own turn, so that there are chains and cycles; some arguments are of a
+    wrong type.
+    """
+    turn, conv = F.col("turn"), F.col("conv_id")
+    name = lambda mark, t: F.concat(F.lit(mark), t.cast("string"))
+    none = F.array().cast("array<string>")
+    search = F.struct(name("s", turn).alias("id"), F.lit("search").alias("name"), F.struct(turn.alias("limit"), F.col("text").alias("query")).alias("arguments"), F.when(turn % 4 < 2, F.array(name("c", turn))).otherwise(none).alias("depends_on"))
+    waits = F.concat(F.array(name("s", turn - 2)), F.when(conv % 5 == 0, F.array(name("s", turn))).otherwise(none))
+    number = lambda value: F.to_json(F.struct(name("c", turn).alias("id"), F.lit("calculator").alias("name"), F.struct(value.alias("expression")).alias("arguments"), waits.alias("depends_on")))
+    ask = F.concat(F.lit('{"tool_calls":['), F.to_json(search), F.lit(","), F.when(turn % 3 == 0, number(turn)).otherwise(number(turn.cast("string"))), F.lit('],"content":"ask"}'))
+    answer = F.to_json(F.struct(F.when(turn % 5 == 4, name("x", turn)).otherwise(name("s", turn - 1)).alias("tool_call_id"), F.col("text").alias("content")))
+    role = F.col("role")
+    return turns.select("conv_id", "turn", F.when(role == "user", "assistant").when(role == "assistant", "tool").otherwise(role).alias("role"), F.when(role == "user", ask).when(role == "assistant", answer).otherwise(F.col("text")).alias("text"))
+
+
 def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toolcalls.format_messages(table(spark, sf_dir, "conversations"))
+    return toolcalls.format_messages(tool_turns(table(spark, sf_dir, "conversations")))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +99,36 @@ _LINKS = """
     FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
-#: Messages without tool calls or results; the SQL stops at any other, which the tests compare with a plain program.
-_MESSAGES = """
-    SELECT conv_id, turn, role, CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, CAST(0 AS BIGINT) AS n_valid, false AS is_orphan,
-        CASE WHEN lower(role) IN ('assistant', 'tool') AND ltrim(text) LIKE '{%' THEN error('tool message') ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' END AS message
-    FROM conversations
+#: tool_turns() and the messages that it gives: links, order by recursion along what calls wait for, and valid arguments.
+#: A path of as many steps as there are calls has gone round in a cycle.
+_TOOLS = """
+    WITH RECURSIVE c AS (
+        SELECT conv_id, turn, 0 AS place, 's' || turn AS id, 'search' AS name, '{"limit":' || turn || coalesce(',"query":' || CAST(to_json(text) AS VARCHAR), '') || '}' AS arguments, text IS NOT NULL AS valid,
+            CASE WHEN turn % 4 < 2 THEN ['c' || turn] ELSE [] END AS waits FROM conversations WHERE role = 'user'
+        UNION ALL
+        SELECT conv_id, turn, 1, 'c' || turn, 'calculator', '{"expression":' || CASE WHEN turn % 3 = 0 THEN CAST(turn AS VARCHAR) ELSE '"' || turn || '"' END || '}', turn % 3 <> 0,
+            list_concat(['s' || (turn - 2)], CASE WHEN conv_id % 5 = 0 THEN ['s' || turn] ELSE [] END) FROM conversations WHERE role = 'user'
+    ), w AS (
+        SELECT e.conv_id, e.id, e.awaited FROM (SELECT conv_id, id, unnest(waits) AS awaited FROM c) e JOIN c ON c.conv_id = e.conv_id AND c.id = e.awaited
+    ), n AS (SELECT conv_id, count(*) AS n FROM c GROUP BY conv_id
+    ), steps AS (
+        SELECT conv_id, id, 0 AS d FROM c UNION SELECT w.conv_id, w.id, steps.d + 1 FROM steps JOIN w ON w.conv_id = steps.conv_id AND w.awaited = steps.id JOIN n ON n.conv_id = w.conv_id WHERE steps.d < n.n
+    ), deep AS (
+        SELECT s.conv_id, s.id, CASE WHEN max(d) < any_value(n) THEN max(d) END AS depth FROM steps s JOIN n USING (conv_id) GROUP BY s.conv_id, s.id
+    ), a AS (
+        SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN 'x' || turn ELSE 's' || (turn - 1) END AS id, text FROM conversations WHERE role = 'assistant'
+    ), r AS (SELECT conv_id, id, min({'turn': turn, 'content': text}) AS first FROM a GROUP BY conv_id, id
+    ), written AS (
+        SELECT c.conv_id, c.turn, count(*) AS n_calls, count(r.first) AS n_linked, count(*) FILTER (WHERE c.valid) AS n_valid, string_agg('{"arguments":' || c.arguments || ',"depth":' || coalesce(CAST(depth AS VARCHAR), 'null') || ',"id":"' || c.id
+            || '","name":"' || c.name || '","result":' || coalesce(CAST(to_json(r.first.content) AS VARCHAR), 'null') || ',"valid":' || c.valid || '}', ',' ORDER BY depth NULLS LAST, place) AS calls
+        FROM c JOIN deep ON deep.conv_id = c.conv_id AND deep.id = c.id LEFT JOIN r ON r.conv_id = c.conv_id AND r.id = c.id GROUP BY c.conv_id, c.turn
+    )
+    SELECT m.conv_id, m.turn, CASE role WHEN 'user' THEN 'assistant' WHEN 'assistant' THEN 'tool' ELSE role END AS role, CAST(coalesce(n_calls, 0) AS BIGINT) AS n_calls, CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked,
+        CAST(coalesce(n_valid, 0) AS BIGINT) AS n_valid, role = 'assistant' AND c.id IS NULL AS is_orphan,
+        CASE role WHEN 'user' THEN '{"content":"ask","role":"assistant","tool_calls":[' || calls || ']}'
+            WHEN 'assistant' THEN '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":"tool","tool_call_id":"' || a_id || '"}'
+            ELSE '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' END AS message
+    FROM (SELECT *, CASE WHEN turn % 5 = 4 THEN 'x' || turn ELSE 's' || (turn - 1) END AS a_id FROM conversations) m
+    LEFT JOIN written ON role = 'user' AND written.conv_id = m.conv_id AND written.turn = m.turn LEFT JOIN c ON role = 'assistant' AND c.conv_id = m.conv_id AND c.id = a_id
 """
-ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle(), "op2_embedding_near_dedup": _LINKS, "op9_tool_calls": _MESSAGES}
+ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle(), "op2_embedding_near_dedup": _LINKS, "op9_tool_calls": _TOOLS}

@@ -2,7 +2,7 @@
 
 DataFrame functions only.  An assistant message may be a JSON object {"content": ..., "tool_calls": [{"id", "name",
 "arguments", "depends_on": [ids]}]}; a message of role tool is {"tool_call_id": ..., "content": ...}.  Calls and results of
-a conversation are joined by identifier; calls are put in topological order by depth; arguments are validated against
+a conversation are joined by identifier; calls are put in topological order by their depth; arguments are validated against
 schemas; JSON objects are written with sorted keys.
 """
 
@@ -47,29 +47,74 @@ def canonical(text: Column) -> Column:
     return F.to_json(F.try_parse_json(text))
 
 
-def depths(calls: DataFrame) -> DataFrame:
-    """(conv, id, depth): 0 for a call that waits for no other call of its conversation, else one more than the deepest it
-    waits for.  Calls in or behind a cycle are not there.  One round for each depth."""
-    names = calls.select("conv", "id").distinct()
+#: Calls of a conversation that are ordered within one array; those of longer ones are ordered in rounds of joins.
+ARRAY_CALLS = 128
+#: Parts that a conversation's calls are dealt to while they are told apart by their number.
+PARTS = 16
+
+
+def _same(a: str, b: str, x: str = "id", y: str = "id") -> Column:
+    return F.col(f"{a}.conv").eqNullSafe(F.col(f"{b}.conv")) & (F.col(f"{a}.{x}") == F.col(f"{b}.{y}"))
+
+
+def depths(calls: DataFrame, array_calls: int = ARRAY_CALLS) -> DataFrame:
+    """(conv, id, depth) of calls (conv, id, depends_on), one row for each conv and id.
+
+    depth is 0 for a call that waits for no other call of its conversation, else one more than the deepest it waits for;
+    null for calls in or behind a cycle.  A conversation of up to `array_calls` calls is one array, whose depths settle in as
+    many steps as the deepest; of a longer one each depth is a round of joins over what is left of it.
+    """
+    # Counted in parts, and the few counts copied to as many, so that no task gets all calls of one conversation.
+    n = calls.groupBy("conv").agg(F.count("*").alias("n")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = calls.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int"))
+    sized = stored(dealt.alias("c").join(n.alias("n"), F.col("c.conv").eqNullSafe(F.col("n.conv")) & (F.col("c.part") == F.col("n.part"))).select("c.conv", "c.id", "c.depends_on", "n.n"))
+    small = sized.where(F.col("n") <= array_calls).groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("id", "depends_on"))).alias("calls"))
+    ids = F.transform("calls", lambda c: c["id"])
+    # Places of the calls that each waits for; ids that are no calls are left out.
+    small = small.withColumn("ids", ids).withColumn("on", F.transform("calls", lambda c: F.filter(F.transform(F.coalesce(F.array_distinct(c["depends_on"]), F.array().cast("array<string>")), lambda d: F.array_position("ids", F.coalesce(d, F.lit("")))), lambda k: k > 0)))
+    unknown = F.transform("on", lambda _: F.lit(None).cast("int"))
+    # One step: a call's depth follows once those of all it waits for are known.
+    step = lambda now: F.transform("on", lambda w: F.when(F.exists(w, lambda k: F.get(now, (k - 1).cast("int")).isNull()), F.lit(None).cast("int")).otherwise(F.coalesce(F.array_max(F.transform(w, lambda k: F.get(now, (k - 1).cast("int")))) + 1, F.lit(0))))
+    settled = F.aggregate(F.sequence(F.lit(1), F.size("on")), F.struct(unknown.alias("now"), F.lit(True).alias("moving")), lambda a, _: F.when(a["moving"], F.struct(step(a["now"]).alias("now"), (F.to_json(step(a["now"])) != F.to_json(a["now"])).alias("moving"))).otherwise(a))
+    ordered = small.select("conv", F.inline(F.arrays_zip(F.col("ids").alias("id"), settled["now"].alias("depth"))))
+    large = sized.where(F.col("n") > array_calls)
+    return ordered.select("conv", "id", "depth") if large.isEmpty() else ordered.select("conv", "id", "depth").unionByName(_depths_in_rounds(large))
+
+
+def _depths_in_rounds(calls: DataFrame) -> DataFrame:
+    """depths() by joins.  Chains of calls that wait for one other each are followed by doubling; then each round takes the
+    calls of several waits whose waits are all over, and leaves the others."""
+    names = calls.select("conv", "id")
     waits = calls.select("conv", "id", F.explode("depends_on").alias("on")).distinct()
-    waits = waits.join(names.select(F.col("conv").alias("c"), F.col("id").alias("on_id")), (F.col("conv").eqNullSafe(F.col("c"))) & (F.col("on") == F.col("on_id"))).select("conv", "id", "on")
-    waits = stored(waits)
-    same = lambda a, b, x, y: F.col(f"{a}.conv").eqNullSafe(F.col(f"{b}.conv")) & (F.col(f"{a}.{x}") == F.col(f"{b}.{y}"))
-    done = stored(names.alias("n").join(waits.alias("w"), same("n", "w", "id", "id"), "left_anti").withColumn("depth", F.lit(0)))
-    while True:
-        left = waits.alias("w").join(done.alias("d"), same("w", "d", "id", "id"), "left_anti")
-        ready = left.alias("w").join(done.alias("d"), same("w", "d", "on", "id"), "left").groupBy("w.conv", "w.id").agg(F.max("d.depth").alias("deep"), F.count_if(F.col("d.depth").isNull()).alias("missing"))
-        new = stored(ready.where("missing = 0").select("conv", "id", (F.col("deep") + 1).alias("depth")))
-        if new.isEmpty():
-            return done
-        done = stored(done.unionByName(new))
+    waits = stored(waits.alias("w").join(names.alias("n"), _same("w", "n", "on"), "left_semi"))
+    number = stored(waits.groupBy("conv", "id").agg(F.count("*").alias("n"), F.min("on").alias("on")))
+    jumps = stored(number.where("n = 1").select("conv", "id", F.col("on").alias("to"), F.lit(1).cast("long").alias("far")))
+    for _ in range(max(jumps.count(), 1).bit_length()):
+        if jumps.alias("a").join(jumps.alias("b"), _same("a", "b", "to"), "left_semi").isEmpty():
+            break
+        jumps = stored(jumps.alias("a").join(jumps.alias("b"), _same("a", "b", "to"), "left").select("a.conv", "a.id", F.coalesce("b.to", "a.to").alias("to"), (F.col("a.far") + F.coalesce("b.far", F.lit(0))).alias("far")))
+    # A jump that still leads to a jump goes round in a cycle.
+    jumps = stored(jumps.alias("a").join(jumps.alias("b"), _same("a", "b", "to"), "left_anti"))
+    ready = stored(names.alias("n").join(number.alias("w"), _same("n", "w"), "left_anti").withColumn("depth", F.lit(0).cast("long")))
+    several = waits.alias("w").join(number.where("n > 1").alias("n"), _same("w", "n"), "left_semi")
+    left = several.alias("w").join(jumps.alias("j"), _same("w", "j", "on"), "left").select("w.conv", "w.id", F.coalesce("j.to", "w.on").alias("on"), (F.coalesce("j.far", F.lit(0)) + 1).alias("far"), F.lit(None).cast("long").alias("got"))
+    left, done = stored(left), [ready]
+    while not left.isEmpty():
+        left = stored(left.alias("w").join(ready.alias("r"), _same("w", "r", "on"), "left").select("w.conv", "w.id", "w.on", "w.far", F.coalesce("w.got", F.col("r.depth") + F.col("w.far")).alias("got")))
+        ready = stored(left.groupBy("conv", "id").agg(F.max("got").alias("depth"), F.count_if(F.col("got").isNull()).alias("open")).where("open = 0").select("conv", "id", "depth"))
+        if ready.isEmpty():
+            break
+        left, done = stored(left.alias("w").join(ready.alias("r"), _same("w", "r"), "left_anti")), [*done, ready]
+    found = reduce(DataFrame.unionByName, done)
+    found = found.unionByName(jumps.alias("j").join(found.alias("d"), _same("j", "d", "to")).select("j.conv", "j.id", (F.col("d.depth") + F.col("j.far")).alias("depth")))
+    return names.alias("n").join(found.alias("d"), _same("n", "d"), "left").select("n.conv", "n.id", F.col("d.depth").cast("int").alias("depth"))
 
 
 def format_messages(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
     """(conv_id, turn, role, n_calls, n_linked, n_valid, is_orphan, message) for each row of turns (conv_id, turn, role, text).
 
     message is canonical JSON: role, content and, for an assistant's calls ordered by depth and place, id, name, canonical
-    arguments, depth (null in a cycle), valid, and the content of the first result with that id (null if none).  Of calls
+    arguments, depth (null in or behind a cycle), valid, and the content of the first result with that id (null if none).  Of calls
     with one id in a conversation the first counts as the call; later ones are written but not linked.  A result without a
     call is an orphan.  Text that is no such JSON is plain content; a null text stays null.  Repeated rows each give a row;
     further columns are left out; an empty table gives no row.
@@ -78,19 +123,19 @@ def format_messages(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
     asks, answers = F.lower("role") == "assistant", F.lower("role") == "tool"
     looks = F.ltrim("text").startswith("{")
     rows = turns.select(F.col("conv_id").alias("conv"), "turn", "role", "text")
-    rows = rows.withColumns({"asked": F.when(asks & looks, F.from_json("text", CALLS)), "answer": F.when(answers & looks, F.from_json("text", RESULT)), "mark": F.xxhash64("text")})
+    rows = rows.withColumns({"asked": F.when(asks & looks, F.from_json("text", CALLS)), "answer": F.when(answers & looks, F.from_json("text", RESULT)), "mark": F.sha2("text", 256)})
     rows = rows.withColumn("asked", F.when(F.size("asked.tool_calls") > 0, F.col("asked")))
     calls = rows.where("asked is not null").select("conv", "turn", "mark", F.posexplode("asked.tool_calls").alias("at", "call")).distinct()
     calls = calls.select("conv", "turn", "mark", "at", "call.*")
-    first = calls.where("id is not null").groupBy("conv", "id").agg(F.min(F.struct("turn", "at", "mark")).alias("first"), F.max_by("depends_on", F.struct(-F.col("turn"), -F.col("at"), "mark")).alias("depends_on"))
+    # The first call of an id, and what that one waits for.
+    first = calls.where("id is not null").groupBy("conv", "id").agg(F.min(F.struct("turn", "mark", "at", "depends_on")).alias("first"))
+    first = first.select("conv", "id", F.struct("first.turn", "first.mark", "first.at").alias("first"), "first.depends_on")
     results = rows.where("answer.tool_call_id is not null").groupBy("conv", F.col("answer.tool_call_id").alias("id")).agg(F.min(F.struct("turn", F.col("answer.content").alias("content"))).alias("result"))
     key = lambda a, b: F.col(f"{a}.conv").eqNullSafe(F.col(f"{b}.conv")) & (F.col(f"{a}.id") == F.col(f"{b}.id"))
-    if first.isEmpty():
-        deep = first.select("conv", "id", F.lit(0).alias("depth"))
-    else:
-        deep = depths(first.select("conv", "id", "depends_on"))
+    first = stored(first)
+    deep = depths(first.select("conv", "id", "depends_on"))
     linked = first.alias("f").join(results.alias("r"), key("f", "r"), "left").join(deep.alias("d"), key("f", "d"), "left").select("f.conv", "f.id", "f.first", "r.result", "d.depth")
-    is_first = F.col("l.first").eqNullSafe(F.struct("c.turn", "c.at", "c.mark"))
+    is_first = F.col("l.first").eqNullSafe(F.struct("c.turn", "c.mark", "c.at"))
     calls = calls.alias("c").join(linked.alias("l"), key("c", "l"), "left").select("c.conv", "c.turn", "c.mark", "c.at", "c.id", "c.name", "c.arguments", F.when(is_first, F.col("l.depth")).alias("depth"), F.when(is_first, F.col("l.result")).alias("result"))
     calls = calls.withColumn("valid", valid_arguments(F.col("name"), F.col("arguments"), schemas))
     parsed = F.coalesce(F.try_parse_json("arguments"), F.to_variant_object(F.struct(F.col("arguments").alias("raw"))))

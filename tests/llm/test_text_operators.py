@@ -416,3 +416,48 @@ def test_changes_of_any_size_stay_apart_from_states():
         vocab[word] = 256 + k
     machine = bpe.CountTransducer(bpe.Merges(vocab, pairs))
     assert machine.run(0, word)[1] == 1 and machine.count_all([word, word + word]) == [1, 2]
+
+
+def test_depths_by_arrays_and_by_joins_agree_with_brute_force(spark):
+    rng, rows, want = random.Random(24), [], {}
+    for conv in [*range(8), None]:
+        ids = [f"c{k}" for k in range(rng.choice([1, 3, 9, 30]))]
+        deps = {}
+        for k, i in enumerate(ids):
+            chain, any_ = ([ids[k - 1]] if k else []), [rng.choice([*ids, "zz"]) for _ in range(rng.randint(0, 2))]
+            deps[i] = (chain, any_, [rng.choice(ids[:k]) for _ in range(rng.randint(0, 3))] if k else [], [ids[(k + 1) % len(ids)]] if k % 5 == 4 else chain)[(conv or 0) % 4]
+        rows += [(conv, i, [*d, None, *d]) for i, d in deps.items()]
+        want |= {(conv, i): brute_depths(deps).get(i) for i in ids}
+    rows.append((99, "lone", None))
+    want[99, "lone"] = 0
+    df = spark.createDataFrame(rows, "conv long, id string, depends_on array<string>")
+    for size in (128, 9, 0):
+        assert {(r.conv, r.id): r.depth for r in toolcalls.depths(df, size).collect()} == want
+
+
+def test_long_chains_of_calls_take_few_rounds(spark, monkeypatch):
+    n, written = 1_500, []
+    monkeypatch.setattr(toolcalls, "stored", lambda df, put=toolcalls.stored: written.append(1) or put(df))
+    df = spark.createDataFrame([(1, f"c{k:04d}", [f"c{k - 1:04d}"]) for k in range(n)], "conv long, id string, depends_on array<string>")
+    assert [r.depth for r in toolcalls.depths(df).orderBy("id").collect()] == list(range(n)) and len(written) < 25
+
+
+def test_calls_of_one_turn_are_told_apart(spark):
+    call = lambda name, on: json.dumps({"content": name, "tool_calls": [{"id": "a", "name": name, "arguments": {}, "depends_on": on}, {"id": name, "name": "x", "arguments": None}]})
+    for turn in (3, None):
+        rows = [(1, turn, "assistant", call("one", ["one"])), (1, turn, "assistant", call("two", [])), (1, 9, "tool", json.dumps({"tool_call_id": "a", "content": "z"})), (1, 9, "tool", json.dumps({"tool_call_id": "a", "content": "b"}))]
+        got = [json.loads(r.message) for r in toolcalls.format_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()]
+        # The call that counts is that of the message with the smaller digest, with what that message says it waits for.
+        first = min(rows[:2], key=lambda r: hashlib.sha256(r[3].encode()).hexdigest())
+        calls = {m["content"]: {c["id"]: c for c in m["tool_calls"]} for m in got if m["role"] == "assistant"}
+        chosen = json.loads(first[3])["content"]
+        assert calls[chosen]["a"]["depth"] == (1 if chosen == "one" else 0) and calls[chosen]["a"]["result"] == "b"
+        other = ({"one", "two"} - {chosen}).pop()
+        assert calls[other]["a"]["depth"] is None and calls[other]["a"]["result"] is None
+
+
+def test_tool_query_links_calls(spark):
+    from factloom.llm import queries
+
+    got = queries.op9_tool_calls(spark, "/root/testdata/sf0.001").toPandas()
+    assert got.n_calls.sum() > 50 and 0 < got.n_linked.sum() < got.n_calls.sum() and 0 < got.n_valid.sum() < got.n_calls.sum() and got.is_orphan.any()
