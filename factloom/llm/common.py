@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Code points that one in-memory slice of texts may hold (a single longer text is a slice of its own).
 SLICE_CHARS = 500_000
-#: Rows of texts that a Python worker holds at once, and Spark's setting for it.
-MAX_BATCH_ROWS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+#: Rows of texts that a Python worker holds at once, and Spark's setting for it, which Spark reads as late as a frame is run.
+MAX_BATCH_ROWS, BATCH_ROWS = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-#: Tables that stored() has written.
+#: Tables that stored() has written, and the batch settings that ship() found.
 _stored: list[str] = []
+_batch_rows: dict[int, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once for each Spark context, and bound the rows they get at once."""
+    """Send this package to the executors' Python workers, once for each Spark context, and bound the rows they get at once.
+
+    The bound holds in this session until release().
+    """
     sc = spark.sparkContext
-    if int(spark.conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:
+    if int(now := spark.conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:
+        _batch_rows.setdefault(id(spark._jsparkSession), now)
         spark.conf.set(BATCH_ROWS, str(MAX_BATCH_ROWS))
     if getattr(sc, "_factloom_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     top = os.path.dirname(root)
+    # The driver alone reads this folder: addPyFile() copies the archive to whoever needs it.
     path = os.path.join(tempfile.mkdtemp(), "factloom_code.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(root):
@@ -44,10 +50,17 @@ def ship(spark: SparkSession) -> None:
     sc._factloom_shipped = True
 
 
+class NoSharedFolder(Exception):
+    def __init__(self):
+        super().__init__("set spark.checkpoint.dir to a folder that driver and executors share")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; own one only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; own one only where all run on this machine."""
     sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    found = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if found is None and not sc.master.startswith("local"):
+        raise NoSharedFolder
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="factloom-checkpoint-"))
     return found or sc.getCheckpointDir()
@@ -76,6 +89,13 @@ def drop_stored(spark: SparkSession) -> int:
     return n
 
 
+def release(spark: SparkSession) -> int:
+    """Once all results are written: drop_stored(), and the session's own batch size again."""
+    if before := _batch_rows.pop(id(spark._jsparkSession), None):
+        spark.conf.set(BATCH_ROWS, before)
+    return drop_stored(spark)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -156,11 +156,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
     bucket = ["size", "t", "code"]
     hot = entries.groupBy(*bucket).count().where(F.col("count") > block).select(*bucket, F.ceil(F.col("count") / block).alias("n"))
     part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("n")), F.lit(0))
-    blocks = entries.join(hot, bucket, "left").withColumn("part", part).groupBy(*bucket, "part", F.col("n").isNotNull().alias("hot")).agg(F.collect_list(F.struct("id", "w", "x", "sig")).alias("one"))
-    blocks = common.stored(blocks.where("hot or size(one) > 1"))
+    blocks = entries.join(hot, bucket, "left").withColumn("part", part).groupBy(*bucket, "part", "n").agg(F.collect_list(F.struct("id", "w", "x", "sig")).alias("one"))
+    blocks = common.stored(blocks.where("n is not null or size(one) > 1"))
     within = blocks.select("t", "code", "one", F.lit(None).cast(blocks.schema["one"].dataType).alias("two"))
-    across = blocks.where("hot").select(*bucket, "part", "one").join(blocks.where("hot").select(*bucket, F.col("part").alias("other"), F.col("one").alias("two")), bucket)
-    pairs = within.unionByName(across.where("part < other").select("t", "code", "one", "two"))
+    # Each block of a hot bucket meets the later ones by their own place, so that no task gets all pairs of one bucket.
+    left = blocks.where("part + 1 < n").select(*bucket, "one", F.explode(F.sequence(F.col("part") + 1, F.col("n") - 1)).alias("part"))
+    across = left.join(blocks.where("n is not null").select(*bucket, "part", F.col("one").alias("two")), [*bucket, "part"])
+    pairs = within.unionByName(across.select("t", "code", "one", "two"))
 
     def unpack(items, t: int) -> dict:
         values = items.values

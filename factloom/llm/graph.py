@@ -30,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (src, dst: long); component is the smallest node that can be reached.
 
     Each round hangs every node's larger neighbours, then its smaller ones, under its smallest neighbour, until nothing
-    changes.  A round shuffles the edges; minima are combined before the shuffle, so a node with many edges costs no
-    more than others; only two numbers a round come to the driver.  Null ends and loops are ignored; repeats do not count.
+    changes.  A round shuffles the edges; minima are combined before the shuffle.  A node with very many edges is one key of a
+    round's joins, whose partition adaptive execution splits once it is large.  Only two numbers a round come to the driver.
+    Null ends and loops are ignored; repeats do not count; an empty table gives no row.
     """
     plain = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
     now = checkpointed(plain.where("src is not null and dst is not null and u <> v").distinct())

@@ -90,9 +90,10 @@ def links(fps: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     tiles = common.stored(placed.groupBy("k", "part").agg(F.collect_list("fp").alias("fps")))
     steps = F.array(*[F.lit(sum(x * 32**q for q, x in enumerate(d))) for d in offsets(radius)])
     left = tiles.select(F.col("k").alias("ka"), F.col("part").alias("pa"), F.col("fps").alias("a"), F.explode(steps).alias("step"))
-    left = left.withColumn("k", F.col("ka") + F.col("step")).join(F.broadcast(sizes.select("k")), "k", "left_semi")
+    # Each tile meets each tile of a count in reach by that tile's own place, so that no task gets all pairs of one count.
+    left = left.withColumn("k", F.col("ka") + F.col("step")).join(F.broadcast(sizes), "k").select("ka", "pa", "a", "step", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("pb"))
     right = tiles.select("k", F.col("part").alias("pb"), F.col("fps").alias("b"))
-    pairs = left.join(right, "k").where("step <> 0 or pa <= pb").select("a", F.when(~((F.col("step") == 0) & (F.col("pa") == F.col("pb"))), F.col("b")).alias("b"))
+    pairs = left.where("step <> 0 or pa <= pb").join(right, ["k", "pb"]).select("a", F.when(~((F.col("step") == 0) & (F.col("pa") == F.col("pb"))), F.col("b")).alias("b"))
 
     def run(batches):
         for batch in batches:
@@ -127,14 +128,16 @@ def near_duplicates(docs: DataFrame, radius: int = 2, key: str = "doc_id", text:
 def keep_first(docs: DataFrame, radius: int = 2, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
     """docs with one row of each group of near duplicates: that of the group's smallest key, of repeated rows one.
 
-    Rows with a null key stay: no key tells them apart, so none is taken for another.
+    Rows with a null key stay: no key tells them apart, so none is taken for another.  Texts without words are copies of one
+    another, null ones included.  Columns may have any names; an empty table stays empty.
     """
     found = near_duplicates(docs, radius, key, text, words)
-    chosen = common.stored(found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("_n")))
+    n, place, id_ = (common.unused(docs, c) for c in ("n", "place", "id"))
+    chosen = common.stored(found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias(id_)).agg(F.count("*").alias(n)))
     # One shuffle of docs whatever their number: the list of kept keys grows with them and is never broadcast.
-    kept = docs.join(chosen.hint("merge"), key)
+    kept = docs.join(chosen.hint("merge"), F.col(key) == F.col(id_))
     # Only where a key stands in more than one row do rows need a sort; without one the join is all.
-    if not chosen.where("_n > 1").isEmpty():
-        place = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
-        kept = kept.withColumn("_place", F.row_number().over(place)).where("_place = 1")
+    if not chosen.where(F.col(n) > 1).isEmpty():
+        order = Window.partitionBy(id_).orderBy(F.xxhash64(text), text)
+        kept = kept.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return kept.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))

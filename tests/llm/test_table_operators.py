@@ -69,6 +69,31 @@ def test_simhash_against_brute_force(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def plain_fingerprint(text):
+    """From the definition alone, on integers."""
+    import re
+
+    import xxhash
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text))
+    shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_query_against_brute_force(spark):
+    from factloom.llm import queries
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    fps = {k: plain_fingerprint(t) for k, t in texts.items()}
+    near = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
+    low = roots(sorted(fps), near)
+    got = queries.op10_simhash_near_dedup(spark, SF).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got) == sorted((k, f"{fps[k]:016x}", low[k]) for k in fps)
+    for odd in ("A\u00a0B c d", "İ Ä\x1cx y z", "one\x85two three four", "x " * 200_000, "\u2003 a b"):
+        assert simhash.fingerprint(odd) == plain_fingerprint(odd)
+
+
 def test_fingerprint_of_known_shingles():
     import xxhash
 
@@ -339,6 +364,49 @@ def test_stored_tables_can_be_dropped(spark):
     assert os.path.isdir(path) and common.drop_stored(spark) == 1 and not os.path.isdir(path)
 
 
+def test_session_is_as_before_after_release(spark):
+    from factloom.llm import common
+
+    common.release(spark)
+    spark.conf.set(common.BATCH_ROWS, "5000")
+    common.ship(spark)
+    common.ship(spark)
+    assert spark.conf.get(common.BATCH_ROWS) == str(common.MAX_BATCH_ROWS)
+    common.release(spark)
+    assert spark.conf.get(common.BATCH_ROWS) == "5000"
+    spark.conf.unset(common.BATCH_ROWS)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    from factloom.llm import common
+
+    unset = N(get=lambda *_: None)
+    session = lambda master: N(conf=unset, sparkContext=N(master=master, getConf=lambda: unset, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None))
+    with pytest.raises(common.NoSharedFolder):
+        common.shared_dir(session("spark://host:7077"))
+    common.shared_dir(session("local[2]"))
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    odd = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit("x") for c in ("_n", "n", "_place", "place", "_member", "member", "_rank", "id", "key", "fp", "component_id", "copies", "score", "row", "y")})
+    more = odd.limit(5)
+    nulls = [odd.limit(3).withColumn(c, F.lit(None).cast(odd.schema[c].dataType)) for c in ("text", "doc_id", "lang", "source", "n_chars")]
+    docs = odd.unionByName(more).unionByName(more)
+    for extra in (*nulls, odd.limit(1).withColumn("text", F.repeat(F.lit("the word of a long text. "), 40_000)).withColumn("doc_id", F.lit(10**9))):
+        docs = docs.unionByName(extra)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").unionByName(spark.createDataFrame([(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")).write.parquet(f"{tmp_path}/labels.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        columns = now.columns
+        now = corpus_pipeline.stored(stage(spark, now, str(tmp_path)))
+        assert k == 4 or now.columns == columns
+    assert now.where("doc_id is not null").count() == now.where("doc_id is not null").select("doc_id").distinct().count() > 50
+
+
 def test_pipeline_of_nothing(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     now = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
