@@ -27,10 +27,9 @@ CALLS = "content string, tool_calls array<struct<id:string,name:string,arguments
 RESULT = "tool_call_id string, content string"
 
 
-def valid_arguments(name: Column, arguments: Column, schemas: dict) -> Column:
-    """Whether arguments is an object that has the named tool's required parameters, each of its type, and no other."""
-    value = F.try_parse_json(arguments)
-    keys = F.coalesce(F.json_object_keys(arguments), F.array())
+def valid_arguments(name: Column, value: Column, keys: Column, schemas: dict) -> Column:
+    """Whether `value`, parsed JSON with these keys, is an object that has the named tool's required parameters, each of its type, and no other."""
+    keys = F.coalesce(keys, F.array().cast("array<string>"))
     out = F.lit(False)
     for tool, params in schemas.items():
         facts = [F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False)), F.size(F.array_except(keys, F.array(*[F.lit(p) for p in params]).cast("array<string>"))) == 0]
@@ -123,38 +122,36 @@ def format_messages(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
     asks, answers = F.lower("role") == "assistant", F.lower("role") == "tool"
     looks = F.ltrim("text").startswith("{")
     rows = turns.select(F.col("conv_id").alias("conv"), "turn", "role", "text")
-    rows = rows.withColumns({"asked": F.when(asks & looks, F.from_json("text", CALLS)), "answer": F.when(answers & looks, F.from_json("text", RESULT)), "mark": F.sha2("text", 256)})
+    rows = rows.withColumns({"asked": F.when(asks & looks, F.from_json("text", CALLS)), "answer": F.when(answers & looks, F.from_json("text", RESULT))})
     rows = rows.withColumn("asked", F.when(F.size("asked.tool_calls") > 0, F.col("asked")))
-    calls = rows.where("asked is not null").select("conv", "turn", "mark", F.posexplode("asked.tool_calls").alias("at", "call")).distinct()
-    calls = calls.select("conv", "turn", "mark", "at", "call.*")
-    # The first call of an id, and what that one waits for.
-    first = calls.where("id is not null").groupBy("conv", "id").agg(F.min(F.struct("turn", "mark", "at", "depends_on")).alias("first"))
-    first = first.select("conv", "id", F.struct("first.turn", "first.mark", "first.at").alias("first"), "first.depends_on")
-    results = rows.where("answer.tool_call_id is not null").groupBy("conv", F.col("answer.tool_call_id").alias("id")).agg(F.min(F.struct("turn", F.col("answer.content").alias("content"))).alias("result"))
-    key = lambda a, b: F.col(f"{a}.conv").eqNullSafe(F.col(f"{b}.conv")) & (F.col(f"{a}.id") == F.col(f"{b}.id"))
-    first = stored(first)
-    deep = depths(first.select("conv", "id", "depends_on"))
-    linked = first.alias("f").join(results.alias("r"), key("f", "r"), "left").join(deep.alias("d"), key("f", "d"), "left").select("f.conv", "f.id", "f.first", "r.result", "d.depth")
-    is_first = F.col("l.first").eqNullSafe(F.struct("c.turn", "c.mark", "c.at"))
-    calls = calls.alias("c").join(linked.alias("l"), key("c", "l"), "left").select("c.conv", "c.turn", "c.mark", "c.at", "c.id", "c.name", "c.arguments", F.when(is_first, F.col("l.depth")).alias("depth"), F.when(is_first, F.col("l.result")).alias("result"))
-    calls = calls.withColumn("valid", valid_arguments(F.col("name"), F.col("arguments"), schemas))
-    parsed = F.coalesce(F.try_parse_json("arguments"), F.to_variant_object(F.struct(F.col("arguments").alias("raw"))))
-    written = F.to_json(F.struct(parsed.alias("arguments"), "depth", "id", "name", F.col("result.content").alias("result"), "valid"), {"ignoreNullFields": "false"})
-    of_message = calls.groupBy("conv", "turn", "mark").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("depth", F.lit(2**31 - 1)).alias("deep"), "at", written.alias("json")))).alias("calls"),
-        F.count("*").alias("n_calls"), F.count("result").alias("n_linked"), F.count_if("valid").alias("n_valid"),
-    )
-    names = first.select("conv", "id")
-    on = F.col("m.conv").eqNullSafe(F.col("k.conv")) & F.col("m.turn").eqNullSafe(F.col("k.turn")) & F.col("m.mark").eqNullSafe(F.col("k.mark"))
-    out = rows.alias("m").join(of_message.alias("k"), on, "left").select("m.*", "k.calls", "k.n_calls", "k.n_linked", "k.n_valid")
-    out = out.alias("m").join(names.alias("f"), F.col("m.conv").eqNullSafe(F.col("f.conv")) & (F.col("m.answer.tool_call_id") == F.col("f.id")), "left").select("m.*", F.col("f.id").alias("call_id"))
+    linking = F.col("asked").isNotNull() | F.col("answer.tool_call_id").isNotNull()
+    rows = rows.withColumn("mark", F.when(linking, F.sha2("text", 256)))
+    # The first call of an id, and what that one waits for; only names and places travel, not what messages say.
+    calls = rows.where("asked is not null").select("conv", "turn", "mark", F.posexplode(F.transform("asked.tool_calls", lambda c: F.struct(c["id"].alias("id"), c["depends_on"].alias("depends_on")))).alias("at", "call"))
+    first = calls.where("call.id is not null").groupBy("conv", F.col("call.id").alias("id")).agg(F.min(F.struct("turn", "mark", "at", "call.depends_on")).alias("first"))
+    first = stored(first.select("conv", "id", "first.turn", "first.mark", "first.at", "first.depends_on"))
+    replies = rows.where("answer.tool_call_id is not null").select("conv", "turn", "mark", F.col("answer.tool_call_id").alias("id"), F.col("answer.content").alias("content"))
+    results = replies.groupBy("conv", "id").agg(F.min(F.struct("turn", "content")).alias("result"))
+    linked = first.alias("f").join(results.alias("r"), _same("f", "r"), "left").join(depths(first.select("conv", "id", "depends_on")).alias("d"), _same("f", "d"), "left")
+    linked = linked.select("f.conv", "f.turn", "f.mark", F.struct("f.at", "d.depth", "r.result").alias("link"), F.lit(False).alias("asked_for"))
+    known = replies.select("conv", "turn", "mark", "id").distinct().alias("a").join(first.alias("f"), _same("a", "f"), "left_semi")
+    known = known.select("conv", "turn", "mark", F.lit(None).cast(linked.schema["link"].dataType).alias("link"), F.lit(True).alias("asked_for"))
+    links = linked.unionByName(known).groupBy("conv", "turn", "mark").agg(F.collect_list("link").alias("links"), F.max("asked_for").alias("asked_for"))
+    on = F.col("m.conv").eqNullSafe(F.col("k.conv")) & F.col("m.turn").eqNullSafe(F.col("k.turn")) & (F.col("m.mark") == F.col("k.mark"))
+    out = rows.alias("m").join(links.alias("k"), on, "left").select("m.*", "k.links", "k.asked_for")
+    of_place = lambda i: F.get(F.filter("links", lambda k: k["at"] == i), 0)
+    out = out.withColumn("calls", F.transform("asked.tool_calls", lambda c, i: F.struct(i.alias("at"), c["id"].alias("id"), c["name"].alias("name"), c["arguments"].alias("arguments"), F.try_parse_json(c["arguments"]).alias("value"), F.json_object_keys(c["arguments"]).alias("keys"), of_place(i).alias("link"))))
+    shown = lambda c: F.coalesce(c["value"], F.to_variant_object(F.struct(c["arguments"].alias("raw"))))
+    written = lambda c: F.to_json(F.struct(shown(c).alias("arguments"), c["link"]["depth"].alias("depth"), c["id"].alias("id"), c["name"].alias("name"), c["link"]["result"]["content"].alias("result"), c["valid"].alias("valid")), {"ignoreNullFields": "false"})
+    out = out.withColumn("calls", F.transform("calls", lambda c: c.withField("valid", valid_arguments(c["name"], c["value"], c["keys"], schemas))))
+    out = out.withColumn("calls", F.array_sort(F.transform("calls", lambda c: F.struct(F.coalesce(c["link"]["depth"], F.lit(2**31 - 1)).alias("deep"), c["at"].alias("at"), c["link"]["result"].isNotNull().alias("linked"), c["valid"].alias("valid"), written(c).alias("json")))))
     content = F.when(F.col("asked").isNotNull(), F.col("asked.content")).when(F.col("answer.tool_call_id").isNotNull(), F.col("answer.content")).otherwise(F.col("text"))
     head = F.to_json(F.struct(content.alias("content"), "role"), {"ignoreNullFields": "false"})
     body = F.when(F.col("calls").isNotNull(), F.concat(F.lit(',"tool_calls":['), F.array_join(F.transform("calls", lambda c: c["json"]), ","), F.lit("]"))).otherwise(
         F.when(F.col("answer.tool_call_id").isNotNull(), F.concat(F.lit(","), F.expr("substr(to_json(struct(answer.tool_call_id)), 2, length(to_json(struct(answer.tool_call_id))) - 2)"))).otherwise(F.lit(""))
     )
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    counted = lambda test: F.when(F.col("calls").isNull(), F.lit(0)).otherwise(F.size(F.filter("calls", test))).cast("long")
     return out.select(
-        F.col("conv").alias("conv_id"), "turn", "role", zero("n_calls"), zero("n_linked"), zero("n_valid"),
-        (F.col("answer.tool_call_id").isNotNull() & F.col("call_id").isNull()).alias("is_orphan"), F.concat(F.regexp_replace(head, r"\}$", ""), body, F.lit("}")).alias("message"),
+        F.col("conv").alias("conv_id"), "turn", "role", counted(lambda _: F.lit(True)).alias("n_calls"), counted(lambda c: c["linked"]).alias("n_linked"), counted(lambda c: c["valid"]).alias("n_valid"),
+        (F.col("answer.tool_call_id").isNotNull() & F.col("asked_for").isNull()).alias("is_orphan"), F.concat(F.regexp_replace(head, r"\}$", ""), body, F.lit("}")).alias("message"),
     )

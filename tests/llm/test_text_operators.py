@@ -383,7 +383,7 @@ def test_tool_calls(spark):
 def test_tool_arguments(spark):
     cases = [("search", {"query": "q"}, True), ("search", {"query": "q", "limit": 2}, True), ("search", {"query": "q", "limit": "2"}, False), ("search", {"limit": 2}, False), ("search", {"query": "q", "x": 1}, False), ("nope", {}, False), ("fetch", {"url": "u", "headers": {"b": 1}}, True), ("fetch", [1], False), (None, {}, False)]
     df = spark.createDataFrame([(n, json.dumps(a)) for n, a, _ in cases], "n string, a string")
-    got = [r.v for r in df.select(toolcalls.valid_arguments(F.col("n"), F.col("a"), toolcalls.SCHEMAS).alias("v")).collect()]
+    got = [r.v for r in df.select(toolcalls.valid_arguments(F.col("n"), F.try_parse_json("a"), F.json_object_keys("a"), toolcalls.SCHEMAS).alias("v")).collect()]
     assert got == [v for *_, v in cases]
     assert df.limit(1).select(toolcalls.canonical(F.lit('{"b": 1, "a": {"d": 1, "c": [2, 1]}}')).alias("c")).first().c == '{"a":{"c":[2,1],"d":1},"b":1}'
 
