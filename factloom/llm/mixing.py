@@ -171,6 +171,8 @@ def solve(docs: DataFrame, labels: DataFrame, domain: str = "lang", targets: dic
             for a, b, texts in common.text_slices(batch):
                 p = mixture.posterior(texts)
                 yield pa.RecordBatch.from_arrays([pa.array([n_tokens(t) for t in texts], pa.int64()), pa.array([r.tobytes() for r in p.astype(np.float32)], pa.binary()), batch.column(1).slice(a, b - a)], names=["n", "p", "d"])
+        # Python workers live on; later tasks should not find the vocabulary still in their memory.
+        counter.cache_clear()
 
     table = common.stored(docs.select("text", F.col(domain).cast("string").alias("d")).mapInArrow(members, "n long, p binary, d string"))
     totals = {r["d"]: r["n"] for r in table.groupBy("d").agg(F.sum("n").alias("n")).collect()}
