@@ -37,12 +37,13 @@ def canonical_concept(taxonomy: Column, tag: Column, concepts=CONCEPTS) -> Colum
     return lookup({f"{t}|{g}": c for c, t, g, *_ in concepts}, F.concat_ws("|", taxonomy, tag))
 
 
-def tag_preference(tag: Column, concepts=CONCEPTS) -> Column:
-    return F.coalesce(lookup({g: p for _, _, g, p, *_ in concepts}, tag), F.lit(UNRANKED))
+def tag_preference(taxonomy: Column, tag: Column, concepts=CONCEPTS) -> Column:
+    """Lower is better.  A tag of the same name in another taxonomy, such as a company's own, is unranked."""
+    return F.coalesce(lookup({f"{t}|{g}": p for _, t, g, p, *_ in concepts}, F.concat_ws("|", taxonomy, tag)), F.lit(UNRANKED))
 
 
-def mappings_for(tag: str, concepts=CONCEPTS) -> list[tuple]:
-    return [c for c in concepts if c[2] == tag]
+def mappings_for(taxonomy: str, tag: str, concepts=CONCEPTS) -> list[tuple]:
+    return [c for c in concepts if c[1:3] == (taxonomy, tag)]
 
 
 def tags_to_fetch(concepts=CONCEPTS) -> list[tuple[str, str]]:

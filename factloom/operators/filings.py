@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,9 +13,9 @@ from ..functions import concepts, normalise
 from ..functions.keys import surrogate_key
 from ..functions.tolerance import MONEY
 from . import quality
-from .frame import dedupe
+from .frame import dedupe, unused
 from .tables import SnapshotTable
-from .versioning import counters, grain_counts, merge_scd2, order_assertions, scd1
+from .versioning import grain_counts, merge_scd1, merge_scd2, order_assertions
 
 FILING_TRACKED = ["form_type", "base_form_type", "is_amendment", "company_name", "primary_doc_url"]
 COMPANY_TRACKED = ["company_name", "sic", "sic_description", "ein", "entity_type", "state_of_incorporation", "fiscal_year_end", "tickers", "exchanges", "former_names"]
@@ -101,39 +104,56 @@ def build_facts(bronze: DataFrame) -> DataFrame:
     return rows.withColumn("fact_sk", surrogate_key(F.col("cik"), concept, F.col("unit"), F.col("period_start"), F.col("period_end"), F.col("period_type")))
 
 
-def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: SnapshotTable, report) -> DataFrame:
-    """The rows that pass; the others are merged into the quarantine, which is written even when there are none."""
-    checked = quality.apply_checks(rows, quality.CHECKS[table.split(".")[-1]], run_id, table, raw="_raw")
-    merge = quarantine.read()
-    quarantine.overwrite(scd1(merge, checked.quarantined, ["_dq_record_id"]), "quarantine", counters())
-    for k, v in checked.metrics.items():
-        report.add(k, v)
-    if checked.has_warnings:
-        report.warn("data quality warnings")
-    return checked.passed.drop("_raw")
+@contextlib.contextmanager
+def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: SnapshotTable, report):
+    """The rows that pass; the others are merged into the quarantine.
+
+    Typed rows are written once, as counts, quarantine and what passes are all made from them; the copy goes in the end.  A
+    batch without a reject leaves the quarantine as it is.
+    """
+    staged = f"{quarantine.path}/_staged/{uuid.uuid4().hex}"
+    rows.write.parquet(staged)
+    try:
+        typed = quarantine.spark.read.schema(rows.schema).parquet(staged)
+        checked = quality.apply_checks(typed, quality.CHECKS[table.split(".")[-1]], run_id, table, raw="_raw")
+        if checked.metrics["dq.rows_quarantined"]:
+            merge_scd1(quarantine, checked.quarantined, ["_dq_record_id"], operation="quarantine")
+        for k, v in checked.metrics.items():
+            report.add(k, v)
+        if checked.has_warnings:
+            report.warn("data quality warnings")
+        yield checked.passed.drop("_raw")
+    finally:
+        quarantine.store.delete(staged)
+
+
+def _of_day(spark: SparkSession, root: str, name: str, logical_date: str) -> DataFrame:
+    return SnapshotTable(spark, root, name).read().where(F.col("logical_date") == F.lit(logical_date).cast("date"))
 
 
 def run_filings(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
-    bronze = SnapshotTable(spark, root, "bronze.filing_index_raw").read().where(F.col("logical_date") == F.lit(logical_date).cast("date"))
-    rows = check_and_quarantine(build_filings(bronze), "silver.filing", run_id, SnapshotTable(spark, root, "silver.filing_quarantine"), report)
-    return merge_scd2(SnapshotTable(spark, root, "silver.filing"), rows, ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST)
+    rows = build_filings(_of_day(spark, root, "bronze.filing_index_raw", logical_date))
+    with check_and_quarantine(rows, "silver.filing", run_id, SnapshotTable(spark, root, "silver.filing_quarantine"), report) as passed:
+        return merge_scd2(SnapshotTable(spark, root, "silver.filing"), passed, ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST)
 
 
 def run_companies(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
-    bronze = SnapshotTable(spark, root, "bronze.company_submissions_raw").read().where(F.col("logical_date") == F.lit(logical_date).cast("date"))
-    rows = build_companies(bronze).withColumn("valid_from", F.lit(logical_date).cast("date"))
-    rows = check_and_quarantine(rows, "silver.company", run_id, SnapshotTable(spark, root, "silver.company_quarantine"), report).drop("valid_from")
-    return merge_scd2(SnapshotTable(spark, root, "silver.company"), rows, ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST)
+    rows = build_companies(_of_day(spark, root, "bronze.company_submissions_raw", logical_date)).withColumn("valid_from", F.lit(logical_date).cast("date"))
+    with check_and_quarantine(rows, "silver.company", run_id, SnapshotTable(spark, root, "silver.company_quarantine"), report) as passed:
+        return merge_scd2(SnapshotTable(spark, root, "silver.company"), passed.drop("valid_from"), ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST)
 
 
-def run_facts(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
-    """Merge the day's facts by their full key and number each fact's assertions anew, in one write."""
-    bronze = SnapshotTable(spark, root, "bronze.company_concept_raw").read().where(F.col("logical_date") == F.lit(logical_date).cast("date"))
-    rows = check_and_quarantine(build_facts(bronze), "silver.financial_fact", run_id, SnapshotTable(spark, root, "silver.financial_fact_quarantine"), report)
-    rows = dedupe(rows, FACT_KEY, LATEST)
-    quality.require(grain_counts(rows, FACT_KEY), [quality.GRAIN_CHECK])
-    table = SnapshotTable(spark, root, "silver.financial_fact")
-    merged = scd1(table.read(), rows, FACT_KEY)
-    ordered = order_assertions(merged.withColumn("_pref", concepts.tag_preference(F.col("concept_tag"))), ["fact_sk"], ["filed_date", "accession_number", "_pref", "concept_tag"]).drop("_pref")
-    return table.overwrite(ordered, "merge_facts", counters())["metrics"]
+def ordered_facts(merged: DataFrame) -> DataFrame:
+    """Merged facts with each fact's assertions numbered anew."""
+    preference = unused(merged, "_preference")
+    rows = merged.withColumn(preference, concepts.tag_preference(F.col("taxonomy"), F.col("concept_tag")))
+    return order_assertions(rows, ["fact_sk"], ["filed_date", "accession_number", preference, "concept_tag"]).drop(preference)
+
 
+def run_facts(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
+    """Merge the day's facts by their full key and number the assertions of the facts' buckets anew, in one write."""
+    rows = build_facts(_of_day(spark, root, "bronze.company_concept_raw", logical_date))
+    with check_and_quarantine(rows, "silver.financial_fact", run_id, SnapshotTable(spark, root, "silver.financial_fact_quarantine"), report) as passed:
+        one = dedupe(passed, FACT_KEY, LATEST)
+        quality.require(grain_counts(one, FACT_KEY), [quality.GRAIN_CHECK])
+        return merge_scd1(SnapshotTable(spark, root, "silver.financial_fact"), one, FACT_KEY, bucket_by=["fact_sk"], then=ordered_facts, operation="merge_facts")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +23,20 @@ def empty(spark, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def first_of(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in the given order; NULL keys form a group."""
+    rank = unused(df, "_rank")
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) == 1).drop(rank)
+
+
 def dedupe(df: DataFrame, keys: list[str], latest_by: list[str] | None = None) -> DataFrame:
     """One row for each key: the one that is last in `latest_by`; all other columns break ties, so the choice is total.
 
@@ -34,8 +48,7 @@ def dedupe(df: DataFrame, keys: list[str], latest_by: list[str] | None = None) -
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     text = {n for n, kind in df.dtypes if "map<" in kind}
     order = [F.col(c).desc_nulls_last() for c in latest_by] + [(F.to_json(c) if c in text else F.col(c)).asc_nulls_last() for c in rest]
-    w = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    return first_of(df, keys, order or [F.lit(1)])
 
 
 def stamp(df: DataFrame, run_id: str, source_version: int | None, generated_at: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.concepts import tag_preference
 from ..functions.tolerance import MONEY, Tolerance, materiality, tolerance
+from .frame import first_of, unused
 from .versioning import null_safe
 
 FACT_GRAIN = ["cik", "concept_canonical", "unit", "period_start", "period_end", "period_type"]
@@ -25,14 +26,18 @@ class FactShape:
     decimals: str = "decimals"
     form: str = "form_type"
     tag: str | None = "concept_tag"
+    taxonomy: str = "taxonomy"
+
+    def by_preference(self) -> list[Column]:
+        """Order of a fact's tags; none where it has no tags."""
+        return [tag_preference(F.col(self.taxonomy), F.col(self.tag)), F.col(self.tag), F.col(self.taxonomy)] if self.tag else []
 
 
 def _preferred(facts: DataFrame, shape: FactShape) -> DataFrame:
     """One row for each fact and assertion: the tag with the lowest preference."""
     if shape.tag is None:
         return facts
-    w = Window.partitionBy(*shape.grain, shape.assertion).orderBy(tag_preference(F.col(shape.tag)), F.col(shape.tag))
-    return facts.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    return first_of(facts, [*shape.grain, shape.assertion], [*shape.by_preference(), F.col(shape.value)])
 
 
 def change_events(facts: DataFrame, config: Tolerance = Tolerance(), shape: FactShape = FactShape(), names: DataFrame | None = None, name_limit: int = 200_000) -> DataFrame:
@@ -80,13 +85,13 @@ def current_assertion(facts: DataFrame, events: DataFrame, shape: FactShape = Fa
     s = shape
     keep = [s.assertion, s.value, s.decimals, "fiscal_year", "fiscal_period", s.form, s.asserted_on] if keep is None else keep
     rows = facts.where(" and ".join(f"{c} is not null" for c in ([s.grain[1], s.value] if s.tag else [s.value]))) if s.tag else facts
-    ties = [tag_preference(F.col(s.tag)), F.col(s.tag)] if s.tag else []
-    latest = Window.partitionBy(*s.grain).orderBy(F.col(s.asserted_on).desc(), F.col(s.assertion).desc(), *ties)
+    latest = Window.partitionBy(*s.grain).orderBy(F.col(s.asserted_on).desc(), F.col(s.assertion).desc(), *s.by_preference(), F.col(s.value))
     whole = Window.partitionBy(*s.grain)
     # Each assertion is counted at its first row: exact, and no set of a fact's assertions is held in memory.
     mark = F.when(F.row_number().over(Window.partitionBy(*s.grain).orderBy(s.assertion)) == 1, F.col(s.assertion).isNotNull()).otherwise(F.coalesce(F.lag(s.assertion).over(Window.partitionBy(*s.grain).orderBy(s.assertion)) != F.col(s.assertion), F.col(s.assertion).isNotNull()))
-    ranked = rows.withColumn("_new", mark.cast("int")).withColumns({"_rank": F.row_number().over(latest), "assertion_count": F.sum("_new").over(whole).cast("int")})
-    top = ranked.where("_rank = 1").select(*s.grain, *keep, "assertion_count")
+    new, rank = unused(rows, "_new"), unused(rows, "_rank")
+    ranked = rows.withColumn(new, mark.cast("int")).withColumns({rank: F.row_number().over(latest), "assertion_count": F.sum(new).over(whole).cast("int")})
+    top = ranked.where(F.col(rank) == 1).select(*s.grain, *keep, "assertion_count")
     restated = events.select(*s.grain).distinct().withColumn("_r", F.lit(True))
     out = top.alias("a").join(restated.alias("b"), null_safe("a", "b", s.grain), "left").select("a.*", F.coalesce("b._r", F.lit(False)).alias("was_restated"))
     return with_names(out, names, s.grain[0]) if names is not None else out
@@ -120,9 +125,10 @@ def timeline(versions: DataFrame, keys: list[str], columns: list[str]) -> DataFr
 
 
 def latest_by_period(current: DataFrame, key: list[str], period: str) -> DataFrame:
-    """The newest period of each series."""
-    w = Window.partitionBy(*key).orderBy(F.col(period).desc())
-    return current.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The newest period of each series.  Of periods that end together the first by all other columns, in their order: of
+    durations the longest, as it begins first."""
+    rest = [F.col(c) for c, kind in current.dtypes if c not in key and c != period and "map<" not in kind]
+    return first_of(current, key, [F.col(period).desc_nulls_last(), *rest])
 
 
 def pipeline_health(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

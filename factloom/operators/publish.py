@@ -32,13 +32,13 @@ def write_mart(table: SnapshotTable, df: DataFrame, run_id: str, source_version:
 def export_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> Exported:
     """df as <root>/v1/<name>/data.parquet: staged as one part, then moved into place.
 
-    One task writes, as one object is asked for; marts are small against what they are made from.
+    One task writes, as one object is asked for; what makes the rows runs in as many as it likes.
     """
     store, staging = Store(spark), f"{root.rstrip('/')}/_staging/{name}"
     target = f"{root.rstrip('/')}/v1/{name}/data.parquet"
     store.delete(staging)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(staging)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).repartition(1).write.parquet(staging)
     parts = [(p, n) for p, n in store.list(staging) if p.endswith(".parquet")]
     if len(parts) != 1:
         raise RuntimeError(f"{name}: expected one part, found {len(parts)}")

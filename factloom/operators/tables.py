@@ -1,8 +1,9 @@
-"""Versioned Parquet tables: write, validate, then publish by flipping one pointer.
+"""Versioned Parquet tables: write, validate, then publish by creating the next version's manifest.
 
 A table is a folder with data folders that are never changed, a manifest for each version that names its data folders, and a
-pointer to the current version.  A failed write or validation leaves the pointer alone, so there is nothing to roll back.
-One writer at a time is assumed.
+pointer to a late version, from which readers go on to the last.  A failed write or validation makes no manifest, so there
+is nothing to roll back.  A manifest is created only where there is none: of two writers of one version one wins; the other
+appends to what the first has left, or fails with a conflict where it has replaced rows that it read before.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..runtime.files import Store
 from .frame import align
@@ -25,6 +26,19 @@ class MissingTable(Exception):
         super().__init__(f"tables not created: {', '.join(missing)}; create them with SnapshotTable.create")
 
 
+class CommitConflict(Exception):
+    def __init__(self, table: str, version: int):
+        super().__init__(f"{table}: another writer has made version {version}; read the table and try again")
+
+
+#: Column that tells a bucket while rows are written.
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name, self.path = spark, name, f"{root.rstrip('/')}/{name}"
@@ -43,23 +57,33 @@ class SnapshotTable:
         return self
 
     def _publish(self, manifest: dict) -> dict:
-        self.store.write(f"{self.path}/_manifests/{manifest['version']:08d}.json", json.dumps(manifest, sort_keys=True).encode())
+        if not self.store.create(self._manifest_path(manifest["version"]), json.dumps(manifest, sort_keys=True).encode()):
+            raise CommitConflict(self.name, manifest["version"])
+        # The pointer only saves readers the way: the manifest is the commit.
         self.store.write(self._pointer(), json.dumps({"version": manifest["version"]}).encode())
         return manifest
 
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/_manifests/{version:08d}.json"
+
     def version(self) -> int | None:
         """Current version; None if the table is not there."""
-        return json.loads(self.store.read(self._pointer()))["version"] if self.exists() else None
+        if not self.exists():
+            return None
+        version = json.loads(self.store.read(self._pointer()))["version"]
+        while self.store.exists(self._manifest_path(version + 1)):
+            version += 1
+        return version
 
     def manifest(self, version: int | None = None) -> dict:
         if version is None and (version := self.version()) is None:
             raise MissingTable([self.name])
-        return json.loads(self.store.read(f"{self.path}/_manifests/{version:08d}.json"))
+        return json.loads(self.store.read(self._manifest_path(version)))
 
     def history(self) -> list[dict]:
         """Manifests up to the current version, newest first; those that vacuum() took are not there."""
         found = (json.loads(self.store.read(p)) for p, _ in self.store.list(f"{self.path}/_manifests") if p.endswith(".json"))
-        return sorted((m for m in found if m["version"] <= self.version()), key=lambda m: -m["version"])
+        return sorted(found, key=lambda m: -m["version"])
 
     @property
     def schema(self) -> StructType:
@@ -68,49 +92,67 @@ class SnapshotTable:
     def read(self, version: int | None = None, tag: str | None = None) -> DataFrame:
         """Rows of a version, the current one by default; with tag, of the parts that bear it."""
         m = self.manifest(version)
-        schema = StructType.fromJson(m["schema"])
-        parts = [f"{self.path}/{p['path']}" for p in m["parts"] if tag is None or p["tag"] == tag]
-        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
+        return self.read_parts([p for p in m["parts"] if tag is None or p["tag"] == tag], m)
+
+    def read_parts(self, parts: list[dict], manifest: dict | None = None) -> DataFrame:
+        schema = StructType.fromJson((manifest or self.manifest())["schema"])
+        paths = [f"{self.path}/{p['path']}" for p in parts]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _write(self, df: DataFrame, tag: str, counters: dict | None = None) -> tuple[dict, dict]:
+    def _write(self, df: DataFrame, tag: str, counters: dict | None = None) -> tuple[list[dict], dict]:
+        """Parts written from df, one for each bucket where it has the column BUCKET, and what was counted."""
         part = f"data/{uuid.uuid4().hex}"
         seen = Observation()
         observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
-        align(observed, self.schema).write.parquet(f"{self.path}/{part}")
-        got = seen.get
-        return {"path": part, "tag": tag, "rows": got["rows"]}, {k: v for k, v in got.items() if k != "rows"}
-
-    def commit(self, new: dict[str, DataFrame], keep_tags: tuple[str, ...], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None, note: dict | None = None) -> dict:
-        """Publish a version of the kept tags' parts and new parts by tag.  validate gets the staged rows and may raise.
-
-        Counters, a name and an aggregate each, are taken in the same pass as the write.  The note goes into the manifest.
+        schema = self.schema
+        if BUCKET not in df.columns:
+            align(observed, schema).write.parquet(f"{self.path}/{part}")
+            parts = [{"path": part, "tag": tag}]
+        else:
+            align(observed, StructType([*schema.fields, StructField(BUCKET, IntegerType())])).write.partitionBy(BUCKET).parquet(f"{self.path}/{part}")
+            folders = {p.rsplit("/", 2)[-2] for p, _ in self.store.list(f"{self.path}/{part}") if p.endswith(".parquet")}
+            parts = [{"path": f"{part}/{f}", "tag": tag, "bucket": int(f.split("=")[1])} for f in sorted(folders) if f.startswith(f"{BUCKET}=")]
+        return parts, dict(seen.get)
+
+    def commit(self, new: dict[str, DataFrame], keep: Callable[[dict], bool], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None, rebase: bool = False, accept: Callable[[dict, DataFrame], object] | None = None, base: dict | None = None, **more) -> dict:
+        """Publish a version of the parts to keep and of new parts by tag.
+
+        Counters, a name and an aggregate each, are taken in the same pass as the write.  validate gets the rows of the new
+        version, accept the counts and the new rows; either may raise, and then nothing is published.  `base` is the
+        manifest whose rows were read to make the new ones; where another version came after it the commit fails, but with
+        `rebase` is made upon that.  Further fields go into the manifest.
         """
-        m = self.manifest()
-        parts, metrics = [p for p in m["parts"] if p["tag"] in keep_tags], {}
+        base = base or self.manifest()
+        metrics: dict = {}
         staged = []
-        for tag, df in new.items():
-            part, got = self._write(df, tag, counters)
-            staged.append(part)
-            for k, v in got.items():
-                metrics[k] = metrics.get(k, 0) + (v or 0)
-        if validate is not None:
-            paths = [f"{self.path}/{p['path']}" for p in parts + staged]
-            try:
-                validate(self.spark.read.schema(self.schema).parquet(*paths))
-            except Exception:
-                for p in staged:
-                    self.store.delete(f"{self.path}/{p['path']}")
-                raise
-        metrics["rows"] = sum(p["rows"] for p in staged)
-        return self._publish(m | {"version": m["version"] + 1, "operation": operation, "parts": parts + staged, "metrics": metrics, "note": note})
-
-    def append(self, df: DataFrame, counters: dict | None = None, note: dict | None = None) -> dict:
-        tags = tuple({p["tag"] for p in self.manifest()["parts"]})
-        return self.commit({"rows": df}, tags, "append", counters, note=note)
-
-    def overwrite(self, df: DataFrame, operation: str = "overwrite", counters: dict | None = None, validate=None) -> dict:
+        try:
+            for tag, df in new.items():
+                parts, got = self._write(df, tag, counters)
+                staged += parts
+                for k, v in got.items():
+                    metrics[k] = metrics.get(k, 0) + (v or 0)
+            if accept is not None:
+                accept(metrics, self.read_parts(staged, base))
+            if validate is not None:
+                validate(self.read_parts([p for p in base["parts"] if keep(p)] + staged, base))
+            while True:
+                try:
+                    return self._publish(base | {"version": base["version"] + 1, "operation": operation, "parts": [p for p in base["parts"] if keep(p)] + staged, "metrics": metrics} | more)
+                except CommitConflict:
+                    if not rebase:
+                        raise
+                    base = self.manifest()
+        except Exception:
+            for p in staged:
+                self.store.delete(f"{self.path}/{p['path']}")
+            raise
+
+    def append(self, df: DataFrame, counters: dict | None = None, accept=None, **more) -> dict:
+        return self.commit({"rows": df}, lambda _: True, "append", counters, rebase=True, accept=accept, **more)
+
+    def overwrite(self, df: DataFrame, operation: str = "overwrite", counters: dict | None = None, validate=None, base: dict | None = None, **more) -> dict:
         """Replace all rows; the schema stays."""
-        return self.commit({"rows": df}, (), operation, counters, validate)
+        return self.commit({"rows": df}, lambda _: False, operation, counters, validate, base=base, **more)
 
     def restore(self, version: int) -> dict:
         """Publish an older version's parts as a new version."""
@@ -125,7 +167,7 @@ class SnapshotTable:
         stay = {p["path"] for m in history[:keep] for p in m["parts"]}
         gone = {p["path"] for m in history[keep:] for p in m["parts"]} - stay
         for m in history[keep:]:
-            self.store.delete(f"{self.path}/_manifests/{m['version']:08d}.json")
+            self.store.delete(self._manifest_path(m["version"]))
         for path in gone:
             self.store.delete(f"{self.path}/{path}")
         return len(gone)

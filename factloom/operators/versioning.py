@@ -1,10 +1,12 @@
 """Merges without a merge statement: SCD-1, SCD-2, assertion order, invariants, point-in-time lookup.
 
-Each merge is one null-safe full outer join that yields the new state; tables publish it as their next version.
+Each merge is one null-safe full outer join that yields the new state; tables publish it as their next version.  A table's
+rows lie in buckets by a hash of their key, and a merge reads and writes the buckets that its source touches.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from functools import reduce
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_diff
 from .frame import dedupe
 from .quality import SCD2_CHECKS, require
-from .tables import SnapshotTable
+from .tables import BUCKET, SnapshotTable, bucket_of
 
 FIRST_SEEN, LAST_SEEN, HASH = "_first_seen_ts", "_last_seen_ts", "_hash_diff"
 VERSION_COLUMNS = ["version_number", "valid_from", "valid_to", "is_current", HASH]
@@ -113,25 +115,70 @@ def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[s
     return joined.select(F.inline(rows))
 
 
-def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], **options) -> dict:
-    """scd1() as the table's next version; returns inserted, updated and unchanged counts."""
-    merged = scd1(table.read(), source, keys, **options)
-    return table.overwrite(merged, "merge_scd1", counters())["metrics"]
+#: Buckets of a table that no merge has written yet.
+BUCKETS = 64
 
 
-def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, **options) -> dict:
-    """scd2() as the table's next version.  Closed rows stay in the files they are in; only current rows are written anew."""
-    history = table.read(tag="closed")
-    reached = history.groupBy(*keys).agg(F.max("version_number").alias("max_version"))
-    merged = scd2(table.read(tag="current"), source, keys, tracked, logical_date, closed_versions=reached, **options)
+def touched(table: SnapshotTable, manifest: dict, source: DataFrame, keys: list[str], buckets: int | None = None) -> tuple[int, set[int] | None]:
+    """Number of the table's buckets, and those that hold a key of source; None for all, if rows lie in none yet.
+
+    At most as many numbers as there are buckets come to the driver.
+    """
+    if not keys:
+        raise ValueError("a merge needs at least one key column")
+    n = manifest.get("buckets") or buckets or BUCKETS
+    if any("bucket" not in p for p in manifest["parts"]):
+        return n, None
+    return n, {r[0] for r in source.select(bucket_of(keys, n).alias("b")).distinct().collect()}
+
+
+def _in(part: dict, buckets: set[int] | None) -> bool:
+    return buckets is None or part["bucket"] in buckets
+
+
+def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_by: list[str] | None = None, then=None, operation: str = "merge_scd1", buckets: int | None = None, **options) -> dict:
+    """scd1() as the table's next version; returns counts of inserted, updated and, in the buckets touched, unchanged rows.
+
+    Rows lie in buckets by `bucket_by`, which the keys must determine (the keys by default).  `then` maps the merged rows of
+    whole buckets to what is written.
+    """
+    manifest, by = table.manifest(), bucket_by or keys
+    n, hit = touched(table, manifest, source, by, buckets)
+    old = table.read_parts([p for p in manifest["parts"] if _in(p, hit)], manifest)
+    merged = scd1(old, source, keys, **options)
+    merged = (then(merged) if then else merged).withColumn(BUCKET, bucket_of(by, n))
+    return table.commit({"rows": merged}, lambda p: not _in(p, hit), operation, counters(), base=manifest, buckets=n)["metrics"]
+
+
+def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, buckets: int | None = None, **options) -> dict:
+    """scd2() as the table's next version.  Closed rows stay in the files they are in; of current rows the buckets that source
+    touches are written anew, and the history of these buckets alone is validated."""
+    manifest = table.manifest()
+    n, hit = touched(table, manifest, source, keys, buckets)
+    parts = [p for p in manifest["parts"] if _in(p, hit)]
+    # Every key has a current row, unless rows came some other way than by merges.
+    current = table.read_parts([p for p in parts if p["tag"] == "current"], manifest)
+    others = [p for p in parts if p["tag"] not in ("current", "closed")]
+    history = table.read_parts(others, manifest).where("not is_current") if others else None
+    if others:
+        current = current.unionByName(table.read_parts(others, manifest).where("is_current"))
+        options["closed_versions"] = history.groupBy(*keys).agg(F.max("version_number").alias("max_version"))
+    merged = scd2(current, source, keys, tracked, logical_date, **options).withColumn(BUCKET, bucket_of(keys, n))
     # The merged rows feed two writes; a written copy spares the second a new join.
-    staged = f"{table.path}/_staged"
-    table.store.delete(staged)
+    staged = f"{table.path}/_staged/{uuid.uuid4().hex}"
     merged.write.parquet(staged)
     try:
         merged = table.spark.read.schema(merged.schema).parquet(staged)
-        check = (lambda df: require(scd2_invariants(df, keys), SCD2_CHECKS)) if validate else None
-        return table.commit({"current": merged.where("is_current"), "closed": merged.where("not is_current")}, ("closed",), "merge_scd2", counters(), check)["metrics"]
+        closed = merged.where("not is_current")
+        if history is not None:
+            closed = closed.unionByName(history.withColumns({OP: F.lit("unchanged"), BUCKET: bucket_of(keys, n)}))
+
+        def check(_: dict, new: DataFrame) -> None:
+            kept = table.read_parts([p for p in parts if p["tag"] == "closed"], manifest)
+            require(scd2_invariants(new.unionByName(kept), keys), SCD2_CHECKS)
+
+        stays = lambda p: not _in(p, hit) or p["tag"] == "closed"
+        return table.commit({"current": merged.where("is_current"), "closed": closed}, stays, "merge_scd2", counters(), accept=check if validate else None, base=manifest, buckets=n)["metrics"]
     finally:
         table.store.delete(staged)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,10 +40,24 @@ class Store:
             stream.close()
         self._replace(fs, beside, p)
 
-    def _replace(self, fs, source, target) -> None:
+    def create(self, path: str, data: bytes) -> bool:
+        """Write a file that is not there yet, whole; False if another writer has made it first."""
+        fs, p = self._at(path)
+        beside = f"{p.getParent()}/.{p.getName()}.{uuid.uuid4().hex}"
+        self.write(beside, data)
+        try:
+            self._replace(fs, self._at(beside)[1], p, "NONE")
+        except Py4JJavaError as e:
+            self.delete(beside)
+            if self.exists(path):
+                return False
+            raise e
+        return True
+
+    def _replace(self, fs, source, target, option: str = "OVERWRITE") -> None:
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf)
         options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
-        options[0] = self._jvm.java.lang.Enum.valueOf(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), "OVERWRITE")
+        options[0] = self._jvm.java.lang.Enum.valueOf(self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), option)
         context.rename(source, target, options)
 
     def move(self, source: str, target: str) -> None:

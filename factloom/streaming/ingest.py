@@ -7,7 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.frame import align
 from ..operators.tables import SnapshotTable
 from ..runtime.files import Store
 from ..sources import landing
@@ -27,22 +26,34 @@ def first_arrivals(envelopes: DataFrame, ts: str = "fetched_ts", delay: str = "1
     return envelopes.withColumn(ts, F.try_to_timestamp("fetched_at")).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["stream", "resource_id", "content_sha256"])
 
 
+def _append(table: SnapshotTable, name: str, envelopes: DataFrame, batch_id: str, ingest_ts: str | None, supported, **more) -> dict:
+    """Append envelopes; versions are checked on what was written, in the same pass, before it is published."""
+    rows = landing.PROJECTIONS[name](landing.with_metadata(envelopes, batch_id=batch_id, ingest_ts=ingest_ts), landing.MALFORMED)
+    refused = F.col(landing.MALFORMED).isNull() & ~F.coalesce(F.col("_envelope_version").isin(*supported), F.lit(False))
+
+    def accept(metrics: dict, staged: DataFrame) -> None:
+        if metrics["refused"]:
+            others = staged.where(~F.col("_envelope_version").isin(*supported)).select("_envelope_version").distinct().limit(5).collect()
+            raise ValueError(f"envelope versions {sorted(r[0] for r in others) or [None]} of {metrics['refused']} rows are not among {list(supported)}; nothing was ingested")
+
+    return table.append(rows, {"rescued": landing.rescued_rows(rows), "refused": F.count_if(refused)}, accept, **more)
+
+
 def ingest_stream(spark: SparkSession, root: str, name: str, table: SnapshotTable, checkpoint_root: str, batch_id: str = "unknown", ingest_ts: str | None = None, supported=landing.SUPPORTED_VERSIONS) -> dict[str, int]:
     """Append all new files to a bronze table in one or more micro-batches, then stop; returns row and rescue counts.
 
-    Files are remembered by the query's checkpoint.  A micro-batch is appended once: the manifest notes the checkpoint's own id
-    and the batch's number, and a batch that is run again after a crash finds itself there.  An unsupported envelope version fails the query before
-    anything of its batch is written.
+    Files are remembered by the query's checkpoint.  A micro-batch is appended once: each manifest has the last batch of each
+    query, by its checkpoint's own id, and a batch that is run again after a crash finds itself there.  A batch is read once;
+    an unsupported envelope version in it fails the query, and nothing of the batch is published.
     """
     totals, checkpoint, store = {"rows": 0, "rescued": 0}, landing.checkpoint_path(checkpoint_root, name), Store(spark)
 
     def write(batch: DataFrame, number: int) -> None:
-        landing.require_versions(batch, supported)
-        note = {"query": json.loads(store.read(f"{checkpoint}/metadata"))["id"], "batch": number}
-        if any(m.get("note") == note for m in table.history()):
+        query = json.loads(store.read(f"{checkpoint}/metadata"))["id"]
+        done = table.manifest().get("batches", {})
+        if number <= done.get(query, -1):
             return
-        rows = landing.PROJECTIONS[name](landing.with_metadata(batch, batch_id=batch_id, ingest_ts=ingest_ts))
-        m = table.append(rows, {"rescued": landing.rescued_rows(rows)}, note)
+        m = _append(table, name, batch, batch_id, ingest_ts, supported, batches=done | {query: number})
         for k in totals:
             totals[k] += m["metrics"][k]
 
@@ -56,8 +67,6 @@ def ingest_batch(spark: SparkSession, root: str, name: str, table: SnapshotTable
     batch = landing.read_landing_batch(spark, root, name, ledger_root, logical_date)
     if batch.is_empty:
         return {"rows": 0, "rescued": 0}
-    landing.require_versions(batch.frame, supported)
-    rows = landing.PROJECTIONS[name](landing.with_metadata(batch.frame, batch_id=batch_id, ingest_ts=ingest_ts))
-    metrics = table.append(align(rows, table.schema), {"rescued": landing.rescued_rows(rows)})["metrics"]
+    metrics = _append(table, name, batch.frame, batch_id, ingest_ts, supported)["metrics"]
     batch.commit()
     return {k: metrics[k] for k in ("rows", "rescued")}

@@ -131,6 +131,19 @@ def test_index_lines(spark):
 
 
 def test_trim_recent(spark):
-    payload = json.dumps({"filings": {"recent": {"a": ["1", "2", "3"], "b": ["x", "y", "z"]}}})
-    df = spark.createDataFrame([(payload,)], "p string")
-    assert json.loads(df.select(landing.trim_recent(df.p, 2).alias("t")).first().t) == {"a": ["1", "2"], "b": ["x", "y"]}
+    whole = {"cik": 7, "name": "X", "filings": {"recent": {"a": [1, 2, 3], "b": ["x", "y", "z"], "n": 4}, "files": [{"q": 1}], "more": True}, "list": [1, 2, 3]}
+    want = whole | {"filings": {"recent": {"a": [1, 2], "b": ["x", "y"], "n": 4}, "files": [], "more": True}}
+    texts = [json.dumps(whole), '{"a": 1}', '{"filings": {"recent": null, "files": [1]}}', "no json", None]
+    df = spark.createDataFrame([(t,) for t in texts], "p string")
+    got = [r.t and json.loads(r.t) for r in df.select(landing.trim_recent(df.p, 2).alias("t")).collect()]
+    assert got == [want, {"a": 1}, {"filings": {"recent": None, "files": [1]}}, None, None]
+
+
+def test_selection_keeps_forms_of_interest_and_forced_ids(spark):
+    rows = [("10-K", "7", "c"), ("4", "8", "a"), ("8-K", "9", "b"), ("4", "0000000010", "d"), ("10-K", "11", "a")]
+    df = spark.createDataFrame(rows, "form_type string, cik string, accession_number string")
+    pick = lambda n, **o: [(r.form_type, r.cik) for r in landing.select_filings(df, n, **o).collect()]
+    ranks = {"10-K": 0, "8-K": 1}
+    assert pick(9, ranks=ranks) == [("10-K", "11"), ("10-K", "7"), ("8-K", "9")]
+    assert pick(9, ranks=ranks, forced=["10", "0000000008"]) == [("4", "8"), ("4", "0000000010"), ("10-K", "11"), ("10-K", "7"), ("8-K", "9")]
+    assert len(pick(9)) == 5 and pick(1, ranks=ranks) == [("10-K", "11")]

@@ -166,3 +166,63 @@ def test_tables(spark, tmp_path):
     assert t.read().count() == 5 and t.history()[0]["operation"] == "restore"
     t.vacuum(1)
     assert t.read().count() == 5 and len(t.history()) == 1
+
+
+def test_a_small_delta_rewrites_its_buckets_alone(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path), "t").create(spark.createDataFrame([], "k long, n string, _first_seen_ts timestamp, _last_seen_ts timestamp").schema)
+    v.merge_scd1(t, spark.range(500).selectExpr("id k", "'a' n"), ["k"], buckets=16)
+    before = {p["path"]: p["bucket"] for p in t.manifest()["parts"]}
+    assert set(before.values()) == set(range(16)) and t.manifest()["buckets"] == 16
+    got = v.merge_scd1(t, spark.createDataFrame([(7, "b")], "k long, n string"), ["k"])
+    after = {p["path"]: p["bucket"] for p in t.manifest()["parts"]}
+    (bucket,) = {b for p, b in before.items() if p not in after}
+    assert {b for p, b in after.items() if p not in before} == {bucket} and got["updated"] == 1 and got["unchanged"] < 100
+    assert {(r.k, r.n) for r in t.read().collect()} == {(k, "b" if k == 7 else "a") for k in range(500)}
+    # Rows that came without buckets are dealt to them by the next merge.
+    t.append(spark.createDataFrame([(900, "x", None, None)], t.schema))
+    v.merge_scd1(t, spark.createDataFrame([(900, "y")], "k long, n string"), ["k"])
+    assert all("bucket" in p for p in t.manifest()["parts"]) and t.read().where("k = 900").first().n == "y" and t.read().count() == 501
+
+
+def test_scd2_rewrites_its_buckets_alone(spark, tmp_path):
+    t = table(spark, tmp_path)
+    source = lambda keys, n, day: v.merge_scd2(t, spark.createDataFrame([(str(k), n, None) for k in keys], "cik string, company_name string, tickers array<string>"), ["cik"], TRACKED, day, buckets=8)
+    source(range(100), "a", "2024-01-01")
+    before = {p["path"]: p["bucket"] for p in t.manifest()["parts"]}
+    assert source([5], "b", "2024-01-02")["closed"] == 1
+    after = {p["path"]: (p["tag"], p["bucket"]) for p in t.manifest()["parts"]}
+    gone = {b for p, b in before.items() if p not in after}
+    assert len(gone) == 1 and {b for p, (_, b) in after.items() if p not in before} == gone
+    assert [(s[1], s[2]) for s in state(t) if s[0] == "5"] == [("a", 1), ("b", 2)] and len(state(t)) == 101
+
+
+def test_two_writers_cannot_both_win(spark, tmp_path):
+    from factloom.operators.tables import CommitConflict
+
+    t = SnapshotTable(spark, str(tmp_path), "t").create(spark.range(0).schema)
+    t.append(spark.range(2))
+    base = t.manifest()
+    t.overwrite(spark.range(5), base=base)
+    with pytest.raises(CommitConflict):
+        t.overwrite(spark.range(9), base=base)
+    assert t.read().count() == 5 and t.version() == 2
+    # An append is made upon what the other writer has left.
+    t.append(spark.range(3), base=base)
+    assert t.read().count() == 8 and t.version() == 3
+    # Data of the loser is gone, and a lost pointer update hides no version.
+    assert len({p.split("/data/")[1].split("/")[0] for p, _ in t.store.list(f"{t.path}/data")}) == 3
+    t.store.write(t._pointer(), b'{"version": 1}')
+    assert t.version() == 3 and t.read().count() == 8
+
+
+def test_dedupe_and_views_take_any_column_names(spark):
+    from factloom.operators.marts import latest_by_period
+
+    df = spark.createDataFrame([(1, 5, "mine", 1), (1, 6, "mine", 2)], "k int, at int, _rank string, _RANK_ int")
+    one = dedupe(df, ["k"], ["at"])
+    assert one.columns == df.columns and one.first()["_rank"] == "mine"
+    # A quarter and a year that end on one day: the answer does not depend on the order of rows.
+    rows = [("c", date(2024, 10, 1), date(2024, 12, 31), 3), ("c", date(2024, 1, 1), date(2024, 12, 31), 10), ("c", None, date(2024, 6, 30), 1)]
+    for order in (rows, rows[::-1]):
+        got = latest_by_period(spark.createDataFrame(order, "k string, period_start date, period_end date, v int"), ["k"], "period_end").collect()
+        assert [(r.period_start, r.v) for r in got] == [(date(2024, 1, 1), 10)]
