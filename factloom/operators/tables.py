@@ -103,7 +103,9 @@ class SnapshotTable:
         """Parts written from df, one for each bucket where it has the column BUCKET, and what was counted."""
         part = f"data/{uuid.uuid4().hex}"
         seen = Observation()
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
+        # A bucket's rows come together, so that it is written as few files; large buckets are split by size.
+        dealt = df.hint("rebalance", F.col(BUCKET)) if BUCKET in df.columns else df
+        observed = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
         schema = self.schema
         if BUCKET not in df.columns:
             align(observed, schema).write.parquet(f"{self.path}/{part}")

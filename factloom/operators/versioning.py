@@ -115,8 +115,8 @@ def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[s
     return joined.select(F.inline(rows))
 
 
-#: Buckets of a table that no merge has written yet.
-BUCKETS = 64
+#: Buckets of a table that no merge has written yet; a table keeps its number, so give large ones more.
+BUCKETS = 16
 
 
 def touched(table: SnapshotTable, manifest: dict, source: DataFrame, keys: list[str], buckets: int | None = None) -> tuple[int, set[int] | None]:

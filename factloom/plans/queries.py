@@ -15,14 +15,15 @@ from pyspark.sql.types import StructType
 from ..functions import concepts, normalise
 from ..functions.keys import hash_diff, surrogate_key
 from ..functions.tolerance import MONEY, reporting_scale
-from ..operators import marts, quality, versioning
+from ..operators import filings, marts, quality, versioning
 from ..operators.filings import schema_of
-from ..operators.frame import dedupe
-from ..operators.publish import export_table
+from ..operators.frame import align, dedupe
+from ..operators.publish import export_table, write_mart
 from ..operators.tables import SnapshotTable
+from ..runtime.report import Report
 from ..runtime.scratch import scratch
 from ..sources import landing
-from ..streaming.ingest import ingest_stream
+from ..streaming.ingest import ingest_batch, ingest_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -521,3 +522,184 @@ def snapshot_restore(spark, sf_dir):
     t.overwrite(c.limit(0))
     t.restore(2)
     return t.read()
+
+
+# Silver runs over bronze made from the tables
+
+
+def _bronze(df: DataFrame, name: str, **columns) -> DataFrame:
+    """df as rows of a bronze table of one logical day; columns that are not given are NULL."""
+    fixed = {"logical_date": F.lit("2030-01-01").cast("date"), "_ingest_batch_id": F.lit("b"), "_source_file": F.lit("f"), "_envelope_version": F.lit("1")}
+    return align(df.select(*[c.alias(n) for n, c in {**fixed, **columns}.items()]), schema_of(name))
+
+
+def _bronze_filings(spark, sf_dir) -> DataFrame:
+    k = F.col("o_orderkey")
+    form = F.when(k % 3 == 0, "10-k/a").when(k % 3 == 1, " 8-K").when(k % 97 != 0, "10-Q").otherwise(" ")
+    filed = F.when(k % 50 == 0, "20240231").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return _bronze(_t(spark, sf_dir, "orders"), "bronze.filing_index_raw", resource_id=k.cast("string"), form_type=form, company_name=F.col("o_orderpriority"), cik=F.col("o_custkey").cast("string"), date_filed=filed, accession_number=F.lpad(k.cast("string"), 18, "0"), file_name=F.concat(F.lit("x/"), k.cast("string")))
+
+
+_FILINGS = """filings AS (
+        SELECT substr(n, 1, 10) || '-' || substr(n, 11, 2) || '-' || substr(n, 13) AS accession_number, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, o_orderpriority AS company_name,
+            CASE WHEN o_orderkey % 3 = 0 THEN '10-K/A' WHEN o_orderkey % 3 = 1 THEN '8-K' WHEN o_orderkey % 97 <> 0 THEN '10-Q' END AS form_type,
+            CASE WHEN o_orderkey % 3 = 0 THEN '10-K' WHEN o_orderkey % 3 = 1 THEN '8-K' WHEN o_orderkey % 97 <> 0 THEN '10-Q' END AS base_form_type, CASE WHEN o_orderkey % 50 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS filed_date
+        FROM (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS n FROM orders))"""
+
+
+@query(f"WITH {_FILINGS} SELECT *, coalesce(form_type, '') LIKE '%/A' AS is_amendment FROM filings")
+def typed_filings(spark, sf_dir):
+    f = filings.build_filings(_bronze_filings(spark, sf_dir))
+    return f.select("accession_number", "cik", "company_name", "form_type", "base_form_type", _day("filed_date").alias("filed_date"), "is_amendment")
+
+
+def _run_filings(spark, sf_dir) -> str:
+    """Two runs of one day over all filings: the second finds nothing new, and no record is quarantined twice."""
+    root = scratch(spark)
+    for name in ("bronze.filing_index_raw", "silver.filing", "silver.filing_quarantine"):
+        SnapshotTable(spark, root, name).create(schema_of(name))
+    SnapshotTable(spark, root, "bronze.filing_index_raw").append(_bronze_filings(spark, sf_dir))
+    for run in ("first", "second"):
+        filings.run_filings(spark, root, "2030-01-01", run, Report("silver", run))
+    return root
+
+
+@query(f"WITH {_FILINGS} SELECT accession_number, cik, form_type, filed_date, 1 AS version_number, '2030-01-01' AS valid_from, true AS is_current FROM filings WHERE form_type IS NOT NULL AND filed_date IS NOT NULL")
+def filings_run_table(spark, sf_dir):
+    t = SnapshotTable(spark, _run_filings(spark, sf_dir), "silver.filing").read()
+    return t.select("accession_number", "cik", "form_type", _day("filed_date").alias("filed_date"), "version_number", _day("valid_from").alias("valid_from"), "is_current")
+
+
+@query(f"""
+    WITH {_FILINGS} SELECT CASE WHEN form_type IS NULL THEN 'filing_form_type_present' ELSE 'filing_filed_date_present' END AS check_name, accession_number, 'second' AS run_id
+    FROM filings WHERE form_type IS NULL OR filed_date IS NULL
+""")
+def quarantine_run_table(spark, sf_dir):
+    t = SnapshotTable(spark, _run_filings(spark, sf_dir), "silver.filing_quarantine").read()
+    return t.select(F.col("_dq_check_name").alias("check_name"), normalise.accession(F.get_json_object("record_json", "$.accession_number")).alias("accession_number"), F.col("_dq_run_id").alias("run_id"))
+
+
+def _bronze_companies(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+    doc = F.struct(k.cast("string").alias("cik"), F.col("c_name").alias("name"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("sic"), F.when(k % 2 == 0, F.array("c_mktsegment")).alias("tickers"), F.array(F.struct(F.lit("Old").alias("name"))).alias("formerNames"))
+    return _bronze(_t(spark, sf_dir, "customer"), "bronze.company_submissions_raw", resource_id=k.cast("string"), cik=k.cast("string"), payload_json=F.to_json(doc))
+
+
+_COMPANIES = """
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_name AS company_name, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS sic,
+        CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS tickers, 'Old' AS former_names FROM customer
+"""
+
+
+def _companies(df: DataFrame) -> DataFrame:
+    return df.select("cik", "company_name", "sic", F.array_join("tickers", ",").alias("tickers"), F.array_join("former_names", ",").alias("former_names"))
+
+
+@query(_COMPANIES)
+def typed_companies(spark, sf_dir):
+    return _companies(filings.build_companies(_bronze_companies(spark, sf_dir)))
+
+
+@query(_COMPANIES)
+def companies_run_table(spark, sf_dir):
+    root = scratch(spark)
+    for name in ("bronze.company_submissions_raw", "silver.company", "silver.company_quarantine"):
+        SnapshotTable(spark, root, name).create(schema_of(name))
+    SnapshotTable(spark, root, "bronze.company_submissions_raw").append(_bronze_companies(spark, sf_dir))
+    filings.run_companies(spark, root, "2030-01-01", "run", Report("silver", "run"))
+    return _companies(SnapshotTable(spark, root, "silver.company").read().where("is_current and version_number = 1"))
+
+
+def _bronze_facts(spark, sf_dir) -> DataFrame:
+    """A document for each customer and one of two tags of a concept: its orders' totals, a fact each day, an assertion each order."""
+    k = F.col("o_orderkey")
+    fact = F.struct(
+        F.when(k % 2 == 0, F.date_format(F.date_sub("o_orderdate", 90), "yyyy-MM-dd")).alias("start"), _day("o_orderdate").alias("end"), F.col("o_totalprice").cast("decimal(38,2)").alias("val"),
+        F.lpad(k.cast("string"), 18, "0").alias("accn"), F.year("o_orderdate").alias("fy"), F.lit("FY").alias("fp"), F.lit("10-K").alias("form"), _day("o_orderdate").alias("filed"),
+    )
+    tag = F.when(k % 3 == 0, "ProfitLoss").otherwise("NetIncomeLoss")
+    docs = _t(spark, sf_dir, "orders").groupBy("o_custkey", tag.alias("tag")).agg(F.collect_list(fact).alias("facts"))
+    payload = F.to_json(F.struct(F.col("o_custkey").cast("string").alias("cik"), F.lit("us-gaap").alias("taxonomy"), "tag", F.create_map(F.lit("USD"), F.col("facts")).alias("units")))
+    return _bronze(docs, "bronze.company_concept_raw", resource_id=F.concat_ws("/", "o_custkey", F.lit("us-gaap"), "tag"), cik=F.col("o_custkey").cast("string"), taxonomy=F.lit("us-gaap"), tag=F.col("tag"), payload_json=payload)
+
+
+_FACTS = """facts AS (
+        SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, CASE WHEN o_orderkey % 3 = 0 THEN 'ProfitLoss' ELSE 'NetIncomeLoss' END AS concept_tag, 'net_income' AS concept_canonical, 'USD' AS unit,
+            CASE WHEN o_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE) - 90, '%Y-%m-%d') END AS period_start, strftime(o_orderdate, '%Y-%m-%d') AS period_end, CASE WHEN o_orderkey % 2 = 0 THEN 'duration' ELSE 'instant' END AS period_type,
+            substr(n, 1, 10) || '-' || substr(n, 11, 2) || '-' || substr(n, 13) AS accession_number, round(CAST(CAST(o_totalprice AS DECIMAL(38,2)) AS DOUBLE), 6) AS value
+        FROM (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS n FROM orders))"""
+
+
+def _facts(df: DataFrame, *more) -> DataFrame:
+    return df.select("cik", "concept_tag", "concept_canonical", "unit", _day("period_start").alias("period_start"), _day("period_end").alias("period_end"), "period_type", "accession_number", _num("value").alias("value"), *more)
+
+
+@query(f"WITH {_FACTS} SELECT * FROM facts")
+def typed_facts(spark, sf_dir):
+    return _facts(filings.build_facts(_bronze_facts(spark, sf_dir)))
+
+
+@query(f"""
+    WITH {_FACTS} SELECT *, CAST(row_number() OVER w AS INTEGER) AS assertion_version, lead(accession_number) OVER w AS superseded_by, lead(accession_number) OVER w IS NULL AS is_current
+    FROM facts WINDOW w AS (PARTITION BY cik, unit, period_start, period_end, period_type ORDER BY accession_number)
+""")
+def facts_run_table(spark, sf_dir):
+    root = scratch(spark)
+    for name in ("bronze.company_concept_raw", "silver.financial_fact", "silver.financial_fact_quarantine"):
+        SnapshotTable(spark, root, name).create(schema_of(name))
+    SnapshotTable(spark, root, "bronze.company_concept_raw").append(_bronze_facts(spark, sf_dir))
+    for run in ("first", "second"):
+        filings.run_facts(spark, root, "2030-01-01", run, Report("silver", run))
+    return _facts(SnapshotTable(spark, root, "silver.financial_fact").read(), "assertion_version", F.col("superseded_by_accession").alias("superseded_by"), F.col("is_current_assertion").alias("is_current"))
+
+
+@query("""
+    WITH f AS (SELECT o_custkey, o_orderkey, unnest([0, 1, 2]) AS t, o_totalprice FROM orders),
+    tagged AS (SELECT *, CASE t WHEN 0 THEN 'ProfitLoss' WHEN 1 THEN 'NetIncomeLoss' ELSE 'NetIncomeLoss' END AS tag, CASE t WHEN 2 THEN 'own' ELSE 'us-gaap' END AS taxonomy FROM f)
+    SELECT o_custkey, o_orderkey, tag AS concept_tag, taxonomy FROM tagged WHERE t = 1
+""")
+def preferred_tags(spark, sf_dir):
+    """Each order asserted under three tags, one of them a company's own: the registry's preference decides."""
+    f = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast(MONEY).alias("value"), F.explode(F.array(*[F.struct(F.lit(g).alias("concept_tag"), F.lit(t).alias("taxonomy")) for t, g in (("us-gaap", "ProfitLoss"), ("us-gaap", "NetIncomeLoss"), ("own", "NetIncomeLoss"))])).alias("x"))
+    return marts._preferred(f.select("*", "x.*").drop("x"), marts.FactShape(["o_custkey"], "o_orderkey")).select("o_custkey", "o_orderkey", "concept_tag", "taxonomy")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS resource_id, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cik, c_name AS name, '2030-01-01' AS logical_date, 'b-9' AS batch_id FROM customer")
+def batch_ingest_with_ledger(spark, sf_dir):
+    """Customers landed as envelopes of one day, read twice by a ledger: the second run finds nothing new; only that day's folder is read."""
+    root, name = scratch(spark), "company_submissions"
+    c = _t(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("string")
+    landed = c.select(F.lit("1").alias("envelope_version"), k.alias("resource_id"), F.lit("2030-01-01").alias("logical_date"), F.to_json(F.struct(k.alias("cik"), F.col("c_name").alias("name"))).alias("payload_json"))
+    for day in ("2030-01-01", "2030-01-02"):
+        landing.write_envelopes(landed, landing.landing_path(f"{root}/landing", name, day), compressed=True)
+    table = SnapshotTable(spark, f"{root}/tables", "bronze.company_submissions_raw").create(schema_of("bronze.company_submissions_raw"))
+    for _ in range(2):
+        ingest_batch(spark, f"{root}/landing", name, table, f"{root}/state", "2030-01-01", batch_id="b-9")
+    doc = F.from_json("payload_json", "name string")
+    return table.read().select("resource_id", normalise.cik(F.col("cik")).alias("cik"), doc["name"].alias("name"), _day("logical_date").alias("logical_date"), F.col("_ingest_batch_id").alias("batch_id"))
+
+
+@query("""
+    SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS kind, CAST(count(*) AS INTEGER) AS filing_count, 'run-7' AS run_id, CAST(3 AS BIGINT) AS source_version, '2030-01-01' AS generated FROM orders GROUP BY 1, 2
+""")
+def stamped_mart(spark, sf_dir):
+    """A rebuilt mart, stamped with its run and source version."""
+    name = "gold.filing_activity_daily"
+    a = marts.daily_activity(_t(spark, sf_dir, "orders"), "o_orderdate", "o_orderstatus", F.lit(False), "o_custkey").withColumnsRenamed({"o_orderdate": "filed_date", "o_orderstatus": "base_form_type"})
+    t = SnapshotTable(spark, scratch(spark), name).create(schema_of(name))
+    for _ in range(2):
+        write_mart(t, a, "run-7", 3, "2030-01-01")
+    return t.read().select(_day("filed_date").alias("day"), F.col("base_form_type").alias("kind"), "filing_count", F.col("_run_id").alias("run_id"), F.col("_source_version").alias("source_version"), _day("_generated_at").alias("generated"))
+
+
+@query("""
+    SELECT '10-K' AS form_type, c_name AS company_name, CAST(c_custkey AS VARCHAR) AS cik, '20300101' AS date_filed, 'x/' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '-30-000001.txt' AS file_name,
+        lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '-30-000001' AS accession_number FROM customer
+""")
+def index_lines(spark, sf_dir):
+    """Customers as lines of a daily index, with a heading and a rule between them, read back."""
+    k = F.col("c_custkey").cast("string")
+    line = F.concat(F.rpad(F.lit("10-K"), 12, " "), F.rpad("c_name", 40, " "), F.rpad(k, 12, " "), F.lit("20300101    x/"), F.lpad(k, 10, "0"), F.lit("-30-000001.txt  "))
+    lines = _t(spark, sf_dir, "customer").select(F.explode(F.array(line, F.lit("-" * 60), F.lit("Form Type   Company Name      CIK     Date Filed  File Name"))).alias("value"))
+    return landing.parse_index(lines)
