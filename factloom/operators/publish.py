@@ -24,9 +24,9 @@ class Exported:
     sha256: str
 
 
-def write_mart(table: SnapshotTable, df: DataFrame, run_id: str, source_version: int | None, generated_at: str | None = None) -> dict:
-    """Overwrite a mart with df, stamped; its schema stays."""
-    return table.overwrite(align(stamp(df, run_id, source_version, generated_at), table.schema))["metrics"]
+def write_mart(table: SnapshotTable, df: DataFrame, run_id: str, source_version: int | None, generated_at: str | None = None, inputs: dict[str, int | None] | None = None) -> dict:
+    """Overwrite a mart with df, stamped; its schema stays.  The manifest names the version of every input table."""
+    return table.overwrite(align(stamp(df, run_id, source_version, generated_at), table.schema), inputs=inputs or {})["metrics"]
 
 
 def export_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> Exported:

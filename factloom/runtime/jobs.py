@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -37,20 +38,23 @@ def silver_transform(spark: SparkSession, s: Settings, report: Report) -> None:
 
 def gold_build(spark: SparkSession, s: Settings, report: Report) -> None:
     """Change events first, as the other marts read them."""
-    read = lambda n: _table(spark, s, n).read()
-    version = lambda n: _table(spark, s, n).version()
+    versions: dict[str, int | None] = {}
+    version = lambda n: versions.setdefault(n, _table(spark, s, n).version())
+    # What is read is the version that is noted, whatever other writers do meanwhile.
+    read = lambda n: _table(spark, s, n).read(version(n))
     companies = marts.current_rows(read("silver.company"))
     filed = marts.current_rows(read("silver.filing"))
     facts, names = read("silver.financial_fact"), companies.select("cik", "company_name")
 
-    def put(name: str, df, source: str) -> None:
-        report.record(f"{name}.rows", publish.write_mart(_table(spark, s, f"gold.{name}"), df, report.run_id, version(source))["rows"])
+    def put(name: str, df, source: str, *more: str) -> None:
+        inputs = {n: version(n) for n in (source, *more)}
+        report.record(f"{name}.rows", publish.write_mart(_table(spark, s, f"gold.{name}"), df, report.run_id, inputs[source], inputs=inputs)["rows"])
 
-    put("restatement_event", marts.change_events(facts, names=names), "silver.financial_fact")
+    put("restatement_event", marts.change_events(facts, names=names), "silver.financial_fact", "silver.company")
     events = read("gold.restatement_event")
-    put("financials_current", marts.current_assertion(facts, events, names=names), "silver.financial_fact")
+    put("financials_current", marts.current_assertion(facts, events, names=names), "silver.financial_fact", "gold.restatement_event", "silver.company")
     put("filing_activity_daily", marts.daily_activity(filed), "silver.filing")
-    put("company_profile", marts.entity_profile(companies, filed, events), "silver.company")
+    put("company_profile", marts.entity_profile(companies, filed, events), "silver.company", "silver.filing", "gold.restatement_event")
     report.record("source_versions", {n: version(n) for n in ("silver.company", "silver.filing", "silver.financial_fact")})
 
 
@@ -76,6 +80,18 @@ def run_all(spark: SparkSession, s: Settings, out=None) -> list[Report]:
     return [run_task(spark, t, s, out) for t in TASKS]
 
 
+def landed_days(spark: SparkSession, root: str) -> list[str]:
+    """Logical dates that any stream has landed, in order."""
+    found = {p.split("logical_date=", 1)[1].split("/", 1)[0] for name in landing.STREAMS for p in landing.landing_files(spark, root, name) if "logical_date=" in p}
+    return sorted(found)
+
+
+def replay(spark: SparkSession, s: Settings, days: list[str] | None = None, out=None) -> list[Report]:
+    """run_all() for each day in order; all landed days by default."""
+    days = landed_days(spark, s.landing_root) if days is None else sorted(days)
+    return [r for day in days for r in run_all(spark, replace(s, logical_date=day), out)]
+
+
 def views(spark: SparkSession, s: Settings) -> dict:
     """The read-only views, as frames and temporary views."""
     read = lambda n: _table(spark, s, n).read()
@@ -94,15 +110,23 @@ def views(spark: SparkSession, s: Settings) -> dict:
 
 def main(argv: list[str]) -> int:
     if not argv or argv[0] not in {*TASKS, "all"}:
-        print(f"usage: TASK key=value ...; tasks are {', '.join(TASKS)}, all", file=sys.stderr)
+        print(f"usage: TASK key=value ...; tasks are {', '.join(TASKS)}, all (with days=FIRST,SECOND,... or days=landed), and sql=... to be shown over the views", file=sys.stderr)
         return 2
     given = dict(a.split("=", 1) for a in argv[1:])
+    days, sql = given.pop("days", ""), given.pop("sql", "")
+    if days and days != "landed":
+        given.setdefault("logical_date", max(days.split(",")))
     s = resolve(**{k: v for k, v in given.items() if v})
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    if argv[0] == "all":
+    if argv[0] == "all" and days:
+        replay(spark, s, None if days == "landed" else days.split(","))
+    elif argv[0] == "all":
         run_all(spark, s)
     else:
         run_task(spark, argv[0], s)
+    if sql:
+        views(spark, s)
+        spark.sql(sql).show(truncate=False)
     return 0
 
 

@@ -160,3 +160,21 @@ def test_command_line(capsys):
     assert jobs.main([]) == 2 and "bronze_ingest" in capsys.readouterr().err
     with pytest.raises(MissingSetting):
         jobs.main(["gold_build", "logical_date="])
+
+
+def test_marts_name_the_versions_of_all_inputs(spark, world):
+    root = world[0]
+    made = {n: SnapshotTable(spark, f"{root}/w", f"gold.{n}").manifest()["inputs"] for n in EXPORTED}
+    assert set(made["company_profile"]) == {"silver.company", "silver.filing", "gold.restatement_event"}
+    # Another test may have run silver once more since.
+    assert 1 <= made["restatement_event"]["silver.financial_fact"] <= SnapshotTable(spark, f"{root}/w", "silver.financial_fact").version()
+
+
+def test_replay_of_all_landed_days(spark, world, capsys):
+    root, make, *_ = world
+    assert jobs.landed_days(spark, f"{root}/landing") == [DAY, NEXT]
+    again = resolve(logical_date=NEXT, landing_root=f"{root}/landing", warehouse=f"{root}/w2", export_root=f"{root}/out2", checkpoint_root=f"{root}/ck2")
+    reports = jobs.replay(spark, again)
+    assert [r.task for r in reports] == list(jobs.TASKS) * 2
+    rows = lambda w: sorted(map(str, SnapshotTable(spark, f"{root}/{w}", "silver.company").read().select("cik", "company_name", "version_number", "valid_from", "valid_to").collect()))
+    assert rows("w2") == rows("w")
