@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotrain, crosspoly, licences, linecrf, mixing, simhash, tokens, toolcalls, toxicity
+from . import collocations, cotrain, crosspoly, filteraudit, licences, linecrf, mixing, segtree, simhash, tokens, toolcalls, toxicity
 from .common import table
 
 
@@ -77,11 +77,26 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = filteraudit.text_filters()
+    masks = filteraudit.fail_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), filters, copies="E")
+    return filteraudit.audit(masks, [*filters, "E"])
+
+
+def op13_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segtree.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digest=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_licence_scan, op2_embedding_near_dedup, op3_token_counts, op4_line_crf_quality, op5_mixing,
         op6_quality_cotraining, op7_toxicity, op8_byte_bpe, op9_tool_calls, op10_simhash_near_dedup,
+        op11_phrase_collocations, op12_filter_audit, op13_segment_bpe,
     )
 }
 
@@ -131,4 +146,48 @@ _TOOLS = """
     FROM (SELECT *, CASE WHEN turn % 5 = 4 THEN 'x' || turn ELSE 's' || (turn - 1) END AS a_id FROM conversations) m
     LEFT JOIN written ON role = 'user' AND written.conv_id = m.conv_id AND written.turn = m.turn LEFT JOIN c ON role = 'assistant' AND c.conv_id = m.conv_id AND c.id = a_id
 """
-ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle(), "op2_embedding_near_dedup": _LINKS, "op9_tool_calls": _TOOLS}
+
+#: Words, then phrases of two and three, cut at every place; all arithmetic in 128-bit whole numbers.
+_PHRASES = r"""
+    WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+    ), p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d
+    ), o AS (
+        SELECT lang, k, w[i:i + k - 1] AS ph FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)
+    ), f AS (SELECT lang, k, ph, CAST(count(*) AS HUGEINT) AS a FROM o GROUP BY ALL
+    ), n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+    ), c AS (SELECT * FROM f WHERE k > 1 AND a >= 10
+    ), s AS (SELECT lang, array_to_string(ph, ' ') AS phrase, a FROM f
+    ), places AS (SELECT c.*, unnest(range(1, k)) AS j FROM c
+    ), halves AS (SELECT *, array_to_string(ph[1:j], ' ') AS head, array_to_string(ph[j + 1:], ' ') AS tail FROM places
+    ), cuts AS (
+        SELECT h.*, x.a AS l, y.a AS r, (1000000 * h.a * h.a) // (x.a * y.a) AS score FROM halves h JOIN s x ON x.lang = h.lang AND x.phrase = h.head JOIN s y ON y.lang = h.lang AND y.phrase = h.tail
+    ), least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1
+    ), inside AS (SELECT lang, ph[1:2] AS ph, a FROM c WHERE k = 3 UNION ALL SELECT lang, ph[2:3], a FROM c WHERE k = 3
+    ), most AS (SELECT lang, ph, max(a) AS longer FROM inside GROUP BY ALL
+    ), kept AS (SELECT least.*, array_to_string(least.ph, ' ') AS phrase FROM least LEFT JOIN most USING (lang, ph) WHERE longer IS NULL OR 100 * longer < 50 * a
+    ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+#: Every order by recursion, every step of it counted from scratch.
+_AUDIT = r"""
+    WITH RECURSIVE marks AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+    ), w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), m AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+            || CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+            || CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+        FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id
+    ), cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY part, fails
+    ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+    ), orders AS (SELECT '' AS o UNION ALL SELECT o || c FROM orders, letters WHERE NOT contains(o, c)
+    ), steps AS (SELECT o, s, o[s] AS c, o[1:s - 1] AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s) WHERE length(o) = 5
+    ), x AS (SELECT part, o, s, c, n, good, toxic, contains(fails, c) AS failing, fails = c AS alone, translate(before, fails, '') = before AS here FROM steps, cells
+    ), r AS (
+        SELECT part, o, s, c, sum(n) FILTER (WHERE here AND NOT failing) AS kept, sum(n) FILTER (WHERE here AND failing) AS removed, sum(n) FILTER (WHERE failing AND NOT here) AS redundant, sum(n) FILTER (WHERE alone) AS alone,
+            sum(good) FILTER (WHERE here AND failing) AS good, sum(toxic) FILTER (WHERE here AND failing) AS toxic FROM x GROUP BY part, o, s, c)
+    SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(alone, 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(good, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, c), 0) AS BIGINT) AS shapley FROM r
+"""
+ORACLES: dict[str, str] = {"op1_licence_scan": licences.oracle(), "op2_embedding_near_dedup": _LINKS, "op9_tool_calls": _TOOLS, "op11_phrase_collocations": _PHRASES, "op12_filter_audit": _AUDIT}
