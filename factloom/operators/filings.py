@@ -21,6 +21,7 @@ FILING_TRACKED = ["form_type", "base_form_type", "is_amendment", "company_name",
 COMPANY_TRACKED = ["company_name", "sic", "sic_description", "ein", "entity_type", "state_of_incorporation", "fiscal_year_end", "tickers", "exchanges", "former_names"]
 FACT_KEY = ["cik", "taxonomy", "concept_tag", "unit", "period_start", "period_end", "period_type", "accession_number"]
 LATEST = ["logical_date", "_ingest_batch_id", "_source_file"]
+# Payload fields, and names and types of the columns of all tables.
 SUBMISSION = "cik string, entityType string, sic string, sicDescription string, name string, ein string, fiscalYearEnd string, stateOfIncorporation string, tickers array<string>, exchanges array<string>, formerNames array<struct<name:string,from:string,to:string>>"
 CONCEPT = "cik string, taxonomy string, tag string, entityName string, units map<string,array<struct<start:string,end:string,val:decimal(38,6),accn:string,fy:int,fp:string,form:string,filed:string,frame:string,decimals:int>>>"
 
@@ -54,9 +55,10 @@ def schema_of(name: str) -> StructType:
     return StructType.fromDDL(TABLES[name])
 
 
-def create_tables(spark: SparkSession, root: str) -> None:
+def create_tables(spark: SparkSession, root: str, buckets: dict[str, int] | None = None) -> None:
+    """All tables that are not there; `buckets` gives large merged tables their number of buckets, which versioning.rebucket() changes."""
     for name in TABLES:
-        SnapshotTable(spark, root, name).create(schema_of(name))
+        SnapshotTable(spark, root, name).create(schema_of(name), (buckets or {}).get(name))
 
 
 def build_filings(bronze: DataFrame) -> DataFrame:
@@ -128,7 +130,8 @@ def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: S
 
 
 def _of_day(spark: SparkSession, root: str, name: str, logical_date: str) -> DataFrame:
-    return SnapshotTable(spark, root, name).read().where(F.col("logical_date") == F.lit(logical_date).cast("date"))
+    """Bronze rows of a day; only the parts that hold it are read."""
+    return SnapshotTable(spark, root, name).read(days=[logical_date]).where(F.col("logical_date") == F.lit(logical_date).cast("date"))
 
 
 def run_filings(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:

@@ -13,16 +13,6 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def only_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Columns of df that are among names, in df's order."""
-    wanted = set(names)
-    return df.select([c for c in df.columns if c in wanted])
-
-
-def empty(spark, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}

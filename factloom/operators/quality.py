@@ -119,8 +119,8 @@ def apply_checks(df: DataFrame, checks: list[Check], run_id: str, source_table:
 
 
 # The registry of checks by table.
-RESCUED_ABSENT = Check("bronze_rescued_data_absent", "_rescued_data IS NULL", WARN, "no unknown fields arrived")
 CHECKS: dict[str, list[Check]] = {
+    "bronze": [Check("bronze_rescued_data_absent", "_rescued_data IS NULL", WARN, "no unknown fields arrived")],
     "filing": [
         Check("filing_accession_format", f"accession_number IS NOT NULL AND accession_number RLIKE '{ACCESSION}'"),
         Check("filing_cik_zero_padded", f"cik IS NOT NULL AND cik RLIKE '{CIK}'"),
@@ -154,6 +154,11 @@ SCD2_CHECKS = [
     Check("versions_dense", "version_count = max_version AND min_version = 1", REJECT_BATCH, kind=AGGREGATE),
     Check("current_is_newest", "current_version = max_version", REJECT_BATCH, kind=AGGREGATE),
 ]
+#: Of the rows that one merge writes for a key: the version it closed, if any, and the current one.
+SCD2_STEP_CHECKS = [
+    *(c for c in SCD2_CHECKS if c.name != "versions_dense"),
+    Check("versions_consecutive", "version_count = max_version - min_version + 1", REJECT_BATCH, kind=AGGREGATE),
+]
 GRAIN_CHECK = Check("fact_grain_unique", "row_count = 1", REJECT_BATCH, kind=AGGREGATE)
 
 

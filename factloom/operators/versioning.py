@@ -6,7 +6,6 @@ rows lie in buckets by a hash of their key, and a merge reads and writes the buc
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 from functools import reduce
 
@@ -15,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_diff
 from .frame import dedupe
-from .quality import SCD2_CHECKS, require
-from .tables import BUCKET, SnapshotTable, bucket_of
+from .joins import asof
+from .quality import SCD2_CHECKS, SCD2_STEP_CHECKS, require
+from .tables import BUCKET, TAG, SnapshotTable, bucket_of
 
 FIRST_SEEN, LAST_SEEN, HASH = "_first_seen_ts", "_last_seen_ts", "_hash_diff"
 VERSION_COLUMNS = ["version_number", "valid_from", "valid_to", "is_current", HASH]
@@ -151,8 +151,12 @@ def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_
 
 
 def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, buckets: int | None = None, **options) -> dict:
-    """scd2() as the table's next version.  Closed rows stay in the files they are in; of current rows the buckets that source
-    touches are written anew, and the history of these buckets alone is validated."""
+    """scd2() as the table's next version, in one write that deals rows to current and closed parts.
+
+    Closed rows stay in the files they are in; of current rows the buckets that source touches are written anew.  What is
+    validated is each key's step: its current row and the version that this merge closed, if any.  As closed rows never change,
+    a history whose steps are all valid is valid; check_history() looks at the whole of it.
+    """
     manifest = table.manifest()
     n, hit = touched(table, manifest, source, keys, buckets)
     parts = [p for p in manifest["parts"] if _in(p, hit)]
@@ -163,24 +167,32 @@ def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked
     if others:
         current = current.unionByName(table.read_parts(others, manifest).where("is_current"))
         options["closed_versions"] = history.groupBy(*keys).agg(F.max("version_number").alias("max_version"))
-    merged = scd2(current, source, keys, tracked, logical_date, **options).withColumn(BUCKET, bucket_of(keys, n))
-    # The merged rows feed two writes; a written copy spares the second a new join.
-    staged = f"{table.path}/_staged/{uuid.uuid4().hex}"
-    merged.write.parquet(staged)
-    try:
-        merged = table.spark.read.schema(merged.schema).parquet(staged)
-        closed = merged.where("not is_current")
-        if history is not None:
-            closed = closed.unionByName(history.withColumns({OP: F.lit("unchanged"), BUCKET: bucket_of(keys, n)}))
-
-        def check(_: dict, new: DataFrame) -> None:
-            kept = table.read_parts([p for p in parts if p["tag"] == "closed"], manifest)
-            require(scd2_invariants(new.unionByName(kept), keys), SCD2_CHECKS)
-
-        stays = lambda p: not _in(p, hit) or p["tag"] == "closed"
-        return table.commit({"current": merged.where("is_current"), "closed": closed}, stays, "merge_scd2", counters(), accept=check if validate else None, base=manifest, buckets=n)["metrics"]
-    finally:
-        table.store.delete(staged)
+    merged = scd2(current, source, keys, tracked, logical_date, **options)
+    if history is not None:
+        merged = merged.unionByName(history.withColumn(OP, F.lit("unchanged")))
+    merged = merged.withColumns({BUCKET: bucket_of(keys, n), TAG: F.when(F.col("is_current"), "current").otherwise("closed")})
+
+    def check(_: dict, new: DataFrame) -> None:
+        require(scd2_invariants(new, keys), SCD2_STEP_CHECKS)
+
+    stays = lambda p: not _in(p, hit) or p["tag"] == "closed"
+    return table.commit({"current": merged}, stays, "merge_scd2", counters(), accept=check if validate else None, base=manifest, buckets=n)["metrics"]
+
+
+def check_history(table: SnapshotTable, keys: list[str], version: int | None = None) -> dict[str, int]:
+    """Raise unless every key's whole history is valid: one current row, no overlaps, dense versions, the current one last."""
+    return require(scd2_invariants(table.read(version), keys), SCD2_CHECKS)
+
+
+def rebucket(table: SnapshotTable, keys: list[str], buckets: int) -> dict:
+    """Deal all rows to another number of buckets, each tag by itself; a table that has grown needs more of them."""
+    if buckets < 1:
+        raise ValueError("a table has one bucket at least")
+    manifest = table.manifest()
+    tags = sorted({p["tag"] for p in manifest["parts"]})
+    rows = [table.read_parts([p for p in manifest["parts"] if p["tag"] == t], manifest).withColumns({TAG: F.lit(t), BUCKET: bucket_of(keys, buckets)}) for t in tags]
+    new = {"rows": reduce(DataFrame.unionByName, rows)} if rows else {}
+    return table.commit(new, lambda _: False, "rebucket", base=manifest, buckets=buckets)
 
 
 def scd2_invariants(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -207,11 +219,16 @@ def history_from(snapshots: DataFrame, keys: list[str], tracked: list[str], day:
     return changes.select(*keys, *tracked, HASH, F.row_number().over(w).alias("version_number"), F.col(day).alias("valid_from"), F.date_sub(nxt, 1).alias("valid_to"), nxt.isNull().alias("is_current"))
 
 
-def point_in_time(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, how: str = "left") -> DataFrame:
-    """Each fact with the version valid on its day; versions do not overlap, so no fact is repeated."""
-    inside = (F.col(f"f.{at}") >= F.col("v.valid_from")) & (F.col(f"f.{at}") <= F.coalesce(F.col("v.valid_to"), F.lit("9999-12-31").cast("date")))
-    extra = [F.col(f"v.{c}") for c in versions.columns if c not in keys and c not in facts.columns]
-    return facts.alias("f").join(versions.alias("v"), null_safe("f", "v", keys) & inside, how).select("f.*", *extra)
+def point_in_time(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, how: str = "left", width: int | None = None) -> DataFrame:
+    """Each fact with the version valid on its day; versions do not overlap, so no fact is repeated.
+
+    The version that began last is found by an as-of join and counts if it has not ended; `width` splits hot keys, as there.
+    """
+    v, ends = versions.withColumn("_began", F.col("valid_from")), [c for c in versions.columns if c not in keys and c not in facts.columns]
+    found = asof(facts, v.select(*keys, *[c for c in v.columns if c not in keys]), keys, at, "_began", width=width, prefix="_v_")
+    valid = F.col("_v__began").isNotNull() & (F.col("_v_valid_to").isNull() | (F.col(at).cast("date") <= F.col("_v_valid_to")))
+    out = found.where(valid) if how == "inner" else found
+    return out.select(*facts.columns, *[F.when(valid, F.col(f"_v_{c}")).alias(c) for c in ends])
 
 
 def order_assertions(facts: DataFrame, keys: list[str], by: list[str], accession: str = "accession_number") -> DataFrame:

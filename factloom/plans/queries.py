@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from ..functions import concepts, normalise
 from ..functions.keys import hash_diff, surrogate_key
 from ..functions.tolerance import MONEY, reporting_scale
-from ..operators import filings, marts, quality, versioning
+from ..operators import filings, incremental, joins, marts, quality, versioning
 from ..operators.filings import schema_of
 from ..operators.frame import align, dedupe
 from ..operators.publish import export_table, write_mart
@@ -23,7 +23,8 @@ from ..operators.tables import SnapshotTable
 from ..runtime.report import Report
 from ..runtime.scratch import scratch
 from ..sources import landing
-from ..streaming.ingest import ingest_batch, ingest_stream
+from ..streaming import stateful
+from ..streaming.ingest import ingest_batch, ingest_stream, read_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -338,15 +339,6 @@ def canonical_mapping(spark, sf_dir):
     return e.select("event_id", "tag", concepts.canonical_concept(F.col("taxonomy"), F.col("tag")).alias("canonical"), concepts.tag_preference(F.col("taxonomy"), F.col("tag")).alias("preference"))
 
 
-@query("SELECT conv_id, role, turn, text FROM conversations")
-def explode_units(spark, sf_dir):
-    """Each message as a document with a map of arrays, taken apart again."""
-    doc = F.to_json(F.struct("conv_id", F.create_map("role", F.array(F.struct("turn", "text"))).alias("units")))
-    d = _t(spark, sf_dir, "conversations").select(F.from_json(doc, "conv_id long, units map<string,array<struct<turn:long,text:string>>>").alias("d"))
-    rows = d.select("d.conv_id", F.explode_outer("d.units").alias("role", "items")).select("conv_id", "role", F.explode_outer("items").alias("x"))
-    return rows.select("conv_id", "role", "x.turn", "x.text")
-
-
 def _scale_sql(v: str, decimals: str = "NULL") -> str:
     """reporting_scale() of a DECIMAL(38,6) expression, with the ladder tried power by power."""
     ladder = " ".join(f"WHEN {v} % CAST(1{'0' * k} AS DECIMAL(38,6)) = 0 THEN 1e{k}" for k in range(12, 0, -1))
@@ -703,3 +695,156 @@ def index_lines(spark, sf_dir):
     line = F.concat(F.rpad(F.lit("10-K"), 12, " "), F.rpad("c_name", 40, " "), F.rpad(k, 12, " "), F.lit("20300101    x/"), F.lpad(k, 10, "0"), F.lit("-30-000001.txt  "))
     lines = _t(spark, sf_dir, "customer").select(F.explode(F.array(line, F.lit("-" * 60), F.lit("Form Type   Company Name      CIK     Date Filed  File Name"))).alias("value"))
     return landing.parse_index(lines)
+
+
+# Joins by time
+
+
+@query("""
+    WITH v AS (SELECT user_id, ts, max(event_id) AS view_id FROM events WHERE event_type = 'view' GROUP BY ALL)
+    SELECT p.event_id, CASE WHEN floor(epoch(p.ts)) - floor(epoch(v.ts)) <= 172800 THEN v.view_id END AS view_id
+    FROM events p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts WHERE p.event_type = 'purchase'
+""")
+def asof_previous_view(spark, sf_dir):
+    """Each purchase with the user's last view in the two days before it; users' rows are dealt by week."""
+    e = _t(spark, sf_dir, "events")
+    views = e.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"))
+    found = joins.asof(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, ["user_id"], "ts", tolerance=172_800, width=7 * 86_400, prefix="v_")
+    return found.select("event_id", F.col("v_view_id").alias("view_id"))
+
+
+_BAND = "CASE WHEN value < 20 THEN 'low' WHEN value < 60 THEN 'mid' ELSE 'high' END"
+
+
+@query(f"""
+    WITH {_STATE}, b AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max({_BAND}, (ts, event_id)) AS band FROM events GROUP BY 1, 2),
+    bc AS (SELECT * FROM (SELECT *, lag(band) OVER (PARTITION BY user_id ORDER BY day) AS before FROM b) WHERE before IS DISTINCT FROM band),
+    bands AS (SELECT user_id, band, row_number() OVER w AS n, day AS a, lead(day) OVER w - 1 AS z FROM bc WINDOW w AS (PARTITION BY user_id ORDER BY day))
+    SELECT v.user_id, v.event_type, CAST(v.version_number AS INTEGER) AS version_number, band, CAST(n AS INTEGER) AS band_version FROM versions v JOIN bands ON v.user_id = bands.user_id
+        AND v.valid_from <= coalesce(z, DATE '9999-12-31') AND a <= coalesce(v.valid_to, DATE '9999-12-31')
+""")
+def overlapping_versions(spark, sf_dir):
+    """Pairs of versions of two histories of one user, of the last event's type and of its value's band, that share a day."""
+    e = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    bands = e.groupBy("user_id", "day").agg(F.max_by(F.expr(_BAND), F.struct("ts", "event_id")).alias("band"))
+    bands = versioning.history_from(bands, ["user_id"], ["band"], "day").select("user_id", "band", "version_number", "valid_from", "valid_to")
+    pairs = joins.overlaps(_versions(spark, sf_dir), bands, ["user_id"], ("valid_from", "valid_to"), width=5 * 86_400, prefix="b_")
+    return pairs.select("user_id", "event_type", "version_number", F.col("b_band").alias("band"), F.col("b_version_number").alias("band_version"))
+
+
+# Changes between versions, and a mart that they keep
+
+
+_ORDERS_MOVED = """now AS (
+        SELECT o_orderkey, o_custkey AS cik, CASE WHEN o_orderkey % 100 = 1 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS day, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS kind, o_orderpriority = '1-URGENT' AS amended FROM orders
+        UNION ALL SELECT o_orderkey + 100000000, o_custkey, o_orderdate, o_orderstatus, false FROM orders WHERE o_orderkey % 1000 = 5)"""
+
+
+def _moved_orders(spark, sf_dir, root: str, after=lambda table: None) -> SnapshotTable:
+    """Orders merged into a table in three steps: all, those whose kind changes, and those of another day with some new ones."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("filed_date"), F.col("o_orderstatus").alias("base_form_type"), F.col("o_custkey").alias("cik"), (F.col("o_orderpriority") == "1-URGENT").alias("is_amendment"))
+    table = SnapshotTable(spark, root, "orders").create(StructType([*o.schema.fields, *_schema("_first_seen_ts timestamp, _last_seen_ts timestamp").fields]), buckets=8)
+    k = F.col("o_orderkey")
+    moved = o.where(k % 100 == 1).withColumn("filed_date", F.date_add("filed_date", 1))
+    added = o.where(k % 1000 == 5).withColumns({"o_orderkey": k + 100000000, "is_amendment": F.lit(False)})
+    for step in (o, o.where(k % 10 == 0).withColumn("base_form_type", F.lit("X")), moved.unionByName(added)):
+        versioning.merge_scd1(table, step, ["o_orderkey"])
+        after(table)
+    return table
+
+
+@query(f"""
+    WITH {_ORDERS_MOVED} SELECT strftime(day, '%Y-%m-%d') AS day, kind, CAST(count(*) AS INTEGER) AS filing_count, CAST(count(*) FILTER (WHERE amended) AS INTEGER) AS amendment_count,
+        CAST(count(DISTINCT cik) AS INTEGER) AS distinct_cik_count, CAST(3 AS BIGINT) AS source_version FROM now GROUP BY ALL
+""")
+def activity_incremental(spark, sf_dir):
+    """Daily activity kept by the changes of three merges; it equals a rebuild."""
+    root, name, group = scratch(spark), "gold.filing_activity_daily", ["filed_date", "base_form_type"]
+    mart = SnapshotTable(spark, root, name).create(schema_of(name))
+
+    def follow(table: SnapshotTable) -> None:
+        support = SnapshotTable(spark, root, "support").create(incremental.support_schema(table.schema, group, "cik"), buckets=8)
+        incremental.update_activity(table, support, mart, "run", where=None)
+
+    _moved_orders(spark, sf_dir, root, follow)
+    return mart.read().select(_day("filed_date").alias("day"), F.col("base_form_type").alias("kind"), "filing_count", "amendment_count", "distinct_cik_count", F.col("_source_version").alias("source_version"))
+
+
+@query(f"""
+    WITH {_ORDERS_MOVED}, old AS (SELECT o_orderkey, o_orderdate AS day, o_orderstatus AS kind FROM orders), new AS (SELECT o_orderkey, day, kind FROM now)
+    SELECT o_orderkey, strftime(day, '%Y-%m-%d') AS day, kind, -1 AS change FROM (FROM old EXCEPT ALL FROM new) UNION ALL SELECT o_orderkey, strftime(day, '%Y-%m-%d'), kind, 1 FROM (FROM new EXCEPT ALL FROM old)
+""")
+def change_feed(spark, sf_dir):
+    """Rows that two merges took away and brought, from the parts that differ alone."""
+    table = _moved_orders(spark, sf_dir, scratch(spark))
+    c = table.changes(1, 3, ignore=incremental.PROCESSING)
+    return c.select("o_orderkey", _day("filed_date").alias("day"), F.col("base_form_type").alias("kind"), F.col("_change").alias("change"))
+
+
+# Streams with state
+
+
+def _slices(df: DataFrame, slice_, last: int, key: str, folder: str, closing: DataFrame):
+    """Lands df slice by slice, every seventh row one slice late, then a closing row that lets all state go; yields after each."""
+    late = (slice_ + F.when(F.col(key) % 7 == 0, 1).otherwise(0)).cast("int")
+    for k in range(last + 2):
+        df.where(F.coalesce(late, F.lit(0)) == k).write.mode("append").parquet(folder)
+        if k == last + 1:
+            closing.write.mode("append").parquet(folder)
+        yield k
+
+
+@query("""
+    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS started, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ended, count(*) AS n_events FROM (
+        SELECT *, sum(CASE WHEN ts - before < INTERVAL 12 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island
+        FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events WHERE ts IS NOT NULL)) GROUP BY user_id, island
+""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of users with pauses of twelve hours, from seven runs of one stream whose rows come up to twelve days late."""
+    root = scratch(spark)
+    e = _t(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    closing = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), F.lit("2034-01-01").cast("timestamp").alias("ts"))
+    table = None
+    for _ in _slices(e, F.floor((F.dayofmonth("ts") - 1) / 6), 4, "event_id", f"{root}/in", closing):
+        found = stateful.sessions(spark.readStream.schema(e.schema).parquet(f"{root}/in"), ["user_id"], "ts", "12 hours", "12 days")
+        table = table or SnapshotTable(spark, root, "sessions").create(found.schema)
+        stateful.run_to_table(found, table, f"{root}/state")
+    second = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return table.read().select("user_id", second("started"), second("ended"), "n_events")
+
+
+@query("""
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS ordered, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS shipped
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 90 DAY
+""")
+def stream_stream_join(spark, sf_dir):
+    """Orders as filings and their lines of the next 90 days as facts, two streams in three slices, with late rows on both sides."""
+    root = scratch(spark)
+    time = lambda c: F.col(c).cast("timestamp").alias(c)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", time("o_orderdate"))
+    lines = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", time("l_shipdate"))
+    end = F.lit("2044-01-01").cast("timestamp")
+    far = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), end.alias("o_orderdate"), F.lit(0).alias("l_linenumber"), end.alias("l_shipdate"))
+    table, slice_ = None, lambda c: F.least(F.greatest(F.floor((F.year(c) - 1995) / 3), F.lit(0)), F.lit(2))
+    sides = zip(_slices(o, slice_("o_orderdate"), 2, "o_orderkey", f"{root}/filings", far.select(*o.columns)), _slices(lines, slice_("l_shipdate"), 2, "o_orderkey", f"{root}/facts", far.select(*lines.columns)))
+    for _ in sides:
+        read = lambda df, n: spark.readStream.schema(df.schema).parquet(f"{root}/{n}")  # noqa: E731, B023
+        found = stateful.join_streams(read(o, "filings"), read(lines, "facts"), ["o_orderkey"], "o_orderdate", "l_shipdate", "90 days", delay="2200 days")
+        table = table or SnapshotTable(spark, root, "joined").create(found.schema)
+        stateful.run_to_table(found, table, f"{root}/state")
+    return table.read().where("o_orderkey >= 0").select("o_orderkey", _day("o_orderdate").alias("ordered"), "l_linenumber", _day("l_shipdate").alias("shipped"))
+
+
+@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS resource_id, strftime(ts, '%Y-%m-%d') AS content FROM events")
+def stream_first_arrivals(spark, sf_dir):
+    """Envelopes of a user's day, one for each event: the first alone is kept, over three runs, however they are dealt."""
+    root, name = scratch(spark), "filing_index"
+    day = _day("ts")
+    landed = _t(spark, sf_dir, "events").select(F.lit("1").alias("envelope_version"), F.lit(name).alias("stream"), F.col("user_id").cast("string").alias("resource_id"), day.alias("content_sha256"), F.concat(day, F.lit("T00:00:00Z")).alias("fetched_at"), (F.col("event_id") % 3).alias("part"))
+    table = None
+    for k in range(3):
+        landing.write_envelopes(landed.where(F.coalesce(F.col("part"), F.lit(0)) == k).drop("part"), f"{landing.landing_path(root, name)}/run={k}")
+        found = stateful.first_arrivals(read_stream(spark, root, name), delay="60 days").select("resource_id", F.col("content_sha256").alias("content"))
+        table = table or SnapshotTable(spark, f"{root}/tables", "firsts").create(found.schema)
+        stateful.run_to_table(found, table, f"{root}/state")
+    return table.read()

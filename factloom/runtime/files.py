@@ -30,9 +30,9 @@ class Store:
             stream.close()
 
     def write(self, path: str, data: bytes) -> None:
-        """Write beside the target, then rename: a reader sees the old file or the new one."""
+        """Write beside the target, under a name of its own, then rename: a reader sees the old file or the new one, whoever else writes."""
         fs, p = self._at(path)
-        beside = self._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
+        beside = self._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
         stream = fs.create(beside, True)
         try:
             stream.write(bytearray(data))
@@ -77,6 +77,11 @@ class Store:
             found.append((s.getPath().toString(), s.getLen()))
         return sorted(found)
 
+    def names(self, path: str) -> list[str]:
+        """Names of what lies directly in a folder, sorted; none if it is not there."""
+        fs, p = self._at(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         if fs.exists(p):

@@ -64,11 +64,6 @@ def parse_envelopes(lines: DataFrame, schema: StructType = ENVELOPE, value: str
     return rows.select(*[typed[f.name].alias(f.name) for f in schema.fields], F.when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED), F.when(F.col("_raw").isNull(), F.col(value)).alias(MALFORMED), *others)
 
 
-def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Text lines (plain or gzip by extension) with the file they are from."""
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").text(paths).select("value", F.col("_metadata.file_path").alias("_source_file"))
-
-
 def unsupported_versions(envelopes: DataFrame, supported=SUPPORTED_VERSIONS, malformed: str = MALFORMED) -> DataFrame:
     """Distinct envelope versions that are not supported; a malformed line has none and is not one."""
     rows = envelopes.where(F.col(malformed).isNull()) if malformed in envelopes.columns else envelopes
@@ -87,25 +82,41 @@ def rescued_rows(df: DataFrame) -> Column:
 
 @dataclass
 class LandingBatch:
-    """Envelopes of the files not yet in the ledger; commit() after they are safely written (at least once)."""
+    """Envelopes of files that are not in the ledger, or of a batch that was begun there and not finished.
+
+    begin() notes files and number, before rows are written; commit() after it that they are.  Of two drivers that begin one
+    number one wins, and the other has to read again.
+    """
 
     frame: DataFrame
     files: list[str]
+    number: int
+    resumed: bool
+    place: str
     _store: Store = field(repr=False)
-    _ledger: str = ""
+    _folder: str = ""
 
     @property
     def is_empty(self) -> bool:
         return not self.files
 
+    def begin(self) -> bool:
+        return self.resumed or self._store.create(f"{self._folder}/{self.number:08d}.json", json.dumps(self.files).encode())
+
     def commit(self) -> None:
         if self.files:
-            seen = set(_ledger_files(self._store, self._ledger))
-            self._store.write(self._ledger, json.dumps(sorted(seen | set(self.files))).encode())
+            self.begin()
+            self._store.write(f"{self._folder}/{self.number:08d}.done", b"")
 
 
-def _ledger_files(store: Store, path: str) -> list[str]:
-    return json.loads(store.read(path)) if store.exists(path) else []
+#: Ledger of runs over all days.
+ALL_DAYS = "all"
+
+
+def _entries(store: Store, folder: str) -> dict[int, tuple[list[str], bool]]:
+    """Batches of a ledger folder: files, and whether they are done."""
+    names = set(store.names(folder))
+    return {int(n[:8]): (json.loads(store.read(f"{folder}/{n}")), f"{n[:8]}.done" in names) for n in names if n.endswith(".json")}
 
 
 def landing_files(spark: SparkSession, root: str, name: str, logical_date: str | None = None) -> list[str]:
@@ -114,16 +125,25 @@ def landing_files(spark: SparkSession, root: str, name: str, logical_date: str |
 
 
 def read_landing_batch(spark: SparkSession, root: str, name: str, ledger_root: str, logical_date: str | None = None, file_filter=None) -> LandingBatch:
-    """Envelopes of new files; with logical_date, of that day's folder alone."""
-    store, ledger = Store(spark), f"{checkpoint_path(ledger_root, name)}/ledger.json"
-    seen = set(_ledger_files(store, ledger))
-    files = [p for p in landing_files(spark, root, name, logical_date) if p not in seen and (file_filter is None or file_filter(p))]
+    """Envelopes of new files; with logical_date, of that day's folder alone, by that day's part of the ledger.
+
+    A batch that was begun and is not done comes first, as it was.
+    """
+    store, top, place = Store(spark), f"{checkpoint_path(ledger_root, name)}/ledger", logical_date or ALL_DAYS
+    read = {d: _entries(store, f"{top}/{d}") for d in ({place, ALL_DAYS} if logical_date else {ALL_DAYS, *store.names(top)})}
+    own = read[place]
+    if open_ := sorted(n for n, (_, done) in own.items() if not done):
+        number, files = open_[0], own[open_[0]][0]
+    else:
+        seen = {f for entries in read.values() for files, _ in entries.values() for f in files}
+        number = max(own, default=0) + 1
+        files = [p for p in landing_files(spark, root, name, logical_date) if p not in seen and (file_filter is None or file_filter(p))]
     if files:
         frame = parse_envelopes(spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source_file")))
     else:
         extra = [StructField(c, StringType()) for c in (RESCUED, MALFORMED, "_source_file")]
         frame = spark.createDataFrame([], StructType([*ENVELOPE.fields, *extra]))
-    return LandingBatch(frame, files, store, ledger)
+    return LandingBatch(frame, files, number, bool(open_), place, store, f"{top}/{place}")
 
 
 # Bronze projections
@@ -166,13 +186,14 @@ PROJECTIONS = {"filing_index": project_filing_index, "company_submissions": proj
 def parse_index(lines: DataFrame, value: str = "value") -> DataFrame:
     """Rows of a daily index; headers and other lines do not fit and go.
 
-    A line ends in three words without blanks inside: company number, day and file.  Before them stand form and company, which
-    may hold single blanks, as two or more part the columns.
+    A line ends in three words without blanks inside: company number, day and file.  The form is what stands before the first run of
+    two or more blanks, and the company is all between, blanks inside it included.
     """
-    words, columns = F.split(F.trim(value), r"\s+"), F.split(F.trim(value), r"\s{2,}")
-    rows = lines.select(words.alias("w"), columns.alias("c")).where("size(w) >= 5 and size(c) >= 3")
-    rows = rows.select(F.col("c")[0].alias("form_type"), F.col("c")[1].alias("company_name"), *(F.element_at("w", -k).alias(n) for k, n in ((3, "cik"), (2, "date_filed"), (1, "file_name"))))
-    rows = rows.where(F.col("cik").rlike("^[0-9]{1,10}$") & F.col("date_filed").rlike("^([0-9]{8}|[0-9]{4}-[0-9]{2}-[0-9]{2})$"))
+    line = r"^(\S+(?:\s\S+)*)\s{2,}(\S.*?)\s+([0-9]{1,10})\s+([0-9]{8}|[0-9]{4}-[0-9]{2}-[0-9]{2})\s+(\S+)$"
+    names = ("form_type", "company_name", "cik", "date_filed", "file_name")
+    text = F.trim(F.col(value))
+    rows = lines.select(text.alias("t")).where(F.col("t").rlike(line))
+    rows = rows.select(*[F.regexp_extract("t", line, k).alias(n) for k, n in enumerate(names, 1)])
     return rows.withColumn("accession_number", F.regexp_extract("file_name", r"([0-9]{10}-[0-9]{2}-[0-9]{6})", 1))
 
 

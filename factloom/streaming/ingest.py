@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import SnapshotTable
+from ..operators.tables import DAY, SnapshotTable
 from ..runtime.files import Store
 from ..sources import landing
 
@@ -21,13 +21,11 @@ def read_stream(spark: SparkSession, root: str, name: str, max_files: int | None
     return landing.parse_envelopes(lines)
 
 
-def first_arrivals(envelopes: DataFrame, ts: str = "fetched_ts", delay: str = "1 day") -> DataFrame:
-    """Drops envelopes whose content came before within the delay; state older than the watermark is let go."""
-    return envelopes.withColumn(ts, F.try_to_timestamp("fetched_at")).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["stream", "resource_id", "content_sha256"])
-
-
 def _append(table: SnapshotTable, name: str, envelopes: DataFrame, batch_id: str, ingest_ts: str | None, supported, **more) -> dict:
-    """Append envelopes; versions are checked on what was written, in the same pass, before it is published."""
+    """Append envelopes; versions are checked on what was written, in the same pass, before it is published.
+
+    Each day's rows are parts of their own, so that a run over one day opens no other.
+    """
     rows = landing.PROJECTIONS[name](landing.with_metadata(envelopes, batch_id=batch_id, ingest_ts=ingest_ts), landing.MALFORMED)
     refused = F.col(landing.MALFORMED).isNull() & ~F.coalesce(F.col("_envelope_version").isin(*supported), F.lit(False))
 
@@ -36,7 +34,7 @@ def _append(table: SnapshotTable, name: str, envelopes: DataFrame, batch_id: str
             others = staged.where(~F.col("_envelope_version").isin(*supported)).select("_envelope_version").distinct().limit(5).collect()
             raise ValueError(f"envelope versions {sorted(r[0] for r in others) or [None]} of {metrics['refused']} rows are not among {list(supported)}; nothing was ingested")
 
-    return table.append(rows, {"rescued": landing.rescued_rows(rows), "refused": F.count_if(refused)}, accept, **more)
+    return table.append(rows.withColumn(DAY, F.date_format("logical_date", "yyyy-MM-dd")), {"rescued": landing.rescued_rows(rows), "refused": F.count_if(refused)}, accept, **more)
 
 
 def ingest_stream(spark: SparkSession, root: str, name: str, table: SnapshotTable, checkpoint_root: str, batch_id: str = "unknown", ingest_ts: str | None = None, supported=landing.SUPPORTED_VERSIONS) -> dict[str, int]:
@@ -50,10 +48,7 @@ def ingest_stream(spark: SparkSession, root: str, name: str, table: SnapshotTabl
 
     def write(batch: DataFrame, number: int) -> None:
         query = json.loads(store.read(f"{checkpoint}/metadata"))["id"]
-        done = table.manifest().get("batches", {})
-        if number <= done.get(query, -1):
-            return
-        m = _append(table, name, batch, batch_id, ingest_ts, supported, batches=done | {query: number})
+        m = _append(table, name, batch, batch_id, ingest_ts, supported, batch=(query, number))
         for k in totals:
             totals[k] += m["metrics"][k]
 
@@ -63,10 +58,20 @@ def ingest_stream(spark: SparkSession, root: str, name: str, table: SnapshotTabl
 
 
 def ingest_batch(spark: SparkSession, root: str, name: str, table: SnapshotTable, ledger_root: str, logical_date: str | None = None, batch_id: str = "unknown", ingest_ts: str | None = None, supported=landing.SUPPORTED_VERSIONS) -> dict[str, int]:
-    """As ingest_stream(), by a ledger of files: append, then ledger, so that nothing is lost.  No new file, no write."""
-    batch = landing.read_landing_batch(spark, root, name, ledger_root, logical_date)
-    if batch.is_empty:
-        return {"rows": 0, "rescued": 0}
-    metrics = _append(table, name, batch.frame, batch_id, ingest_ts, supported)["metrics"]
-    batch.commit()
-    return {k: metrics[k] for k in ("rows", "rescued")}
+    """As ingest_stream(), by a ledger of files.  No new file, no write.
+
+    The ledger notes a batch and its files before the append and that it is done after it.  A run that finds a batch that was not
+    finished takes it up with the same files and number, and the manifest says whether it was appended: once, whatever
+    crashes and whoever else runs.
+    """
+    totals = {"rows": 0, "rescued": 0}
+    while not (batch := landing.read_landing_batch(spark, root, name, ledger_root, logical_date)).is_empty:
+        if not batch.begin():
+            continue
+        metrics = _append(table, name, batch.frame, batch_id, ingest_ts, supported, batch=(f"{name}/{batch.place}", batch.number))["metrics"]
+        batch.commit()
+        for k in totals:
+            totals[k] += metrics[k]
+        if not batch.resumed:
+            break
+    return totals

@@ -7,7 +7,8 @@ import pytest
 from factloom.operators.filings import schema_of
 from factloom.operators.tables import SnapshotTable
 from factloom.sources import landing
-from factloom.streaming.ingest import first_arrivals, ingest_batch, ingest_stream, read_stream
+from factloom.streaming.ingest import ingest_batch, ingest_stream, read_stream
+from factloom.streaming.stateful import first_arrivals
 
 DAY = "2026-07-31"
 
