@@ -2,7 +2,8 @@
 
 A lexicon maps words to symbols: insult, threat, target, negation, reporting or other.  Four transducers - negation scope,
 reported speech, targets and scoring - are composed into one deterministic machine, which reads each clause's symbols
-and weighs its insults and threats by what stands before and after them.  The insults and their weights are learned: words and word
+and weighs its insults and threats by what stands before and after them.  The grammar's words are those of all its languages at once,
+so that a text's score depends on the text alone.  The insults and their weights are learned: words and word
 beginnings whose odds among documents labelled toxic are surely higher.  A logistic curve over the clause scores,
 fitted on rows that the lexicon it uses has not seen, gives the document's score.
 """
@@ -51,14 +52,17 @@ LANGUAGES = tuple(TARGETS)
 #: Weight of a threat that names a target.
 THREAT_WEIGHT = 4.0
 #: Factors of negated, reported and targeted insults, and of those without a target, the report or target before or after
-#: them in their clause.  A threat counts once its clause has a target, before or after it, and weighs nothing without one.
+#: them in their clause.  A threat counts with a target beside it, REACH tokens before or after it at most and without a comma between
+#: them, and weighs nothing without one.
 NEGATED, REPORTED, TARGETED, BARE = 0.3, 0.5, 1.5, 0.5
+REACH = 2
 
-#: A threat that waits for its target, and the first target of a clause, are symbols between the machines alone.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, WAITING, FIRST_TARGET = range(8)
+#: A threat that waits for its target, and a clause's first and further targets, are symbols between the machines alone.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, COMMA, WAITING, FIRST_TARGET, NEXT_TARGET = range(10)
+SYMBOLS = range(COMMA + 1)
 #: Tokens that a negation reaches over.
 SCOPE = 3
-TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[.!?;\n]")
+TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[,.!?;\n]")
 STOPS = frozenset(".!?;\n")
 #: Beginnings of words that may be learned.
 PREFIXES = (4, 5, 6)
@@ -93,34 +97,38 @@ def compose(first: Transducer, second: Transducer, symbols, start=(0, 0)) -> tup
 
 def grammar() -> tuple[dict, tuple]:
     """Composed machine over one clause: (state, symbol) to (state, symbol for the scorer, factor for a hit, factor for the clause so far)."""
-    symbols = range(6)
+    symbols = SYMBOLS
     hits = (INSULT, THREAT)
     negation = Transducer({(k, s): (SCOPE if s == NEGATION else max(k - 1, 0), s, NEGATED if s in hits and k else 1.0, 1.0) for k in range(SCOPE + 1) for s in symbols})
     # The first report or target of a clause also weighs the hits before it.
     report = Transducer({(k, s): (1 if s == REPORT else k, s, REPORTED if s in hits and k else 1.0, REPORTED if s == REPORT and not k else 1.0) for k in (0, 1) for s in symbols})
-    target = Transducer(
-        {(1, s): (1, s, TARGETED if s == INSULT else 1.0, 1.0) for s in symbols}
-        | {(0, s): (0, s, BARE if s == INSULT else 1.0, 1.0) for s in symbols}
-        | {(0, THREAT): (0, WAITING, 1.0, 1.0), (0, TARGET): (1, FIRST_TARGET, 1.0, TARGETED / BARE)}
-    )
-    score = Transducer({(0, s): (0, s if s in (INSULT, THREAT, WAITING, FIRST_TARGET) else OTHER, 1.0, 1.0) for s in (*symbols, WAITING, FIRST_TARGET)})
+    # State: whether the clause has had a target, and for how many tokens more the last one is beside a threat.
+    arcs: dict = {}
+    for seen in (0, 1):
+        for near in range(REACH + 1):
+            rest = (seen, max(near - 1, 0))
+            arcs |= {((seen, near), s): (rest, s, 1.0, 1.0) for s in symbols}
+            arcs[(seen, near), INSULT] = (rest, INSULT, TARGETED if seen else BARE, 1.0)
+            arcs[(seen, near), THREAT] = (rest, THREAT if near else WAITING, 1.0, 1.0)
+            arcs[(seen, near), COMMA] = ((seen, 0), COMMA, 1.0, 1.0)
+            arcs[(seen, near), TARGET] = ((1, REACH), NEXT_TARGET if seen else FIRST_TARGET, 1.0, 1.0 if seen else TARGETED / BARE)
+    target = Transducer(arcs)
+    told = (INSULT, THREAT, COMMA, WAITING, FIRST_TARGET, NEXT_TARGET)
+    score = Transducer({(0, s): (0, s if s in told else OTHER, 1.0, 1.0) for s in range(NEXT_TARGET + 1)})
     machine, start = compose(negation, report, symbols)
-    for other in (target, score):
-        machine, start = compose(machine, other, symbols, (start, 0))
+    machine, start = compose(machine, target, symbols, (start, (0, 0)))
+    machine, start = compose(machine, score, symbols, (start, 0))
     return machine.arcs, start
 
 
 class Lexicon(dict):
-    """Word to (symbol, weight); words not seen before are looked up once by themselves and their beginnings.
+    """Word to (symbol, weight); words not seen before are looked up once by themselves and their beginnings."""
 
-    The grammar's words are those of one language, or of all where it is none of LANGUAGES.
-    """
-
-    def __init__(self, learned: dict[str, float], language: str | None = None):
+    def __init__(self, learned: dict[str, float]):
         super().__init__()
         self.learned = learned
-        names = (language,) if language in LANGUAGES else LANGUAGES
-        self.fixed = {w: (s, THREAT_WEIGHT) for s, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for n in names for w in words[n].split()}
+        self.fixed = {w: (s, THREAT_WEIGHT) for s, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for n in LANGUAGES for w in words[n].split()}
+        self.fixed[","] = (COMMA, 0.0)
 
     def listed(self, word: str):
         word = word.replace("’", "'")
@@ -140,21 +148,12 @@ class Lexicon(dict):
 
 class Scorer:
     def __init__(self, learned: dict[str, float]):
-        self.learned, (self.arcs, self.start) = learned, grammar()
-        self.lexicons: dict[str | None, Lexicon] = {}
-
-    def lexicon(self, lang: str | None) -> Lexicon:
-        """That of a language tag's first part; None and other languages share one."""
-        name = re.split("[-_]", lang.lower())[0] if isinstance(lang, str) else None
-        name = name if name in LANGUAGES else None
-        if name not in self.lexicons:
-            self.lexicons[name] = Lexicon(self.learned, name)
-        return self.lexicons[name]
-
-    def clauses(self, text: str, lang: str | None = None) -> list[float]:
+        self.lexicon, (self.arcs, self.start) = Lexicon(learned), grammar()
+
+    def clauses(self, text: str) -> list[float]:
         """Scores of the text's clauses that match."""
         tokens = TOKEN.findall(text.lower())
-        marks = list(map(self.lexicon(lang).__getitem__, tokens))
+        marks = list(map(self.lexicon.__getitem__, tokens))
         hits = [k for k, m in enumerate(marks) if m is not None and m[0] in (INSULT, THREAT)]
         out, done = [], 0
         for hit in hits:
@@ -163,34 +162,35 @@ class Scorer:
             a = hit
             while a > done and tokens[a - 1] not in STOPS:
                 a -= 1
-            state, total, waiting, k = self.start, 0.0, 0.0, a
+            # waiting[i]: threats that came i + 1 tokens ago and have met no target.
+            state, total, waiting, k = self.start, 0.0, [0.0] * REACH, a
             while k < len(tokens) and tokens[k] not in STOPS:
                 symbol, weight = marks[k] or (OTHER, 0.0)
                 state, out_symbol, factor, before = self.arcs[state, symbol]
                 total *= before
-                if out_symbol == FIRST_TARGET:
-                    total, waiting = total + waiting, 0.0
+                fresh = 0.0
+                if out_symbol in (FIRST_TARGET, NEXT_TARGET):
+                    total, waiting = total + sum(waiting), [0.0] * REACH
+                elif out_symbol == COMMA:
+                    waiting = [0.0] * REACH
                 elif out_symbol == WAITING:
-                    waiting += factor * weight
-                else:
-                    waiting *= before
-                    if out_symbol != OTHER:
-                        total += factor * weight
+                    fresh = factor * weight
+                elif out_symbol in (INSULT, THREAT):
+                    total += factor * weight
+                elif before != 1.0:
+                    waiting = [w * before for w in waiting]
+                waiting = [fresh, *waiting[:-1]]
                 k += 1
             done = k
             if total > 0:
                 out.append(total)
         return out
 
-    def features(self, text: str, lang: str | None = None) -> tuple[float, float, float]:
-        c = self.clauses(text, lang)
+    def features(self, text: str) -> tuple[float, float, float]:
+        c = self.clauses(text)
         return (float(np.log1p(sum(c))), float(np.log1p(max(c, default=0.0))), float(np.log1p(len(c))))
 
 
-def _lang(docs: DataFrame):
-    return (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang")
-
-
 def word_counts(sample: DataFrame) -> DataFrame:
     """(feature, t0, n0, t1, n1): documents of either half, toxic and not, that hold the word (=word) or word beginning."""
 
@@ -205,7 +205,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, y, half in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                words = set(TOKEN.findall(text.lower())) - STOPS
+                words = set(TOKEN.findall(text.lower())) - STOPS - {","}
                 at = 2 * half + (1 - y)
                 for f in {"=" + w for w in words} | {w[:k] for w in words for k in PREFIXES if len(w) >= k}:
                     counts[f][at] += 1
@@ -254,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None
     """
     common.ship(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(2)).cast("int")
-    sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key, _lang(docs)).withColumn("half", half))
+    sample = common.stored(learn.labelled(docs, labels, "toxic", rows, keep, key).withColumn("half", half))
     sizes = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count("*").alias("n")).collect()}
     n = lambda h, y: sizes.get((h, y), 0)
     toxic, other = n(0, 1) + n(1, 1), n(0, 0) + n(1, 0)
@@ -276,10 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, keep=None
     def run(batches):
         scorers = [Scorer(w) for w in unseen]
         for batch in batches:
-            x = [scorers[h].features(t, g) for t, h, g in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)))]
+            x = [scorers[h].features(t) for t, h in zip(*(batch.column(k).to_pylist() for k in (0, 1)))]
             yield pa.RecordBatch.from_arrays([batch.column(2), *(pa.array([r[k] for r in x], pa.float64()) for k in range(3))], names=["y", "a", "b", "c"])
 
-    x = sample.select("text", "half", "y", "lang").mapInArrow(run, "y int, a double, b double, c double").toPandas()
+    x = sample.select("text", "half", "y").mapInArrow(run, "y int, a double, b double, c double").toPandas()
     curve = learn.logistic(x[["a", "b", "c"]].to_numpy(), x["y"].to_numpy(np.float64), l2=0.1)
     return table([0, 2], [1, 3], toxic, other), curve
 
@@ -298,11 +298,11 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], key: str
         scorer = Scorer(lexicon)
         for batch in batches:
             for a, b, texts in common.text_slices(batch):
-                x = np.array([scorer.features(t, g) for t, g in zip(texts, batch.column(2).slice(a, b - a).to_pylist())])
+                x = np.array([scorer.features(t) for t in texts])
                 p = learn.predict(x, curve)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(np.rint(np.expm1(x[:, 2])).astype(np.int32))], names=["key", "score", "predicted", "n_clauses"])
 
-    return docs.select(F.col(key).alias("key"), "text", _lang(docs)).mapInArrow(run, f"key {kind}, score double, predicted int, n_clauses int").withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), "text").mapInArrow(run, f"key {kind}, score double, predicted int, n_clauses int").withColumnRenamed("key", key)
 
 
 def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFrame:
@@ -314,11 +314,11 @@ def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray]) -> DataFra
     lexicon, curve = model
 
     @F.pandas_udf("boolean")
-    def clean(text: pd.Series, lang: pd.Series) -> pd.Series:
+    def clean(text: pd.Series) -> pd.Series:
         scorer = Scorer(lexicon)
-        return pd.Series(learn.predict(np.array([scorer.features(t or "", g) for t, g in zip(text, lang)]).reshape(-1, 3), curve) < 0.5)
+        return pd.Series(learn.predict(np.array([scorer.features(t or "") for t in text]).reshape(-1, 3), curve) < 0.5)
 
-    return docs.where(clean("text", _lang(docs)))
+    return docs.where(clean("text"))
 
 
 def held_out(key: str = "doc_id"):

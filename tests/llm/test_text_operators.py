@@ -230,7 +230,9 @@ def test_grammar_weighs_context():
     assert s.clauses("not a clod") == [pytest.approx(2.0 * toxicity.NEGATED * toxicity.BARE)]
     assert s.clauses("she said a clod") == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.TARGETED)]
     assert s.clauses("kill the lights") == [] and s.clauses("kill the lights. you") == []
-    assert s.clauses("i will kill you") == s.clauses("you i will kill") == [pytest.approx(toxicity.THREAT_WEIGHT)]
+    assert s.clauses("i will kill you") == s.clauses("i kill all you") == s.clauses("you will kill") == [pytest.approx(toxicity.THREAT_WEIGHT)]
+    # Targets that are far off, or beyond a comma, are not the threat's.
+    assert s.clauses("you i will kill") == s.clauses("that movie killed it, people loved it") == s.clauses("beat the eggs until they are stiff") == s.clauses("kill, you") == []
     assert s.clauses("i will not kill you") == [pytest.approx(toxicity.THREAT_WEIGHT * toxicity.NEGATED)]
     assert s.clauses("i will kill you, it was said") == [pytest.approx(toxicity.THREAT_WEIGHT * toxicity.REPORTED)]
     assert len(s.clauses("clod clod. clod! x\nclod")) == 3 and s.clauses("") == []
@@ -242,51 +244,93 @@ def test_grammar_weighs_insults_by_what_comes_after():
     assert s.clauses("clod that you are") == [pytest.approx(2.0 * toxicity.TARGETED)]
     assert s.clauses("a clod, it was said and said again") == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.BARE)]
     assert s.clauses("not a clod, you clod") == [pytest.approx(2.0 * toxicity.TARGETED * (1 + toxicity.NEGATED))]
-    assert s.clauses("kill a clod, you") == [pytest.approx(toxicity.THREAT_WEIGHT + 2.0 * toxicity.TARGETED)]
+    assert s.clauses("kill a clod, you") == [pytest.approx(2.0 * toxicity.TARGETED)]
     # Another clause's words do not count.
     assert s.clauses("a clod. she said") == [pytest.approx(2.0 * toxicity.BARE)]
 
 
 def test_composed_machine_equals_its_rules_on_all_short_clauses():
-    word = {toxicity.OTHER: "stone", toxicity.INSULT: "clod", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said"}
+    word = {toxicity.OTHER: "stone", toxicity.INSULT: "clod", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said", toxicity.COMMA: ","}
     s = toxicity.Scorer({"=clod": 2.0})
     for n in range(1, 6):
         for clause in itertools.product(word, repeat=n):
             aimed, want = toxicity.TARGET in clause, 0.0
             for k, symbol in enumerate(clause):
-                weight = {toxicity.INSULT: 2.0 * (toxicity.TARGETED if aimed else toxicity.BARE), toxicity.THREAT: toxicity.THREAT_WEIGHT * aimed}.get(symbol, 0.0)
+                beside = any(clause[j] == toxicity.TARGET and toxicity.COMMA not in clause[min(j, k) : max(j, k)] for j in range(max(0, k - toxicity.REACH), min(n, k + toxicity.REACH + 1)))
+                weight = {toxicity.INSULT: 2.0 * (toxicity.TARGETED if aimed else toxicity.BARE), toxicity.THREAT: toxicity.THREAT_WEIGHT * beside}.get(symbol, 0.0)
                 if toxicity.NEGATION in clause[max(0, k - toxicity.SCOPE) : k]:
                     weight *= toxicity.NEGATED
                 want += weight * (toxicity.REPORTED if toxicity.REPORT in clause else 1.0)
-            assert s.clauses(" ".join(word[x] for x in clause), "en") == ([pytest.approx(want)] if want else [])
+            assert s.clauses(" ".join(word[x] for x in clause)) == ([pytest.approx(want)] if want else [])
 
 
 @pytest.mark.parametrize(
-    "lang, aimed, denied, quoted, threat, elsewhere",
+    "aimed, denied, quoted, threat",
     [
-        ("en", "you're a clod", "it didn’t clod", "so it was written a clod", "he was killed", "du clod"),
-        ("de", "du clod", "das ist kein clod", "so wurde berichtet clod", "ich werde dich töten", "you clod"),
-        ("fr", "qu'il est clod", "n'est clod", "on raconte clod", "je t'assure je te tuerai", "they clod"),
-        ("es", "eres tú clod", "nunca clod", "lo dijeron clod", "te mataré", "they clod"),
+        ("you're a clod", "it didn’t clod", "so it was written a clod", "he was killed"),
+        ("du clod", "das ist kein clod", "so wurde berichtet clod", "ich werde dich töten"),
+        ("qu'il est clod", "n'est clod", "on raconte clod", "je t'assure je te tuerai"),
+        ("eres tú clod", "nunca clod", "lo dijeron clod", "te mataré"),
     ],
 )
-def test_grammar_in_each_language(lang, aimed, denied, quoted, threat, elsewhere):
+def test_grammar_in_each_language(aimed, denied, quoted, threat):
     s = toxicity.Scorer({"=clod": 2.0})
-    for tag in (lang, lang.upper() + "-XX", None):
-        assert s.clauses(aimed, tag) == [pytest.approx(2.0 * toxicity.TARGETED)]
-        assert s.clauses(denied, tag) == [pytest.approx(2.0 * toxicity.NEGATED * toxicity.BARE)]
-        assert s.clauses(quoted, tag) == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.BARE)]
-        assert s.clauses(threat, tag) == [pytest.approx(toxicity.THREAT_WEIGHT)]
-    # Another language's words do not act, so 'du' is no target in French.
-    assert s.clauses(elsewhere, lang) == s.clauses("du clod", "fr") == [pytest.approx(2.0 * toxicity.BARE)]
-
-
-def test_toxicity_takes_the_language_of_each_row(spark):
-    rows = [(1, "te mataré. te mataré", "es"), (2, "te mataré. te mataré", "en"), (3, "te mataré. te mataré", None)]
-    docs, model = spark.createDataFrame(rows, "doc_id long, text string, lang string"), ({}, np.array([9.0, 9.0, 9.0, -3.0]))
-    assert {r.doc_id: (r.predicted, r.n_clauses) for r in toxicity.score(docs, model).collect()} == {1: (1, 2), 2: (0, 0), 3: (1, 2)}
-    assert [r.doc_id for r in toxicity.keep(docs, model).collect()] == [2]
-    assert toxicity.keep(docs.drop("lang"), model).count() == 0 and toxicity.score(docs.drop("lang"), model).count() == 3
+    assert s.clauses(aimed) == [pytest.approx(2.0 * toxicity.TARGETED)]
+    assert s.clauses(denied) == [pytest.approx(2.0 * toxicity.NEGATED * toxicity.BARE)]
+    assert s.clauses(quoted) == [pytest.approx(2.0 * toxicity.REPORTED * toxicity.BARE)]
+    assert s.clauses(threat) == [pytest.approx(toxicity.THREAT_WEIGHT)]
+
+
+def test_scores_depend_on_the_text_alone(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, keep=~toxicity.held_out())
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit("y"), "n_chars": F.lit(0)})
+    plain = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert {r.doc_id: r.score for r in toxicity.score(other, model).collect()} == plain
+    moved = docs.withColumn("doc_id", -F.col("doc_id") - 1)
+    assert {-r.doc_id - 1: r.score for r in toxicity.score(moved.drop("lang", "source"), model).collect()} == plain
+    again, curve = toxicity.fit(other, labels, keep=~toxicity.held_out())
+    assert again == model[0] and np.allclose(curve, model[1])
+    assert toxicity.keep(other, model).count() == toxicity.keep(docs, model).count()
+
+
+def test_toxicity_query_against_a_plain_scorer(spark):
+    """Every row of the query, by a scorer that walks the text token by token without the composed machine."""
+    from factloom.llm import learn, queries
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    learned, curve = toxicity.fit(docs, labels, keep=~toxicity.held_out())
+    lexicon = toxicity.Lexicon(learned)
+
+    def clause_score(tokens):
+        marks = [lexicon[t] or (toxicity.OTHER, 0.0) for t in tokens]
+        symbols = [m[0] for m in marks]
+        total = 0.0
+        for k, (symbol, weight) in enumerate(marks):
+            if symbol == toxicity.INSULT:
+                weight *= toxicity.TARGETED if toxicity.TARGET in symbols else toxicity.BARE
+            elif symbol == toxicity.THREAT:
+                weight *= any(symbols[j] == toxicity.TARGET and toxicity.COMMA not in symbols[min(j, k) : max(j, k)] for j in range(max(0, k - toxicity.REACH), min(len(tokens), k + toxicity.REACH + 1)))
+            else:
+                continue
+            if toxicity.NEGATION in symbols[max(0, k - toxicity.SCOPE) : k]:
+                weight *= toxicity.NEGATED
+            total += weight * (toxicity.REPORTED if toxicity.REPORT in symbols else 1.0)
+        return total
+
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in queries.op7_toxicity(spark, sf).collect():
+        scores, clause = [], []
+        for t in [*toxicity.TOKEN.findall(texts[r.doc_id].lower()), "."]:
+            if t in toxicity.STOPS:
+                scores, clause = scores + [clause_score(clause)], []
+            else:
+                clause.append(t)
+        scores = [x for x in scores if x > 0]
+        x = np.array([[np.log1p(sum(scores)), np.log1p(max(scores, default=0.0)), np.log1p(len(scores))]])
+        assert r.score == pytest.approx(learn.predict(x, curve)[0], abs=1e-9) and r.n_clauses == len(scores)
 
 
 def test_toxicity_learns_and_handles_edges(spark, docs):
