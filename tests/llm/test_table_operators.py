@@ -1,4 +1,5 @@
 import random
+import warnings
 
 import numpy as np
 import pytest
@@ -324,6 +325,27 @@ def test_mixing_against_plain_least_squares(spark):
         assert not mixing.solve(docs, labels, total=3.0, max_rate=1.0).converged
 
 
+@pytest.mark.parametrize("domain, total, max_rate", [("lang", 1.4, 1.2), ("source", 1.3, 1.1), ("source", None, None)])
+def test_mixing_reaches_the_least_squared_miss(spark, domain, total, max_rate):
+    """Targets that cannot be met, few and many domains: the squared miss is that of a long plain projected gradient search."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        m = mixing.solve(docs, labels, domain=domain, total=total, max_rate=max_rate)
+    texts = [r.text or "" for r in docs.collect()]
+    n = np.array([len(t.encode().split()) for t in texts], float)
+    a = (n / n.sum())[:, None] * m.posterior(texts).astype(np.float32).astype(float)
+    goal = m.targets * (1.0 if total is None else total)
+    miss = a.T @ m.replay(m.posterior(texts).astype(np.float32).astype(float))[0] - goal
+    assert m.squared == pytest.approx(miss @ miss, abs=1e-9) and len(m.domains) == (4 if domain == "lang" else 20)
+    rates, length = np.ones(len(n)), 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(30_000):
+        rates = np.clip(rates - length * (a @ (a.T @ rates - goal)), 0, max_rate)
+    best = a.T @ rates - goal
+    assert m.squared <= best @ best + 1e-6 and m.converged == (m.residual <= mixing.TOLERANCE)
+
+
 def test_mixing_edges(spark):
     docs, labels = corpus(spark, 60)
     m = mixing.solve(docs, labels)
