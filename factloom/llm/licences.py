@@ -10,6 +10,7 @@ match.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -137,8 +138,49 @@ RULES = (
     ("CC-BY-NC-4.0", ("ccbync4-short",)),
     ("Zlib", ("zlib-as-is", "zlib-no-event", "zlib-grant")),
 )
+# Titles of licences in notices of use, and the notices.
+TITLES = {
+    "MIT": ("mit license", "the mit license", "mit"),
+    "Apache-2.0": ("apache license 2 0", "apache license version 2 0", "apache 2 0 license"),
+    "BSD-3-Clause": ("bsd 3 clause license", "3 clause bsd license", "new bsd license"),
+    "BSD-2-Clause": ("bsd 2 clause license", "2 clause bsd license", "simplified bsd license"),
+    "ISC": ("isc license",),
+    "MPL-2.0": ("mozilla public license 2 0", "mozilla public license version 2 0"),
+    "GPL-3.0-only": ("gnu general public license version 3", "gnu general public license v3 0", "gnu gpl v3"),
+    "Unlicense": ("unlicense",),
+}
+NOTICES = ("licensed under the {}", "released under the {}", "distributed under the {}", "this project is licensed under the {}", "this software is licensed under the {}", "this library is licensed under the {}", "this project is released under the {}", "this work is licensed under the {}")
+#: The third BSD condition as it names a party: what begins so, and what follows where the party's name holds a stop.
+PARTY, PARTY_ID = "neither the name of ", "bsd-names-party"
+
+
+def _by_rule() -> tuple[dict[str, str], list]:
+    """Sentences that follow from a rule: notices of use with every title, and SPDX identifiers of all licences."""
+    sentences, rules, known = {}, [], set(SENTENCES.values())
+    for name, titles in TITLES.items():
+        for text in dict.fromkeys(n.format(t) for t in titles for n in NOTICES):
+            if text not in known:
+                sentences[f"use-{name}-{len(sentences)}"] = text
+                rules.append((name, (f"use-{name}-{len(sentences) - 1}",)))
+    for name in dict.fromkeys(n for n, _ in RULES):
+        sentences[f"spdx-{name}"] = "spdx license identifier " + " ".join(re.split("[^a-z0-9]+", name.lower()))
+        rules.append((name, (f"spdx-{name}",)))
+    return sentences, rules
+
+
+SENTENCES["bsd-names-tail"] = "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+SENTENCES["apache2-head"] = "apache license version 2 0 january 2004 http www apache org licenses"
+_more = _by_rule()
+SENTENCES |= _more[0]
+RULES = (
+    *RULES,
+    ("BSD-3-Clause", ("bsd-forms", "bsd-source", "bsd-binary", PARTY_ID, "bsd-names-tail")),
+    ("BSD-3-Clause", ("bsd-forms", "bsd-source", "bsd-binary", PARTY_ID)),
+    ("Apache-2.0", ("apache2-head",)),
+    *_more[1],
+)
 #: Every known sentence holds one of these, and normalisation only puts blanks between words: a text without any has none.
-MARKS = ("licen", "software", "redistribut", "copy", "warrant", "cc0")
+MARKS = ("licen", "neither", "released", "distribut", "software", "copy", "warrant", "cc0")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Sentence ends, which become one control character: marks before a blank, blank lines, line-end colons, numbered points.
 ENDS = r"[.!?]+([ \t\r\n]|\z)|\n[^A-Za-z0-9\n]*\n|:[ \t\r]*\n|\n[^A-Za-z0-9\n]*[0-9a-z][.)][ \t]"
@@ -154,7 +196,7 @@ def identifiers(text: Column) -> Column:
     """Array of the identifiers of the known sentences of a text, in order."""
     known = F.create_map(*[F.lit(x) for k, v in SENTENCES.items() for x in (v, k)])
     plain = F.regexp_replace(F.translate(F.regexp_replace(text, ENDS, CUT), UPPER, LOWER), NOISE, " ")
-    look = lambda s: F.try_element_at(known, F.trim(s))
+    look = lambda s: F.coalesce(F.try_element_at(known, F.trim(s)), F.when(F.startswith(F.ltrim(s), F.lit(PARTY)), PARTY_ID))
     whole = lambda s: F.array(look(F.regexp_replace(s, JOIN, " ")))
     lines = lambda s: F.transform(F.split(s, "\n", -1), look)
     of_sentence = lambda s: F.flatten(F.transform(whole(s), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(lines(s))))
@@ -186,7 +228,8 @@ def scan(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text")
 def oracle() -> str:
     """The scan as SQL over documents."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = " ".join(f"WHEN {quote(v)} THEN {quote(k)}" for k, v in SENTENCES.items())
+    table = "MAP {" + ", ".join(f"{quote(v)}: {quote(k)}" for k, v in SENTENCES.items()) + "}"
+    known = lambda s: f"coalesce(({table})[{s}], CASE WHEN starts_with({s}, {quote(PARTY)}) THEN {quote(PARTY_ID)} END)"
     line = "'<' || array_to_string(ids, '><') || '>'"
     for k, (_, ids) in enumerate(_ordered(RULES)):
         line = f"replace({line}, {quote(ids)}, '[{k}]')"
@@ -199,12 +242,12 @@ def oracle() -> str:
             SELECT doc_id, unnest(list_transform(string_split(regexp_replace(translate(regexp_replace(coalesce(text, ''), '{ENDS}', chr(1), 'g'), '{UPPER}', '{LOWER}'), '{NOISE}', ' ', 'g'), chr(1)), lambda s, i: {{'s': s, 'i': i}})) AS part
             FROM documents
         ), whole AS (
-            SELECT doc_id, part.i AS place, part.s AS s, CASE trim(regexp_replace(part.s, '{JOIN}', ' ', 'g')) {known} END AS id FROM cut
+            SELECT doc_id, part.i AS place, part.s AS s, {known("trim(regexp_replace(part.s, '" + JOIN + "', ' ', 'g'))")} AS id FROM cut
         ), lines AS (
             SELECT doc_id, place, unnest(list_transform(string_split(s, chr(10)), lambda s, i: {{'s': s, 'i': i}})) AS part FROM whole WHERE id IS NULL
         ), found AS (
             SELECT doc_id, place, 0 AS line, id FROM whole WHERE id IS NOT NULL
-            UNION ALL SELECT * FROM (SELECT doc_id, place, part.i, CASE trim(part.s) {known} END AS id FROM lines) WHERE id IS NOT NULL
+            UNION ALL SELECT * FROM (SELECT doc_id, place, part.i, {known("trim(part.s)")} AS id FROM lines) WHERE id IS NOT NULL
         ), sequences AS (SELECT doc_id, list(id ORDER BY place, line) AS ids FROM found GROUP BY doc_id
         ), lined AS (SELECT *, {line} AS line FROM sequences
         ), named AS (SELECT *, list_filter([{hits}], lambda n: n IS NOT NULL) AS names FROM lined)

@@ -163,7 +163,7 @@ def test_published_licences_in_every_layout(spark):
     got = {r.doc_id: r.licences for r in licences.scan(df).collect()}
     assert [(n, k % 6, got[k]) for k, (n, _) in enumerate(rows) if got[k] != n] == []
     assert all(any(m in s for m in licences.MARKS) for s in licences.SENTENCES.values())
-    assert all(k in licences.SENTENCES for _, ids in licences.RULES for k in ids) and len(set(licences.SENTENCES.values())) == len(licences.SENTENCES)
+    assert all(k in {*licences.SENTENCES, licences.PARTY_ID} for _, ids in licences.RULES for k in ids) and len(set(licences.SENTENCES.values())) == len(licences.SENTENCES)
 
 
 def test_licences(spark, docs):
@@ -174,6 +174,21 @@ def test_licences(spark, docs):
     assert licences.scan(docs).count() == len(DOCS) and licences.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_with_parties_and_notices(spark):
+    forms = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+    forms += "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n"
+    forms += "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+    names = "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    cases = [
+        (forms + names.format("Google Inc."), "BSD-3-Clause"), (forms + names.format("the University of Nowhere"), "BSD-3-Clause"), (forms + names.format("the copyright holder"), "BSD-3-Clause"),
+        (forms + "Neither the name of the author may be used for promotion.", "BSD-3-Clause"), (forms, "BSD-2-Clause"), ("// SPDX-License-Identifier: MIT\nint x;", "MIT"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+        ("This project is licensed under the MIT License.", "MIT"), ("Released under the Apache License, Version 2.0.", "Apache-2.0"), ("   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\nTERMS", "Apache-2.0"),
+        ("Neither the name of the rose.", ""), ("The MIT License is short.", ""),
+    ]
+    got = licences.scan(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licences for r in got} == {k: want for k, (_, want) in enumerate(cases)}
+
+
 def test_licence_scan_equals_its_sql(spark):
     import duckdb
 
