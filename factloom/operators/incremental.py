@@ -61,7 +61,7 @@ def update_activity(source: SnapshotTable, support: SnapshotTable, mart: Snapsho
     if made.get("support_version") == base["version"]:
         return {"buckets_touched": 0, "rebuilt": int(rebuilt)}
     # The buckets of this change alone, if the mart stands at the support's version before it.
-    partly = not rebuilt and made.get("support_version") == base["version"] - 1 and all("bucket" in p for p in made["parts"])
+    partly = delta is not None and not rebuilt and made.get("support_version") == base["version"] - 1 and all("bucket" in p for p in made["parts"])
     rows = support.read_parts([p for p in base["parts"] if not partly or p["bucket"] in hit], base)
     counts = rows.groupBy(*keys).agg(F.sum("rows").cast("int").alias("filing_count"), F.sum("marked").cast("int").alias("amendment_count"), F.count(entity).cast("int").alias("distinct_cik_count"))
     out = align(stamp(counts, run_id, until, generated_at), mart.schema).withColumn(BUCKET, bucket_of(keys, n))

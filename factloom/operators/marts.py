@@ -143,3 +143,42 @@ def pipeline_health(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 def top_changes(events: DataFrame, n: int = 10, size: str = "delta_abs", key: str = "restatement_id") -> DataFrame:
     """The n largest changes."""
     return events.orderBy(F.col(size).desc(), key).limit(n)
+
+
+# Roll-ups, sketches, time ranges, statements
+
+#: Bits of a distinct-count sketch: 2^12 registers, whose relative standard error is 1.04 / 2^6.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def distinct_sketches(rows: DataFrame, groups: list[str], entity: str) -> DataFrame:
+    """A row for each group with its number of rows and a sketch of its distinct entities; sketches unite, counts of distinct do not."""
+    return rows.groupBy(*groups).agg(F.count("*").alias("row_count"), F.hll_sketch_agg(F.col(entity), SKETCH_BITS).alias("sketch"))
+
+
+def rolled_up(sketches: DataFrame, groups: list[str]) -> DataFrame:
+    """Sketches united over each leading part of groups: level (their grouping id), row_count and about_distinct.
+
+    The source is not read again; the estimate errs by SKETCH_ERROR, one standard deviation.
+    """
+    united = sketches.rollup(*groups).agg(F.grouping_id().alias("level"), F.sum("row_count").alias("row_count"), F.hll_union_agg("sketch").alias("sketch"))
+    return united.select(*groups, "level", "row_count", F.hll_sketch_estimate("sketch").alias("about_distinct"))
+
+
+def recent_before(rows: DataFrame, keys: list[str], at: str, days: int, name: str = "recent_count") -> DataFrame:
+    """rows with how many others of their key came in the `days` before them or on the same moment; a row without a time has NULL."""
+    second = F.unix_seconds(F.col(at).cast("timestamp"))
+    w = Window.partitionBy(*keys).orderBy(second).rangeBetween(-days * 86_400, Window.currentRow)
+    return rows.withColumn(name, F.when(F.col(at).isNotNull(), F.count(F.lit(1)).over(w) - 1))
+
+
+def statements(facts: DataFrame, names: list[str], filing: list[str], concept: str = "concept_canonical", value: str = "value", unit: str = "unit", by: list[Column] | None = None) -> DataFrame:
+    """One row for each filing, period and unit, with a column for each concept among names.
+
+    Names are given, so no pass is spent on finding them, and other concepts' rows never leave the scan.  Of several values for one cell the
+    first in the order `by` counts, the smallest by default; units are kept apart.
+    """
+    order = F.struct(*(by or [F.col(value)]))
+    rows = facts.where(F.col(concept).isin(*names) & F.col(value).isNotNull())
+    return rows.groupBy(*filing, unit).pivot(concept, names).agg(F.min_by(value, order))

@@ -118,6 +118,41 @@ def apply_checks(df: DataFrame, checks: list[Check], run_id: str, source_table:
     return Checked(passed, quarantine(flagged.where(any_reject), rejects, run_id, source_table, raw), metrics)
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A row passes when a second table has its key; a NULL in the key fails, as it names nothing."""
+
+    name: str
+    keys: dict[str, str]
+    severity: str = REJECT
+    description: str = ""
+
+    def __post_init__(self):
+        if self.severity not in (REJECT, WARN, REJECT_BATCH) or not self.keys:
+            raise ValueError(f"{self.name}: unknown severity, or no keys")
+
+
+def apply_reference(df: DataFrame, check: Reference, others: DataFrame, run_id: str, source_table: str, raw: str | None = None) -> Checked:
+    """As apply_checks(), for rows whose key (columns of df to columns of others) is in another table.
+
+    Rows meet others by semi and anti joins, so repeated keys there repeat no row, and a failed reject_batch check shows
+    three samples at most.  Ids of quarantined records do not depend on the run: a replay meets its earlier self.
+    """
+    there = others.select(*[F.col(b).alias(f"_there{k}") for k, b in enumerate(check.keys.values())])
+    on = reduce(Column.__and__, [F.col(a) == F.col(f"_there{k}") for k, a in enumerate(check.keys)])
+    orphans = df.join(there, on, "left_anti")
+    plain = Check(check.name, "false", REJECT, check.description or f"{', '.join(check.keys)} not found")
+    n, failed = df.count(), orphans.count()
+    metrics = {f"dq.{check.name}.failed": failed, f"dq.severity_{check.severity}": failed, "dq.rows_in": n}
+    if check.severity == REJECT_BATCH and failed:
+        raise BatchRejected(plain, failed, [r.asDict(recursive=True) for r in orphans.limit(3).collect()])
+    dropped = failed if check.severity == REJECT else 0
+    if check.severity == WARN and failed:
+        metrics[f"dq.{check.name}.warn"] = failed
+    rejected = orphans if check.severity == REJECT else orphans.limit(0)
+    return Checked(df.join(there, on, "left_semi") if check.severity == REJECT else df, quarantine(flag(rejected, [plain]), [plain], run_id, source_table, raw), metrics | {"dq.rows_passed": n - dropped, "dq.rows_quarantined": dropped})
+
+
 # The registry of checks by table.
 CHECKS: dict[str, list[Check]] = {
     "bronze": [Check("bronze_rescued_data_absent", "_rescued_data IS NULL", WARN, "no unknown fields arrived")],

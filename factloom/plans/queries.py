@@ -848,3 +848,117 @@ def stream_first_arrivals(spark, sf_dir):
         table = table or SnapshotTable(spark, f"{root}/tables", "firsts").create(found.schema)
         stateful.run_to_table(found, table, f"{root}/state")
     return table.read()
+
+
+# Checks against a second table, roll-ups, ranges, statements
+
+
+@query("SELECT DISTINCT l_orderkey, l_linenumber, sha256('lineitem|order_known|{\"l_orderkey\":' || l_orderkey || ',\"l_linenumber\":' || l_linenumber || '}') AS record_id FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
+def orphan_lines(spark, sf_dir):
+    """Lines whose order is not among the final ones, as quarantined twice: a replay adds nothing."""
+    lines = _t(spark, sf_dir, "lineitem").withColumn("_raw", F.struct("l_orderkey", "l_linenumber"))
+    check = quality.Reference("order_known", {"l_orderkey": "o_orderkey"})
+    q = quality.apply_reference(lines, check, _t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), "run", "lineitem", raw="_raw").quarantined
+    table = SnapshotTable(spark, scratch(spark), "quarantine").create(q.schema)
+    for _ in range(2):
+        versioning.merge_scd1(table, q, ["_dq_record_id"], operation="quarantine", buckets=4)
+    of = lambda k, kind: F.get_json_object("record_json", f"$.{k}").cast(kind).alias(k)
+    return table.read().select(of("l_orderkey", "long"), of("l_linenumber", "int"), F.col("_dq_record_id").alias("record_id"))
+
+
+@query("SELECT 'price_cap' AS check_name, count(*) AS failed, least(count(*), 3) AS samples FROM orders WHERE NOT coalesce(o_totalprice < 100000, false)")
+def batch_rejection(spark, sf_dir):
+    """What a check that no batch may fail says about a batch that fails it."""
+    checks = [quality.Check("price_cap", "o_totalprice < 100000", quality.REJECT_BATCH)]
+    try:
+        quality.apply_checks(_t(spark, sf_dir, "orders"), checks, "run", "orders")
+        said = ("price_cap", 0, 0)
+    except quality.BatchRejected as e:
+        said = (e.check.name, e.failed, len(e.samples))
+    return spark.createDataFrame([said], "check_name string, failed long, samples long")
+
+
+@query("""
+    SELECT 1 AS step, count(*) AS inserted, 0::BIGINT AS updated FROM customer
+    UNION ALL SELECT 2, count(*) FILTER (WHERE c_custkey % 100 = 1), count(*) FILTER (WHERE c_custkey % 10 = 0) FROM customer UNION ALL SELECT 3, 0, count(*) FILTER (WHERE c_custkey % 10 = 0) FROM customer
+""")
+def merge_counts(spark, sf_dir):
+    """Rows that three merges inserted and updated, as their manifests tell."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    table = SnapshotTable(spark, scratch(spark), "customers").create(StructType([*c.schema.fields, *_schema("_first_seen_ts timestamp, _last_seen_ts timestamp").fields]), buckets=8)
+    moved = c.where("c_custkey % 10 = 0")
+    for step in (c, moved.unionByName(c.where("c_custkey % 100 = 1").withColumn("c_custkey", F.col("c_custkey") + 1000000)), moved):
+        versioning.merge_scd1(table, step, ["c_custkey"])
+    told = [(m["version"], m["metrics"]["inserted"], m["metrics"]["updated"]) for m in table.history() if m["version"]]
+    return spark.createDataFrame(told, "step int, inserted long, updated long")
+
+
+@query("""
+    SELECT o_orderstatus AS kind, o_orderpriority AS priority, CAST(grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS BIGINT) AS level, count(*) AS row_count, true AS within_bound FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
+""")
+def activity_rollup(spark, sf_dir):
+    """Orders rolled up from sketches by day, kind and priority; distinct customers are within four standard errors of the exact number."""
+    o, groups = _t(spark, sf_dir, "orders"), ["kind", "priority"]
+    rows = o.select(F.col("o_orderstatus").alias("kind"), F.col("o_orderpriority").alias("priority"), F.to_date("o_orderdate").alias("day"), "o_custkey")
+    rolled = marts.rolled_up(marts.distinct_sketches(rows, [*groups, "day"], "o_custkey"), groups)
+    exact = rows.rollup(*groups).agg(F.grouping_id().alias("level"), F.count_distinct("o_custkey").alias("n"))
+    same = versioning.null_safe("r", "x", [*groups, "level"])
+    off = F.abs(F.col("about_distinct") - F.col("n")) <= 4 * marts.SKETCH_ERROR * F.col("n") + 1
+    return rolled.alias("r").join(exact.alias("x"), same).select("r.kind", "r.priority", "r.level", "row_count", off.alias("within_bound"))
+
+
+@query("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 365 DAY PRECEDING AND CURRENT ROW) - 1 AS recent_count FROM orders")
+def recent_orders(spark, sf_dir):
+    """Orders of a customer in the 365 days before each of them, those of the same moment too."""
+    return marts.recent_before(_t(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate", 365).select("o_orderkey", "recent_count")
+
+
+@query("""
+    SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 2 = 0 THEN 'USD' ELSE 'EUR' END AS unit, round(min(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 6) AS final, round(min(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 6) AS open
+    FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice IS NOT NULL GROUP BY 1, 2, 3
+""")
+def statement_pivot(spark, sf_dir):
+    """Orders of a day as a statement, statuses as concepts, in two units that are kept apart."""
+    facts = _t(spark, sf_dir, "orders").select("o_custkey", _day("o_orderdate").alias("day"), F.when(F.col("o_orderkey") % 2 == 0, "USD").otherwise("EUR").alias("unit"), F.col("o_orderstatus").alias("concept_canonical"), F.col("o_totalprice").alias("value"))
+    s = marts.statements(facts, ["F", "O"], ["o_custkey", "day"])
+    return s.select("o_custkey", "day", "unit", _num("F").alias("final"), _num("O").alias("open"))
+
+
+@query("""
+    SELECT o_custkey, array_to_string(list_sort(list(CAST(o_orderkey AS VARCHAR)))[1:3], ',') AS accessions, 0 AS files, 'kept' AS other FROM orders GROUP BY o_custkey
+""")
+def trimmed_payloads(spark, sf_dir):
+    """A document for each customer with parallel arrays of its orders, cut to three entries each."""
+    key = F.col("o_orderkey").cast("string")
+    docs = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(key)).alias("accessionNumber"))
+    recent = F.struct("accessionNumber", F.transform("accessionNumber", lambda _: F.lit("10-K")).alias("form"))
+    payload = F.to_json(F.struct(F.lit("kept").alias("other"), F.struct(recent.alias("recent"), F.array(F.lit("more.json")).alias("files")).alias("filings")))
+    cut = docs.select("o_custkey", F.from_json(landing.trim_recent(payload, 3), "other string, filings struct<recent:struct<accessionNumber:array<string>,form:array<string>>,files:array<string>>").alias("d"))
+    return cut.select("o_custkey", F.array_join("d.filings.recent.accessionNumber", ",").alias("accessions"), F.size("d.filings.files").alias("files"), "d.other")
+
+
+@query("""
+    SELECT form_type, cik FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN '10-K' WHEN c_custkey % 3 = 1 THEN '8-K' ELSE 'S-1' END AS form_type, CAST(c_custkey AS VARCHAR) AS cik, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS n FROM customer)
+    WHERE form_type <> 'S-1' OR n IN ('0000000005', '0000000008') ORDER BY n NOT IN ('0000000005', '0000000008'), CASE form_type WHEN '8-K' THEN 1 WHEN '10-K' THEN 2 ELSE 9 END, n LIMIT 20
+""")
+def selected_filings(spark, sf_dir):
+    """Twenty rows of an index, the limit being the feature: two forced companies of another form, then by the rank of forms."""
+    k = F.col("c_custkey")
+    index = _t(spark, sf_dir, "customer").select(F.when(k % 3 == 0, "10-K").when(k % 3 == 1, "8-K").otherwise("S-1").alias("form_type"), k.cast("string").alias("cik"), F.lpad(k.cast("string"), 10, "0").alias("accession_number"))
+    return landing.select_filings(index, 20, ["5", "8"], {"8-K": 1, "10-K": 2}).select("form_type", "cik")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 > 0 THEN CAST(user_id AS VARCHAR) END AS cik, CASE WHEN event_id % 3 > 1 THEN 'us-gaap' END AS taxonomy, CASE WHEN event_id % 3 > 1 THEN event_type END AS tag, strftime(ts, '%Y-%m-%d') AS logical_date FROM events")
+def concept_projection(spark, sf_dir):
+    """Bronze rows of concept documents whose ids have all, one or none of their parts."""
+    user, k = F.col("user_id").cast("string"), F.col("event_id") % 3
+    e = _t(spark, sf_dir, "events").withColumns({c: F.lit(None).cast("string") for c in ("batch_id", "source_system", "envelope_version", "_source_file", landing.RESCUED, "fetched_at", "payload_json")})
+    e = e.withColumns({"resource_id": F.when(k == 2, F.concat_ws("/", user, F.lit("us-gaap"), "event_type")).when(k == 1, user), "logical_date": _day("ts")})
+    return landing.project_company_concept(landing.with_metadata(e), "event_id").select("event_id", "cik", "taxonomy", "tag", _day("logical_date").alias("logical_date"))
+
+
+@query("SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY date_trunc('year', l_shipdate) DESC NULLS LAST, l_returnflag, l_orderkey, l_linenumber) = 1")
+def latest_of_tied_periods(spark, sf_dir):
+    """The newest year of each part, where many rows end together: the first by all other columns in their order."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_partkey", F.date_trunc("year", "l_shipdate").alias("period_end"), "l_returnflag", "l_orderkey", "l_linenumber")
+    return marts.latest_by_period(rows, ["l_partkey"], "period_end").select("l_partkey", "l_orderkey", "l_linenumber")

@@ -11,6 +11,7 @@ from ..operators import filings, marts, publish
 from ..operators.tables import SnapshotTable, require_tables
 from ..sources import landing
 from ..streaming.ingest import ingest_batch, ingest_stream
+from .lease import held
 from .report import Report, job_run
 from .settings import Settings, batch_id_for, resolve, run_id_for
 
@@ -68,7 +69,9 @@ TASKS = {f.__name__: f for f in (bronze_ingest, silver_transform, gold_build, se
 
 
 def run_task(spark: SparkSession, task: str, s: Settings, out=None) -> Report:
-    with job_run(task, run_id_for(task, s.logical_date), out) as report:
+    run_id = run_id_for(task, s.logical_date)
+    with job_run(task, run_id, out) as report, held(spark, s.warehouse, run_id):
+        report.record("environment", s.environment)
         require_tables(spark, s.warehouse, list(filings.TABLES))
         TASKS[task](spark, s, report)
     return report

@@ -141,6 +141,9 @@ def test_settings(monkeypatch):
     for bad in ({"logical_date": "2026-02-30"}, {"logical_date": "20260731"}, {"ingest_mode": "x"}, {"storage_mode": "x"}):
         with pytest.raises(ValueError):
             resolve(**given | bad)
+    with pytest.raises(ValueError, match="one machine"):
+        resolve(**given | {"storage_mode": "shared"})
+    assert resolve(**{k: v if k == "logical_date" else f"hdfs://h{v}" for k, v in given.items()}, storage_mode="shared").storage_mode == "shared"
     assert run_id_for("t", DAY, "a", "b") == run_id_for("t", DAY, "b", "a") != run_id_for("t", NEXT, "a", "b")
 
 
