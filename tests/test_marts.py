@@ -99,3 +99,24 @@ def test_activity_and_profile(spark):
 
 def test_empty_facts(spark):
     assert marts.change_events(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_sketches_unite_within_their_error(spark):
+    rows = spark.range(60_000).selectExpr("id % 3 as kind", "id % 10 as day", "id % 20000 as who")
+    sketches = marts.distinct_sketches(rows, ["kind", "day"], "who")
+    got = {(r.kind, r.level): r for r in marts.rolled_up(sketches, ["kind"]).collect()}
+    exact = {(k, 0): rows.where(f"kind = {k}").select("who").distinct().count() for k in range(3)} | {(None, 1): 20_000}
+    assert {k: r.row_count for k, r in got.items()} == {(0, 0): 20_000, (1, 0): 20_000, (2, 0): 20_000, (None, 1): 60_000}
+    assert all(abs(got[k].about_distinct - n) <= 4 * marts.SKETCH_ERROR * n for k, n in exact.items())
+
+
+def test_recent_before_counts_ties_and_gaps(spark):
+    days = ["2030-01-01", "2030-01-01", "2030-01-31", "2030-02-01", "2031-01-01", None]
+    rows = spark.createDataFrame([(k, "a", d) for k, d in enumerate(days)] + [(9, "b", "2030-01-01")], "n int, k string, d string").selectExpr("n", "k", "to_date(d) as d")
+    assert {r.n: r.recent_count for r in marts.recent_before(rows, ["k"], "d", 30).collect()} == {0: 1, 1: 1, 2: 2, 3: 1, 4: 0, 5: None, 9: 0}
+
+
+def test_statements_keep_units_apart(spark):
+    rows = [("f", "USD", "assets", 5), ("f", "USD", "assets", 3), ("f", "EUR", "assets", 4), ("f", "USD", "debt", 1), ("g", "USD", "other", 9), ("h", "USD", "debt", None)]
+    got = marts.statements(spark.createDataFrame(rows, "filing string, unit string, concept_canonical string, value int"), ["assets", "debt"], ["filing"])
+    assert sorted(tuple(r) for r in got.collect()) == [("f", "EUR", 4, None), ("f", "USD", 3, 1)]

@@ -69,3 +69,24 @@ def test_registry():
     assert len(names) == len(set(names))
     with pytest.raises(ValueError):
         Check("x", "true", "maybe")
+
+
+def test_references(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None), (4, "z")], "n int, k string")
+    others = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 3)], "key string, n int")
+    check = quality.Reference("known", {"k": "key"})
+    got = quality.apply_reference(rows, check, others, "run", "t")
+    # A repeated key of the other table repeats no row; NULL names nothing.
+    assert sorted(r.n for r in got.passed.collect()) == [1, 2, 2] and got.quarantined.count() == 2
+    assert (got.metrics["dq.known.failed"], got.metrics["dq.rows_passed"], got.metrics["dq.rows_quarantined"]) == (2, 3, 2)
+    again = quality.apply_reference(rows, check, others, "another", "t").quarantined
+    assert {r._dq_record_id for r in again.collect()} == {r._dq_record_id for r in got.quarantined.collect()}
+    warned = quality.apply_reference(rows, quality.Reference("known", {"k": "key"}, quality.WARN), others, "run", "t")
+    assert warned.has_warnings and warned.passed.count() == 5 and warned.quarantined.count() == 0
+    with pytest.raises(quality.BatchRejected) as e:
+        quality.apply_reference(rows, quality.Reference("known", {"k": "key", "n": "n"}, quality.REJECT_BATCH), others, "run", "t")
+    assert e.value.failed == 3 and len(e.value.samples) == 3
+    none = quality.apply_reference(rows.limit(0), check, others, "run", "t")
+    assert none.passed.count() == none.quarantined.count() == 0
+    with pytest.raises(ValueError):
+        quality.Reference("x", {})
