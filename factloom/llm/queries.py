@@ -1,4 +1,8 @@
-"""One query for each training-data operator, with production parameters, over its whole table."""
+"""One query for each training-data operator, with production parameters, over its whole table.
+
+A null or empty text counts as an empty one, a null key stays a row, repeated rows each give a row (or count as often, where
+rows are counted), further columns do not matter and an empty table gives an empty result; the operators say more.
+"""
 
 from __future__ import annotations
 
@@ -55,7 +59,8 @@ def tool_turns(turns: DataFrame) -> DataFrame:
     What a user says becomes an assistant's search for it and a calculation; what the assistant says becomes the result of
     the search one turn before, or of a call that there is not.  Searches wait for calculations of their turn, these for the search two turns before
     and, in some conversations, for that of their own turn, so that there are chains and cycles; some arguments are of a
-    wrong type.
+    wrong type.  Messages of other roles, null ones included, stay as they are, a null text becomes a null argument, and
+    repeated rows stay repeated.
     """
     turn, conv = F.col("turn"), F.col("conv_id")
     name = lambda mark, t: F.concat(F.lit(mark), t.cast("string"))

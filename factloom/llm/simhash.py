@@ -80,7 +80,10 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.nda
 
 
 def links(fps: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
-    """Edges (src, dst) that connect exactly the distinct fingerprints of column fp joined by steps of radius bits or fewer."""
+    """Edges (src, dst) that connect exactly the distinct fingerprints of column fp joined by steps of radius bits or fewer.
+
+    Fingerprints are distinct and not null; further columns do not matter; an empty table gives no edge.
+    """
     quarters = [F.bit_count(F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF))) for q in range(QUARTERS)]
     pack = lambda parts: sum((p.cast("long") * F.lit(32**q) for q, p in enumerate(parts)), F.lit(0))
     distinct = fps.select("fp", pack(quarters).alias("k"))
