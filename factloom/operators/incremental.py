@@ -1,23 +1,26 @@
-"""Marts kept by the changes of their source: signed deltas of rows, added to counts that can be taken back.
+"""Marts kept by the changes of their source.
 
-A support table has, for each group and entity, how many rows and how many marked rows there are.  Counts add up and can be taken back, and an
+Two ways.  update_by_bucket() keeps marts whose rows come each from one fact: source and mart lie in the same buckets by that fact, and a
+bucket of the mart is made anew where the source's bucket differs, no matter how.  update_activity() keeps counts across buckets by
+signed deltas of rows, added to counts that can be taken back: a support table has, for each group and entity, how many rows and how many marked rows there are.  Counts add up and can be taken back, and an
 entity is in a group while its count is not nought, so that distinct entities are exact too.  Support and mart lie in the
 same buckets by group; a run reads and writes those that a change touches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .frame import align, stamp
 from .tables import BUCKET, SnapshotTable, bucket_of
-from .versioning import FIRST_SEEN, LAST_SEEN
+from .versioning import BUCKETS, FIRST_SEEN, LAST_SEEN
 
 #: Columns of a source that are about its processing, and change no mart.
 PROCESSING = (FIRST_SEEN, LAST_SEEN, "_ingest_batch_id", "_source_file")
-BUCKETS = 16
 
 
 def support_schema(source: StructType, group: list[str], entity: str) -> StructType:
@@ -28,7 +31,7 @@ def _count(rows: DataFrame, group: list[str], entity: str, marked: Column, times
     return rows.groupBy(*group, entity).agg(F.sum(times).cast("long").alias("rows"), F.coalesce(F.sum(F.when(marked, times)), F.lit(0)).cast("long").alias("marked"))
 
 
-def update_activity(source: SnapshotTable, support: SnapshotTable, mart: SnapshotTable, run_id: str, group: tuple[str, str] = ("filed_date", "base_form_type"), entity: str = "cik", marked: str = "is_amendment", where: str | None = "is_current", generated_at: str | None = None) -> dict[str, int]:
+def update_activity(source: SnapshotTable, support: SnapshotTable, mart: SnapshotTable, run_id: str, group: tuple[str, str] = ("filed_date", "base_form_type"), entity: str = "cik", marked: str = "is_amendment", where: str | None = "is_current", generated_at: str | None = None, inputs: dict[str, int | None] | None = None) -> dict[str, int]:
     """Bring counts by group up to the source's version; the mart equals a rebuild of marts.daily_activity().
 
     The support's manifest says which version it stands at; the changes since then are applied once.  A support or source
@@ -65,5 +68,73 @@ def update_activity(source: SnapshotTable, support: SnapshotTable, mart: Snapsho
     rows = support.read_parts([p for p in base["parts"] if not partly or p["bucket"] in hit], base)
     counts = rows.groupBy(*keys).agg(F.sum("rows").cast("int").alias("filing_count"), F.sum("marked").cast("int").alias("amendment_count"), F.count(entity).cast("int").alias("distinct_cik_count"))
     out = align(stamp(counts, run_id, until, generated_at), mart.schema).withColumn(BUCKET, bucket_of(keys, n))
-    mart.commit({"rows": out}, lambda p: partly and p["bucket"] not in hit, "delta", base=made, support_version=base["version"], buckets=n)
+    mart.commit({"rows": out}, lambda p: partly and p["bucket"] not in hit, "delta", base=made, support_version=base["version"], inputs=inputs or {}, buckets=n)
     return {"buckets_touched": len(hit), "rebuilt": int(rebuilt)}
+
+
+def changed_buckets(table: SnapshotTable, since: int | None, until: int) -> set[int] | None:
+    """Buckets whose files differ between two versions; None where that cannot be told.
+
+    It cannot where there is no earlier version, vacuum() took it, rows lie in no buckets yet, or in another number of them.
+    """
+    if since is None or not table.store.exists(table._manifest_path(since)):
+        return None
+    n = {table.manifest(v).get("buckets") for v in (since, until)}
+    differ = [p for parts in table.changed_parts(since, until) for p in parts]
+    if len(n) > 1 or None in n or any("bucket" not in p for p in differ):
+        return None
+    return {p["bucket"] for p in differ}
+
+
+def in_buckets(table: SnapshotTable, buckets: Iterable[int] | None, version: int | None = None) -> DataFrame:
+    """Rows of some buckets of a version, of all for None; other buckets' files are not opened."""
+    m, some = table.manifest(version), None if buckets is None else set(buckets)
+    return table.read_parts([p for p in m["parts"] if some is None or p.get("bucket", -1) in some], m)
+
+
+def renamed(table: SnapshotTable, since: int | None, until: int, entity: str, columns: list[str], where: str | None = "is_current") -> DataFrame | None:
+    """Entities whose columns differ between two versions, those that came or went among them; None where the earlier version is gone."""
+    if since is None or not table.store.exists(table._manifest_path(since)):
+        return None
+    c = table.changes(since, until, ignore=PROCESSING)
+    net = (c.where(where) if where else c).groupBy(entity, *columns).agg(F.sum(F.col("_change") * F.col("_times")).alias("_net"))
+    return net.where("_net <> 0").select(entity).distinct()
+
+
+def update_by_bucket(source: SnapshotTable, mart: SnapshotTable, build: Callable[[DataFrame, set[int] | None], DataFrame], key: list[Column | str], run_id: str, names: SnapshotTable | None = None, entity: str = "cik", name_columns: tuple[str, ...] = ("company_name",), names_where: str | None = "is_current", inputs: dict[str, int | None] | None = None, generated_at: str | None = None) -> dict[str, int]:
+    """Bring a mart up to its source's version, bucket by bucket; it equals a rebuild.
+
+    `key` is what the source's rows are dealt by, told by columns that the mart has as well.  build(rows, buckets) makes mart rows from
+    all source rows of the buckets (None: of all).  `names` has columns that the mart takes over by entity: where they change, the mart's
+    rows of the entity are looked up, by key columns alone, and their buckets are made anew too.  The mart's manifest names the versions that it
+    stands at, `inputs` further ones; where they are gone, or buckets do not match, all is built.  A row is stamped with the
+    version that it was last made from.  Another writer of the mart meanwhile makes this fail with a conflict.
+    """
+    until, made = source.version(), mart.manifest()
+    now, before = source.manifest(until), made.get("inputs", {})
+    n = now.get("buckets") or BUCKETS
+    hit = changed_buckets(source, before.get(source.name), until)
+    if made.get("buckets") != n or any("bucket" not in p for p in made["parts"]):
+        hit = None
+    stand = {source.name: until} | (inputs or {})
+    if names is not None:
+        stand = {source.name: until, names.name: names.version()} | (inputs or {})
+        since = before.get(names.name)
+        if hit is not None and since != stand[names.name]:
+            others = renamed(names, since, stand[names.name], entity, list(name_columns), names_where)
+            rest = [p for p in made["parts"] if p["bucket"] not in hit]
+            if others is None:
+                hit = None
+            elif rest:
+                found = mart.read_parts(rest, made).join(others, entity, "left_semi").select(bucket_of(key, n).alias("b")).distinct()
+                # No more numbers than there are buckets.
+                hit = hit | {r["b"] for r in found.collect()}
+    if hit is not None and stand == before:
+        return {"buckets_touched": 0, "rebuilt": 0, "rows": 0}
+    parts = [p for p in now["parts"] if hit is None or p["bucket"] in hit]
+    new = {}
+    if parts and hit != set():
+        rows = align(stamp(build(source.read_parts(parts, now), hit), run_id, until, generated_at), mart.schema)
+        new = {"rows": rows.withColumn(BUCKET, bucket_of(key, n))}
+    got = mart.commit(new, lambda p: hit is not None and p["bucket"] not in hit, "by_bucket", base=made, inputs=stand, buckets=n)["metrics"]
+    return {"buckets_touched": n if hit is None else len(hit), "rebuilt": int(hit is None), "rows": got.get("rows", 0)}

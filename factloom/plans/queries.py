@@ -17,7 +17,7 @@ from ..functions.keys import hash_diff, surrogate_key
 from ..functions.tolerance import MONEY, reporting_scale
 from ..operators import filings, incremental, joins, marts, quality, versioning
 from ..operators.filings import schema_of
-from ..operators.frame import align, dedupe
+from ..operators.frame import align, dedupe, stamp
 from ..operators.publish import export_table, write_mart
 from ..operators.tables import SnapshotTable
 from ..runtime.report import Report
@@ -770,6 +770,50 @@ def activity_incremental(spark, sf_dir):
     return mart.read().select(_day("filed_date").alias("day"), F.col("base_form_type").alias("kind"), "filing_count", "amendment_count", "distinct_cik_count", F.col("_source_version").alias("source_version"))
 
 
+_ARRIVED = "arrived AS (SELECT * REPLACE (CASE WHEN user_id % 100 = 3 AND event_id % 10 = 3 THEN value * 2 ELSE value END AS value) FROM events WHERE user_id % 100 = 3 OR event_id % 10 <> 3)"
+
+
+def _kept_by_bucket(spark, sf_dir) -> tuple[SnapshotTable, SnapshotTable]:
+    """Assertions in two merges, of which the second brings some users' late ones, each at twice its value; (change events, current assertions) kept by bucket."""
+    root, grain, facts = scratch(spark), EVENT_SHAPE.grain, _event_facts(spark, sf_dir)
+    table = SnapshotTable(spark, root, "facts").create(StructType([*facts.schema.fields, *_schema("_first_seen_ts timestamp, _last_seen_ts timestamp").fields]), buckets=32)
+    events_of = lambda rows, _=None: marts.change_events(rows, shape=EVENT_SHAPE)
+    make = lambda name, df: SnapshotTable(spark, root, name).create(stamp(df, "", None).schema)
+    events = make("events", events_of(facts))
+    current_of = lambda rows, hit: marts.current_assertion(rows, incremental.in_buckets(events, hit), EVENT_SHAPE, keep=["event_id", "value"])
+    current = make("current", current_of(facts, None))
+    late = F.col("event_id") % 10 == 3
+    doubled = facts.where(late & (F.col("user_id") % 100 == 3)).withColumn("value", (F.col("value") * 2).cast(MONEY))
+    for step in (facts.where(~late), doubled):
+        versioning.merge_scd1(table, step, ["event_id", *grain], bucket_by=["user_id"])
+        incremental.update_by_bucket(table, events, events_of, ["user_id"], "run")
+        incremental.update_by_bucket(table, current, current_of, ["user_id"], "run", inputs={"events": events.version()})
+    return events, current
+
+
+@query(f"""
+    WITH {_ARRIVED}, {_CHANGES.replace('FROM events', 'FROM arrived')} SELECT restatement_id, user_id, event_type, strftime(day, '%Y-%m-%d') AS day, original_event_id, restated_event_id, round(delta_abs, 6) AS delta_abs, band FROM change_events
+""")
+def change_events_by_bucket(spark, sf_dir):
+    """Change events of buckets whose assertions differ made anew, all others kept; it equals a rebuild."""
+    c = _kept_by_bucket(spark, sf_dir)[0].read()
+    return c.select("restatement_id", "user_id", "event_type", _day("day").alias("day"), "original_event_id", "restated_event_id", _num("delta_abs").alias("delta_abs"), F.col("materiality_band").alias("band"))
+
+
+@query(f"""
+    WITH {_ARRIVED}, {_CHANGES.replace('FROM events', 'FROM arrived')}, ranked AS (
+        SELECT user_id, event_type, CAST(ts AS DATE) AS day, event_id, value, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn,
+            count(*) OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE)) AS n FROM arrived)
+    SELECT r.user_id, r.event_type, strftime(r.day, '%Y-%m-%d') AS day, r.event_id, round(r.value, 6) AS value, CAST(r.n AS INTEGER) AS assertion_count,
+        EXISTS (SELECT 1 FROM change_events c WHERE c.user_id = r.user_id AND c.event_type = r.event_type AND c.day = r.day) AS was_restated
+    FROM ranked r WHERE rn = 1
+""")
+def current_assertion_by_bucket(spark, sf_dir):
+    """Current assertions kept likewise, by the events of the same buckets."""
+    c = _kept_by_bucket(spark, sf_dir)[1].read()
+    return c.select("user_id", "event_type", _day("day").alias("day"), "event_id", _num("value").alias("value"), "assertion_count", "was_restated")
+
+
 @query(f"""
     WITH {_ORDERS_MOVED}, old AS (SELECT o_orderkey, o_orderdate AS day, o_orderstatus AS kind FROM orders), new AS (SELECT o_orderkey, day, kind FROM now)
     SELECT o_orderkey, strftime(day, '%Y-%m-%d') AS day, kind, -1 AS change FROM (FROM old EXCEPT ALL FROM new) UNION ALL SELECT o_orderkey, strftime(day, '%Y-%m-%d'), kind, 1 FROM (FROM new EXCEPT ALL FROM old)

@@ -7,7 +7,8 @@ from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from ..operators import filings, marts, publish
+from ..functions.keys import surrogate_key
+from ..operators import filings, incremental, marts, publish
 from ..operators.tables import SnapshotTable, require_tables
 from ..sources import landing
 from ..streaming.ingest import ingest_batch, ingest_stream
@@ -38,7 +39,11 @@ def silver_transform(spark: SparkSession, s: Settings, report: Report) -> None:
 
 
 def gold_build(spark: SparkSession, s: Settings, report: Report) -> None:
-    """Change events first, as the other marts read them."""
+    """Change events first, as the other marts read them.
+
+    With gold_mode=changes, events, current assertions and daily activity are kept by what their sources have changed since the marts
+    were made; company profiles, one small row for each company, are rebuilt in either mode.
+    """
     versions: dict[str, int | None] = {}
     version = lambda n: versions.setdefault(n, _table(spark, s, n).version())
     # What is read is the version that is noted, whatever other writers do meanwhile.
@@ -51,10 +56,23 @@ def gold_build(spark: SparkSession, s: Settings, report: Report) -> None:
         inputs = {n: version(n) for n in (source, *more)}
         report.record(f"{name}.rows", publish.write_mart(_table(spark, s, f"gold.{name}"), df, report.run_id, inputs[source], inputs=inputs)["rows"])
 
-    put("restatement_event", marts.change_events(facts, names=names), "silver.financial_fact", "silver.company")
+    def keep(name: str, build, inputs: dict) -> None:
+        got = incremental.update_by_bucket(_table(spark, s, "silver.financial_fact"), _table(spark, s, f"gold.{name}"), build, [surrogate_key(*marts.FACT_GRAIN)], report.run_id, names=_table(spark, s, "silver.company"), inputs=inputs)
+        for k, v in got.items():
+            report.record(f"{name}.{k}", v)
+
+    if s.gold_mode == "changes":
+        keep("restatement_event", lambda rows, _: marts.change_events(rows, names=names), {})
+        made = _table(spark, s, "gold.restatement_event")
+        keep("financials_current", lambda rows, hit: marts.current_assertion(rows, incremental.in_buckets(made, hit, version(made.name)), names=names), {made.name: version(made.name)})
+        support = _table(spark, s, "gold._filing_activity_support").create(incremental.support_schema(filed.schema, ["filed_date", "base_form_type"], "cik"))
+        for k, v in incremental.update_activity(_table(spark, s, "silver.filing"), support, _table(spark, s, "gold.filing_activity_daily"), report.run_id, inputs={"silver.filing": version("silver.filing")}).items():
+            report.record(f"filing_activity_daily.{k}", v)
+    else:
+        put("restatement_event", marts.change_events(facts, names=names), "silver.financial_fact", "silver.company")
+        put("financials_current", marts.current_assertion(facts, read("gold.restatement_event"), names=names), "silver.financial_fact", "gold.restatement_event", "silver.company")
+        put("filing_activity_daily", marts.daily_activity(filed), "silver.filing")
     events = read("gold.restatement_event")
-    put("financials_current", marts.current_assertion(facts, events, names=names), "silver.financial_fact", "gold.restatement_event", "silver.company")
-    put("filing_activity_daily", marts.daily_activity(filed), "silver.filing")
     put("company_profile", marts.entity_profile(companies, filed, events), "silver.company", "silver.filing", "gold.restatement_event")
     report.record("source_versions", {n: version(n) for n in ("silver.company", "silver.filing", "silver.financial_fact")})
 

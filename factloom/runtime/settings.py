@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import date
 
 PREFIX = "FACTLOOM_"
-INGEST_MODES, STORAGE_MODES = ("stream", "batch"), ("local", "shared")
+INGEST_MODES, STORAGE_MODES, GOLD_MODES = ("stream", "batch"), ("local", "shared"), ("rebuild", "changes")
 
 
 class MissingSetting(Exception):
@@ -27,6 +27,7 @@ class Settings:
     environment: str = "dev"
     ingest_mode: str = "stream"
     storage_mode: str = "local"
+    gold_mode: str = "rebuild"
 
     @property
     def run_id(self) -> str:
@@ -58,7 +59,7 @@ def resolve(**given: str | None) -> Settings:
     if date.fromisoformat(day).isoformat() != day:
         raise ValueError(f"logical_date {day} is not of the form YYYY-MM-DD")
     root = value("landing_root")
-    s = Settings(day, root, value("warehouse"), value("export_root"), value("checkpoint_root", f"{root.rstrip('/')}/_checkpoints"), value("environment", "dev"), one_of("ingest_mode", INGEST_MODES), one_of("storage_mode", STORAGE_MODES))
+    s = Settings(day, root, value("warehouse"), value("export_root"), value("checkpoint_root", f"{root.rstrip('/')}/_checkpoints"), value("environment", "dev"), one_of("ingest_mode", INGEST_MODES), one_of("storage_mode", STORAGE_MODES), one_of("gold_mode", GOLD_MODES))
     if s.storage_mode == "shared" and (local := [p for p in (s.landing_root, s.warehouse, s.export_root, s.checkpoint_root) if "://" not in p or p.startswith("file:")]):
         raise ValueError(f"storage_mode is shared, but {', '.join(local)} lie on one machine alone")
     return s

@@ -181,3 +181,28 @@ def test_replay_of_all_landed_days(spark, world, capsys):
     assert [r.task for r in reports] == list(jobs.TASKS) * 2
     rows = lambda w: sorted(map(str, SnapshotTable(spark, f"{root}/{w}", "silver.company").read().select("cik", "company_name", "version_number", "valid_from", "valid_to").collect()))
     assert rows("w2") == rows("w")
+
+
+def test_gold_kept_by_changes_equals_a_rebuild(spark, tmp_path):
+    root, days = str(tmp_path), (DAY, NEXT)
+    land(f"{root}/landing", "filing_index", [envelope("filing_index", str(n), filing(n, cik=str(n % 3))) for n in range(1, 7)])
+    land(f"{root}/landing", "company_submissions", [envelope("company_submissions", "1", company("Acme"))])
+    land(f"{root}/landing", "company_concept", [envelope("company_concept", "1/us-gaap/Revenues", concept(value(1000000, 1, "2026-02-01"), value(1100000, 2, "2026-05-01"), value(7, 3, "2026-05-01", "2025-06-30")))])
+    land(f"{root}/landing", "filing_index", [envelope("filing_index", "2", filing(2, form_type="10-K/A"), logical_date=NEXT)], part=2, day=NEXT)
+    land(f"{root}/landing", "company_submissions", [envelope("company_submissions", "1", company("Acme Two"), logical_date=NEXT)], part=2, day=NEXT)
+    land(f"{root}/landing", "company_concept", [envelope("company_concept", "1/us-gaap/Revenues", concept(value(9, 4, "2026-06-01", "2025-06-30")), logical_date=NEXT)], part=2, day=NEXT)
+    rows, reports = {}, {}
+    for mode in ("rebuild", "changes"):
+        for day in days:
+            s = resolve(logical_date=day, landing_root=f"{root}/landing", warehouse=f"{root}/{mode}", export_root=f"{root}/{mode}-out", checkpoint_root=f"{root}/{mode}-state", gold_mode=mode, ingest_mode="batch")
+            reports[mode] = jobs.run_all(spark, s, io.StringIO())
+        gold = {n: SnapshotTable(spark, f"{root}/{mode}", f"gold.{n}").read() for n in EXPORTED}
+        rows[mode] = {n: sorted(str(r) for r in df.drop("_generated_at", "_run_id", "_source_version").collect()) for n, df in gold.items()}
+    assert rows["changes"] == rows["rebuild"] and all(rows["changes"].values()) and len(rows["changes"]["restatement_event"]) == 2
+    m = reports["changes"][2].metrics
+    assert m["restatement_event.rebuilt"] == m["financials_current.rebuilt"] == m["filing_activity_daily.rebuilt"] == 0
+    # A rebuild of the same warehouse, and changes after it.
+    for mode in ("rebuild", "changes"):
+        s = resolve(logical_date=NEXT, landing_root=f"{root}/landing", warehouse=f"{root}/changes", export_root=f"{root}/out", checkpoint_root=f"{root}/changes-state", gold_mode=mode)
+        jobs.run_task(spark, "gold_build", s, io.StringIO())
+        assert {n: sorted(str(r) for r in SnapshotTable(spark, f"{root}/changes", f"gold.{n}").read().drop("_generated_at", "_run_id", "_source_version").collect()) for n in EXPORTED} == rows["rebuild"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators import incremental, joins, marts, versioning
 from factloom.operators.filings import schema_of
+from factloom.operators.frame import stamp
 from factloom.operators.tables import BUCKET, DAY, CommitConflict, SnapshotTable, bucket_of, buckets_for
 from factloom.runtime import scratch as scratch_module
 from factloom.runtime.files import Store
@@ -257,6 +258,61 @@ def test_incremental_activity_equals_a_rebuild(spark, tmp_path, monkeypatch):
     assert run()["rebuilt"] == 1 and same()
 
 
+def test_mart_by_bucket_equals_a_rebuild(spark, tmp_path, monkeypatch):
+    rng, root = random.Random(2), str(tmp_path)
+    facts = "cik string, n int, value int"
+    source = SnapshotTable(spark, root, "facts").create(spark.createDataFrame([], facts + ", _first_seen_ts timestamp, _last_seen_ts timestamp").schema, buckets=16)
+    names = SnapshotTable(spark, root, "names").create(spark.createDataFrame([], "cik string, company_name string, sic string, is_current boolean").schema)
+    mart = SnapshotTable(spark, root, "mart").create(stamp(spark.createDataFrame([], "cik string, total long, company_name string"), "", None).schema)
+    name = lambda k, label, sic="1": (f"c{k}", label, sic, True)
+    put_names = lambda rows: names.overwrite(spark.createDataFrame(rows, names.schema))
+    # A fact without an entity lies in a bucket too.
+    merge = lambda rows: versioning.merge_scd1(source, spark.createDataFrame(rows, facts), ["cik", "n"], bucket_by=["cik"])
+    opened = []
+
+    def build(rows, buckets):
+        opened.append(len(rows.inputFiles()))
+        sums = rows.groupBy("cik").agg(F.sum("value").alias("total"))
+        return sums.join(names.read().where("is_current").select("cik", "company_name"), "cik", "left")
+
+    run = lambda: incremental.update_by_bucket(source, mart, build, ["cik"], "run", names=names)
+
+    def same():
+        want = sorted(map(str, build(source.read(), None).select("cik", "total", "company_name").collect()))
+        return sorted(map(str, mart.read().select("cik", "total", "company_name").collect())) == want
+
+    assert run() == {"buckets_touched": 16, "rebuilt": 1, "rows": 0} and same()
+    put_names([name(k, f"name {k}") for k in range(0, 60, 2)])
+    merge([(None if k == 0 else f"c{k}", n, rng.randrange(9)) for k in range(60) for n in range(3)])
+    run()
+    assert same() and run() == {"buckets_touched": 0, "rebuilt": 0, "rows": 0}
+    merge([("c7", 1, 100), ("c7", 9, 5)])
+    opened.clear()
+    got = run()
+    assert (got["buckets_touched"], got["rebuilt"]) == (1, 0) and opened[0] < len(source.read().inputFiles()) / 4 and same()
+    # One name changes, one company comes, one goes; what marts do not take over makes no change.
+    put_names([name(k, "other" if k == 4 else f"name {k}", "2") for k in range(0, 58, 2)] + [name(9, "new")])
+    got = run()
+    assert 1 <= got["buckets_touched"] <= 3 and not got["rebuilt"] and same()
+    put_names([(*r[:2], "3", True) for r in names.read().collect()])
+    assert run() == {"buckets_touched": 0, "rebuilt": 0, "rows": 0} and same()
+    # The last rows of a bucket go.
+    source.overwrite(source.read().where("false"))
+    assert run()["rebuilt"] == 1 and mart.read().count() == 0
+    merge([("c1", 1, 1)])
+    run()
+    versioning.rebucket(source, ["cik"], 4)
+    assert run() == {"buckets_touched": 4, "rebuilt": 1, "rows": 1} and same()
+    # Another writer of the mart comes between.
+    merge([("c1", 1, 2)])
+    with monkeypatch.context() as m:
+        plain = mart.commit
+        m.setattr(mart, "commit", lambda *a, **k: (mart.overwrite(mart.read().where("false")), plain(*a, **k))[1] if k.get("inputs") else plain(*a, **k))
+        with pytest.raises(CommitConflict):
+            run()
+    assert run()["rebuilt"] == 1 and same()
+
+
 # Joins by time
 
 
