@@ -20,9 +20,9 @@ def surrogate_key(*parts: Column | str, null_mark: str = "\0null\0", separator:
     return F.sha2(F.concat_ws(separator, *[F.coalesce(c.cast("string"), F.lit(null_mark)) for c in cols]), 256)
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
+def _as_text(df: DataFrame, name: str, within: str = "") -> Column:
     kind = df.schema[name].dataType
-    value = F.col(name)
+    value = F.col(within + name)
     if isinstance(kind, ArrayType):
         # JSON keeps ['a,b'] apart from ['a', 'b'] and an empty array apart from NULL.
         value = F.to_json(F.array_sort(value))
@@ -31,8 +31,11 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return F.coalesce(value.cast("string"), F.lit(NULL_MARK))
 
 
-def hash_diff(df: DataFrame, columns: list[str]) -> Column:
-    """SHA-256 over the tracked columns; the order within arrays and maps does not matter, NULL differs from empty."""
+def hash_diff(df: DataFrame, columns: list[str], within: str = "") -> Column:
+    """SHA-256 over the tracked columns; the order within arrays and maps does not matter, NULL differs from empty.
+
+    `within` is put before names, where the columns have become fields of a struct.
+    """
     if not columns:
         raise ValueError("a change hash needs at least one column")
-    return F.sha2(F.concat_ws(UNIT, *[_as_text(df, c) for c in columns]), 256)
+    return F.sha2(F.concat_ws(UNIT, *[_as_text(df, c, within) for c in columns]), 256)

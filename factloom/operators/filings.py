@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,9 +14,9 @@ from ..functions import concepts, normalise
 from ..functions.keys import surrogate_key
 from ..functions.tolerance import MONEY
 from . import quality
-from .frame import dedupe, unused
+from .frame import unused
 from .tables import SnapshotTable
-from .versioning import grain_counts, merge_scd1, merge_scd2, order_assertions
+from .versioning import PLACE, grain_counts, merge_scd1, merge_scd2, order_assertions
 
 FILING_TRACKED = ["form_type", "base_form_type", "is_amendment", "company_name", "primary_doc_url"]
 COMPANY_TRACKED = ["company_name", "sic", "sic_description", "ein", "entity_type", "state_of_incorporation", "fiscal_year_end", "tickers", "exchanges", "former_names"]
@@ -113,11 +114,13 @@ def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: S
     Typed rows are written once, as counts, quarantine and what passes are all made from them; the copy goes in the end.  A
     batch without a reject leaves the quarantine as it is.
     """
-    staged = f"{quarantine.path}/_staged/{uuid.uuid4().hex}"
-    rows.write.parquet(staged)
+    staged, checks = f"{quarantine.path}/_staged/{uuid.uuid4().hex}", quality.CHECKS[table.split(".")[-1]]
+    # Only rows that fail a check need the record as it arrived.
+    failed = reduce(Column.__or__, [c.failed() for c in checks if c.severity != quality.WARN], F.lit(False))
+    rows.withColumn("_raw", F.when(failed, F.col("_raw"))).write.parquet(staged)
     try:
         typed = quarantine.spark.read.schema(rows.schema).parquet(staged)
-        checked = quality.apply_checks(typed, quality.CHECKS[table.split(".")[-1]], run_id, table, raw="_raw")
+        checked = quality.apply_checks(typed, checks, run_id, table, raw="_raw")
         if checked.metrics["dq.rows_quarantined"]:
             merge_scd1(quarantine, checked.quarantined, ["_dq_record_id"], operation="quarantine")
         for k, v in checked.metrics.items():
@@ -150,13 +153,13 @@ def ordered_facts(merged: DataFrame) -> DataFrame:
     """Merged facts with each fact's assertions numbered anew."""
     preference = unused(merged, "_preference")
     rows = merged.withColumn(preference, concepts.tag_preference(F.col("taxonomy"), F.col("concept_tag")))
-    return order_assertions(rows, ["fact_sk"], ["filed_date", "accession_number", preference, "concept_tag"]).drop(preference)
+    return order_assertions(rows, [c for c in (PLACE, "fact_sk") if c in merged.columns], ["filed_date", "accession_number", preference, "concept_tag"]).drop(preference)
 
 
 def run_facts(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
     """Merge the day's facts by their full key and number the assertions of the facts' buckets anew, in one write."""
     rows = build_facts(_of_day(spark, root, "bronze.company_concept_raw", logical_date))
     with check_and_quarantine(rows, "silver.financial_fact", run_id, SnapshotTable(spark, root, "silver.financial_fact_quarantine"), report) as passed:
-        one = dedupe(passed, FACT_KEY, LATEST)
-        quality.require(grain_counts(one, FACT_KEY), [quality.GRAIN_CHECK])
-        return merge_scd1(SnapshotTable(spark, root, "silver.financial_fact"), one, FACT_KEY, bucket_by=["fact_sk"], then=ordered_facts, operation="merge_facts")
+        # The merge keeps one row a key; what it has written is checked for that before it is published.
+        unique = lambda _, new: quality.require(grain_counts(new, FACT_KEY), [quality.GRAIN_CHECK])
+        return merge_scd1(SnapshotTable(spark, root, "silver.financial_fact"), passed, FACT_KEY, bucket_by=["fact_sk"], then=ordered_facts, operation="merge_facts", accept=unique, latest_by=LATEST)

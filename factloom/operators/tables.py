@@ -124,12 +124,12 @@ class SnapshotTable:
         paths = [f"{self.path}/{p['path']}" for p in parts]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _write(self, df: DataFrame, tag: str, counters: dict | None, schema: StructType) -> tuple[list[dict], dict]:
+    def _write(self, df: DataFrame, tag: str, counters: dict | None, schema: StructType, dealt: bool = False) -> tuple[list[dict], dict]:
         """Parts written from df in one pass, one for each value of the columns TAG, BUCKET and DAY that it has, and what was counted."""
         top, seen, by = f"data/{uuid.uuid4().hex}", Observation(), [c for c in _DEALT if c in df.columns]
         # Rows of a part come together, so that it is written as few files; large parts are split by size.
-        dealt = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
-        observed = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
+        rows = df.hint("rebalance", *[F.col(c) for c in by]) if by and not dealt else df
+        observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
         out = align(observed, StructType([*schema.fields, *[StructField(c, _DEALT[c][1]) for c in by]])).write
         (out.partitionBy(*by) if by else out).parquet(f"{self.path}/{top}")
         folders = [top]
@@ -142,7 +142,7 @@ class SnapshotTable:
 
         return [part(f) for f in folders], dict(seen.get)
 
-    def commit(self, new: dict[str, DataFrame], keep: Callable[[dict], bool], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None, rebase: bool = False, accept: Callable[[dict, DataFrame], object] | None = None, base: dict | None = None, batch: tuple[str, int] | None = None, **more) -> dict:
+    def commit(self, new: dict[str, DataFrame], keep: Callable[[dict], bool], operation: str, counters: dict | None = None, validate: Callable[[DataFrame], object] | None = None, rebase: bool = False, accept: Callable[[dict, DataFrame], object] | None = None, base: dict | None = None, batch: tuple[str, int] | None = None, dealt: bool = False, **more) -> dict:
         """Publish a version of the parts to keep and of new parts by tag.
 
         Counters, a name and an aggregate each, are taken in the same pass as the write.  validate gets the rows of the new
@@ -150,7 +150,7 @@ class SnapshotTable:
         manifest whose rows were read to make the new ones; where another version came after it the commit fails, but with
         `rebase` is made upon that.  `batch` names a source and the number of its batch: the manifest keeps the last number of
         every source, and a batch whose number is there already is not written again, also where another
-        writer has published it meanwhile.  Further fields go into the manifest.
+        writer has published it meanwhile.  With `dealt` rows of a part lie together already.  Further fields go into the manifest.
         """
         base = base or self.manifest()
         schema, metrics, staged = StructType.fromJson(base["schema"]), {}, []
@@ -159,7 +159,7 @@ class SnapshotTable:
             return base | {"metrics": {"rows": 0, **dict.fromkeys(counters or {}, 0)}}
         try:
             for tag, df in new.items():
-                parts, got = self._write(df, tag, counters, schema)
+                parts, got = self._write(df, tag, counters, schema, dealt)
                 staged += parts
                 for k, v in got.items():
                     metrics[k] = metrics.get(k, 0) + (v or 0)

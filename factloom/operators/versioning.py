@@ -1,6 +1,6 @@
 """Merges without a merge statement: SCD-1, SCD-2, assertion order, invariants, point-in-time lookup.
 
-Each merge is one null-safe full outer join that yields the new state; tables publish it as their next version.  A table's
+Each merge brings old and new rows of a key together, NULL keys too, and yields the new state; tables publish it as their next version.  A table's
 rows lie in buckets by a hash of their key, and a merge reads and writes the buckets that its source touches.
 """
 
@@ -11,9 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions.keys import hash_diff
-from .frame import dedupe
 from .joins import asof
 from .quality import SCD2_CHECKS, SCD2_STEP_CHECKS, require
 from .tables import BUCKET, TAG, SnapshotTable, bucket_of
@@ -37,7 +37,51 @@ def _now(processing_ts: str | None) -> Column:
     return F.current_timestamp() if processing_ts is None else F.to_timestamp(F.lit(processing_ts))
 
 
-def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, latest_by: list[str] | None = None, processing_ts: str | None = None) -> DataFrame:
+#: Ranges of places that the rows of a bucket are dealt to while a merge runs, and the column with a row's place.
+PLACES, PLACE = 4096, "_place"
+
+
+def place_of(keys: list[str], n: int) -> Column:
+    """Bucket and, within it, a range of keys: rows in the order of places are in the order of buckets."""
+    return bucket_of(keys, n) * PLACES + F.pmod(F.hash(*keys), F.lit(PLACES))
+
+
+def bucket_at() -> Column:
+    return F.floor(F.col(PLACE) / PLACES).cast("int")
+
+
+def meet(existing: DataFrame, source: DataFrame, keys: list[str], latest_by: list[str] | None = None, place: Column | None = None) -> DataFrame:
+    """Structs t and s, NULL where there is none: each existing row with the source row of its key, and source rows without one.
+
+    Of source rows with one key dedupe()'s choice counts.  NULL keys meet NULL keys.  Both sides are stacked and dealt once, by
+    range of `place` (which the keys must determine; then column PLACE stays) or else by key, and one sort brings together what meets.
+    """
+    here, have = existing.schema, source.schema
+    shared = [f.name for f in have.fields if f.name in here.names and f.dataType == here[f.name].dataType]
+    # Source columns that existing has not, or has in another type, travel beside.
+    beside = {c: f"_s{k}" for k, c in enumerate(source.columns) if c not in shared and c not in keys}
+    old = existing.select("*", F.lit(1).alias("_old"), *[F.lit(None).cast(have[c].dataType).alias(b) for c, b in beside.items()])
+    new = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in shared or f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in here.fields], F.lit(0).alias("_old"), *[F.col(c).alias(b) for c, b in beside.items()])
+    rows, by = old.unionByName(new), keys
+    if place is not None:
+        rows, by = rows.withColumn(PLACE, place).repartitionByRange(PLACE), [PLACE, *keys]
+    at = lambda c: F.col(beside.get(c, c))
+    maps = {f.name for f in have.fields if isinstance(f.dataType, MapType)}
+    rest = [c for c in source.columns if c not in keys and c not in (latest_by or [])]
+    order = [at(c).desc_nulls_last() for c in latest_by or [] if c not in keys] + [(F.to_json(at(c)) if c in maps else at(c)).asc_nulls_last() for c in rest]
+    w = Window.partitionBy(*by).orderBy("_old", *order)
+    s = F.when(F.col("_old") == 0, F.struct(*[at(c).alias(c) for c in source.columns], F.lit(True).alias("_s")))
+    met = rows.withColumns({
+        "s": F.first(s).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_nth": F.row_number().over(w),
+        "_any_old": F.max("_old").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+    t = F.when(F.col("_old") == 1, F.struct(*existing.columns, F.lit(True).alias("_t")))
+    kept = met.where("_old = 1 OR (_nth = 1 AND _any_old = 0)")
+    return kept.select(t.alias("t"), "s", *([PLACE] if place is not None else []))
+
+
+def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, latest_by: list[str] | None = None, processing_ts: str | None = None, place: Column | None = None) -> DataFrame:
     """existing with source merged in by key, and column _op.
 
     Of source rows with one key the last in `latest_by` counts.  A matched row takes the source's `update` columns (all but
@@ -48,11 +92,10 @@ def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[s
         raise ValueError("a merge needs at least one key column")
     if FIRST_SEEN in (update or []):
         raise ValueError(f"{FIRST_SEEN} is set on insert and never updated")
-    source = dedupe(source, keys, latest_by)
     have = set(source.columns)
     update = [c for c in existing.columns if c not in keys and c not in (FIRST_SEEN, LAST_SEEN) and c in have] if update is None else update
     now = _now(processing_ts)
-    joined = existing.withColumn("_t", F.lit(True)).alias("t").join(source.withColumn("_s", F.lit(True)).alias("s"), null_safe("t", "s", keys), "full_outer")
+    joined = meet(existing, source, keys, latest_by, place)
     old, new = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
 
     def merged(c: str) -> Column:
@@ -68,10 +111,10 @@ def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[s
         return value.cast(existing.schema[c].dataType).alias(c)
 
     op = F.when(~new, "unchanged").when(old, "updated").otherwise("inserted")
-    return joined.select(*[merged(c) for c in existing.columns], op.alias(OP))
+    return joined.select(*[merged(c) for c in existing.columns], op.alias(OP), *([PLACE] if place is not None else []))
 
 
-def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, latest_by: list[str] | None = None, processing_ts: str | None = None, closed_versions: DataFrame | None = None) -> DataFrame:
+def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, latest_by: list[str] | None = None, processing_ts: str | None = None, closed_versions: DataFrame | None = None, place: Column | None = None) -> DataFrame:
     """Rows that replace `current`, the current rows of a versioned table, and column _op.
 
     A key whose tracked columns changed has its version closed on the day before logical_date and a new one opened; on the day
@@ -83,10 +126,10 @@ def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[s
         raise ValueError("a merge needs at least one natural key column")
     date.fromisoformat(logical_date)
     day, now = F.lit(logical_date).cast("date"), _now(processing_ts)
-    source = dedupe(source, keys, latest_by)
-    source = source.withColumn(HASH, hash_diff(source, tracked))
-    have = set(source.columns)
-    joined = current.withColumn("_t", F.lit(True)).alias("t").join(source.withColumn("_s", F.lit(True)).alias("s"), null_safe("t", "s", keys), "full_outer")
+    have = {*source.columns, HASH}
+    joined = meet(current, source, keys, latest_by, place)
+    # Hashed after rows are dealt: a hash hardly compresses.
+    joined = joined.withColumn("s", F.col("s").withField(HASH, hash_diff(source, tracked, "s.")))
     if closed_versions is not None:
         joined = joined.join(closed_versions.alias("h"), null_safe("s", "h", keys), "left")
     reached = F.coalesce(F.col("t.version_number"), F.col("h.max_version") if closed_versions is not None else F.lit(None), F.lit(0))
@@ -112,7 +155,7 @@ def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[s
         .when(F.when(late, refused.cast("boolean")).otherwise(F.col("t.valid_from") < day), F.array(row("closed", valid_to=F.date_sub(day, 1), is_current=F.lit(False)), inserted))
         .otherwise(F.array(replaced))
     )
-    return joined.select(F.inline(rows))
+    return joined.select(*([PLACE] if place is not None else []), F.inline(rows))
 
 
 #: Buckets of a table that no merge has written yet; a table keeps its number, so give large ones more.
@@ -127,6 +170,8 @@ def touched(table: SnapshotTable, manifest: dict, source: DataFrame, keys: list[
     if not keys:
         raise ValueError("a merge needs at least one key column")
     n = manifest.get("buckets") or buckets or BUCKETS
+    if not manifest["parts"]:
+        return n, set()
     if any("bucket" not in p for p in manifest["parts"]):
         return n, None
     return n, {r[0] for r in source.select(bucket_of(keys, n).alias("b")).distinct().collect()}
@@ -136,7 +181,7 @@ def _in(part: dict, buckets: set[int] | None) -> bool:
     return buckets is None or part["bucket"] in buckets
 
 
-def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_by: list[str] | None = None, then=None, operation: str = "merge_scd1", buckets: int | None = None, **options) -> dict:
+def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_by: list[str] | None = None, then=None, operation: str = "merge_scd1", buckets: int | None = None, accept=None, **options) -> dict:
     """scd1() as the table's next version; returns counts of inserted, updated and, in the buckets touched, unchanged rows.
 
     Rows lie in buckets by `bucket_by`, which the keys must determine (the keys by default).  `then` maps the merged rows of
@@ -145,9 +190,9 @@ def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_
     manifest, by = table.manifest(), bucket_by or keys
     n, hit = touched(table, manifest, source, by, buckets)
     old = table.read_parts([p for p in manifest["parts"] if _in(p, hit)], manifest)
-    merged = scd1(old, source, keys, **options)
-    merged = (then(merged) if then else merged).withColumn(BUCKET, bucket_of(by, n))
-    return table.commit({"rows": merged}, lambda p: not _in(p, hit), operation, counters(), base=manifest, buckets=n)["metrics"]
+    merged = scd1(old, source, keys, place=place_of(by, n), **options)
+    merged = (then(merged) if then else merged).withColumn(BUCKET, bucket_at())
+    return table.commit({"rows": merged}, lambda p: not _in(p, hit), operation, counters(), accept=accept, base=manifest, dealt=True, buckets=n)["metrics"]
 
 
 def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, buckets: int | None = None, **options) -> dict:
@@ -167,16 +212,17 @@ def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked
     if others:
         current = current.unionByName(table.read_parts(others, manifest).where("is_current"))
         options["closed_versions"] = history.groupBy(*keys).agg(F.max("version_number").alias("max_version"))
-    merged = scd2(current, source, keys, tracked, logical_date, **options)
-    if history is not None:
-        merged = merged.unionByName(history.withColumn(OP, F.lit("unchanged")))
-    merged = merged.withColumns({BUCKET: bucket_of(keys, n), TAG: F.when(F.col("is_current"), "current").otherwise("closed")})
+    merged = scd2(current, source, keys, tracked, logical_date, place=place_of(keys, n), **options)
+    dealt = history is None
+    if not dealt:
+        merged = merged.unionByName(history.withColumns({OP: F.lit("unchanged"), PLACE: place_of(keys, n)}))
+    merged = merged.withColumns({BUCKET: bucket_at(), TAG: F.when(F.col("is_current"), "current").otherwise("closed")})
 
     def check(_: dict, new: DataFrame) -> None:
         require(scd2_invariants(new, keys), SCD2_STEP_CHECKS)
 
     stays = lambda p: not _in(p, hit) or p["tag"] == "closed"
-    return table.commit({"current": merged}, stays, "merge_scd2", counters(), accept=check if validate else None, base=manifest, buckets=n)["metrics"]
+    return table.commit({"current": merged}, stays, "merge_scd2", counters(), accept=check if validate else None, base=manifest, dealt=dealt, buckets=n)["metrics"]
 
 
 def check_history(table: SnapshotTable, keys: list[str], version: int | None = None) -> dict[str, int]:
