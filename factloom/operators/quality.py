@@ -132,16 +132,23 @@ class Reference:
             raise ValueError(f"{self.name}: unknown severity, or no keys")
 
 
-def apply_reference(df: DataFrame, check: Reference, others: DataFrame, run_id: str, source_table: str, raw: str | None = None) -> Checked:
+def apply_reference(df: DataFrame, check: Reference, others: DataFrame, run_id: str, source_table: str, raw: str | None = None, staged: str | None = None) -> Checked:
     """As apply_checks(), for rows whose key (columns of df to columns of others) is in another table.
 
     Rows meet others by semi and anti joins, so repeated keys there repeat no row, and a failed reject_batch check shows
     three samples at most.  Ids of quarantined records do not depend on the run: a replay meets its earlier self.
+    With `staged`, a new folder that the caller drops, rejected rows are written there once, as far as the quarantine needs
+    them; their count and the quarantine come from there, and the tables meet no more for these.
     """
     there = others.select(*[F.col(b).alias(f"_there{k}") for k, b in enumerate(check.keys.values())])
     on = reduce(Column.__and__, [F.col(a) == F.col(f"_there{k}") for k, a in enumerate(check.keys)])
     orphans = df.join(there, on, "left_anti")
     plain = Check(check.name, "false", REJECT, check.description or f"{', '.join(check.keys)} not found")
+    if staged and check.severity == REJECT:
+        needed = [c for c in df.columns if raw is None or c in (raw, "_source_file", "_ingest_batch_id")]
+        rows = orphans.select(*needed)
+        rows.write.parquet(staged)
+        orphans = df.sparkSession.read.schema(rows.schema).parquet(staged)
     n, failed = df.count(), orphans.count()
     metrics = {f"dq.{check.name}.failed": failed, f"dq.severity_{check.severity}": failed, "dq.rows_in": n}
     if check.severity == REJECT_BATCH and failed:

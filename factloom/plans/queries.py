@@ -902,8 +902,9 @@ def orphan_lines(spark, sf_dir):
     """Lines whose order is not among the final ones, as quarantined twice: a replay adds nothing."""
     lines = _t(spark, sf_dir, "lineitem").withColumn("_raw", F.struct("l_orderkey", "l_linenumber"))
     check = quality.Reference("order_known", {"l_orderkey": "o_orderkey"})
-    q = quality.apply_reference(lines, check, _t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), "run", "lineitem", raw="_raw").quarantined
-    table = SnapshotTable(spark, scratch(spark), "quarantine").create(q.schema)
+    root = scratch(spark)
+    q = quality.apply_reference(lines, check, _t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), "run", "lineitem", raw="_raw", staged=f"{root}/_staged").quarantined
+    table = SnapshotTable(spark, root, "quarantine").create(q.schema)
     for _ in range(2):
         versioning.merge_scd1(table, q, ["_dq_record_id"], operation="quarantine", buckets=4)
     of = lambda k, kind: F.get_json_object("record_json", f"$.{k}").cast(kind).alias(k)
