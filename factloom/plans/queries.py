@@ -875,7 +875,7 @@ def stream_stream_join(spark, sf_dir):
         read = lambda df, n: spark.readStream.schema(df.schema).parquet(f"{root}/{n}")  # noqa: E731, B023
         found = stateful.join_streams(read(o, "filings"), read(lines, "facts"), ["o_orderkey"], "o_orderdate", "l_shipdate", "90 days", delay="2200 days")
         table = table or SnapshotTable(spark, root, "joined").create(found.schema)
-        stateful.run_to_table(found, table, f"{root}/state")
+        stateful.run_to_table(found, table, f"{root}/state", on_disk=True, partitions=2 * spark.sparkContext.defaultParallelism)
     return table.read().where("o_orderkey >= 0").select("o_orderkey", _day("o_orderdate").alias("ordered"), "l_linenumber", _day("l_shipdate").alias("shipped"))
 
 
