@@ -122,7 +122,7 @@ def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: S
         typed = quarantine.spark.read.schema(rows.schema).parquet(staged)
         checked = quality.apply_checks(typed, checks, run_id, table, raw="_raw")
         if checked.metrics["dq.rows_quarantined"]:
-            merge_scd1(quarantine, checked.quarantined, ["_dq_record_id"], operation="quarantine")
+            merge_scd1(quarantine, checked.quarantined, ["_dq_record_id"], operation="quarantine", rows=checked.metrics["dq.rows_quarantined"])
         for k, v in checked.metrics.items():
             report.add(k, v)
         if checked.has_warnings:
@@ -140,13 +140,15 @@ def _of_day(spark: SparkSession, root: str, name: str, logical_date: str) -> Dat
 def run_filings(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
     rows = build_filings(_of_day(spark, root, "bronze.filing_index_raw", logical_date))
     with check_and_quarantine(rows, "silver.filing", run_id, SnapshotTable(spark, root, "silver.filing_quarantine"), report) as passed:
-        return merge_scd2(SnapshotTable(spark, root, "silver.filing"), passed, ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST)
+        made = {"filing_sk": lambda p: surrogate_key(F.col(f"{p}accession_number"))}
+        return merge_scd2(SnapshotTable(spark, root, "silver.filing"), passed.drop(*made), ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
 
 
 def run_companies(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
     rows = build_companies(_of_day(spark, root, "bronze.company_submissions_raw", logical_date)).withColumn("valid_from", F.lit(logical_date).cast("date"))
     with check_and_quarantine(rows, "silver.company", run_id, SnapshotTable(spark, root, "silver.company_quarantine"), report) as passed:
-        return merge_scd2(SnapshotTable(spark, root, "silver.company"), passed.drop("valid_from"), ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST)
+        made = {"company_sk": lambda p: surrogate_key(F.col(f"{p}cik"))}
+        return merge_scd2(SnapshotTable(spark, root, "silver.company"), passed.drop("valid_from", *made), ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
 
 
 def ordered_facts(merged: DataFrame) -> DataFrame:
@@ -162,4 +164,4 @@ def run_facts(spark: SparkSession, root: str, logical_date: str, run_id: str, re
     with check_and_quarantine(rows, "silver.financial_fact", run_id, SnapshotTable(spark, root, "silver.financial_fact_quarantine"), report) as passed:
         # The merge keeps one row a key; what it has written is checked for that before it is published.
         unique = lambda _, new: quality.require(grain_counts(new, FACT_KEY), [quality.GRAIN_CHECK])
-        return merge_scd1(SnapshotTable(spark, root, "silver.financial_fact"), passed, FACT_KEY, bucket_by=["fact_sk"], then=ordered_facts, operation="merge_facts", accept=unique, latest_by=LATEST)
+        return merge_scd1(SnapshotTable(spark, root, "silver.financial_fact"), passed, FACT_KEY, bucket_by=["fact_sk"], then=ordered_facts, operation="merge_facts", accept=unique, latest_by=LATEST, rows=passed.count())

@@ -39,6 +39,8 @@ class CommitConflict(Exception):
 TAG, BUCKET, DAY = "_tag", "_bucket", "_day"
 _DEALT = {TAG: ("tag", StringType(), str), BUCKET: ("bucket", IntegerType(), int), DAY: ("day", StringType(), str)}
 _NULL = "__HIVE_DEFAULT_PARTITION__"
+#: Of the Parquet files: half of a table may be digests as text, which only an entropy coder makes smaller.
+CODEC = "zstd"
 #: Bytes that a bucket of a merged table should hold.
 BUCKET_BYTES = 256 << 20
 
@@ -130,7 +132,7 @@ class SnapshotTable:
         # Rows of a part come together, so that it is written as few files; large parts are split by size.
         rows = df.hint("rebalance", *[F.col(c) for c in by]) if by and not dealt else df
         observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[e.alias(k) for k, e in (counters or {}).items()])
-        out = align(observed, StructType([*schema.fields, *[StructField(c, _DEALT[c][1]) for c in by]])).write
+        out = align(observed, StructType([*schema.fields, *[StructField(c, _DEALT[c][1]) for c in by]])).write.option("compression", CODEC)
         (out.partitionBy(*by) if by else out).parquet(f"{self.path}/{top}")
         folders = [top]
         for c in by:

@@ -6,10 +6,11 @@ rows lie in buckets by a hash of their key, and a merge reads and writes the buc
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -50,11 +51,39 @@ def bucket_at() -> Column:
     return F.floor(F.col(PLACE) / PLACES).cast("int")
 
 
-def meet(existing: DataFrame, source: DataFrame, keys: list[str], latest_by: list[str] | None = None, place: Column | None = None) -> DataFrame:
+#: Rows that a task of a merge gets at most, about, and those below which it is not worth a task: what is sorted has to fit in its memory.
+TASK_ROWS, LEAST_ROWS = 200_000, 20_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks among which a merge of so many old and new rows is dealt, whatever the session's number of partitions: in proportion to the rows."""
+    return max(1, -(-rows // TASK_ROWS), min(spark.sparkContext.defaultParallelism, rows // LEAST_ROWS))
+
+
+def unsaid(existing: DataFrame, made: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """existing without what `made` (column: its value, by the prefix of the columns it is made from) can make again.
+
+    A digest hardly compresses, and so does not travel.  Where a row has another value than would be made, that one stays, in a struct.
+    """
+    return existing.withColumns({c: F.when(~F.col(c).eqNullSafe(make("")), F.struct(F.col(c).alias("said"))) for c, make in made.items()})
+
+
+def say(joined: DataFrame, side: str, made: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """Rows of meet() with the fields of t that unsaid() left out, or with those that s has not."""
+    for c, make in made.items():
+        value = make(f"{side}.")
+        if side == "t":
+            value = F.when(F.col(f"t.{c}").isNotNull(), F.col(f"t.{c}.said")).otherwise(value)
+        joined = joined.withColumn(side, F.col(side).withField(c, value))
+    return joined
+
+
+def meet(existing: DataFrame, source: DataFrame, keys: list[str], latest_by: list[str] | None = None, place: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Structs t and s, NULL where there is none: each existing row with the source row of its key, and source rows without one.
 
     Of source rows with one key dedupe()'s choice counts.  NULL keys meet NULL keys.  Both sides are stacked and dealt once, by
-    range of `place` (which the keys must determine; then column PLACE stays) or else by key, and one sort brings together what meets.
+    range of `place` (which the keys must determine; then column PLACE stays; to so many `tasks`, or as many as the session says) or else
+    by key, and one sort brings together what meets.
     """
     here, have = existing.schema, source.schema
     shared = [f.name for f in have.fields if f.name in here.names and f.dataType == here[f.name].dataType]
@@ -64,7 +93,7 @@ def meet(existing: DataFrame, source: DataFrame, keys: list[str], latest_by: lis
     new = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in shared or f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in here.fields], F.lit(0).alias("_old"), *[F.col(c).alias(b) for c, b in beside.items()])
     rows, by = old.unionByName(new), keys
     if place is not None:
-        rows, by = rows.withColumn(PLACE, place).repartitionByRange(PLACE), [PLACE, *keys]
+        rows, by = rows.withColumn(PLACE, place).repartitionByRange(*([tasks] if tasks else []), PLACE), [PLACE, *keys]
     at = lambda c: F.col(beside.get(c, c))
     maps = {f.name for f in have.fields if isinstance(f.dataType, MapType)}
     rest = [c for c in source.columns if c not in keys and c not in (latest_by or [])]
@@ -81,7 +110,7 @@ def meet(existing: DataFrame, source: DataFrame, keys: list[str], latest_by: lis
     return kept.select(t.alias("t"), "s", *([PLACE] if place is not None else []))
 
 
-def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, latest_by: list[str] | None = None, processing_ts: str | None = None, place: Column | None = None) -> DataFrame:
+def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, latest_by: list[str] | None = None, processing_ts: str | None = None, place: Column | None = None, tasks: int | None = None) -> DataFrame:
     """existing with source merged in by key, and column _op.
 
     Of source rows with one key the last in `latest_by` counts.  A matched row takes the source's `update` columns (all but
@@ -95,7 +124,7 @@ def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[s
     have = set(source.columns)
     update = [c for c in existing.columns if c not in keys and c not in (FIRST_SEEN, LAST_SEEN) and c in have] if update is None else update
     now = _now(processing_ts)
-    joined = meet(existing, source, keys, latest_by, place)
+    joined = meet(existing, source, keys, latest_by, place, tasks)
     old, new = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
 
     def merged(c: str) -> Column:
@@ -114,22 +143,26 @@ def scd1(existing: DataFrame, source: DataFrame, keys: list[str], update: list[s
     return joined.select(*[merged(c) for c in existing.columns], op.alias(OP), *([PLACE] if place is not None else []))
 
 
-def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, latest_by: list[str] | None = None, processing_ts: str | None = None, closed_versions: DataFrame | None = None, place: Column | None = None) -> DataFrame:
+def scd2(current: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, latest_by: list[str] | None = None, processing_ts: str | None = None, closed_versions: DataFrame | None = None, place: Column | None = None, tasks: int | None = None, made: dict[str, Callable[[str], Column]] | None = None) -> DataFrame:
     """Rows that replace `current`, the current rows of a versioned table, and column _op.
 
     A key whose tracked columns changed has its version closed on the day before logical_date and a new one opened; on the day
     the version was opened it is replaced in place; an older logical_date raises, as history is not rewritten.  A key
     without change is only seen again; one that the source lacks stays.  closed_versions (keys, max_version) says how far
-    a key without a current row had come.
+    a key without a current row had come.  `made` names columns that follow from others, as surrogates do from the key, each with
+    its value by the prefix of those: like change hashes they are made after rows are dealt, where source lacks them, and only
+    where `current` says otherwise do they travel.
     """
     if not keys:
         raise ValueError("a merge needs at least one natural key column")
     date.fromisoformat(logical_date)
     day, now = F.lit(logical_date).cast("date"), _now(processing_ts)
-    have = {*source.columns, HASH}
-    joined = meet(current, source, keys, latest_by, place)
-    # Hashed after rows are dealt: a hash hardly compresses.
-    joined = joined.withColumn("s", F.col("s").withField(HASH, hash_diff(source, tracked, "s.")))
+    made = made or {}
+    have = {*source.columns, HASH, *made}
+    again = {HASH: lambda p: hash_diff(current, tracked, p)} if {HASH, *tracked} <= set(current.columns) else {}
+    again |= {c: make for c, make in made.items() if c in current.columns}
+    joined = say(meet(unsaid(current, again), source, keys, latest_by, place, tasks), "t", again)
+    joined = say(joined, "s", {HASH: lambda p: hash_diff(source, tracked, p)} | {c: make for c, make in made.items() if c not in source.columns})
     if closed_versions is not None:
         joined = joined.join(closed_versions.alias("h"), null_safe("s", "h", keys), "left")
     reached = F.coalesce(F.col("t.version_number"), F.col("h.max_version") if closed_versions is not None else F.lit(None), F.lit(0))
@@ -181,26 +214,27 @@ def _in(part: dict, buckets: set[int] | None) -> bool:
     return buckets is None or part["bucket"] in buckets
 
 
-def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_by: list[str] | None = None, then=None, operation: str = "merge_scd1", buckets: int | None = None, accept=None, **options) -> dict:
+def merge_scd1(table: SnapshotTable, source: DataFrame, keys: list[str], bucket_by: list[str] | None = None, then=None, operation: str = "merge_scd1", buckets: int | None = None, accept=None, rows: int | None = None, **options) -> dict:
     """scd1() as the table's next version; returns counts of inserted, updated and, in the buckets touched, unchanged rows.
 
     Rows lie in buckets by `bucket_by`, which the keys must determine (the keys by default).  `then` maps the merged rows of
-    whole buckets to what is written.
+    whole buckets to what is written.  `rows`, the number of source's rows where it is known, sets the number of tasks.
     """
     manifest, by = table.manifest(), bucket_by or keys
     n, hit = touched(table, manifest, source, by, buckets)
     old = table.read_parts([p for p in manifest["parts"] if _in(p, hit)], manifest)
-    merged = scd1(old, source, keys, place=place_of(by, n), **options)
+    merged = scd1(old, source, keys, place=place_of(by, n), tasks=None if rows is None else tasks_for(table.spark, old.count() + rows), **options)
     merged = (then(merged) if then else merged).withColumn(BUCKET, bucket_at())
     return table.commit({"rows": merged}, lambda p: not _in(p, hit), operation, counters(), accept=accept, base=manifest, dealt=True, buckets=n)["metrics"]
 
 
-def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, buckets: int | None = None, **options) -> dict:
+def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked: list[str], logical_date: str, validate: bool = True, buckets: int | None = None, rows: int | None = None, **options) -> dict:
     """scd2() as the table's next version, in one write that deals rows to current and closed parts.
 
     Closed rows stay in the files they are in; of current rows the buckets that source touches are written anew.  What is
     validated is each key's step: its current row and the version that this merge closed, if any.  As closed rows never change,
-    a history whose steps are all valid is valid; check_history() looks at the whole of it.
+    a history whose steps are all valid is valid; check_history() looks at the whole of it.  `rows`, the number of source's rows
+    where it is known, sets the number of tasks.
     """
     manifest = table.manifest()
     n, hit = touched(table, manifest, source, keys, buckets)
@@ -212,7 +246,8 @@ def merge_scd2(table: SnapshotTable, source: DataFrame, keys: list[str], tracked
     if others:
         current = current.unionByName(table.read_parts(others, manifest).where("is_current"))
         options["closed_versions"] = history.groupBy(*keys).agg(F.max("version_number").alias("max_version"))
-    merged = scd2(current, source, keys, tracked, logical_date, place=place_of(keys, n), **options)
+    tasks = None if rows is None else tasks_for(table.spark, current.count() + rows)
+    merged = scd2(current, source, keys, tracked, logical_date, place=place_of(keys, n), tasks=tasks, **options)
     dealt = history is None
     if not dealt:
         merged = merged.unionByName(history.withColumns({OP: F.lit("unchanged"), PLACE: place_of(keys, n)}))
