@@ -15,7 +15,7 @@ from ..functions.keys import surrogate_key
 from ..functions.tolerance import MONEY
 from . import quality
 from .frame import unused
-from .tables import SnapshotTable
+from .tables import CODEC, SnapshotTable
 from .versioning import PLACE, grain_counts, merge_scd1, merge_scd2, order_assertions
 
 FILING_TRACKED = ["form_type", "base_form_type", "is_amendment", "company_name", "primary_doc_url"]
@@ -117,7 +117,7 @@ def check_and_quarantine(rows: DataFrame, table: str, run_id: str, quarantine: S
     staged, checks = f"{quarantine.path}/_staged/{uuid.uuid4().hex}", quality.CHECKS[table.split(".")[-1]]
     # Only rows that fail a check need the record as it arrived.
     failed = reduce(Column.__or__, [c.failed() for c in checks if c.severity != quality.WARN], F.lit(False))
-    rows.withColumn("_raw", F.when(failed, F.col("_raw"))).write.parquet(staged)
+    rows.withColumn("_raw", F.when(failed, F.col("_raw"))).write.option("compression", CODEC).parquet(staged)
     try:
         typed = quarantine.spark.read.schema(rows.schema).parquet(staged)
         checked = quality.apply_checks(typed, checks, run_id, table, raw="_raw")
@@ -138,17 +138,18 @@ def _of_day(spark: SparkSession, root: str, name: str, logical_date: str) -> Dat
 
 
 def run_filings(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
-    rows = build_filings(_of_day(spark, root, "bronze.filing_index_raw", logical_date))
+    # Surrogates are neither staged nor dealt: the merge makes them from the key.
+    made = {"filing_sk": lambda p: surrogate_key(F.col(f"{p}accession_number"))}
+    rows = build_filings(_of_day(spark, root, "bronze.filing_index_raw", logical_date)).drop(*made)
     with check_and_quarantine(rows, "silver.filing", run_id, SnapshotTable(spark, root, "silver.filing_quarantine"), report) as passed:
-        made = {"filing_sk": lambda p: surrogate_key(F.col(f"{p}accession_number"))}
-        return merge_scd2(SnapshotTable(spark, root, "silver.filing"), passed.drop(*made), ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
+        return merge_scd2(SnapshotTable(spark, root, "silver.filing"), passed, ["accession_number"], FILING_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
 
 
 def run_companies(spark: SparkSession, root: str, logical_date: str, run_id: str, report) -> dict:
-    rows = build_companies(_of_day(spark, root, "bronze.company_submissions_raw", logical_date)).withColumn("valid_from", F.lit(logical_date).cast("date"))
+    made = {"company_sk": lambda p: surrogate_key(F.col(f"{p}cik"))}
+    rows = build_companies(_of_day(spark, root, "bronze.company_submissions_raw", logical_date)).drop(*made).withColumn("valid_from", F.lit(logical_date).cast("date"))
     with check_and_quarantine(rows, "silver.company", run_id, SnapshotTable(spark, root, "silver.company_quarantine"), report) as passed:
-        made = {"company_sk": lambda p: surrogate_key(F.col(f"{p}cik"))}
-        return merge_scd2(SnapshotTable(spark, root, "silver.company"), passed.drop("valid_from", *made), ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
+        return merge_scd2(SnapshotTable(spark, root, "silver.company"), passed.drop("valid_from"), ["cik"], COMPANY_TRACKED, logical_date, latest_by=LATEST, made=made, rows=passed.count())
 
 
 def ordered_facts(merged: DataFrame) -> DataFrame:
