@@ -862,21 +862,23 @@ def stream_sessions(spark, sf_dir):
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 90 DAY
 """)
 def stream_stream_join(spark, sf_dir):
-    """Orders as filings and their lines of the next 90 days as facts, two streams in three slices, with late rows on both sides."""
+    """Orders as filings and their lines of the next 90 days as facts, two streams in three slices, with late rows on both sides.
+
+    All of the state is live until the end, so it is kept in a table.
+    """
     root = scratch(spark)
     time = lambda c: F.col(c).cast("timestamp").alias(c)
     o = _t(spark, sf_dir, "orders").select("o_orderkey", time("o_orderdate"))
     lines = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", time("l_shipdate"))
     end = F.lit("2044-01-01").cast("timestamp")
     far = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), end.alias("o_orderdate"), F.lit(0).alias("l_linenumber"), end.alias("l_shipdate"))
-    table, slice_ = None, lambda c: F.least(F.greatest(F.floor((F.year(c) - 1995) / 3), F.lit(0)), F.lit(2))
+    table, slice_ = SnapshotTable(spark, root, "joined"), lambda c: F.least(F.greatest(F.floor((F.year(c) - 1995) / 3), F.lit(0)), F.lit(2))
     sides = zip(_slices(o, slice_("o_orderdate"), 2, "o_orderkey", f"{root}/filings", far.select(*o.columns)), _slices(lines, slice_("l_shipdate"), 2, "o_orderkey", f"{root}/facts", far.select(*lines.columns)))
     for _ in sides:
         read = lambda df, n: spark.readStream.schema(df.schema).parquet(f"{root}/{n}")  # noqa: E731, B023
-        found = stateful.join_streams(read(o, "filings"), read(lines, "facts"), ["o_orderkey"], "o_orderdate", "l_shipdate", "90 days", delay="2200 days")
-        table = table or SnapshotTable(spark, root, "joined").create(found.schema)
-        stateful.run_to_table(found, table, f"{root}/state", on_disk=True, partitions=2 * spark.sparkContext.defaultParallelism)
-    return table.read().where("o_orderkey >= 0").select("o_orderkey", _day("o_orderdate").alias("ordered"), "l_linenumber", _day("l_shipdate").alias("shipped"))
+        stateful.join_to_table(read(o, "filings"), read(lines, "facts"), ["o_orderkey"], "o_orderdate", "l_shipdate", "90 days", table, f"{root}/state", delay="2200 days")
+    closed = F.col("o_orderkey").eqNullSafe(-1) & F.col("o_orderdate").eqNullSafe(end)
+    return table.read().where(~closed).select("o_orderkey", _day("o_orderdate").alias("ordered"), "l_linenumber", _day("l_shipdate").alias("shipped"))
 
 
 @query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS resource_id, strftime(ts, '%Y-%m-%d') AS content FROM events")
